@@ -21,7 +21,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ["q_clean", "q_quality", "q_sampling"]
+MODULES = ["q_clean", "q_quality", "q_sampling", "q_store", "q_aggregate"]
 
 
 def query(key: str, ref: str, oracle: str | None = None):
