@@ -21,7 +21,7 @@ class Query:
 
 
 REGISTRY: dict[str, Query] = {}
-MODULES = ["q_clean", "q_quality", "q_sampling", "q_store", "q_aggregate", "q_evaluate", "q_drift", "q_io", "q_monitor", "q_ml"]
+MODULES = ["q_clean", "q_quality", "q_sampling", "q_store", "q_aggregate", "q_evaluate", "q_drift", "q_io", "q_monitor", "q_ml", "q_stream"]
 
 
 def query(key: str, ref: str, oracle: str | None = None):
