@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from typing import Iterable, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Observation
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -30,20 +30,16 @@ def coerce_numeric(df: DataFrame, cols: Iterable[str]) -> DataFrame:
     return df.select([C.to_double(c).alias(c) if c in wanted else F.col(f"`{c}`") for c in df.columns])
 
 
-def fill_null(df: DataFrame, values: Mapping[str, object],
-              observation: Observation | None = None) -> DataFrame:
-    """Null to a value; optionally count the filled cells per column.
-
-    The count is taken with an ``Observation`` on the same pass that writes
-    or reads the data, so there is no extra job and no race.
-    """
-    if observation is not None:
-        df = df.observe(observation, *[
-            F.sum(F.col(c).isNull().cast("long")).alias(f"filled_{c}") for c in values
-        ])
+def fill_null(df: DataFrame, values: Mapping[str, object]) -> DataFrame:
+    """Null to a value."""
     return df.fillna(dict(values))
 
 
+def null_counts(df: DataFrame, cols: Iterable[str]) -> DataFrame:
+    """P3 counter: how many cells ``fill_null`` will fill, per column (one aggregate)."""
+    return df.agg(*[F.sum(F.col(c).isNull().cast("long")).alias(f"filled_{c}") for c in cols])
+
+
 def cast_narrow(df: DataFrame, cols: Iterable[str], dtype: str = "tinyint") -> DataFrame:
     """Narrow integer flags (ANSI mode raises on overflow)."""
     wanted = set(cols)
@@ -175,11 +171,14 @@ def range_quarantine(df: DataFrame, bounds: Mapping[str, tuple] | None = None,
 
 # -- composed stages ---------------------------------------------------------
 
-def ingest_clean(raw: DataFrame, observation: Observation | None = None) -> DataFrame:
+def ingest_coerced(raw: DataFrame) -> DataFrame:
+    """Ingest stage before the fill: strip strings, TotalCharges to number."""
+    return coerce_numeric(trim_strings(raw), ["TotalCharges"])
+
+
+def ingest_clean(raw: DataFrame) -> DataFrame:
     """Ingest stage: strip strings, TotalCharges to number, blanks to 0.0."""
-    df = trim_strings(raw)
-    df = coerce_numeric(df, ["TotalCharges"])
-    return fill_null(df, {"TotalCharges": 0.0}, observation)
+    return fill_null(ingest_coerced(raw), {"TotalCharges": 0.0})
 
 
 def build_features(clean: DataFrame) -> DataFrame:

@@ -20,6 +20,8 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
+import pandas as pd
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -189,7 +191,6 @@ def drift_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small
 def chi2_pvalues(cat: DataFrame) -> DataFrame:
     """Adds ``chi2_pvalue`` to a :func:`drift_categorical` result (a few rows:
     one per column) with an Arrow-batched pandas UDF."""
-    import pandas as pd
 
     @F.pandas_udf("double")
     def _sf(x: pd.Series, k: pd.Series) -> pd.Series:

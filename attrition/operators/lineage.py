@@ -2,8 +2,8 @@
 
 A stage emits START / COMPLETE events as rows of a ``lineage`` table (run
 id, job, state, time, inputs, outputs, schema facet, row count). The schema
-facet comes from ``df.schema`` (no job); the row count from an
-``Observation`` on the stage's own write.
+facet comes from ``df.schema`` (no job); the row count is what the stage's
+write reports (read back from the written files).
 """
 
 from __future__ import annotations

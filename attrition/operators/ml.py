@@ -138,6 +138,12 @@ def importances(model, names: Sequence[str], n: int = 20, scale: int = 6):
     return rows
 
 
+def persist_model(model, path: str):
+    """Save a fitted model (Spark ML persistence) and return the reloaded copy."""
+    model.write().overwrite().save(path)
+    return type(model).load(path)
+
+
 @dataclass
 class TrainResult:
     models: dict
@@ -147,13 +153,20 @@ class TrainResult:
 
 
 def train_all(train: DataFrame, val: DataFrame, test: DataFrame, features: Sequence[str] = S.MODEL_FEATURES,
-              label: str = "Churn", run_id: str = "train", overrides: dict | None = None) -> TrainResult:
+              label: str = "Churn", run_id: str = "train", overrides: dict | None = None,
+              save_to: str | None = None) -> TrainResult:
     """M7: fit the three learners, score every split, log metrics long,
-    add the soft vote, pick the best model by validation AUC (full precision)."""
+    add the soft vote, pick the best model by validation AUC (full precision).
+
+    With ``save_to`` every model is saved with Spark ML persistence and the
+    reloaded copy is used (it carries no training summary, so it holds no
+    reference to the session)."""
     asm = assembler(features)
     tr = asm.transform(with_training_weights(train, label)).cache()
     names = ["random_forest", "xgboost", "lightgbm"]
     models = {n: make_classifier(n, label, overrides=(overrides or {}).get(n)).fit(tr) for n in names}
+    if save_to:
+        models = {n: persist_model(m, f"{save_to.rstrip('/')}/{n}") for n, m in models.items()}
     parts = []
     for split_name, df in (("train", train), ("val", val), ("test", test)):
         scored = score_with(models, asm.transform(df), vote=names).cache()

@@ -13,6 +13,7 @@ from .. import schemas as S
 from ..operators import evaluate as E
 from ..operators import ml as M
 from ..operators import sampling as R
+from ..session import scratch_path
 from . import inputs as I
 from .catalog import query
 from .oracle_sql import with_views
@@ -29,7 +30,8 @@ def trained(spark, sf) -> M.TrainResult:
     key = ("train_all", sf)
     if key not in _REGISTRY:
         sp = splits(spark, sf)
-        _REGISTRY[key] = M.train_all(sp["train"], sp["val"], sp["test"], run_id="train-run")
+        _REGISTRY[key] = M.train_all(sp["train"], sp["val"], sp["test"], run_id="train-run",
+                                     save_to=scratch_path(spark, "models"))
     return _REGISTRY[key]
 
 

@@ -3,16 +3,17 @@
 Writes go to folders under the shared checkpoint directory (or a caller's
 path) as Parquet / CSV / JSON with ``overwrite`` or ``append``; tables are
 plain Parquet folders registered with ``CREATE TABLE ... USING parquet``.
-Row counts of writes come from an ``Observation`` on the written plan, so
-no second job re-counts the data.
+Row counts of overwrites are read back from the written files (Parquet
+footers, no data scan); appends count their input. (``Observation`` is not
+used: once a session has used one, Spark ML models that keep a training
+summary can no longer be serialized into tasks in that session.)
 """
 
 from __future__ import annotations
 
-import uuid
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,12 +60,10 @@ def read_or_else(spark: SparkSession, primary: str, secondary: str, fmt: str = "
 # -- sinks ---------------------------------------------------------------------
 
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
-                partition_by: Sequence[str] = (), sort_within: Sequence[str] = ()) -> int:
-    """Write one stage output; returns rows written (observed)."""
-    obs = Observation(f"rows_{uuid.uuid4().hex[:8]}")
-    out = df.observe(obs, F.count(F.lit(1)).alias("rows"))
-    if sort_within:
-        out = out.sortWithinPartitions(*sort_within)
+                partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
+                count: bool = True) -> int | None:
+    """Write one stage output; returns rows written when ``count``."""
+    out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode(mode)
     if partition_by:
         w = w.partitionBy(*partition_by)
@@ -74,7 +73,16 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.json(path)
     else:
         w.format(fmt).save(path)
-    return int(obs.get.get("rows", 0))
+    if not count:
+        return None
+    if mode == "append":
+        return df.count()
+    spark = df.sparkSession
+    if fmt == "csv":
+        return spark.read.options(**CSV_OPTIONS).csv(path).count()
+    if fmt == "json":
+        return spark.read.text(path).count()
+    return spark.read.format(fmt).load(path).count()
 
 
 def stamp(df: DataFrame, run_id: str, code_version: str | None = None,
