@@ -13,6 +13,7 @@ from .. import schemas as S
 from ..operators import evaluate as E
 from ..operators import ml as M
 from ..operators import sampling as R
+from ..operators import smote as SM
 from ..session import scratch_path
 from . import inputs as I
 from .catalog import query
@@ -26,11 +27,24 @@ def splits(spark, sf):
     return R.split_frames(df)
 
 
+def resampled(spark, sf):
+    """Training split plus SMOTE rows (minority to 0.7 x majority), as the
+    original trains; the resampled set is written once to the shared
+    checkpoint folder so training reads a fixed input."""
+    key = ("smote", sf)
+    if key not in _REGISTRY:
+        tr = splits(spark, sf)["train"]
+        out = SM.smote(tr, "Churn", S.MODEL_FEATURES, "customerID", S.SMOTE_RATIO, S.SMOTE_K, S.SEED)
+        _REGISTRY[key] = out.checkpoint(eager=True)
+    return _REGISTRY[key]
+
+
 def trained(spark, sf) -> M.TrainResult:
     key = ("train_all", sf)
     if key not in _REGISTRY:
         sp = splits(spark, sf)
-        _REGISTRY[key] = M.train_all(sp["train"], sp["val"], sp["test"], run_id="train-run",
+        train = resampled(spark, sf).drop("is_synthetic")
+        _REGISTRY[key] = M.train_all(train, sp["val"], sp["test"], run_id="train-run",
                                      save_to=scratch_path(spark, "models"))
     return _REGISTRY[key]
 
@@ -133,3 +147,8 @@ def q_segments(spark, sf):
         "probability_in_unit_range": (F.lit(True), (p >= 0) & (p <= 1)),
     }
     return E.segment_eval(scored, assertions)
+
+
+@query("smote", "R4")
+def q_smote(spark, sf):
+    return resampled(spark, sf)
