@@ -26,6 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import cut_lineage
 from .prefix import collapse, ordered_cumsum
 
 ALPHA = 0.05
@@ -116,20 +117,27 @@ def drift_numeric(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small_n:
     and normed), PSI, the test used, its statistic and the drift flag."""
     long = to_long(ref, cur, cols).filter(F.col("value").isNotNull())
     c = collapse(long, "value", {"n_ref": F.col("is_ref"), "n_cur": F.lit(1) - F.col("is_ref")}, by=["column"])
+    # the distinct-value table feeds six branches: materialize it once (reliable checkpoint)
+    c = cut_lineage(c)
     tot = c.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
     cu = ordered_cumsum(c, "value", ["n_ref", "n_cur"], by=["column"], with_next=True).join(tot, "column")
     gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     ks = cu.groupBy("column").agg(
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"), F.max(gap).alias("__ks"),
         F.sum(gap * F.coalesce(F.col("next_value") - F.col("value"), F.lit(0.0))).alias("__w"))
-    rs = long.filter(F.col("is_ref") == 1).groupBy("column").agg(
-        F.stddev_pop("value").alias("sd"), F.min("value").alias("mn"), F.max("value").alias("mx"))
+    # reference spread, range and PSI bins from the distinct values (no rescan of the samples)
+    refv = c.filter(F.col("n_ref") > 0)
+    mom = refv.groupBy("column").agg(F.min("value").alias("mn"), F.max("value").alias("mx"),
+                                     (F.sum(F.col("n_ref") * F.col("value")) / F.sum("n_ref")).alias("mean"))
+    var = (refv.join(mom, "column")
+               .groupBy("column").agg((F.sum(F.col("n_ref") * (F.col("value") - F.col("mean")) ** 2)
+                                       / F.sum("n_ref")).alias("var")))
+    rs = mom.join(var, "column").select("column", "mn", "mx", F.sqrt("var").alias("sd"))
     # PSI over equal-width bins of the reference range
-    lb = long.join(rs, "column")
     raw_bin = F.floor((F.col("value") - F.col("mn")) / (F.col("mx") - F.col("mn")) * psi_bins)
     bin_ = F.when(F.col("mx") > F.col("mn"), F.least(F.greatest(raw_bin, F.lit(0)), F.lit(psi_bins - 1))).otherwise(0)
-    pb = lb.groupBy("column", bin_.alias("bin")).agg(F.sum("is_ref").alias("nr"),
-                                                     F.sum(F.lit(1) - F.col("is_ref")).alias("nc"))
+    pb = c.join(rs, "column").groupBy("column", bin_.alias("bin")).agg(F.sum("n_ref").alias("nr"),
+                                                                       F.sum("n_cur").alias("nc"))
     psi = _psi(pb.join(tot, "column"))
     out = ks.join(rs, "column").join(psi.withColumnRenamed("psi", "__psi"), "column")
     r = lambda x: F.round(x, scale)
@@ -156,8 +164,8 @@ def drift_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small
     """Per categorical column: chi-square statistic and degrees of
     freedom, Jensen-Shannon distance, PSI, the test used and the drift flag."""
     long = to_long(ref, cur, cols, "string").filter(F.col("value").isNotNull())
-    c = long.groupBy("column", "value").agg(F.sum("is_ref").alias("nr"),
-                                            F.sum(F.lit(1) - F.col("is_ref")).alias("nc"))
+    c = cut_lineage(long.groupBy("column", "value").agg(F.sum("is_ref").alias("nr"),
+                                                        F.sum(F.lit(1) - F.col("is_ref")).alias("nc")))
     tot = c.groupBy("column").agg(F.sum("nr").alias("tot_ref"), F.sum("nc").alias("tot_cur"))
     t = c.join(tot, "column")
     p = F.col("nr") / F.col("tot_ref")

@@ -6,14 +6,13 @@ pull every row into one task, so instead:
 
 1. ties are collapsed first (``groupBy(by, value)``), so a hot value is one
    row, not a third of the data;
-2. approximate quantiles of the distinct values cut each group into
-   ``buckets`` ranges of similar size;
+2. each group's value range is cut into ``buckets`` equal-width ranges;
 3. running sums are taken inside each (group, bucket) window, and the
    bucket offsets come from a per-(group, bucket) total table of at most
    ``buckets`` rows per group.
 
-The result is exact whatever the bucket boundaries are; the quantiles only
-balance the work.
+The result is exact whatever the bucket boundaries are; they only spread
+the work (ties are already collapsed, so a hot value is a single row).
 """
 
 from __future__ import annotations
@@ -30,50 +29,54 @@ def collapse(df: DataFrame, value: str, sums: dict, by: Sequence[str] = ()) -> D
 
 
 def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Sequence[str] = (),
-                   descending: bool = False, buckets: int = 256, prefix: str = "cum_",
+                   descending: bool = False, buckets: int = 1024, prefix: str = "cum_",
                    with_next: bool = False) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` over ``value`` order within ``by``.
 
     ``df`` must hold one row per (by, value) — use :func:`collapse` first.
     ``with_next`` also adds ``next_value``: the following distinct value in
     the same order (null for the last one).
+
+    Buckets are equal-width ranges between each group's min and max (an O(1)
+    expression per row); the result is exact for any bucketing.
     """
+    keys = list(by) or ["__g"]
     o = (-F.col(value).cast("double")) if descending else F.col(value).cast("double")
     d = df.withColumn("__o", o)
-    probs = [i / buckets for i in range(1, buckets)]
-    if by:
-        bounds = d.groupBy(*by).agg(F.percentile_approx("__o", probs, 10000).alias("__bounds"))
-        # one row per group; AQE broadcasts it when small, else it is shuffled
-        d = d.join(bounds, list(by), "left")
-        bcol = F.col("__bounds")
-    else:
-        # buckets-1 boundaries (a bounded list, like approxQuantile -> Bucketizer)
-        cuts = d.select(F.percentile_approx("__o", probs, 10000)).first()[0] or []
-        bcol = F.array(*[F.lit(float(x)) for x in cuts]) if cuts else F.array().cast("array<double>")
-    d = d.withColumn("__bucket", F.size(F.filter(bcol, lambda b: b < F.col("__o"))))
-    if by:
-        d = d.drop("__bounds")
-    w_local = (Window.partitionBy(*by, "__bucket").orderBy("__o")
+    if not by:
+        d = d.withColumn("__g", F.lit(0))
+    # one row per group (a single row without groups): a bounded broadcast side
+    rng = d.groupBy(*keys).agg(F.min("__o").alias("__lo"), F.max("__o").alias("__hi"))
+    d = d.join(F.broadcast(rng) if not by else rng, keys)
+    span = F.col("__hi") - F.col("__lo")
+    raw = F.floor((F.col("__o") - F.col("__lo")) / span * F.lit(buckets))
+    d = d.withColumn("__bucket", F.when(span > 0, F.least(raw, F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")) \
+         .drop("__lo", "__hi")
+    w_local = (Window.partitionBy(*keys, "__bucket").orderBy("__o")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in sum_cols:
         d = d.withColumn(f"__l_{c}", F.sum(c).over(w_local))
     extra_aggs = []
     if with_next:
-        d = d.withColumn("__lead", F.lead(value).over(Window.partitionBy(*by, "__bucket").orderBy("__o")))
+        d = d.withColumn("__lead", F.lead(value).over(Window.partitionBy(*keys, "__bucket").orderBy("__o")))
         extra_aggs = [F.min_by(F.col(value), F.col("__o")).alias("__first")]
-    totals = d.groupBy(*by, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols], *extra_aggs)
-    w_off = (Window.partitionBy(*by).orderBy("__bucket")
+    totals = d.groupBy(*keys, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols], *extra_aggs)
+    # at most `buckets` rows per group
+    w_off = (Window.partitionBy(*keys).orderBy("__bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     for c in sum_cols:
         totals = totals.withColumn(f"__off_{c}", F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)))
     keep = [f"__off_{c}" for c in sum_cols]
     if with_next:
-        totals = totals.withColumn("__next_b", F.lead("__first").over(Window.partitionBy(*by).orderBy("__bucket")))
+        totals = totals.withColumn("__next_b", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__bucket")))
         keep.append("__next_b")
-    totals = totals.select(*by, "__bucket", *keep)
-    out = d.join(totals, [*by, "__bucket"], "inner")
+    totals = totals.select(*keys, "__bucket", *keep)
+    out = d.join(totals, [*keys, "__bucket"], "inner")
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"__off_{c}") + F.col(f"__l_{c}"))
     if with_next:
         out = out.withColumn("next_value", F.coalesce(F.col("__lead"), F.col("__next_b"))).drop("__lead", "__next_b")
-    return out.drop("__o", "__bucket", *[f"__l_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols])
+    drop = ["__o", "__bucket", *[f"__l_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols]]
+    if not by:
+        drop.append("__g")
+    return out.drop(*drop)
