@@ -29,6 +29,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..functions.columns import hash_unit
+from ..session import cut_lineage
 from .sampling import class_ranks
 
 
@@ -57,8 +58,8 @@ def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 3
     w = [float(stats[f"s{i}"] or 0.0) + 1e-9 * (1 + (i * 0.6180339887) % 1) for i in range(n_features)]
     norm = math.sqrt(sum(x * x for x in w))
     v = F.array(*[F.lit(x / norm) for x in w])
-    pts = points.withColumn("a", F.aggregate(F.zip_with(F.col("x"), v, lambda p, q: p * q), F.lit(0.0),
-                                             lambda acc, z: acc + z))
+    pts = cut_lineage(points.withColumn("a", F.aggregate(F.zip_with(F.col("x"), v, lambda p, q: p * q),
+                                                         F.lit(0.0), lambda acc, z: acc + z)))
     lo, hi, n = pts.agg(F.min("a"), F.max("a"), F.count(F.lit(1))).first()
     span = max(float(hi) - float(lo), 1e-12)
     width = span / max(1.0, n / float(bucket_target))
@@ -77,14 +78,12 @@ def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 3
             "pk", "x", "a", "m", F.explode(F.sequence(F.col("b0") - 1, F.col("b0") + 1)).alias("b"))
         cand = (probe.join(others, "b").filter(F.col("q") != F.col("pk"))
                      .withColumn("d", _dist("x", "xq")))
-        got = _kth(cand, todo, k)
+        got = cut_lineage(_kth(cand, todo, k))
         radius = got if radius is None else radius.unionByName(got)
-        todo = todo.join(got.select("pk"), "pk", "left_anti")
-        if wd >= span:
+        todo = cut_lineage(todo.join(got.select("pk"), "pk", "left_anti"))
+        if wd >= span or todo.limit(1).count() == 0:
             break
         wd *= 8.0
-        if todo.limit(1).count() == 0:
-            break
     # whatever is left has fewer than k other points in the data: every point is a candidate
     rest = todo.select("pk").withColumn("r", F.lit(float("inf")))
     radius = rest if radius is None else radius.unionByName(rest)
@@ -146,7 +145,8 @@ def smote(df: DataFrame, label: str, features: Sequence[str], id_col: str, ratio
                      F.lit(False).alias("is_synthetic"))
     if n_new <= 0 or n_min == 0:
         return base
-    mino = base.filter(F.col(label) == minority)
+    # the minority rows feed the kNN, the ranks and the synthesis: materialize once
+    mino = cut_lineage(base.filter(F.col(label) == minority))
     pts = collapse_points(mino, features)
     nbrs = knn_exact(pts, k, len(features))
     ranked = (class_ranks(mino, label, id_col, seed)
