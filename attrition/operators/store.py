@@ -38,10 +38,12 @@ def latest_per_entity(df: DataFrame, key: str, event_ts: str, created_ts: str |
 
     Order: event time, then created time, then the tie-break columns.
     """
+    # bounds take the column's own type, so the range filter reaches the Parquet scan
+    ts_type = df.schema[event_ts].dataType
     if start is not None:
-        df = df.filter(F.col(event_ts) > F.lit(start).cast("timestamp"))
+        df = df.filter(F.col(event_ts) > F.lit(start).cast(ts_type))
     if end is not None:
-        df = df.filter(F.col(event_ts) <= F.lit(end).cast("timestamp"))
+        df = df.filter(F.col(event_ts) <= F.lit(end).cast(ts_type))
     cols = [c for c in (features or df.columns) if c != key]
     payload = F.struct(*[F.col(c) for c in cols])
     return (df.groupBy(key).agg(F.max_by(payload, _order_struct(event_ts, created_ts, tie)).alias("__l"))

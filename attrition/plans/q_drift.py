@@ -21,9 +21,17 @@ REF_FEATURES = ("(SELECT * FROM customer_features ORDER BY md5('42:' || customer
 CUR_FEATURES = "customer_features"
 
 
+SPLIT_DATE = "1998-06-01"
+
+
 def _lines(spark, sf):
+    """Reference / current samples; the split is stated on the raw ship date
+    (same rows as the view's ``side``) so it is pushed to the Parquet scan."""
     d = I.drift_lines(spark, sf)
-    return d.filter(F.col("side") == "reference").drop("side"), d.filter(F.col("side") == "current").drop("side")
+    cut = F.lit(SPLIT_DATE).cast(d.schema["ship_date"].dataType)
+    ref = d.filter(F.col("ship_date") < cut)
+    cur = d.filter((F.col("ship_date") >= cut) | F.col("ship_date").isNull())
+    return ref.drop("side", "ship_date"), cur.drop("side", "ship_date")
 
 
 def _features_pair(spark, sf):

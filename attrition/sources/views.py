@@ -84,8 +84,8 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     "feature_snapshots": ("orders", [
         ("customerID", "lpad(CAST(o_custkey AS STRING),10,'0')"),
         ("snapshot_id", "o_orderkey"),
-        ("event_timestamp", "CAST(o_orderdate AS TIMESTAMP)"),
-        ("created_timestamp", "CAST(o_orderdate AS TIMESTAMP)"),
+        ("event_timestamp", "o_orderdate"),
+        ("created_timestamp", "o_orderdate"),
         ("total_price", "o_totalprice"),
         ("priority", "o_orderpriority"),
         ("status", "o_orderstatus"),
@@ -98,6 +98,7 @@ VIEWS: dict[str, tuple[str, list[tuple[str, str]]]] = {
     # Two-sample drift pair: reference / current split by ship date.
     "drift_lines": ("lineitem", [
         ("side", "CASE WHEN l_shipdate < TIMESTAMP '1998-06-01' THEN 'reference' ELSE 'current' END"),
+        ("ship_date", "l_shipdate"),
         ("quantity", "l_quantity"),
         ("extendedprice", "l_extendedprice"),
         ("discount", "l_discount"),
