@@ -15,7 +15,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .aggregate import histogram_quantile
 
 
 def event_time(df: DataFrame, ts: str, out: str = "event_time") -> DataFrame:
@@ -47,19 +46,37 @@ def windowed_rate(df: DataFrame, ts: str, width: str = "5 minutes", slide: str =
 
 def windowed_quantile(df: DataFrame, ts: str, col: str, edges: Sequence[float], q: float,
                       width: str = "5 minutes", slide: str = "1 minute", by: Sequence[str] = ()) -> DataFrame:
-    """Histogram-quantile of ``col`` per sliding window (bucket counts
-    per window in one aggregate, then the interpolation on the few bucket
-    rows of each window)."""
+    """Histogram-quantile of ``col`` per sliding window: cumulative
+    bucket counts per window in one aggregate, then the interpolation as a
+    per-row expression (:func:`quantile_from_buckets`)."""
     x = F.col(col)
     aggs = [F.sum((x <= F.lit(float(e))).cast("long")).alias(f"b{i}") for i, e in enumerate(edges)]
     aggs.append(F.count(x).alias("b_inf"))
-    wide = (df.groupBy(F.window(F.col(ts).cast("timestamp"), width, slide).alias("w"), *by).agg(*aggs)
-              .withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end")).drop("w"))
-    stack = ", ".join([f"CAST({float(e)!r} AS DOUBLE), b{i}" for i, e in enumerate(edges)]
-                      + ["CAST(NULL AS DOUBLE), b_inf"])
-    keys = ["window_start", "window_end", *by]
-    hist = wide.select(*keys, F.expr(f"stack({len(edges) + 1}, {stack}) AS (le_value, bucket_count)"))
-    return histogram_quantile(hist, q, by=keys)
+    return (df.groupBy(F.window(F.col(ts).cast("timestamp"), width, slide).alias("w"), *by).agg(*aggs)
+              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
+                      quantile_from_buckets(edges, q).alias("quantile")))
+
+
+def quantile_from_buckets(edges: Sequence[float], q: float, prefix: str = "b", inf_col: str = "b_inf") -> Column:
+    """Histogram quantile as one expression over cumulative bucket columns
+    ``b0..b{n-1}`` (``<= edges[i]``) and ``b_inf`` (all observations).
+
+    Same rule as :func:`aggregate.histogram_quantile` (linear interpolation in
+    the bucket where the rank falls, the first bucket starts at 0, the +Inf
+    bucket returns the last finite edge, no observations gives null), but
+    without window functions, so it also runs on a streaming aggregate.
+    """
+    total = F.col(inf_col)
+    rank = F.lit(float(q)) * total
+    expr = None
+    prev_le, prev_cnt = F.lit(0.0), F.lit(0).cast("long")
+    for i, e in enumerate(edges):
+        cnt = F.col(f"{prefix}{i}")
+        val = prev_le + (F.lit(float(e)) - prev_le) * ((rank - prev_cnt) / (cnt - prev_cnt))
+        cond = cnt >= rank
+        expr = F.when(cond, val) if expr is None else expr.when(cond, val)
+        prev_le, prev_cnt = F.lit(float(e)), cnt
+    return F.when(total > 0, expr.otherwise(F.lit(float(edges[-1]))))
 
 
 def alert_for(windows: DataFrame, condition: Column, hold: str, time_col: str = "window_end",

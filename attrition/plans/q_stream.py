@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from .. import schemas as S
 from ..session import scratch_path
 from ..sources.views import table_path
 from ..streaming import monitor as SM
@@ -57,3 +58,18 @@ def q_stream_score(spark, sf):
     return spark.read.parquet(sink).select("prediction_id", "customerID", F.round("churn_probability", 6)
                                            .alias("churn_probability"), "churn_prediction", "risk_level",
                                            "model_name")
+
+
+def _stream_quantile_sql() -> str:
+    from .q_monitor import _quantile_sql
+    body = _quantile_sql()
+    return with_views(body + f"SELECT * FROM q WHERE window_end <= (SELECT max(request_timestamp) FROM predictions) "
+                             "- INTERVAL 10 MINUTE", "predictions")
+
+
+@query("stream_latency_p95_5m", "W3", _stream_quantile_sql())
+def q_stream_p95(spark, sf):
+    s = SM.view_stream(spark, table_path(sf, "events"), "predictions").withColumn(
+        "latency_s", F.col("latency_ms") / 1000)
+    out = SM.windowed_quantile_stream(s, "request_timestamp", "latency_s", S.LATENCY_EDGES, 0.95)
+    return SM.run_to_completion(spark, out, "stream-p95").withColumn("quantile", F.round("quantile", 6))

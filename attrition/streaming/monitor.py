@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from ..operators import ml as M
-from ..operators.monitor import _seconds
+from ..operators.monitor import _seconds, quantile_from_buckets
 from ..session import scratch_path
 from ..sources.views import VIEWS
 
@@ -55,6 +55,21 @@ def windowed_rate_stream(stream: DataFrame, ts: str, width: str = "5 minutes", s
     return out
 
 
+def windowed_quantile_stream(stream: DataFrame, ts: str, col: str, edges: Sequence[float], q: float,
+                             width: str = "5 minutes", slide: str = "1 minute",
+                             watermark: str = "10 minutes") -> DataFrame:
+    """W3 (stream): per watermarked sliding window, cumulative bucket counts
+    in one aggregate, then the quantile as a per-row expression."""
+    x = F.col(col)
+    aggs = [F.sum((x <= F.lit(float(e))).cast("long")).alias(f"b{i}") for i, e in enumerate(edges)]
+    aggs.append(F.count(x).alias("b_inf"))
+    return (stream.withColumn("__et", F.col(ts).cast("timestamp"))
+                  .withWatermark("__et", watermark)
+                  .groupBy(F.window("__et", width, slide).alias("w")).agg(*aggs)
+                  .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"),
+                          quantile_from_buckets(edges, q).alias("quantile")))
+
+
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").outputMode(mode).option("path", path) \
