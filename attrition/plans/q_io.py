@@ -61,8 +61,8 @@ def q_sink_parquet(spark, sf):
     return K.read_features(spark, path)
 
 
-_SUMMARY_JSON = T_SUMMARY = ("n_rows long, n_columns long, churn_rate double, tenure_min int, tenure_max int, "
-                             "monthly_mean double")
+_SUMMARY_JSON = ("n_rows long, n_columns long, churn_rate double, tenure_min int, tenure_max int, "
+                 "monthly_mean double")
 
 
 @query("sink_json", "S5", with_views(
