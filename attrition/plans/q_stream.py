@@ -73,3 +73,24 @@ def q_stream_p95(spark, sf):
         "latency_s", F.col("latency_ms") / 1000)
     out = SM.windowed_quantile_stream(s, "request_timestamp", "latency_s", S.LATENCY_EDGES, 0.95)
     return SM.run_to_completion(spark, out, "stream-p95").withColumn("quantile", F.round("quantile", 6))
+
+
+def _stream_alert_sql() -> str:
+    from .q_monitor import _quantile_sql
+    return with_views(_quantile_sql() + """,
+qc AS (SELECT * FROM q WHERE window_end <= (SELECT max(request_timestamp) FROM predictions) - INTERVAL 10 MINUTE),
+hot AS (SELECT *, CAST(epoch(window_end) AS BIGINT) AS t FROM qc WHERE quantile > 1.0),
+isl AS (SELECT *, floor(t / 60) - row_number() OVER (ORDER BY t) AS island FROM hot),
+st AS (SELECT *, min(t) OVER (PARTITION BY island) AS t0 FROM isl)
+SELECT window_start, window_end, quantile, t - t0 AS active_seconds, make_timestamp(t0 * 1000000) AS active_since
+FROM st WHERE t - t0 >= 120""", "predictions")
+
+
+@query("stream_alert_for", "W4", _stream_alert_sql())
+def q_stream_alert(spark, sf):
+    s = SM.view_stream(spark, table_path(sf, "events"), "predictions").withColumn(
+        "latency_s", F.col("latency_ms") / 1000)
+    q = SM.windowed_quantile_stream(s, "request_timestamp", "latency_s", S.LATENCY_EDGES, 0.95) \
+        .withColumn("quantile", F.round("quantile", 6))
+    out = SM.alert_for_stream(q, F.col("quantile") > 1.0, "2 minutes")
+    return SM.run_to_completion(spark, out, "stream-alert")

@@ -9,11 +9,13 @@ checkpoint directory, so a restarted query resumes exactly where it stopped.
 
 from __future__ import annotations
 
-from typing import Sequence
+from typing import Iterator, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+import pandas as pd
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
 
 from ..operators import ml as M
 from ..operators.monitor import _seconds, quantile_from_buckets
@@ -70,6 +72,58 @@ def windowed_quantile_stream(stream: DataFrame, ts: str, col: str, edges: Sequen
                           quantile_from_buckets(edges, q).alias("quantile")))
 
 
+class HoldTimeAlert(StatefulProcessor):
+    """``for:`` hold time across micro-batches (W4, stream).
+
+    Input per key: the windows whose condition is true, as they close.
+    State: start and last evaluation time (seconds) of the current run of
+    consecutive steps. A window fires when its run has lasted ``hold``.
+    """
+
+    def __init__(self, hold_s: int, step_s: int, keep: Sequence[str]):
+        self.hold_s, self.step_s, self.keep = hold_s, step_s, list(keep)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.run = handle.getValueState("run", "start long, last long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
+        start, last = self.run.get() if self.run.exists() else (None, None)
+        out = []
+        for rec in pdf.itertuples(index=False):
+            t = int(pd.Timestamp(rec.window_end).timestamp())
+            if last is None or t != last + self.step_s:
+                start = t
+            last = t
+            if t - start >= self.hold_s:
+                row = {c: getattr(rec, c) for c in self.keep}
+                row.update(active_seconds=t - start, active_since=pd.Timestamp(start, unit="s"))
+                out.append(row)
+        self.run.update((start, last))
+        cols = self.keep + ["active_seconds", "active_since"]
+        yield pd.DataFrame(out, columns=cols)
+
+    def close(self) -> None:
+        pass
+
+
+def alert_for_stream(windows: DataFrame, condition: Column, hold: str, step: str = "1 minute",
+                     key: str = "alert") -> DataFrame:
+    """W4 (stream): firing windows of a watermarked window stream whose
+    ``condition`` held at every step for ``hold``. One state row per alert
+    key; the windows a micro-batch closes are bounded by its time span."""
+    spark = windows.sparkSession
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != provider:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    keep = [c for c in windows.columns]
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in windows.schema.fields)
+    hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__alert", F.lit(key))
+    return hot.groupBy("__alert").transformWithStateInPandas(
+        HoldTimeAlert(_seconds(hold), _seconds(step), keep),
+        f"{fields}, active_seconds long, active_since timestamp", "Append", "None")
+
+
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").outputMode(mode).option("path", path) \
