@@ -74,21 +74,26 @@ def classification_report(df: DataFrame, label: str, pred: str, names=("No Churn
     return c.select(F.inline(F.array(*rows)))
 
 
-def _score_table(df: DataFrame, label: str, score: str) -> tuple[DataFrame, DataFrame]:
+def _score_table(df: DataFrame, label: str, score: str,
+                 materialize: bool = True) -> tuple[DataFrame, DataFrame]:
     """Distinct scores with positive / negative counts, and the same with
-    descending running sums."""
+    descending running sums. ``materialize`` checkpoints the collapsed table
+    (read by the totals and every prefix-sum branch); skip it when ``df`` is
+    already cached."""
     y = F.col(label).cast("long")
     col = collapse(df.filter(F.col(score).isNotNull()), score, {"pos": y, "neg": F.lit(1) - y})
-    col = cut_lineage(col)   # read by the totals and every prefix-sum branch
+    if materialize:
+        col = cut_lineage(col)
     return col, ordered_cumsum(col, score, ["pos", "neg"], descending=True)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6,
+            materialize: bool = True) -> DataFrame:
     """Exact ROC AUC; tied scores count one half (Mann-Whitney).
 
     AUC = sum over distinct scores of neg * (positives scored higher + pos / 2), over P * N.
     """
-    _, t = _score_table(df, label, score)
+    _, t = _score_table(df, label, score, materialize)
     num = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0))
     p, n = F.sum("pos"), F.sum("neg")
     auc = F.when((p > 0) & (n > 0), num / (p * n))
