@@ -54,18 +54,19 @@ def value_counts(df: DataFrame, col: str, normalize: bool = True, scale: int = 6
     counts = df.groupBy(col).agg(F.count(F.lit(1)).alias("n"))
     if not normalize:
         return counts
-    total = df.select(F.count(F.lit(1))).scalar()
+    # the total is summed from the grouped rows: the subquery reuses the same exchange
+    total = counts.select(F.sum("n")).scalar()
     return counts.withColumn("share", _r(F.col("n") / total, scale))
 
 
 def rate_by_group(df: DataFrame, by: Sequence[str], label: str, scale: int = 6) -> DataFrame:
     """Group size, positives, positive rate and share of all rows."""
-    total = df.select(F.count(F.lit(1))).scalar()
-    return (df.groupBy(*by)
-              .agg(F.count(F.lit(1)).alias("n"),
-                   F.sum(F.col(label).cast("long")).alias("positives"))
-              .withColumn("rate", _r(F.col("positives") / F.col("n"), scale))
-              .withColumn("share", _r(F.col("n") / total, scale)))
+    grouped = (df.groupBy(*by)
+                 .agg(F.count(F.lit(1)).alias("n"),
+                      F.sum(F.col(label).cast("long")).alias("positives")))
+    total = grouped.select(F.sum("n")).scalar()   # reuses the grouped exchange, no second scan
+    return (grouped.withColumn("rate", _r(F.col("positives") / F.col("n"), scale))
+                   .withColumn("share", _r(F.col("n") / total, scale)))
 
 
 def table_stats(tables: Mapping[str, DataFrame]) -> DataFrame:
