@@ -119,21 +119,30 @@ def alert_on_samples(samples: DataFrame, ts: str, condition: Column, hold: str,
     true. One row per fired episode: ``active_since``, ``fired_at``,
     ``resolved_at`` (first sample that made it false, null if still active).
 
-    Gaps-and-islands over the sample sequence; the only windows are growing
-    frames (running min / row numbers), never a frame over following rows.
+    An episode is a maximal run of true samples; it is named by the number of
+    false samples before it (a false sample at the same instant ends it).
+    That count is a distributed prefix sum over the per-instant counts
+    (:mod:`prefix`), so no window ever holds more than one bucket of distinct
+    instants, however many samples one series has. The false sample that
+    ends episode ``k`` is the one with ``k`` false samples before it: an
+    equi-join.
     """
+    from .prefix import ordered_cumsum
     hold_s = _seconds(hold)
-    t = F.col(ts).cast("timestamp")
-    d = samples.select(*by, t.alias("__ts"), F.coalesce(condition, F.lit(False)).alias("__c"))
-    w_all = Window.partitionBy(*by).orderBy("__ts")
-    w_rev = Window.partitionBy(*by).orderBy(F.col("__ts").desc()).rowsBetween(Window.unboundedPreceding, -1)
-    d = (d.withColumn("__rn", F.row_number().over(w_all))
-          .withColumn("__next_false", F.min(F.when(~F.col("__c"), F.col("__ts"))).over(w_rev)))
-    hot = d.filter("__c").withColumn("__island", F.col("__rn") - F.row_number().over(w_all))
-    ep = hot.groupBy(*by, "__island").agg(F.min("__ts").alias("active_since"),
-                                          F.max_by("__next_false", F.col("__ts")).alias("resolved_at"))
+    c = F.coalesce(condition, F.lit(False))
+    per_instant = (samples.select(*by, F.col(ts).cast("timestamp").alias("__ts"), c.alias("__c"))
+                          .groupBy(*by, "__ts")
+                          .agg(F.sum(F.when(F.col("__c"), 0).otherwise(1)).alias("__nf"),
+                               F.sum(F.when(F.col("__c"), 1).otherwise(0)).alias("__nt"))
+                          .withColumn("__us", F.unix_micros("__ts")))
+    cum = ordered_cumsum(per_instant, "__us", ["__nf"], by=by)
+    cum = cum.withColumn("__before", F.col("cum___nf") - F.col("__nf"))
+    ep = (cum.filter(F.col("__nt") > 0)
+             .groupBy(*by, "__before").agg(F.min("__ts").alias("active_since")))
+    ends = cum.filter(F.col("__nf") > 0).select(*by, "__before", F.col("__ts").alias("resolved_at"))
     fire = F.col("active_since") + F.expr(f"INTERVAL {hold_s} SECONDS")
-    return (ep.withColumn("fired_at", fire)
+    return (ep.join(ends, [*by, "__before"], "left")
+              .withColumn("fired_at", fire)
               .filter(F.col("resolved_at").isNull() | (F.col("resolved_at") >= fire))
               .select(*by, "active_since", "fired_at", "resolved_at"))
 

@@ -82,13 +82,15 @@ def q_alert_for(spark, sf):
 
 
 @query("drift_alert", "W5", with_views("""
-, d AS (SELECT recorded_at AS ts, coalesce(metric_value > 0.2, false) AS c,
-          row_number() OVER (ORDER BY recorded_at) AS rn FROM model_metrics WHERE metric_name = 'drift_score'),
-n AS (SELECT *, min(CASE WHEN NOT c THEN ts END) OVER (ORDER BY ts DESC ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
-        AS next_false FROM d),
-hot AS (SELECT *, rn - row_number() OVER (ORDER BY ts) AS island FROM n WHERE c),
-ep AS (SELECT min(ts) AS active_since, arg_max(next_false, ts) AS resolved_at FROM hot GROUP BY island)
-SELECT active_since, active_since + INTERVAL 300 SECOND AS fired_at, resolved_at FROM ep
+, d AS (SELECT recorded_at AS ts, coalesce(metric_value > 0.2, false) AS c FROM model_metrics
+        WHERE metric_name = 'drift_score'),
+g AS (SELECT ts, sum(CASE WHEN c THEN 0 ELSE 1 END) AS nf, sum(CASE WHEN c THEN 1 ELSE 0 END) AS nt
+      FROM d GROUP BY ts),
+k AS (SELECT *, sum(nf) OVER (ORDER BY ts) - nf AS before FROM g),
+ep AS (SELECT before, min(ts) AS active_since FROM k WHERE nt > 0 GROUP BY before),
+e AS (SELECT before, ts AS resolved_at FROM k WHERE nf > 0)
+SELECT active_since, active_since + INTERVAL 300 SECOND AS fired_at, resolved_at
+FROM ep LEFT JOIN e USING (before)
 WHERE resolved_at IS NULL OR resolved_at >= active_since + INTERVAL 300 SECOND""", "model_metrics"))
 def q_drift_alert(spark, sf):
     m = I.metrics(spark, sf).filter(F.col("metric_name") == "drift_score")

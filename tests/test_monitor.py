@@ -39,3 +39,49 @@ def test_alert_on_samples(spark):
     df = spark.createDataFrame(rows, "ts timestamp, v double")
     ep = W.alert_on_samples(df, "ts", F.col("v") > 0.2, "5 minutes").collect()
     assert len(ep) == 1 and ep[0]["active_since"] == t0
+
+
+def _episodes_brute(rows, hold_s):
+    """Walk each series in time order; false samples at an instant end a run."""
+    out = set()
+    by_g = {}
+    for g, t, v in rows:
+        by_g.setdefault(g, {}).setdefault(t, []).append(v > 0.2)
+    for g, inst in by_g.items():
+        start = None
+        for t in sorted(inst):
+            if start is None and any(inst[t]):
+                start = t
+            if start is not None and not all(inst[t]):
+                if (t - start).total_seconds() >= hold_s:
+                    out.add((g, start, t))
+                start = None
+        if start is not None:
+            out.add((g, start, None))
+    return out
+
+
+def test_alert_on_samples_matches_brute_force(spark):
+    import random
+    rnd = random.Random(7)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for g in ("a", "b"):
+        for i in range(300):
+            # distinct instants per series: ties between true and false are covered below
+            rows.append((g, t0 + dt.timedelta(minutes=i), rnd.choice([0.1, 0.3, 0.3, 0.5])))
+    df = spark.createDataFrame(rows, "g string, ts timestamp, v double")
+    got = {(r["g"], r["active_since"], r["resolved_at"])
+           for r in W.alert_on_samples(df, "ts", F.col("v") > 0.2, "5 minutes", by=["g"]).collect()}
+    assert got == _episodes_brute(rows, 300)
+    assert len(got) > 3
+
+
+def test_alert_on_samples_false_at_same_instant_ends_run(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0, 0.3), (t0 + dt.timedelta(minutes=6), 0.5), (t0 + dt.timedelta(minutes=6), 0.1),
+            (t0 + dt.timedelta(minutes=9), 0.4)]
+    df = spark.createDataFrame(rows, "ts timestamp, v double")
+    ep = sorted((r["active_since"], r["resolved_at"])
+                for r in W.alert_on_samples(df, "ts", F.col("v") > 0.2, "2 minutes").collect())
+    assert ep == [(t0, t0 + dt.timedelta(minutes=6)), (t0 + dt.timedelta(minutes=9), None)]
