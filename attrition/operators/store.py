@@ -6,10 +6,11 @@ Design notes for scale:
 * ``latest_per_entity`` is a ``max_by`` aggregate: partial aggregation on the
   map side, so a hot entity costs one row per task in the shuffle.
 * ``point_in_time_join`` never puts a whole entity into one window
-  partition. Rows are bucketed by time (default one day); the in-bucket as-of
-  runs on ``(key, bucket)`` partitions, and the carry from earlier buckets
-  comes from a per-(key, bucket) ``max_by`` summary whose window holds at most
-  one row per bucket of a key. No range join, no pairs.
+  partition. Feature and label rows collapse to distinct instants (partial
+  aggregates), the instants are range-partitioned on (key, time), the as-of
+  runs inside each (part, key), and the carry from earlier parts comes from
+  a summary of at most one row per (key, part). Task size is bounded by the
+  part size whatever the key or time distribution. No range join, no pairs.
 """
 
 from __future__ import annotations
@@ -18,7 +19,6 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from .. import schemas as S
 
@@ -64,63 +64,75 @@ def feature_lookup(keys: DataFrame, latest: DataFrame, key: str, features: Seque
 def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts: str, event_ts: str,
                        created_ts: str | None = None, ttl_days: int | None = S.FEATURE_TTL_DAYS,
                        tie: Sequence[str] = (), features: Sequence[str] | None = None,
-                       bucket_seconds: int = 86400, feature_ts_name: str = "feature_timestamp") -> DataFrame:
+                       partitions: int | None = None, feature_ts_name: str = "feature_timestamp") -> DataFrame:
     """For every label row, the newest feature row of the same key with
     ``event_ts <= label_ts`` (and within ``ttl_days``), else nulls.
 
-    All label rows are kept (left semantics), duplicates included.
+    All label rows are kept (left semantics), duplicates included. Steps:
+
+    1. one row per feature instant ``(key, event time)`` (the newest by
+       created time / tie, a partial ``max_by``) and one per label instant;
+    2. the instants are range-partitioned on ``(key, time, kind)`` into
+       ``partitions`` parts (default: shuffle partitions) and pinned with a
+       reliable checkpoint, so a hot key spans many parts;
+    3. inside each (part, key) a running max gives the newest feature instant
+       at or before every label instant (features sort first at a tie);
+    4. the carry from earlier parts comes from a (key, part) summary: at
+       most ``partitions`` rows per key;
+    5. the answer per label instant is joined back to the label rows.
     """
+    from ..session import cut_lineage
     if features is None:
         feat_cols = [c for c in feats.columns if c not in (key, event_ts, created_ts, *tie)]
     else:
         feat_cols = [c for c in features if c not in (key, event_ts, created_ts)]
     order_cols = [event_ts] + ([created_ts] if created_ts else []) + list(tie)
+    order = F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order_cols)])
     fstruct = F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order_cols)],
                        *[F.col(c) for c in feat_cols])
-    lcols = labels.columns
-    l_type = T.StructType([T.StructField(c, labels.schema[c].dataType, True) for c in lcols])
-    bucket = lambda c: F.floor(F.unix_seconds(F.col(c).cast("timestamp")) / F.lit(bucket_seconds))
-
-    f_rows = feats.select(
-        F.col(key).alias("__key"), bucket(event_ts).alias("__b"), F.col(event_ts).cast("timestamp").alias("__t"),
-        F.lit(0).alias("__kind"), fstruct.alias("__f"), F.lit(None).cast(l_type).alias("__l"))
-    l_rows = labels.select(
-        F.col(key).alias("__key"), bucket(label_ts).alias("__b"), F.col(label_ts).cast("timestamp").alias("__t"),
-        F.lit(1).alias("__kind"), F.lit(None).cast(f_rows.schema["__f"].dataType).alias("__f"),
-        F.struct(*[F.col(c) for c in lcols]).alias("__l"))
-
-    # (1) as-of inside each (key, time bucket): features sort before a label at the same instant
-    w_in = (Window.partitionBy("__key", "__b")
-            .orderBy("__t", "__kind", *[F.col(f"__f.__k{i}") for i in range(1, len(order_cols))])
-            .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    inb = (f_rows.unionByName(l_rows)
-           .withColumn("__inb", F.last("__f", ignorenulls=True).over(w_in))
-           .filter(F.col("__kind") == 1)
-           .select("__key", "__b", "__l", "__inb"))
-
-    # (2) newest feature of every (key, bucket): partial aggregate, hot keys combine map-side
-    summary = (f_rows.groupBy("__key", "__b")
-               .agg(F.max_by("__f", F.struct(*[F.col(f"__f.__k{i}") for i in range(len(order_cols))])).alias("__f"))
-               .withColumn("__kind", F.lit(1)))
-    label_buckets = inb.select("__key", "__b").distinct().withColumn("__kind", F.lit(0)) \
-        .withColumn("__f", F.lit(None).cast(summary.schema["__f"].dataType))
-    # (3) carry from strictly earlier buckets: at most one row per (key, bucket) in this window
-    w_carry = (Window.partitionBy("__key").orderBy("__b", "__kind")
+    ts = lambda c: F.col(c).cast("timestamp")
+    n = partitions or int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+    f_inst = (feats.filter(F.col(key).isNotNull())
+                   .groupBy(F.col(key).alias("__key"), ts(event_ts).alias("__t"))
+                   .agg(F.max_by(fstruct, order).alias("__f")))
+    l_inst = (labels.filter(F.col(key).isNotNull())
+                    .select(F.col(key).alias("__key"), ts(label_ts).alias("__t")).distinct())
+    inst = (f_inst.select("__key", "__t", F.lit(0).alias("__kind"))
+                  .unionByName(l_inst.withColumn("__kind", F.lit(1)))
+                  .repartitionByRange(n, "__key", "__t", "__kind")
+                  .withColumn("__p", F.spark_partition_id()))
+    inst = cut_lineage(inst)   # both branches below must see the same part numbers
+
+    feat_t = F.when(F.col("__kind") == 0, F.col("__t"))
+    w_local = (Window.partitionBy("__p", "__key").orderBy("__t", "__kind")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
-    carry = (summary.unionByName(label_buckets)
-             .withColumn("__carry", F.last("__f", ignorenulls=True).over(w_carry))
-             .filter(F.col("__kind") == 0)
-             .select("__key", "__b", "__carry"))
-
-    joined = inb.join(carry, ["__key", "__b"], "left")
-    best = F.coalesce(F.col("__inb"), F.col("__carry"))
-    lt = F.col("__l").getField(label_ts).cast("timestamp")
+    local = (inst.withColumn("__lt", F.max(feat_t).over(w_local))
+                 .filter(F.col("__kind") == 1)
+                 .select("__key", "__p", "__t", "__lt"))
+    w_carry = Window.partitionBy("__key").orderBy("__p").rowsBetween(Window.unboundedPreceding, -1)
+    carry = (inst.groupBy("__key", "__p")
+                 .agg(F.max(feat_t).alias("__pt"), F.max("__kind").alias("__has_label"))
+                 .withColumn("__carry", F.max("__pt").over(w_carry))
+                 .filter(F.col("__has_label") == 1)
+                 .select("__key", "__p", "__carry"))
+    answer = (local.join(carry, ["__key", "__p"], "left")
+                   .select("__key", F.col("__t").alias("__lt_label"),
+                           F.greatest("__lt", "__carry").alias("__ft"))
+                   .join(f_inst.withColumnRenamed("__t", "__ft"), ["__key", "__ft"], "left")
+                   .select("__key", "__lt_label", "__f"))
+
+    lcols = labels.columns
+    joined = (labels.withColumn("__key", F.col(key)).withColumn("__lt_label", ts(label_ts))
+                    .join(answer, ["__key", "__lt_label"], "left"))
+    best = F.col("__f")
+    lt = ts(label_ts)
     fresh = best.getField("__k0") <= lt
     if ttl_days is not None:
         fresh = fresh & (best.getField("__k0") >= lt - F.expr(f"INTERVAL {int(ttl_days)} DAYS"))
     chosen = F.when(fresh, best)
     return joined.select(
-        *[F.col("__l").getField(c).alias(c) for c in lcols],
+        *[F.col(c) for c in lcols],
         chosen.getField("__k0").alias(feature_ts_name),
         *[chosen.getField(c).alias(c) for c in feat_cols])
 

@@ -27,11 +27,11 @@ def test_point_in_time_join_matches_brute_force(spark):
     fdf = spark.createDataFrame(feats, "key string, ts timestamp, tie long, v double")
     ldf = spark.createDataFrame(labels, "lid long, key string, lts timestamp")
     want = _brute_pit(labels, feats, 10)
-    for bucket in (3600, 86400, 86400 * 30):
+    for parts in (1, 3, 16):
         got = J.point_in_time_join(ldf, fdf, "key", "lts", "ts", None, ttl_days=10, tie=["tie"],
-                                   features=["v"], bucket_seconds=bucket)
+                                   features=["v"], partitions=parts)
         res = {r["lid"]: r["v"] for r in got.collect()}
-        assert res == want, bucket
+        assert res == want, parts
 
 
 def test_latest_per_entity_tie_break(spark):
@@ -75,3 +75,19 @@ def test_hash_sample_repeatable(spark):
     a = sorted(r["id"] for r in R.hash_sample(df.repartition(3), "id", 100).collect())
     b = sorted(r["id"] for r in R.hash_sample(df.repartition(9), "id", 100).collect())
     assert a == b and len(a) == 100
+
+
+def test_point_in_time_join_null_keys_and_one_hot_instant(spark):
+    t = dt.datetime(2021, 3, 1)
+    feats = [("hot", t, i, float(i)) for i in range(50)] + [(None, t, 99, 99.0),
+                                                             ("b", t + dt.timedelta(days=1), 1, 1.0)]
+    labels = [(i, "hot", t) for i in range(40)] + [(100, None, t), (101, "b", None), (102, "b", t),
+                                                   (103, "b", t + dt.timedelta(days=2))]
+    fdf = spark.createDataFrame(feats, "key string, ts timestamp, tie long, v double")
+    ldf = spark.createDataFrame(labels, "lid long, key string, lts timestamp")
+    for parts in (1, 5):
+        got = {r["lid"]: r["v"] for r in J.point_in_time_join(
+            ldf, fdf, "key", "lts", "ts", None, ttl_days=10, tie=["tie"], features=["v"],
+            partitions=parts).collect()}
+        want = {**{i: 49.0 for i in range(40)}, 100: None, 101: None, 102: None, 103: 1.0}
+        assert got == want, parts
