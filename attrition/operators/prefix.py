@@ -6,13 +6,16 @@ pull every row into one task, so instead:
 
 1. ties are collapsed first (``groupBy(by, value)``), so a hot value is one
    row, not a third of the data;
-2. each group's value range is cut into ``buckets`` equal-width ranges;
-3. running sums are taken inside each (group, bucket) window, and the
-   bucket offsets come from a per-(group, bucket) total table of at most
-   ``buckets`` rows per group.
+2. the distinct values are range-partitioned on (group, value): Spark
+   samples the bounds, so parts hold about equally many distinct values
+   whatever the value distribution, and a large group spans many parts.
+   The part number is pinned with a reliable checkpoint;
+3. running sums are taken inside each (group, part) window, and the part
+   offsets come from a per-(group, part) total table of at most ``parts``
+   rows per group.
 
-The result is exact whatever the bucket boundaries are; they only spread
-the work (ties are already collapsed, so a hot value is a single row).
+The result is exact whatever the part boundaries are; they only spread
+the work.
 """
 
 from __future__ import annotations
@@ -22,6 +25,8 @@ from typing import Sequence
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import cut_lineage
+
 
 def collapse(df: DataFrame, value: str, sums: dict, by: Sequence[str] = ()) -> DataFrame:
     """``groupBy(by, value)`` with the given named sum expressions."""
@@ -29,7 +34,7 @@ def collapse(df: DataFrame, value: str, sums: dict, by: Sequence[str] = ()) -> D
 
 
 def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Sequence[str] = (),
-                   descending: bool = False, buckets: int = 1024, prefix: str = "cum_",
+                   descending: bool = False, parts: int | None = None, prefix: str = "cum_",
                    with_next: bool = False) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` over ``value`` order within ``by``.
 
@@ -37,21 +42,16 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
     ``with_next`` also adds ``next_value``: the following distinct value in
     the same order (null for the last one).
 
-    Buckets are equal-width ranges between each group's min and max (an O(1)
-    expression per row); the result is exact for any bucketing.
+    ``parts`` (default: shuffle partitions) is the number of range parts;
+    the result is exact for any number.
     """
     keys = list(by) or ["__g"]
     o = (-F.col(value).cast("double")) if descending else F.col(value).cast("double")
     d = df.withColumn("__o", o)
     if not by:
         d = d.withColumn("__g", F.lit(0))
-    # one row per group (a single row without groups): a bounded broadcast side
-    rng = d.groupBy(*keys).agg(F.min("__o").alias("__lo"), F.max("__o").alias("__hi"))
-    d = d.join(F.broadcast(rng) if not by else rng, keys)
-    span = F.col("__hi") - F.col("__lo")
-    raw = F.floor((F.col("__o") - F.col("__lo")) / span * F.lit(buckets))
-    d = d.withColumn("__bucket", F.when(span > 0, F.least(raw, F.lit(buckets - 1))).otherwise(F.lit(0)).cast("int")) \
-         .drop("__lo", "__hi")
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(d.repartitionByRange(n, *keys, "__o").withColumn("__bucket", F.spark_partition_id()))
     w_local = (Window.partitionBy(*keys, "__bucket").orderBy("__o")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in sum_cols:
@@ -61,7 +61,7 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
         d = d.withColumn("__lead", F.lead(value).over(Window.partitionBy(*keys, "__bucket").orderBy("__o")))
         extra_aggs = [F.min_by(F.col(value), F.col("__o")).alias("__first")]
     totals = d.groupBy(*keys, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols], *extra_aggs)
-    # at most `buckets` rows per group
+    # at most `parts` rows per group
     w_off = (Window.partitionBy(*keys).orderBy("__bucket")
              .rowsBetween(Window.unboundedPreceding, -1))
     for c in sum_cols:

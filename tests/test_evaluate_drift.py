@@ -26,15 +26,19 @@ def test_roc_auc_ties_and_symmetry(spark):
     assert abs(got + neg - 1) < 1e-12
 
 
-def test_prefix_sum_small_buckets(spark):
+def test_prefix_sum_any_part_count(spark):
     rnd = random.Random(5)
-    rows = [(rnd.choice("ab"), rnd.randint(0, 300), 1) for _ in range(3000)]
+    # group "a" is hot and its values crowd near zero (a skewed distribution)
+    rows = [("a", int(rnd.expovariate(0.05)), 1) if rnd.random() < 0.7 else ("b", rnd.randint(0, 300), 1)
+            for _ in range(3000)]
     df = collapse(spark.createDataFrame(rows, "g string, v int, one int"), "v", {"n": F.col("one")}, by=["g"])
-    out = ordered_cumsum(df, "v", ["n"], by=["g"], buckets=7, with_next=True).toPandas()
-    for g, sub in out.groupby("g"):
-        sub = sub.sort_values("v")
-        assert (sub["cum_n"].values == sub["n"].cumsum().values).all()
-        assert list(sub["next_value"].iloc[:-1]) == list(sub["v"].iloc[1:])
+    for parts in (1, 7, 16):
+        for desc in (False, True):
+            out = ordered_cumsum(df, "v", ["n"], by=["g"], parts=parts, descending=desc, with_next=True).toPandas()
+            for g, sub in out.groupby("g"):
+                sub = sub.sort_values("v", ascending=not desc)
+                assert (sub["cum_n"].values == sub["n"].cumsum().values).all(), (parts, desc)
+                assert list(sub["next_value"].iloc[:-1]) == list(sub["v"].iloc[1:]), (parts, desc)
 
 
 def test_confusion_zero_division(spark):
