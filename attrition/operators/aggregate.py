@@ -184,13 +184,16 @@ def gauge_bands(df: DataFrame, value: str = "metric_value", warn: float = 0.1, c
 
 
 def rank_models(metrics: DataFrame, metric: str, by: Sequence[str] = ("run_id",),
-                value: str = "metric_value", name: str = "model_name") -> DataFrame:
+                value: str = "metric_value", name: str = "model_name",
+                tie: Sequence[str] = ("recorded_at",)) -> DataFrame:
     """T5: order models by a metric within each run; mark the best.
 
-    First wins ties: equal values are ordered by model name. The window is
-    partitioned by run, so no task sees more than one run's models.
+    First wins ties: equal values are ordered by model name, then by
+    ``tie`` (first recorded). The rank is a distributed row number over
+    range parts (:func:`prefix.ordered_row_number`), so a run with a third
+    of all rows still spreads over many tasks.
     """
-    w = Window.partitionBy(*by).orderBy(F.col(value).desc(), F.col(name).asc())
-    return (metrics.filter(F.col("metric_name") == metric)
-                   .withColumn("rank", F.row_number().over(w))
-                   .withColumn("is_best", F.col("rank") == 1))
+    from .prefix import ordered_row_number
+    order = [F.col(value).desc(), F.col(name).asc(), *[F.col(t).asc() for t in tie]]
+    ranked = ordered_row_number(metrics.filter(F.col("metric_name") == metric), order, by=by, out="rank")
+    return ranked.withColumn("is_best", F.col("rank") == 1)

@@ -22,7 +22,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import cut_lineage
@@ -80,3 +80,27 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
     if not by:
         drop.append("__g")
     return out.drop(*drop)
+
+
+def ordered_row_number(df: DataFrame, order: Sequence[Column], by: Sequence[str] = (), out: str = "row_number",
+                       parts: int | None = None) -> DataFrame:
+    """``row_number() OVER (PARTITION BY by ORDER BY order)`` without a
+    window over a whole group: rows are range-partitioned on (by, order), the
+    part number is pinned with a reliable checkpoint, row numbers are taken
+    per (group, part) and offset by the row counts of earlier parts (a table
+    of at most ``parts`` rows per group). A hot group spans many parts.
+    Rows equal on (by, order) share a part and are numbered in any order.
+    """
+    keys = list(by) or ["__g"]
+    cols = df.columns
+    d = df if by else df.withColumn("__g", F.lit(0))
+    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    d = cut_lineage(d.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+                     .withColumn("__part", F.spark_partition_id()))
+    d = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*order)))
+    w_off = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
+    offs = (d.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__c"))
+             .withColumn("__off", F.coalesce(F.sum("__c").over(w_off), F.lit(0)))
+             .select(*keys, "__part", "__off"))
+    return (d.join(offs, [*keys, "__part"])
+             .select(*[F.col(c) for c in cols], (F.col("__off") + F.col("__local")).cast("int").alias(out)))

@@ -1,5 +1,6 @@
 import math
 import random
+import pandas as pd
 
 import numpy as np
 from pyspark.sql import functions as F
@@ -76,3 +77,17 @@ def test_categorical_unseen_is_inf(spark):
     assert math.isinf(r["chi2"]) and r["drifted"]
     p = D.chi2_pvalues(D.drift_categorical(ref, ref, ["c"])).first()["chi2_pvalue"]
     assert abs(p - 1.0) < 1e-9
+
+
+def test_ordered_row_number_hot_group(spark):
+    from attrition.operators.prefix import ordered_row_number
+    rnd = random.Random(3)
+    rows = [("hot" if rnd.random() < 0.6 else f"g{rnd.randint(0, 4)}", rnd.randint(0, 50), i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    for parts in (1, 6, 13):
+        got = ordered_row_number(df, [F.col("v").desc(), F.col("id").asc()], by=["g"], out="rn",
+                                 parts=parts).toPandas()
+        want = pd.DataFrame(rows, columns=["g", "v", "id"]).sort_values(["g", "v", "id"], ascending=[True, False, True])
+        want["rn"] = want.groupby("g").cumcount() + 1
+        m = got.merge(want, on=["g", "v", "id"], suffixes=("", "_w"))
+        assert len(m) == len(rows) and (m["rn"] == m["rn_w"]).all(), parts
