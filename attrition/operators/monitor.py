@@ -12,7 +12,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -86,20 +86,28 @@ def alert_for(windows: DataFrame, condition: Column, hold: str, time_col: str =
     ``windows`` at ``time_col``, one per ``step``; a missing step breaks the run.
 
     Returns the firing rows with ``active_since`` and ``active_seconds``.
+
+    A run starts at a true step whose previous step is not true (an equi
+    anti-join); the run number of every true step is the count of starts up
+    to it, a distributed prefix sum (:mod:`prefix`), so no window spans a
+    whole series.
     """
+    from .prefix import ordered_cumsum
     step_s = _seconds(step)
     hold_s = _seconds(hold)
-    t = F.unix_seconds(F.col(time_col))
-    hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__t", t)
-    w = Window.partitionBy(*by).orderBy("__t")
-    # gaps and islands: consecutive steps share (t / step - row_number)
-    isl = hot.withColumn("__island", F.floor(F.col("__t") / step_s) - F.row_number().over(w))
-    wi = Window.partitionBy(*by, "__island")
-    out = (isl.withColumn("__start", F.min("__t").over(wi))
-              .withColumn("active_seconds", (F.col("__t") - F.col("__start")).cast("long"))
-              .filter(F.col("active_seconds") >= hold_s)
-              .withColumn("active_since", F.timestamp_seconds("__start")))
-    return out.drop("__t", "__island", "__start")
+    hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__t", F.unix_seconds(F.col(time_col)))
+    steps = hot.select(*by, "__t").distinct()
+    prev = steps.select(*by, (F.col("__t") + F.lit(step_s)).alias("__t")).withColumn("__prev", F.lit(1))
+    steps = (steps.join(prev, [*by, "__t"], "left")
+                  .withColumn("__start", F.when(F.col("__prev").isNull(), 1).otherwise(0)).drop("__prev"))
+    runs = ordered_cumsum(steps, "__t", ["__start"], by=by).withColumnRenamed("cum___start", "__run")
+    starts = runs.filter(F.col("__start") == 1).select(*by, "__run", F.col("__t").alias("__since"))
+    since = runs.join(starts, [*by, "__run"]).select(*by, "__t", "__since")
+    return (hot.join(since, [*by, "__t"])
+               .withColumn("active_seconds", (F.col("__t") - F.col("__since")).cast("long"))
+               .filter(F.col("active_seconds") >= hold_s)
+               .withColumn("active_since", F.timestamp_seconds("__since"))
+               .select(*windows.columns, "active_seconds", "active_since"))
 
 
 def gauge_per_step(samples: DataFrame, ts: str, value: str, step: str = "1 minute",

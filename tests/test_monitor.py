@@ -85,3 +85,28 @@ def test_alert_on_samples_false_at_same_instant_ends_run(spark):
     ep = sorted((r["active_since"], r["resolved_at"])
                 for r in W.alert_on_samples(df, "ts", F.col("v") > 0.2, "2 minutes").collect())
     assert ep == [(t0, t0 + dt.timedelta(minutes=6)), (t0 + dt.timedelta(minutes=9), None)]
+
+
+def test_alert_for_matches_brute_force(spark):
+    import random
+    rnd = random.Random(11)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = []
+    for g in ("x", "y"):
+        for i in range(400):
+            if rnd.random() < 0.9:        # missing steps break runs
+                rows.append((g, t0 + dt.timedelta(minutes=i), rnd.choice([0.5, 1.5, 1.5, 1.5])))
+    df = spark.createDataFrame(rows, "g string, window_end timestamp, q double")
+    got = {(r["g"], r["window_end"], r["active_since"], r["active_seconds"])
+           for r in W.alert_for(df, F.col("q") > 1.0, "2 minutes", by=["g"]).collect()}
+    want = set()
+    for g in ("x", "y"):
+        hot = sorted(t for gg, t, q in rows if gg == g and q > 1.0)
+        start = None
+        for i, t in enumerate(hot):
+            if i == 0 or t - hot[i - 1] != dt.timedelta(minutes=1):
+                start = t
+            secs = int((t - start).total_seconds())
+            if secs >= 120:
+                want.add((g, t, start, secs))
+    assert got == want and len(want) > 10
