@@ -21,22 +21,29 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     On a cluster the master and most settings come from ``spark-submit``;
     the values below are only applied when nothing else set them.
     """
+    from pyspark import SparkConf
+    given = SparkConf()   # what spark-submit / spark-defaults already set
     builder = SparkSession.builder.appName(app_name)
-    if master:
+    if master and not given.contains("spark.master"):
         builder = builder.master(master)
     cores = os.cpu_count() or 8
     parts = shuffle_partitions or int(os.environ.get("ATTRITION_SHUFFLE_PARTITIONS", cores))
-    builder = (
-        builder.config("spark.sql.shuffle.partitions", str(parts))
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
-        .config("spark.sql.adaptive.skewJoin.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
-        .config("spark.sql.execution.arrow.pyspark.enabled", "true")
-        .config("spark.ui.enabled", "false")
-        .config("spark.ui.showConsoleProgress", "false")
-        .config("spark.driver.memory", os.environ.get("ATTRITION_DRIVER_MEMORY", "16g"))
-    )
+    defaults = {
+        "spark.sql.shuffle.partitions": str(parts),
+        "spark.sql.adaptive.enabled": "true",
+        "spark.sql.adaptive.coalescePartitions.enabled": "true",
+        "spark.sql.adaptive.skewJoin.enabled": "true",
+        "spark.sql.session.timeZone": "UTC",
+        "spark.sql.execution.arrow.pyspark.enabled": "true",
+        # checkpoint files of unreachable data are removed from the shared folder
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
+        "spark.ui.enabled": "false",
+        "spark.ui.showConsoleProgress": "false",
+        "spark.driver.memory": os.environ.get("ATTRITION_DRIVER_MEMORY", "16g"),
+    }
+    for k, v in defaults.items():
+        if not given.contains(k):
+            builder = builder.config(k, v)
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(spark)
