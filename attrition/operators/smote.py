@@ -8,8 +8,9 @@ Exact kNN without comparing all pairs:
    the per-feature spread): ``|a_i - a_j| <= ||x_i - x_j||``, so a band
    ``|a_i - a_j| <= r`` around a point holds every neighbour within ``r``;
 3. an upper bound ``r_i`` on the k-th neighbour distance comes from the
-   points in the neighbouring projection buckets; points whose buckets hold
-   fewer than k others are retried with buckets 8x wider (a few rounds);
+   points of the neighbouring rank buckets: runs of a fixed number of
+   consecutive points in projection order (a distributed row number), so
+   each point meets a bounded number of others;
 4. the exact neighbours are found by a band join: each point visits the
    buckets its band ``[a_i - r_i, a_i + r_i]`` touches (equi-join on the
    bucket), the band filter and the true distance decide, and a window per
@@ -30,6 +31,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import hash_unit
 from ..session import cut_lineage
+from .prefix import ordered_row_number
 from .sampling import class_ranks
 
 
@@ -45,8 +47,7 @@ def collapse_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
               .withColumn("pk", F.md5(F.to_json(F.col("x")))))
 
 
-def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 32,
-              max_rounds: int = 8) -> DataFrame:
+def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 32) -> DataFrame:
     """k nearest neighbours (by multiplicity) of every collapsed point.
 
     Returns ``pk, nb, dist, slot_lo, slot_hi``: neighbour point ``nb`` fills
@@ -67,26 +68,23 @@ def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 3
     def bucket(col: str, wd: float) -> Column:
         return F.floor((F.col(col) - F.lit(float(lo))) / F.lit(wd)).cast("long")
 
-    # -- step 3: upper bounds r_i, coarsening the buckets for unresolved points
-    radius = None
-    todo = pts.select("pk", "x", "a", "m")
-    wd = width
-    for _ in range(max_rounds):
-        others = pts.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("a").alias("aq"),
-                            F.col("m").alias("mq"), bucket("a", wd).alias("b"))
-        probe = todo.withColumn("b0", bucket("a", wd)).select(
-            "pk", "x", "a", "m", F.explode(F.sequence(F.col("b0") - 1, F.col("b0") + 1)).alias("b"))
-        cand = (probe.join(others, "b").filter(F.col("q") != F.col("pk"))
-                     .withColumn("d", _dist("x", "xq")))
-        got = cut_lineage(_kth(cand, todo, k))
-        radius = got if radius is None else radius.unionByName(got)
-        todo = cut_lineage(todo.join(got.select("pk"), "pk", "left_anti"))
-        if wd >= span or todo.limit(1).count() == 0:
-            break
-        wd *= 8.0
-    # whatever is left has fewer than k other points in the data: every point is a candidate
-    rest = todo.select("pk").withColumn("r", F.lit(float("inf")))
-    radius = rest if radius is None else radius.unionByName(rest)
+    # -- step 3: upper bounds r_i from the points of the neighbouring rank buckets.
+    # Buckets of `size` consecutive points in projection order (a distributed row
+    # number), so a dense stretch of the projection never makes a large bucket:
+    # each point meets at most 3 * size others, and at least k of them when the
+    # data has k others.
+    size = max(bucket_target, k + 1)
+    ranked = ordered_row_number(pts.select("pk", "x", "a", "m"), [F.col("a").asc(), F.col("pk").asc()], out="__r")
+    ranked = ranked.withColumn("rb", F.floor((F.col("__r") - 1) / F.lit(size)).cast("long"))
+    others = ranked.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("m").alias("mq"),
+                           F.col("rb").alias("b"))
+    probe = ranked.select("pk", "x", "a", "m", F.explode(F.sequence(F.col("rb") - 1, F.col("rb") + 1)).alias("b"))
+    cand = (probe.join(others, "b").filter(F.col("q") != F.col("pk"))
+                 .withColumn("d", _dist("x", "xq")))
+    radius = cut_lineage(_kth(cand, pts, k))
+    # points with fewer than k others in the whole data: every point is a candidate
+    rest = pts.select("pk").join(radius.select("pk"), "pk", "left_anti").withColumn("r", F.lit(float("inf")))
+    radius = radius.unionByName(rest)
 
     # -- step 4: exact band join at the finest bucket width
     q_side = pts.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("a").alias("aq"),

@@ -48,3 +48,26 @@ def test_smote_counts_and_range(spark):
     assert syn.flag.between(0, 1).all()
     again = smote(df, "y", ["tenure", "monthly", "flag"], "id", ratio=0.7, k=5).filter("is_synthetic")
     assert again.exceptAll(out.filter("is_synthetic")).count() == 0
+
+
+def _check_knn(spark, rows, k, bucket_target):
+    df = spark.createDataFrame(rows, "f0 double, f1 double, f2 double")
+    pts = collapse_points(df, ["f0", "f1", "f2"])
+    nb = knn_exact(pts, k, 3, bucket_target=bucket_target)
+    pp = pts.toPandas()
+    want = _brute([np.array(x) for x in pp.x], list(pp.m), k)
+    key = {pk: i for i, pk in enumerate(pp.pk)}
+    got = nb.toPandas()
+    assert set(got.pk) == set(pp.pk[[len(w) > 0 for w in want.values()]])
+    for pk, g in got.groupby("pk"):
+        d = sorted(sum(([r.d] * int(r.slot_hi - r.slot_lo) for r in g.itertuples()), []))
+        assert np.allclose(d, want[key[pk]]), (pk, d, want[key[pk]])
+
+
+def test_knn_exact_dense_cluster_and_tiny_data(spark):
+    rng = np.random.default_rng(4)
+    dense = np.round(rng.normal(0, 0.01, (60, 3)), 4)          # a third of the points in one tight spot
+    spread = np.round(rng.normal(0, 5, (120, 3)), 3)
+    rows = [tuple(map(float, r)) for r in np.vstack([dense, spread])]
+    _check_knn(spark, rows, 5, 8)
+    _check_knn(spark, [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (0.0, 2.0, 0.0)], 5, 32)   # fewer than k others
