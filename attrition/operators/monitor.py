@@ -92,18 +92,18 @@ def alert_for(windows: DataFrame, condition: Column, hold: str, time_col: str =
     to it, a distributed prefix sum (:mod:`prefix`), so no window spans a
     whole series.
     """
-    from .prefix import ordered_cumsum
+    from .prefix import join_on, ordered_cumsum
     step_s = _seconds(step)
     hold_s = _seconds(hold)
     hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__t", F.unix_seconds(F.col(time_col)))
     steps = hot.select(*by, "__t").distinct()
     prev = steps.select(*by, (F.col("__t") + F.lit(step_s)).alias("__t")).withColumn("__prev", F.lit(1))
-    steps = (steps.join(prev, [*by, "__t"], "left")
+    steps = (join_on(steps, prev, [*by, "__t"], "left")
                   .withColumn("__start", F.when(F.col("__prev").isNull(), 1).otherwise(0)).drop("__prev"))
     runs = ordered_cumsum(steps, "__t", ["__start"], by=by).withColumnRenamed("cum___start", "__run")
     starts = runs.filter(F.col("__start") == 1).select(*by, "__run", F.col("__t").alias("__since"))
-    since = runs.join(starts, [*by, "__run"]).select(*by, "__t", "__since")
-    return (hot.join(since, [*by, "__t"])
+    since = join_on(runs, starts, [*by, "__run"]).select(*by, "__t", "__since")
+    return (join_on(hot, since, [*by, "__t"])
                .withColumn("active_seconds", (F.col("__t") - F.col("__since")).cast("long"))
                .filter(F.col("active_seconds") >= hold_s)
                .withColumn("active_since", F.timestamp_seconds("__since"))
@@ -135,7 +135,7 @@ def alert_on_samples(samples: DataFrame, ts: str, condition: Column, hold: str,
     ends episode ``k`` is the one with ``k`` false samples before it: an
     equi-join.
     """
-    from .prefix import ordered_cumsum
+    from .prefix import join_on, ordered_cumsum
     hold_s = _seconds(hold)
     c = F.coalesce(condition, F.lit(False))
     per_instant = (samples.select(*by, F.col(ts).cast("timestamp").alias("__ts"), c.alias("__c"))
@@ -149,7 +149,7 @@ def alert_on_samples(samples: DataFrame, ts: str, condition: Column, hold: str,
              .groupBy(*by, "__before").agg(F.min("__ts").alias("active_since")))
     ends = cum.filter(F.col("__nf") > 0).select(*by, "__before", F.col("__ts").alias("resolved_at"))
     fire = F.col("active_since") + F.expr(f"INTERVAL {hold_s} SECONDS")
-    return (ep.join(ends, [*by, "__before"], "left")
+    return (join_on(ep, ends, [*by, "__before"], "left")
               .withColumn("fired_at", fire)
               .filter(F.col("resolved_at").isNull() | (F.col("resolved_at") >= fire))
               .select(*by, "active_since", "fired_at", "resolved_at"))

@@ -28,6 +28,14 @@ from pyspark.sql import functions as F
 from ..session import cut_lineage
 
 
+def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``on`` where null keys match null keys (``<=>``; Spark
+    still plans it as a hash or sort-merge join). The key columns appear once."""
+    r = right.select(*[F.col(c).alias(f"__r_{c}") if c in on else F.col(c) for c in right.columns])
+    cond = [left[c].eqNullSafe(r[f"__r_{c}"]) for c in on]
+    return left.join(r, cond, how).drop(*[f"__r_{c}" for c in on])
+
+
 def collapse(df: DataFrame, value: str, sums: dict, by: Sequence[str] = ()) -> DataFrame:
     """``groupBy(by, value)`` with the given named sum expressions."""
     return df.groupBy(*by, value).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
@@ -71,7 +79,7 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
         totals = totals.withColumn("__next_b", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__bucket")))
         keep.append("__next_b")
     totals = totals.select(*keys, "__bucket", *keep)
-    out = d.join(totals, [*keys, "__bucket"], "inner")
+    out = join_on(d, totals, [*keys, "__bucket"])
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"__off_{c}") + F.col(f"__l_{c}"))
     if with_next:
@@ -102,5 +110,5 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], by: Sequence[str]
     offs = (d.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__c"))
              .withColumn("__off", F.coalesce(F.sum("__c").over(w_off), F.lit(0)))
              .select(*keys, "__part", "__off"))
-    return (d.join(offs, [*keys, "__part"])
+    return (join_on(d, offs, [*keys, "__part"])
              .select(*[F.col(c) for c in cols], (F.col("__off") + F.col("__local")).cast("int").alias(out)))

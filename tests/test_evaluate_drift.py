@@ -91,3 +91,14 @@ def test_ordered_row_number_hot_group(spark):
         want["rn"] = want.groupby("g").cumcount() + 1
         m = got.merge(want, on=["g", "v", "id"], suffixes=("", "_w"))
         assert len(m) == len(rows) and (m["rn"] == m["rn_w"]).all(), parts
+
+
+def test_prefix_ops_keep_null_groups(spark):
+    from attrition.operators.prefix import ordered_row_number
+    rows = [(None, 3, 1), (None, 1, 2), ("a", 2, 3), (None, 2, 4), ("a", 5, 5)]
+    df = spark.createDataFrame(rows, "g string, v int, id int")
+    rn = {r["id"]: r["rn"] for r in ordered_row_number(df, [F.col("v").asc()], by=["g"], out="rn", parts=3).collect()}
+    assert rn == {2: 1, 4: 2, 1: 3, 3: 1, 5: 2}
+    c = collapse(df, "v", {"n": F.lit(1)}, by=["g"])
+    cum = {(r["g"], r["v"]): r["cum_n"] for r in ordered_cumsum(c, "v", ["n"], by=["g"], parts=2).collect()}
+    assert cum == {(None, 1): 1, (None, 2): 2, (None, 3): 3, ("a", 2): 1, ("a", 5): 2}

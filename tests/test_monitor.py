@@ -110,3 +110,16 @@ def test_alert_for_matches_brute_force(spark):
             if secs >= 120:
                 want.add((g, t, start, secs))
     assert got == want and len(want) > 10
+
+
+def test_alerts_keep_null_groups(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(None, t0 + dt.timedelta(minutes=i), 1.5) for i in range(4)]
+    df = spark.createDataFrame(rows, "g string, window_end timestamp, q double")
+    fired = W.alert_for(df, F.col("q") > 1.0, "2 minutes", by=["g"]).collect()
+    assert sorted(r["active_seconds"] for r in fired) == [120, 180]
+    assert all(r["g"] is None and r["active_since"] == t0 for r in fired)
+    s = spark.createDataFrame([(None, t0, 0.5), (None, t0 + dt.timedelta(minutes=6), 0.1)],
+                              "g string, ts timestamp, v double")
+    ep = W.alert_on_samples(s, "ts", F.col("v") > 0.2, "5 minutes", by=["g"]).collect()
+    assert [(r["active_since"], r["resolved_at"]) for r in ep] == [(t0, t0 + dt.timedelta(minutes=6))]
