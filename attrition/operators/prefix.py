@@ -96,16 +96,20 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], by: Sequence[str]
     window over a whole group: rows are range-partitioned on (by, order), the
     part number is pinned with a reliable checkpoint, row numbers are taken
     per (group, part) and offset by the row counts of earlier parts (a table
-    of at most ``parts`` rows per group). A hot group spans many parts.
-    Rows equal on (by, order) share a part and are numbered in any order.
+    of at most ``parts`` rows per group). A hot group spans many parts, even
+    when its rows are all equal on ``order`` (they are numbered in any order).
     """
     keys = list(by) or ["__g"]
     cols = df.columns
     d = df if by else df.withColumn("__g", F.lit(0))
     n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = cut_lineage(d.repartitionByRange(n, *[F.col(k) for k in keys], *order)
+    # a row id as last sort key makes every range key distinct, so even a run of
+    # identical rows is split over parts; the checkpoint pins ids and parts
+    d = d.withColumn("__id", F.monotonically_increasing_id())
+    full = [*order, F.col("__id")]
+    d = cut_lineage(d.repartitionByRange(n, *[F.col(k) for k in keys], *full)
                      .withColumn("__part", F.spark_partition_id()))
-    d = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*order)))
+    d = d.withColumn("__local", F.row_number().over(Window.partitionBy(*keys, "__part").orderBy(*full)))
     w_off = Window.partitionBy(*keys).orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)
     offs = (d.groupBy(*keys, "__part").agg(F.count(F.lit(1)).alias("__c"))
              .withColumn("__off", F.coalesce(F.sum("__c").over(w_off), F.lit(0)))

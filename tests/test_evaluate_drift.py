@@ -102,3 +102,13 @@ def test_prefix_ops_keep_null_groups(spark):
     c = collapse(df, "v", {"n": F.lit(1)}, by=["g"])
     cum = {(r["g"], r["v"]): r["cum_n"] for r in ordered_cumsum(c, "v", ["n"], by=["g"], parts=2).collect()}
     assert cum == {(None, 1): 1, (None, 2): 2, (None, 3): 3, ("a", 2): 1, ("a", 5): 2}
+
+
+def test_ordered_row_number_identical_rows(spark):
+    from attrition.operators.prefix import ordered_row_number
+    rows = [("hot", 1)] * 500 + [("hot", 0)] * 3 + [("cold", 1)] * 2
+    df = spark.createDataFrame(rows, "g string, v int")
+    got = ordered_row_number(df, [F.col("v").asc()], by=["g"], out="rn", parts=5).toPandas()
+    hot = got[got.g == "hot"].sort_values("rn")
+    assert list(hot.rn) == list(range(1, 504)) and list(hot.v[:3]) == [0, 0, 0]
+    assert sorted(got[got.g == "cold"].rn) == [1, 2]
