@@ -27,17 +27,48 @@ def _seconds(width: str) -> int:
     return int(n) * {"second": 1, "seconds": 1, "minute": 60, "minutes": 60, "hour": 3600, "hours": 3600}[unit]
 
 
+def sliding_sums(df: DataFrame, ts: str, sums: dict, width: str = "5 minutes", slide: str = "1 minute",
+                 by: Sequence[str | Column] = ()) -> DataFrame:
+    """Sums of the ``sums`` expressions per sliding window (as ``window(ts,
+    width, slide)``: windows start on multiples of ``slide``, only windows
+    with rows appear), plus ``window_start`` / ``window_end``.
+
+    Pre-aggregated: every row is summed once into its ``slide``-wide slot
+    (a partial aggregate), and only the slot rows are copied into the
+    ``width / slide`` windows that hold them and summed again, so the copy
+    and the second shuffle grow with the time range, not with the events.
+    Falls back to ``window()`` when ``width`` is not a multiple of ``slide``.
+    """
+    w_s, s_s = _seconds(width), _seconds(slide)
+    t = F.col(ts).cast("timestamp")
+    if w_s % s_s:
+        return (df.groupBy(F.window(t, width, slide).alias("w"), *by)
+                  .agg(*[F.sum(e).alias(n) for n, e in sums.items()])
+                  .withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end"))
+                  .drop("w"))
+    k = w_s // s_s
+    slot_us = s_s * 1_000_000
+    slots = (df.filter(t.isNotNull())
+               .groupBy(F.floor(F.unix_micros(t) / F.lit(slot_us)).alias("__slot"), *by)
+               .agg(*[F.sum(e).alias(n) for n, e in sums.items()]))
+    by_names = slots.columns[1:1 + len(by)]
+    wins = (slots.withColumn("__i", F.explode(F.sequence(F.col("__slot") - F.lit(k - 1), F.col("__slot"))))
+                 .groupBy(*by_names, "__i").agg(*[F.sum(n).alias(n) for n in sums]))
+    start_us = F.col("__i") * F.lit(slot_us)
+    return (wins.withColumn("window_start", F.timestamp_micros(start_us))
+                .withColumn("window_end", F.timestamp_micros(start_us + F.lit(w_s * 1_000_000)))
+                .drop("__i"))
+
+
 def windowed_rate(df: DataFrame, ts: str, width: str = "5 minutes", slide: str = "1 minute",
                   by: Sequence[str | Column] = (), flag: str | None = None) -> DataFrame:
     """Events per second in sliding windows (``count / width``), and
     for a 0/1 ``flag`` column also the flagged rate and share."""
     secs = float(_seconds(width))
-    aggs = [F.count(F.lit(1)).alias("events")]
+    sums = {"events": F.lit(1).cast("long")}
     if flag:
-        aggs.append(F.sum(F.col(flag).cast("long")).alias("flagged"))
-    out = (df.groupBy(F.window(F.col(ts).cast("timestamp"), width, slide).alias("w"), *by).agg(*aggs)
-             .withColumn("window_start", F.col("w.start")).withColumn("window_end", F.col("w.end")).drop("w")
-             .withColumn("rate", F.round(F.col("events") / secs, 6)))
+        sums["flagged"] = F.col(flag).cast("long")
+    out = sliding_sums(df, ts, sums, width, slide, by).withColumn("rate", F.round(F.col("events") / secs, 6))
     if flag:
         out = (out.withColumn("flagged_rate", F.round(F.col("flagged") / secs, 6))
                   .withColumn("flagged_share", F.round(F.col("flagged") / F.col("events"), 6)))
@@ -47,14 +78,13 @@ def windowed_rate(df: DataFrame, ts: str, width: str = "5 minutes", slide: str =
 def windowed_quantile(df: DataFrame, ts: str, col: str, edges: Sequence[float], q: float,
                       width: str = "5 minutes", slide: str = "1 minute", by: Sequence[str] = ()) -> DataFrame:
     """Histogram-quantile of ``col`` per sliding window: cumulative
-    bucket counts per window in one aggregate, then the interpolation as a
-    per-row expression (:func:`quantile_from_buckets`)."""
+    bucket counts per window (pre-aggregated per slot, :func:`sliding_sums`),
+    then the interpolation as a per-row expression (:func:`quantile_from_buckets`)."""
     x = F.col(col)
-    aggs = [F.sum((x <= F.lit(float(e))).cast("long")).alias(f"b{i}") for i, e in enumerate(edges)]
-    aggs.append(F.count(x).alias("b_inf"))
-    return (df.groupBy(F.window(F.col(ts).cast("timestamp"), width, slide).alias("w"), *by).agg(*aggs)
-              .select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *by,
-                      quantile_from_buckets(edges, q).alias("quantile")))
+    sums = {f"b{i}": (x <= F.lit(float(e))).cast("long") for i, e in enumerate(edges)}
+    sums["b_inf"] = x.isNotNull().cast("long")
+    return (sliding_sums(df, ts, sums, width, slide, by)
+              .select("window_start", "window_end", *by, quantile_from_buckets(edges, q).alias("quantile")))
 
 
 def quantile_from_buckets(edges: Sequence[float], q: float, prefix: str = "b", inf_col: str = "b_inf") -> Column:

@@ -123,3 +123,22 @@ def test_alerts_keep_null_groups(spark):
                               "g string, ts timestamp, v double")
     ep = W.alert_on_samples(s, "ts", F.col("v") > 0.2, "5 minutes", by=["g"]).collect()
     assert [(r["active_since"], r["resolved_at"]) for r in ep] == [(t0, t0 + dt.timedelta(minutes=6))]
+
+
+def test_sliding_sums_equal_spark_window(spark):
+    import random
+    rnd = random.Random(2)
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(rnd.choice("ab"), t0 + dt.timedelta(seconds=rnd.randint(-900, 3600)), rnd.randint(0, 1))
+            for _ in range(800)] + [("a", None, 1)]
+    df = spark.createDataFrame(rows, "g string, ts timestamp, f int")
+    for width, slide in (("5 minutes", "1 minute"), ("2 minutes", "2 minutes"), ("5 minutes", "2 minutes")):
+        got = W.sliding_sums(df, "ts", {"n": F.lit(1).cast("long"), "f": F.col("f").cast("long")},
+                             width, slide, by=["g"])
+        want = (df.groupBy(F.window("ts", width, slide).alias("w"), "g")
+                  .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("f").cast("long")).alias("f"))
+                  .filter(F.col("w").isNotNull())
+                  .select("g", "n", "f", F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end")))
+        a = sorted(tuple(r) for r in got.select("g", "n", "f", "window_start", "window_end").collect())
+        b = sorted(tuple(r) for r in want.collect())
+        assert a == b and len(a) > 20, (width, slide)
