@@ -11,7 +11,6 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
 from .prefix import collapse, ordered_cumsum
 
 
@@ -74,26 +73,22 @@ def classification_report(df: DataFrame, label: str, pred: str, names=("No Churn
     return c.select(F.inline(F.array(*rows)))
 
 
-def _score_table(df: DataFrame, label: str, score: str,
-                 materialize: bool = True) -> tuple[DataFrame, DataFrame]:
-    """Distinct scores with positive / negative counts, and the same with
-    descending running sums. ``materialize`` checkpoints the collapsed table
-    (read by the totals and every prefix-sum branch); skip it when ``df`` is
-    already cached."""
+def _score_table(df: DataFrame, label: str, score: str) -> DataFrame:
+    """Distinct scores with positive / negative counts and descending running
+    sums. The distinct-score table is materialized once, inside
+    :func:`prefix.ordered_cumsum` (range parts pinned by a checkpoint); the
+    totals are read from it too."""
     y = F.col(label).cast("long")
     col = collapse(df.filter(F.col(score).isNotNull()), score, {"pos": y, "neg": F.lit(1) - y})
-    if materialize:
-        col = cut_lineage(col)
-    return col, ordered_cumsum(col, score, ["pos", "neg"], descending=True)
+    return ordered_cumsum(col, score, ["pos", "neg"], descending=True)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6,
-            materialize: bool = True) -> DataFrame:
+def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6) -> DataFrame:
     """Exact ROC AUC; tied scores count one half (Mann-Whitney).
 
     AUC = sum over distinct scores of neg * (positives scored higher + pos / 2), over P * N.
     """
-    _, t = _score_table(df, label, score, materialize)
+    t = _score_table(df, label, score)
     num = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0))
     p, n = F.sum("pos"), F.sum("neg")
     auc = F.when((p > 0) & (n > 0), num / (p * n))
@@ -104,9 +99,9 @@ def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6,
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, descending, plus
     the (0, 0) start with a null threshold. Collinear points are kept."""
-    col, t = _score_table(df, label, score)
-    P = col.select(F.sum("pos")).scalar()
-    N = col.select(F.sum("neg")).scalar()
+    t = _score_table(df, label, score)
+    P = t.select(F.sum("pos")).scalar()
+    N = t.select(F.sum("neg")).scalar()
     pts = t.select(F.col(score).cast("double").alias("threshold"),
                    (F.col("cum_neg") / N).alias("fpr"), (F.col("cum_pos") / P).alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
@@ -117,8 +112,8 @@ def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
 def pr_curve(df: DataFrame, label: str, score: str) -> DataFrame:
     """E5: (threshold, precision, recall) per distinct score, plus the end
     point precision 1, recall 0."""
-    col, t = _score_table(df, label, score)
-    P = col.select(F.sum("pos")).scalar()
+    t = _score_table(df, label, score)
+    P = t.select(F.sum("pos")).scalar()
     pts = t.select(F.col(score).cast("double").alias("threshold"),
                    (F.col("cum_pos") / (F.col("cum_pos") + F.col("cum_neg"))).alias("precision"),
                    (F.col("cum_pos") / P).alias("recall"))
