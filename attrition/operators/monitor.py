@@ -125,7 +125,8 @@ def alert_for(windows: DataFrame, condition: Column, hold: str, time_col: str =
     from .prefix import join_on, ordered_cumsum
     step_s = _seconds(step)
     hold_s = _seconds(hold)
-    hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__t", F.unix_seconds(F.col(time_col)))
+    hot = (windows.filter(F.coalesce(condition, F.lit(False)) & F.col(time_col).isNotNull())
+                  .withColumn("__t", F.unix_seconds(F.col(time_col))))
     steps = hot.select(*by, "__t").distinct()
     prev = steps.select(*by, (F.col("__t") + F.lit(step_s)).alias("__t")).withColumn("__prev", F.lit(1))
     steps = (join_on(steps, prev, [*by, "__t"], "left")
@@ -169,6 +170,7 @@ def alert_on_samples(samples: DataFrame, ts: str, condition: Column, hold: str,
     hold_s = _seconds(hold)
     c = F.coalesce(condition, F.lit(False))
     per_instant = (samples.select(*by, F.col(ts).cast("timestamp").alias("__ts"), c.alias("__c"))
+                          .filter(F.col("__ts").isNotNull())     # a sample without time has no place
                           .groupBy(*by, "__ts")
                           .agg(F.sum(F.when(F.col("__c"), 0).otherwise(1)).alias("__nf"),
                                F.sum(F.when(F.col("__c"), 1).otherwise(0)).alias("__nt"))

@@ -83,7 +83,7 @@ def q_alert_for(spark, sf):
 
 @query("drift_alert", "W5", with_views("""
 , d AS (SELECT recorded_at AS ts, coalesce(metric_value > 0.2, false) AS c FROM model_metrics
-        WHERE metric_name = 'drift_score'),
+        WHERE metric_name = 'drift_score' AND recorded_at IS NOT NULL),
 g AS (SELECT ts, sum(CASE WHEN c THEN 0 ELSE 1 END) AS nf, sum(CASE WHEN c THEN 1 ELSE 0 END) AS nt
       FROM d GROUP BY ts),
 k AS (SELECT *, sum(nf) OVER (ORDER BY ts) - nf AS before FROM g),

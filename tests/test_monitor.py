@@ -142,3 +142,14 @@ def test_sliding_sums_equal_spark_window(spark):
         a = sorted(tuple(r) for r in got.select("g", "n", "f", "window_start", "window_end").collect())
         b = sorted(tuple(r) for r in want.collect())
         assert a == b and len(a) > 20, (width, slide)
+
+
+def test_alerts_ignore_rows_without_time(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    s = spark.createDataFrame([(None, 0.1), (t0, 0.5), (None, 0.5), (t0 + dt.timedelta(minutes=6), 0.1)],
+                              "ts timestamp, v double")
+    ep = W.alert_on_samples(s, "ts", F.col("v") > 0.2, "5 minutes").collect()
+    assert [(r["active_since"], r["resolved_at"]) for r in ep] == [(t0, t0 + dt.timedelta(minutes=6))]
+    w = spark.createDataFrame([(None, 1.5)] + [(t0 + dt.timedelta(minutes=i), 1.5) for i in range(3)],
+                              "window_end timestamp, q double")
+    assert sorted(r["active_seconds"] for r in W.alert_for(w, F.col("q") > 1.0, "2 minutes").collect()) == [120]
