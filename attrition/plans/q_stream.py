@@ -94,3 +94,15 @@ def q_stream_alert(spark, sf):
         .withColumn("quantile", F.round("quantile", 6))
     out = SM.alert_for_stream(q, F.col("quantile") > 1.0, "2 minutes")
     return SM.run_to_completion(spark, out, "stream-alert")
+
+
+@query("stream_absence_alert", "W6", with_views("""
+, s AS (SELECT DISTINCT CAST(floor(epoch(request_timestamp) / 60) AS BIGINT) AS slot FROM predictions),
+c AS (SELECT slot FROM s WHERE make_timestamp((slot + 1) * 60 * 1000000)
+      <= (SELECT max(request_timestamp) FROM predictions) - INTERVAL 10 MINUTE),
+g AS (SELECT range AS slot FROM range((SELECT min(slot) FROM c), (SELECT max(slot) FROM c) + 1))
+SELECT make_timestamp(slot * 60 * 1000000) AS slot_start, make_timestamp((slot + 1) * 60 * 1000000) AS slot_end
+FROM g WHERE slot NOT IN (SELECT slot FROM c)""", "predictions"))
+def q_stream_absence(spark, sf):
+    s = SM.view_stream(spark, table_path(sf, "events"), "predictions")
+    return SM.run_to_completion(spark, SM.absence_stream(s, "request_timestamp"), "stream-absence")

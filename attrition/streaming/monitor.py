@@ -124,6 +124,58 @@ def alert_for_stream(windows: DataFrame, condition: Column, hold: str, step: str
         f"{fields}, active_seconds long, active_since timestamp", "Append", "None")
 
 
+class AbsenceAlert(StatefulProcessor):
+    """Empty slots between slots with events (W6, stream).
+
+    Input per key: one row per closed slot that saw events, as the watermark
+    closes it (closed slots arrive in time order across micro-batches).
+    State: the last slot seen. Each slot after a gap emits the empty slots
+    in between.
+    """
+
+    def __init__(self, gap_s: int):
+        self.gap_s = gap_s
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", "slot long")
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat(list(rows), ignore_index=True)
+        slots = sorted({int(pd.Timestamp(v).timestamp()) // self.gap_s for v in pdf["window_start"]})
+        last = self.last.get()[0] if self.last.exists() else None
+        empty = []
+        for slot in slots:
+            if last is not None and slot > last + 1:
+                empty.extend(range(last + 1, slot))
+            last = slot if last is None else max(last, slot)
+        if last is not None:
+            self.last.update((last,))
+        starts = pd.to_datetime([x * self.gap_s for x in empty], unit="s")
+        yield pd.DataFrame({"slot_start": starts, "slot_end": starts + pd.Timedelta(seconds=self.gap_s)})
+
+    def close(self) -> None:
+        pass
+
+
+def absence_stream(stream: DataFrame, ts: str, gap: str = "1 minute", watermark: str = "10 minutes",
+                   key: str = "absence") -> DataFrame:
+    """W6 (stream): ``gap``-wide slots without events between slots with
+    events. Events are counted per slot by a watermarked aggregate (the state
+    and the input of the next step are one row per slot, not per event); a
+    stateful step keyed by the alert keeps the last slot and emits the gaps."""
+    spark = stream.sparkSession
+    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != provider:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    per_slot = (stream.withColumn("__et", F.col(ts).cast("timestamp"))
+                      .withWatermark("__et", watermark)
+                      .groupBy(F.window("__et", gap).alias("w")).agg(F.count(F.lit(1)).alias("events"))
+                      .select(F.col("w.start").alias("window_start"), "events")
+                      .withColumn("__alert", F.lit(key)))
+    return per_slot.groupBy("__alert").transformWithStateInPandas(
+        AbsenceAlert(_seconds(gap)), "slot_start timestamp, slot_end timestamp", "Append", "None")
+
+
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
                        available_now: bool = True, processing_time: str | None = None) -> StreamingQuery:
     w = df.writeStream.format("parquet").outputMode(mode).option("path", path) \

@@ -16,6 +16,7 @@ from attrition.plans.catalog import load_all
 MODEL_OR_STREAM = {"rf_train", "gbt_train", "gbt_balanced_train", "soft_vote", "cross_validate", "train_pipeline",
                    "score_batch", "top_importances", "feature_importance", "segment_eval", "smote", "stream_score",
                    "stream_rate_5m", "stream_rate_by_result_5m", "stream_latency_p95_5m", "stream_alert_for",
+                   "stream_absence_alert",
                    "validation_gate"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 

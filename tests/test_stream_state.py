@@ -32,3 +32,24 @@ def test_hold_time_alert_across_batches(spark, sf):
     want = W.alert_for(closed, F.col("quantile") > 1.0, "2 minutes")
     assert got.count() > 0
     assert CO.compare(got.toPandas(), want.select(*got.columns).toPandas()) == "ok"
+
+
+def test_absence_alert_across_batches(spark, sf):
+    events = spark.read.parquet(table_path(sf, "events"))
+    lo, hi = events.agg(F.min("ts"), F.max("ts")).first()
+    folder = scratch_path(spark, "events-split-absence")
+    step = (hi - lo) / 5
+    for i in range(5):   # five files in time order -> five micro-batches, state carried across them
+        a, b = lo + step * i, lo + step * (i + 1)
+        part = events.filter((F.col("ts") >= a) & ((F.col("ts") < b) if i < 4 else F.lit(True)))
+        part.coalesce(1).write.mode("append").parquet(folder)
+    s = SM.view_stream(spark, folder, "predictions", max_files=1)
+    got = SM.run_to_completion(spark, SM.absence_stream(s, "request_timestamp"), "absence-split")
+
+    preds = I.predictions(spark, sf)
+    mx = preds.agg(F.max("request_timestamp")).first()[0]
+    closed = preds.filter(F.floor(F.unix_seconds(F.col("request_timestamp").cast("timestamp")) / 60) * 60 + 60
+                          <= F.unix_seconds(F.lit(mx).cast("timestamp")) - 600)
+    want = W.absence_alert(closed, "request_timestamp")
+    assert got.count() > 0
+    assert CO.compare(got.toPandas(), want.select(*got.columns).toPandas()) == "ok"
