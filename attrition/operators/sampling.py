@@ -30,12 +30,33 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = S.SEED) -> DataF
     return (df.withColumn("__h", key).orderBy(F.col("__h"), F.col(id_col)).limit(n).drop("__h"))
 
 
+# A (class, bucket) holding more than HOT_FACTOR x the mean bucket plus
+# HOT_SLACK rows cannot come from the uniform hash of distinct ids: an id is
+# repeated. Such input is ranked with the distributed row number instead.
+HOT_FACTOR = 4.0
+HOT_SLACK = 10_000
+
+
 def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = S.SEED,
                 hex_digits: int = 4) -> DataFrame:
-    """Adds ``__rank`` (1-based, by hash within class) and ``__n_class``."""
+    """Adds ``__rank`` (1-based, by hash within class) and ``__n_class``.
+
+    One scalar over the (class, bucket) histogram (at most classes x
+    16^hex_digits rows) checks for a hot bucket; when one exists (a repeated
+    id), the ranks come from :func:`prefix.ordered_row_number`, whose range
+    parts split any group, copies of one id being numbered in any order.
+    Both ways give the same ranks for distinct ids.
+    """
+    from .prefix import join_on, ordered_row_number
     h = C.md5_order_key(seed, id_col)
     keyed = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, hex_digits))
     hist = keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    top, total, groups = hist.agg(F.max("__cnt"), F.sum("__cnt"), F.count(F.lit(1))).first()
+    if top is not None and top > HOT_FACTOR * total / groups + HOT_SLACK:
+        n_class = hist.groupBy(label).agg(F.sum("__cnt").alias("__n_class"))
+        ranked = ordered_row_number(keyed, [F.col("__h"), F.col(id_col)], by=[label], out="__rank")
+        return (join_on(ranked, n_class, [label])
+                .withColumn("__rank", F.col("__rank").cast("long")).drop("__h", "__b"))
     wcls = Window.partitionBy(label)
     hist = (hist.withColumn("__before", F.coalesce(F.sum("__cnt").over(
                 wcls.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
