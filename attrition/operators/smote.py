@@ -100,20 +100,29 @@ def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 3
     return _slots(cand, pts, k)
 
 
+def _first_k(cand: DataFrame, k: int) -> DataFrame:
+    """The k nearest candidates of every point by (distance, id). Every
+    candidate fills at least one slot, so nothing beyond them is needed; the
+    ``row_number() <= k`` filter plans as a partial WindowGroupLimit, so a
+    point with many candidates ships at most k rows per task to the shuffle."""
+    w = Window.partitionBy("pk").orderBy("d", "q")
+    return cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
+
+
 def _kth(cand: DataFrame, todo: DataFrame, k: int) -> DataFrame:
     """Points of ``todo`` whose neighbour count (own duplicates first, then
     candidates by distance and multiplicity) reaches k: ``pk, r`` with ``r``
     the distance where it does."""
     own = todo.filter(F.col("m") - 1 >= k).select("pk", F.lit(0.0).alias("r"))
     w = Window.partitionBy("pk").orderBy("d", "q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (cand.withColumn("cum", F.sum("mq").over(w) + F.col("m") - 1)
+    hit = (_first_k(cand, k).withColumn("cum", F.sum("mq").over(w) + F.col("m") - 1)
                .filter(F.col("cum") >= k).groupBy("pk").agg(F.min("d").alias("r")))
     return hit.join(own.select("pk"), "pk", "left_anti").unionByName(own)
 
 
 def _slots(cand: DataFrame, pts: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("pk").orderBy("d", "q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    c = (cand.withColumn("hi", F.sum("mq").over(w) + F.col("m") - 1)
+    c = (_first_k(cand, k).withColumn("hi", F.sum("mq").over(w) + F.col("m") - 1)
              .withColumn("lo", F.col("hi") - F.col("mq"))
              .filter(F.col("lo") < k)
              .select("pk", F.col("q").alias("nb"), "d", F.col("lo").alias("slot_lo"),
