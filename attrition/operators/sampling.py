@@ -17,6 +17,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import cut_lineage
 from ..functions import columns as C
 
 
@@ -50,7 +51,9 @@ def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = S.SEED,
     from .prefix import join_on, ordered_row_number
     h = C.md5_order_key(seed, id_col)
     keyed = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, hex_digits))
-    hist = keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    # at most classes x 16^hex_digits rows, pinned once: the hot check and the
+    # ranking below read the same copy instead of each re-aggregating the input
+    hist = cut_lineage(keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt")))
     top, total, groups = hist.agg(F.max("__cnt"), F.sum("__cnt"), F.count(F.lit(1))).first()
     if top is not None and top > HOT_FACTOR * total / groups + HOT_SLACK:
         n_class = hist.groupBy(label).agg(F.sum("__cnt").alias("__n_class"))
