@@ -185,15 +185,17 @@ def kl_divergence(current: DataFrame, reference: DataFrame, col: str, edges: Seq
     both = (binned_shares(reference, col, edges).withColumn("ref", F.lit(1)).withColumn("cur", F.lit(0))
             .unionByName(binned_shares(current, col, edges).withColumn("ref", F.lit(0)).withColumn("cur", F.lit(1))))
     counts = both.groupBy("bin").agg(F.sum("ref").alias("n_ref"), F.sum("cur").alias("n_cur"))
-    # totals as scalar subqueries over the (at most len(edges)+1 row) bin table
-    t_ref = counts.select(F.sum("n_ref")).scalar()
-    t_cur = counts.select(F.sum("n_cur")).scalar()
-    p = F.col("n_ref") / t_ref
-    q = F.col("n_cur") / t_cur
-    term = (F.when(F.col("n_ref") == 0, F.lit(0.0))
-             .when(F.col("n_cur") == 0, F.lit(float("inf")))
-             .otherwise(p * F.log(p / q)))
-    return counts.agg(F.round(F.sum(term), 6).alias("kl"))
+    # one aggregate over the (at most len(edges)+1 row) bin table: with
+    # sum(n_ref) = T_ref, sum p ln(p/q) = S / T_ref + ln(T_cur / T_ref) where
+    # S = sum n_ref ln(n_ref / n_cur); a bin with p > 0 and q = 0 gives +inf
+    n_ref, n_cur = F.col("n_ref"), F.col("n_cur")
+    t_ref, t_cur = F.sum(n_ref), F.sum(n_cur)
+    s = F.sum(F.when((n_ref > 0) & (n_cur > 0), n_ref * F.log(n_ref / n_cur)))
+    unseen = F.bool_or((n_ref > 0) & (n_cur == 0))
+    kl = (F.when(unseen, F.lit(float("inf")))
+           .when(t_ref > 0, F.try_divide(s, t_ref) + F.log(t_cur / t_ref))
+           .when(F.count(F.lit(1)) > 0, F.lit(0.0)))
+    return counts.agg(F.round(kl, 6).alias("kl"))
 
 
 def _kl_rows(df: DataFrame, reference: DataFrame, r: Rule) -> DataFrame:
