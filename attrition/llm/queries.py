@@ -5,21 +5,37 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from attrition.llm import chat, line_runs
+from attrition.llm import chat, html_tree, line_runs, mih, quality_bt
 from attrition.llm.common import table
 
 
+def op1_quality_bt(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_bt.op1_digest(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+def op2_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return html_tree.extract_pages(table(spark, sf_dir, "pages"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op4_digest(table(spark, sf_dir, "conversations"))
 
 
+def op8_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
+
+
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.op9_digest(table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_quality_bt": op1_quality_bt,
+    "op2_html_tree": op2_html_tree,
     "op4_chat_format": op4_chat_format,
+    "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_line_dedup": op9_line_dedup,
 }
 
