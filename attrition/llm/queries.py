@@ -4,11 +4,13 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import chat, html_tree, line_runs, mih, quality_bt
+from attrition.llm import chat, html_tree, line_runs, mih, quality_bt, rans
 from attrition.llm.common import table
+from attrition.session import scratch_path
 
 
 def op1_quality_bt(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -23,6 +25,12 @@ def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op4_digest(table(spark, sf_dir, "conversations"))
 
 
+def op7_rans(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    files = rans.encode_corpus(docs, public_tokenizers.path(tokenizer), scratch_path(spark, "rans"))
+    return rans.decode_corpus(spark, files)
+
+
 def op8_multi_index_hashing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mih.nearest(table(spark, sf_dir, "embeddings"), F.col("vec_id") % 100 == 0)
 
@@ -35,6 +43,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_bt": op1_quality_bt,
     "op2_html_tree": op2_html_tree,
     "op4_chat_format": op4_chat_format,
+    "op7_rans": op7_rans,
     "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_line_dedup": op9_line_dedup,
 }
