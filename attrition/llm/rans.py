@@ -248,7 +248,7 @@ class WordTokenizer:
     go straight to the library's BPE model, any other through its whole chain.
     """
 
-    def __init__(self, path: str, most: int = 3_000_000):
+    def __init__(self, path: str, most: int = 800_000):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.model, self.most = self.lib.model, most
