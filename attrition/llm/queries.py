@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import chat, fst_tokens, html_tree, line_runs, mih, quality_bt, rans
+from attrition.llm import bestfit, bm25_wand, chat, fst_tokens, html_tree, line_runs, mih, quality_bt, rans
 from attrition.llm.common import table
 from attrition.session import scratch_path
 
@@ -29,6 +29,10 @@ def op5_fst_token_counts(spark: SparkSession, sf_dir: str, tokenizer: str = "byt
     return fst_tokens.count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path(tokenizer))
 
 
+def op6_bestfit_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bestfit.pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op7_rans(spark: SparkSession, sf_dir: str, tokenizer: str = "word_bpe_49k.json") -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     files = rans.encode_corpus(docs, public_tokenizers.path(tokenizer), scratch_path(spark, "rans"))
@@ -43,14 +47,20 @@ def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return line_runs.op9_digest(table(spark, sf_dir, "documents"))
 
 
+def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bm25_wand.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_bt": op1_quality_bt,
     "op2_html_tree": op2_html_tree,
     "op4_chat_format": op4_chat_format,
     "op5_fst_token_counts": op5_fst_token_counts,
+    "op6_bestfit_packing": op6_bestfit_packing,
     "op7_rans": op7_rans,
     "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_line_dedup": op9_line_dedup,
+    "op10_bm25_decontamination": op10_bm25_decontamination,
 }
 
 ORACLES: dict[str, str] = {
