@@ -34,6 +34,7 @@ from math import log
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -239,15 +240,19 @@ def item_hits(text: Column, items: DataFrame, threshold: float = THRESHOLD) -> l
     prepare(spark)
     out = []
     for shard in item_shards(items):
-        index = spark.sparkContext.broadcast(BlockMaxIndex(shard))
+        out.append(_finder(spark.sparkContext.broadcast(BlockMaxIndex(shard)), threshold)(text))
+    return out
 
-        @F.pandas_udf(HIT)
-        def find(texts: pd.Series, index=index) -> pd.Series:
-            return pd.Series([[dict(zip(("item_id", "score", "question", "answer", "word"), h))
-                               for h in index.value.hits(t, threshold)] for t in texts])
 
-        out.append(find(text))
-    return out
+def _finder(index: Broadcast, threshold: float):
+    """The vectorized function that finds the items of one broadcast index."""
+
+    @F.pandas_udf(HIT)
+    def find(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("item_id", "score", "question", "answer", "word"), h))
+                           for h in index.value.hits(t, threshold)] for t in texts])
+
+    return find
 
 
 def contaminated(docs: DataFrame, items: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
