@@ -8,7 +8,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bestfit, bm25_wand, chat, fst_tokens, html_tree, line_runs, mih, quality_bt, rans
+from attrition.llm import bestfit, bm25_wand, bottomk, chat, fst_tokens, html_tree, line_runs, mih, quality_bt, rans
 from attrition.llm.common import table
 from attrition.session import scratch_path
 
@@ -21,6 +21,10 @@ def op2_html_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     return html_tree.extract_pages(table(spark, sf_dir, "pages"))
 
 
+def op3_bottomk_neardup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bottomk.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op4_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.op4_digest(table(spark, sf_dir, "conversations"))
 
@@ -54,6 +58,7 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_bt": op1_quality_bt,
     "op2_html_tree": op2_html_tree,
+    "op3_bottomk_neardup": op3_bottomk_neardup,
     "op4_chat_format": op4_chat_format,
     "op5_fst_token_counts": op5_fst_token_counts,
     "op6_bestfit_packing": op6_bestfit_packing,
