@@ -31,8 +31,9 @@ from __future__ import annotations
 import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, chain
 
 import numpy as np
 import pandas as pd
@@ -229,8 +230,28 @@ def decode_frames(payloads: list[bytes], table: FrequencyTable) -> list[tuple[li
 
 
 # Lower-case letters that the tokenizer's pattern takes as one run, then plain marks that it takes as another.
-PLAIN_WORD = re.compile(rb"((?:[a-z]|\xc3[\xa0-\xb6\xb8-\xbf])*)([.,;:!?*#$%&|]*)")
-BEYOND_LATIN = re.compile(rb"[\xc4-\xf4]|<\|")
+PLAIN_WORD = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])*)([.,;:!?*#$%&|]*)")
+
+
+IS_SPACE = np.zeros(256, bool)
+IS_SPACE[[9, 10, 11, 12, 13, 32]] = True
+#: Masks of the first 0 to 8 bytes of a little-endian word of 64 bits.
+LOW_BYTES = np.array([(1 << 8 * i) - 1 for i in range(9)], np.uint64)
+FOLD = np.uint64(0x9E3779B97F4A7C15)
+
+
+def lower_latin(text: bytes) -> bytes:
+    """A text of Latin-1 characters in lower case; any other (or with a special string) as it is."""
+    if b"<|" in text:
+        return text
+    if text.isascii():
+        return text.lower()
+    plain = text.decode()
+    try:
+        plain.encode("latin-1")
+    except UnicodeEncodeError:
+        return text
+    return plain.lower().encode()
 
 
 def byte_alphabet() -> dict[int, int]:
@@ -240,6 +261,21 @@ def byte_alphabet() -> dict[int, int]:
     return dict(zip(plain, plain)) | {b: 256 + i for i, b in enumerate(odd)}
 
 
+class WordRows(dict):
+    """Row number of each known word; an unknown one is tokenized when first asked for."""
+
+    def __init__(self, tokenize):
+        self.tokenize = tokenize
+        self.flat = array("I")            # the ids of all rows
+        self.begin = array("q", [0])      # where each row's ids begin; one more than rows
+
+    def __missing__(self, word: bytes) -> int:
+        self.flat.extend(self.tokenize(word))
+        self.begin.append(len(self.flat))
+        row = self[word] = len(self.begin) - 2
+        return row
+
+
 class WordTokenizer:
     """Ids of whole texts by the tokenizers library, each distinct word once.
 
@@ -248,65 +284,99 @@ class WordTokenizer:
     go straight to the library's BPE model, any other through its whole chain.
     """
 
-    def __init__(self, path: str, most: int = 800_000):
+    #: Bytes of text that are worked at a time.
+    RUN_BYTES = 4_000_000
+
+    def __init__(self, path: str, most: int = 500_000):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.model, self.most = self.lib.model, most
         self.alphabet = byte_alphabet()
+        self.parts: dict[bytes, array] = {}
         self._clear()
 
     def _clear(self) -> None:
-        self.row: dict[bytes, int] = {}
-        self.part: dict[bytes, list[int]] = {b"": []}
-        self.flat = np.zeros(1 << 20, np.uint32)
-        self.begin = np.zeros(1 << 18, np.int64)   # where each row's ids begin; one more than rows
-        self.used = 0
-
-    def _piece(self, piece: bytes) -> list[int]:
-        ids = self.part.get(piece)
+        self.rows = WordRows(self._word)
+        if len(self.parts) > self.most:
+            self.parts.clear()
+
+    def _part(self, part: bytes) -> array:
+        ids = self.parts.get(part)
         if ids is None:
-            ids = self.part[piece] = [t.id for t in self.model.tokenize(piece.decode("latin-1").translate(self.alphabet))]
+            ids = self.parts[part] = array("I", [t.id for t in self.model.tokenize(
+                part.decode("latin-1").translate(self.alphabet))])
         return ids
 
-    def _learn(self, words: list[bytes]) -> None:
-        odd = []
-        learned: list[tuple[bytes, list[int]]] = []
-        for w in words:
-            m = PLAIN_WORD.fullmatch(w)
-            if m:
-                learned.append((w, self._piece(m[1]) + self._piece(m[2])))
-            else:
-                odd.append(w)
-        if odd:
-            encoded = self.lib.encode_batch([w.decode("utf-8", "replace") for w in odd], add_special_tokens=False)
-            learned.extend((w, e.ids) for w, e in zip(odd, encoded))
-        for w, ids in learned:
-            at, end = self.used, self.used + len(ids)
-            if end > len(self.flat):
-                self.flat = np.resize(self.flat, 2 * max(end, len(self.flat)))
-            if len(self.row) + 2 > len(self.begin):
-                self.begin = np.resize(self.begin, 2 * len(self.begin))
-            self.flat[at:end] = ids
-            self.row[w] = len(self.row)
-            self.begin[len(self.row)] = self.used = end
-
-    def encode(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
-        """The ids of each UTF-8 text, ``end_id`` appended."""
-        if len(self.row) > self.most:
+    def _word(self, word: bytes):
+        m = PLAIN_WORD.fullmatch(word)
+        if m:
+            return self._part(m[1]) + self._part(m[2]) if m[1] and m[2] else self._part(word)
+        return self.lib.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
+
+    def encode(self, texts: list[bytes], end_id: int) -> Iterator[list[np.ndarray]]:
+        """The ids of each UTF-8 text, ``end_id`` appended, run by run."""
+        i = 0
+        while i < len(texts):
+            j, size = i + 1, len(texts[i])
+            while j < len(texts) and size + len(texts[j]) <= self.RUN_BYTES:
+                size += len(texts[j])
+                j += 1
+            yield self._encode(texts[i:j], end_id)
+            i = j
+
+    def _encode(self, texts: list[bytes], end_id: int) -> list[np.ndarray]:
+        if len(self.rows) > self.most:
             self._clear()
-        split = [(t if BEYOND_LATIN.search(t) else t.lower()).split() for t in texts]
-        row = self.row
-        self._learn([w for w in dict.fromkeys(w for ws in split for w in ws) if w not in row])
-        row = self.row
-        counts = np.fromiter(map(len, split), np.int64, len(split))
-        at = np.fromiter((row[w] for ws in split for w in ws), np.int64, int(counts.sum()))
-        size = self.begin[at + 1] - self.begin[at]
+        lower = [lower_latin(t) for t in texts]
+        joined = b" ".join([b"", *lower, b""])
+        start, end = word_spans(joined)
+        code, first = distinct_words(joined, start, end)
+        rows = np.fromiter(map(self.rows.__getitem__, [joined[a:b] for a, b in zip(start[first].tolist(), end[first].tolist())]),
+                           np.int64, len(first))
+        at = rows[code]
+        begin = np.array(self.rows.begin)
+        source = begin[at]
+        size = begin[at + 1] - source
         ends = np.cumsum(size)
         total = int(ends[-1]) if len(ends) else 0
-        ids = self.flat[np.arange(total) + np.repeat(self.begin[at] - (ends - size), size)]
-        upto = np.concatenate(([0], ends))[np.concatenate(([0], np.cumsum(counts)))]
+        ids = np.array(self.rows.flat, np.uint32)[np.arange(total) + np.repeat(source - (ends - size), size)]
+        # words before the end of each text, hence ids before it
+        upto = np.searchsorted(start, np.cumsum([1] + [len(t) + 1 for t in lower]))
+        upto = np.concatenate(([0], ends))[upto].tolist()
         tail = np.array([end_id], np.uint32)
-        return [np.concatenate((ids[upto[i]:upto[i + 1]], tail)) for i in range(len(texts))]
+        return [np.concatenate((ids[a:b], tail)) for a, b in zip(upto, upto[1:])]
+
+
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Begin and end of every word between ASCII white space; the data begin and end with a space."""
+    blank = IS_SPACE[np.frombuffer(data, np.uint8)]
+    edge = np.flatnonzero(blank[1:] != blank[:-1]) + 1
+    return edge[::2], edge[1::2]
+
+
+def distinct_words(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Number of each word among the distinct ones, and a first place of each.
+
+    Words of up to eight bytes are told apart by these bytes; longer ones (and
+    all, if some hold a null byte) by a fold of their blocks and length to 64 bits.
+    """
+    padded = np.frombuffer(data + bytes(8), np.uint8)
+    block = np.ndarray((len(padded) - 7,), "<u8", padded, strides=(1,))
+    size = end - start
+    key = block[start] & LOW_BYTES[np.minimum(size, 8)]
+    more = np.flatnonzero(size > 8)
+    at = 8
+    while len(more):
+        left = size[more] - at
+        fold = (key[more] ^ (key[more] >> np.uint64(29))) * FOLD + np.uint64(at)
+        key[more] = (fold ^ (fold >> np.uint64(32))) + (block[start[more] + at] & LOW_BYTES[np.minimum(left, 8)])
+        more, at = more[left > 8], at + 8
+    long = (size > 8) | (b"\0" in data)
+    key[long] = (key[long] ^ (key[long] >> np.uint64(31))) * FOLD ^ size[long].astype(np.uint64)
+    code, distinct = pd.factorize(key)
+    first = np.empty(len(distinct), np.int64)
+    first[code[::-1]] = np.arange(len(code) - 1, -1, -1)
+    return code, first
 
 
 _TOKENIZERS: dict[str, WordTokenizer] = {}
@@ -336,11 +406,12 @@ def encode_corpus(docs: DataFrame, tokenizer_path: str, path: str, end_id: int =
         counts = np.zeros(vocab, np.int64)
         tok = word_tokenizer(tokenizer_path)
         for pdf in batches:
-            ids = tok.encode([t or b"" for t in pdf["text"]], end_id)
-            if ids:
-                counts += np.bincount(np.concatenate(ids), minlength=vocab)
-            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": [len(i) for i in ids],
-                                "ids": [i.astype(kind).tobytes() for i in ids], "counts": None})
+            sizes, coded = [], []
+            for run in tok.encode([t or b"" for t in pdf["text"]], end_id):
+                counts += np.bincount(np.concatenate(run), minlength=vocab)
+                sizes.extend(map(len, run))
+                coded.extend(ids.astype(kind).tobytes() for ids in run)
+            yield pd.DataFrame({"doc_id": pdf["doc_id"], "n": sizes, "ids": coded, "counts": None})
         yield pd.DataFrame({"doc_id": [None], "n": [None], "ids": [None], "counts": [counts.astype("<i8").tobytes()]})
 
     schema = "doc_id bigint, n bigint, ids binary, counts binary"
