@@ -191,12 +191,12 @@ def rank_models(metrics: DataFrame, metric: str, by: Sequence[str] = ("run_id",)
                 tie: Sequence[str] = ("recorded_at",)) -> DataFrame:
     """T5: order models by a metric within each run; mark the best.
 
-    First wins ties: equal values are ordered by model name, then by
-    ``tie`` (first recorded). The rank is a distributed row number over
+    First wins ties: equal values are ordered by ``tie`` (first recorded, or
+    a training-order column), then by model name. The rank is a distributed row number over
     range parts (:func:`prefix.ordered_row_number`), so a run with a third
     of all rows still spreads over many tasks.
     """
     from .prefix import ordered_row_number
-    order = [F.col(value).desc(), F.col(name).asc(), *[F.col(t).asc() for t in tie]]
+    order = [F.col(value).desc(), *[F.col(t).asc() for t in tie], F.col(name).asc()]
     ranked = ordered_row_number(metrics.filter(F.col("metric_name") == metric), order, by=by, out="rank")
     return ranked.withColumn("is_best", F.col("rank") == 1)

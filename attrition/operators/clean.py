@@ -142,6 +142,20 @@ def decide_label(df: DataFrame, p: str = "churn_probability", threshold: float =
               .withColumn(f"{p}_rounded", C.round_half_even(p, scale)))
 
 
+def is_rejected(bounds: Mapping[str, tuple] | None = None, required: Sequence[str] = ("customerID",)) -> Column:
+    """Whether a row violates any rule (nulls pass range rules, fail ``required``)."""
+    tests = [F.col(c).isNull() for c in required]
+    for c, (lo, hi) in (bounds or S.REQUEST_BOUNDS).items():
+        if lo is not None:
+            tests.append(F.coalesce(F.col(c) < F.lit(lo), F.lit(False)))
+        if hi is not None:
+            tests.append(F.coalesce(F.col(c) > F.lit(hi), F.lit(False)))
+    out = F.lit(False)
+    for t in tests:
+        out = out | t
+    return out
+
+
 def violations(bounds: Mapping[str, tuple] | None = None, required: Sequence[str] = ("customerID",)) -> Column:
     """Array of violated rule names (nulls pass range rules, fail ``required``)."""
     bounds = bounds or S.REQUEST_BOUNDS
@@ -160,13 +174,12 @@ def range_quarantine(df: DataFrame, bounds: Mapping[str, tuple] | None = None,
                      required: Sequence[str] = ("customerID",)) -> tuple[DataFrame, DataFrame]:
     """Split rows into (valid, quarantined-with-``violations``).
 
-    Both outputs are filters over one projected plan; cache it upstream if
-    both are consumed by separate actions.
+    The split is an OR of plain comparisons (generated code); the array of
+    rule names is built for rejected rows only. Cache the input upstream if
+    both outputs are consumed by separate actions.
     """
-    tagged = df.withColumn("violations", violations(bounds, required))
-    ok = tagged.filter(F.size("violations") == 0).drop("violations")
-    bad = tagged.filter(F.size("violations") > 0)
-    return ok, bad
+    rejected = is_rejected(bounds, required)
+    return df.filter(~rejected), df.filter(rejected).withColumn("violations", violations(bounds, required))
 
 
 # -- composed stages ---------------------------------------------------------

@@ -7,12 +7,13 @@ handful of rows, so the final statistics (p-values, decisions) are plain
 column expressions on them.
 
 Tests (the original delegates to a drift library's defaults; we fix
-published ones): numeric columns use the two-sample Kolmogorov-Smirnov test
-(asymptotic p-value) when the reference has at most ``small_n`` rows, else the
-Wasserstein-1 distance normed by the reference standard deviation (drift at
->= 0.1). Categorical columns use a chi-square goodness-of-fit test of current
-counts against reference shares (p < 0.05) for small references, else the
-Jensen-Shannon distance (drift at >= 0.1). PSI is reported for both kinds.
+published ones). The test is an argument and never depends on the data:
+numeric columns take ``test="wasserstein"`` (Wasserstein-1 distance normed by
+the reference standard deviation, drift at >= 0.1) or ``"ks"`` (two-sample
+Kolmogorov-Smirnov, asymptotic p < 0.05); categorical columns take
+``"jensenshannon"`` (distance, drift at >= 0.1) or ``"chisquare"`` (goodness of
+fit of current counts to reference shares, p < 0.05). Every statistic is
+reported whatever the test, and PSI for both kinds.
 """
 
 from __future__ import annotations
@@ -20,75 +21,40 @@ from __future__ import annotations
 import math
 from typing import Sequence
 
-import pandas as pd
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..session import cut_lineage
-from .prefix import collapse, ordered_cumsum
+from .prefix import collapse, ordered_cumsum, range_parts
 
 ALPHA = 0.05
 DISTANCE_THRESHOLD = 0.1
-SMALL_N = 1000
 PSI_EPS = 0.0001
 
 
-# -- small numeric helpers (driver side constants) ----------------------------
-
-def chi2_sf(x: float, df: int) -> float:
-    """Survival function of the chi-square distribution (regularized upper
-    incomplete gamma; series below a+1, continued fraction above)."""
-    if x <= 0:
-        return 1.0
-    if math.isinf(x):
-        return 0.0
-    a, z = df / 2.0, x / 2.0
-    if z < a + 1:
-        term = total = 1.0 / a
-        n = a
-        for _ in range(1000):
-            n += 1
-            term *= z / n
-            total += term
-            if abs(term) < abs(total) * 1e-15:
-                break
-        return max(0.0, 1.0 - total * math.exp(-z + a * math.log(z) - math.lgamma(a)))
-    tiny = 1e-300
-    b = z + 1 - a
-    c = 1 / tiny
-    d = 1 / b
-    h = d
-    for i in range(1, 1000):
-        an = -i * (i - a)
-        b += 2
-        d = an * d + b
-        d = tiny if abs(d) < tiny else d
-        c = b + an / c
-        c = tiny if abs(c) < tiny else c
-        d = 1 / d
-        delta = d * c
-        h *= delta
-        if abs(delta - 1) < 1e-15:
-            break
-    return math.exp(-z + a * math.log(z) - math.lgamma(a)) * h
-
-
-def chi2_critical(df: int, alpha: float = ALPHA) -> float:
-    """x with chi2_sf(x, df) == alpha (bisection)."""
-    lo, hi = 0.0, max(10.0, df * 10.0)
-    for _ in range(200):
-        mid = (lo + hi) / 2
-        if chi2_sf(mid, df) > alpha:
-            lo = mid
-        else:
-            hi = mid
-    return (lo + hi) / 2
-
-
-def chi2_critical_map(max_df: int = 64, alpha: float = ALPHA) -> dict[int, float]:
-    return {k: chi2_critical(k, alpha) for k in range(1, max_df + 1)}
+# -- p-values as column expressions ---------------------------------------------
+
+def chi2_pvalue(x: Column, dof: Column) -> Column:
+    """Survival function of the chi-square distribution for integer degrees of
+    freedom: 1 - P(dof/2, x/2) by the power series of the lower incomplete
+    gamma function, scaled by the Poisson-like leading term. Far in the upper
+    tail (below 1e-80) it is 0."""
+    odd = F.pmod(dof, F.lit(2))
+    a, z = dof / F.lit(2.0), x / F.lit(2.0)
+    half = F.ceil(a).cast("int")   # gamma(a + 1) as a product of integers or half-integers
+    log_gamma = F.aggregate(F.sequence(F.lit(1), F.greatest(half, F.lit(1))), odd * F.lit(0.5 * math.log(math.pi)),
+                            lambda acc, j: acc + F.log(j - odd * F.lit(0.5)))
+    lead = F.exp(a * F.log(z) - z - log_gamma)
+    far = z > a + F.lit(20.0) * F.sqrt(a) + F.lit(200.0)
+    near_z = F.when(far, F.lit(1.0)).otherwise(z)   # bounds the length of the series
+    n = (F.greatest(near_z - a, F.lit(0.0)) + F.lit(12.0) * F.sqrt(near_z) + F.lit(60.0)).cast("int")
+    zero = F.struct(lead.alias("term"), lead.alias("total"))
+    series = F.aggregate(F.sequence(F.lit(1), n), zero, lambda acc, i: F.struct(
+        (acc["term"] * z / (a + i)).alias("term"), (acc["total"] + acc["term"] * z / (a + i)).alias("total")),
+        lambda acc: acc["total"])
+    return (F.when((dof <= 0) | (x <= 0), F.lit(1.0)).when(far, F.lit(0.0))
+            .otherwise(F.greatest(F.lit(0.0), F.least(F.lit(1.0), F.lit(1.0) - series))))
 
 
 def ks_pvalue(d: Column, n: Column, m: Column, terms: int = 100) -> Column:
@@ -111,16 +77,18 @@ def to_long(ref: DataFrame, cur: DataFrame, cols: Sequence[str], dtype: str = "d
     return one(ref, 1).unionByName(one(cur, 0))
 
 
-def drift_numeric(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small_n: int = SMALL_N,
+def drift_numeric(ref: DataFrame, cur: DataFrame, cols: Sequence[str], test: str = "wasserstein",
                   psi_bins: int = 10, scale: int = 6) -> DataFrame:
     """Per numeric column: KS statistic and p-value, Wasserstein-1 (raw
     and normed), PSI, the test used, its statistic and the drift flag."""
+    if test not in ("wasserstein", "ks"):
+        raise ValueError(f"unknown numeric drift test {test}")
     long = to_long(ref, cur, cols).filter(F.col("value").isNotNull())
     c = collapse(long, "value", {"n_ref": F.col("is_ref"), "n_cur": F.lit(1) - F.col("is_ref")}, by=["column"])
-    # the distinct-value table feeds six branches: materialize it once (reliable checkpoint)
-    c = cut_lineage(c)
+    # the distinct-value table feeds six branches: pinned once, in the range parts of the running sums
+    c = range_parts(c, "value", by=["column"])
     tot = c.groupBy("column").agg(F.sum("n_ref").alias("tot_ref"), F.sum("n_cur").alias("tot_cur"))
-    cu = ordered_cumsum(c, "value", ["n_ref", "n_cur"], by=["column"], with_next=True).join(tot, "column")
+    cu = ordered_cumsum(c, "value", ["n_ref", "n_cur"], by=["column"], with_next=True, pinned=True).join(tot, "column")
     gap = F.abs(F.col("cum_n_ref") / F.col("tot_ref") - F.col("cum_n_cur") / F.col("tot_cur"))
     ks = cu.groupBy("column").agg(
         F.first("tot_ref").alias("n_ref"), F.first("tot_cur").alias("n_cur"), F.max(gap).alias("__ks"),
@@ -144,13 +112,11 @@ def drift_numeric(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small_n:
     ks_stat, wass = r(F.col("__ks")), r(F.col("__w"))
     w_norm = r(F.when(F.col("sd") > 0, F.col("__w") / F.col("sd")))
     ks_p = r(ks_pvalue(F.col("__ks"), F.col("n_ref"), F.col("n_cur")))
-    small = F.col("n_ref") <= small_n
-    stat = F.when(small, ks_p).otherwise(w_norm)
-    drifted = F.coalesce(F.when(small, stat < ALPHA).otherwise(stat >= DISTANCE_THRESHOLD), F.lit(False))
+    stat = ks_p if test == "ks" else w_norm
+    drifted = F.coalesce(stat < ALPHA if test == "ks" else stat >= DISTANCE_THRESHOLD, F.lit(False))
     return out.select("column", "n_ref", "n_cur", ks_stat.alias("ks_stat"), ks_p.alias("ks_pvalue"),
                       wass.alias("wasserstein"), w_norm.alias("wasserstein_norm"), r(F.col("__psi")).alias("psi"),
-                      F.when(small, "ks").otherwise("wasserstein").alias("stat_test"),
-                      stat.alias("statistic"), drifted.alias("drifted"))
+                      F.lit(test).alias("stat_test"), stat.alias("statistic"), drifted.alias("drifted"))
 
 
 def _psi(t: DataFrame) -> DataFrame:
@@ -159,10 +125,13 @@ def _psi(t: DataFrame) -> DataFrame:
     return t.groupBy("column").agg(F.sum((pc - pr) * F.log(pc / pr)).alias("psi"))
 
 
-def drift_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small_n: int = SMALL_N,
+def drift_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], test: str = "jensenshannon",
                       scale: int = 6) -> DataFrame:
-    """Per categorical column: chi-square statistic and degrees of
-    freedom, Jensen-Shannon distance, PSI, the test used and the drift flag."""
+    """Per categorical column: chi-square statistic, degrees of freedom and
+    p-value (any number of categories), Jensen-Shannon distance, PSI, the test
+    used, its statistic and the drift flag."""
+    if test not in ("jensenshannon", "chisquare"):
+        raise ValueError(f"unknown categorical drift test {test}")
     long = to_long(ref, cur, cols, "string").filter(F.col("value").isNotNull())
     c = cut_lineage(long.groupBy("column", "value").agg(F.sum("is_ref").alias("nr"),
                                                         F.sum(F.lit(1) - F.col("is_ref")).alias("nc")))
@@ -180,31 +149,18 @@ def drift_categorical(ref: DataFrame, cur: DataFrame, cols: Sequence[str], small
         F.sum(F.when(p > 0, p * F.log(p / m))).alias("kl_pm"),
         F.sum(F.when(q > 0, q * F.log(q / m))).alias("kl_qm"))
     psi = _psi(t)
-    crit = chi2_critical_map()
-    crit_map = F.create_map(*[x for k, v in crit.items() for x in (F.lit(k), F.lit(v))])
     r = lambda x: F.round(x, scale)
     chi2 = r(F.when(F.col("unseen"), F.lit(float("inf"))).otherwise(F.coalesce(F.col("chi2"), F.lit(0.0))))
     dof = (F.col("k_ref") - 1).cast("int")
     js = r(F.sqrt(F.greatest(F.lit(0.0), F.lit(0.5) * F.coalesce(F.col("kl_pm"), F.lit(0.0))
                              + F.lit(0.5) * F.coalesce(F.col("kl_qm"), F.lit(0.0)))))
-    small = F.col("n_ref") <= small_n
-    drifted = F.coalesce(F.when(small, chi2 > F.element_at(crit_map, dof)).otherwise(js >= DISTANCE_THRESHOLD),
-                         F.lit(False))
-    return stats.join(psi, "column").select(
-        "column", "n_ref", "n_cur", chi2.alias("chi2"), dof.alias("dof"), js.alias("js_distance"),
-        r(F.col("psi")).alias("psi"), F.when(small, "chisquare").otherwise("jensenshannon").alias("stat_test"),
-        F.when(small, chi2).otherwise(js).alias("statistic"), drifted.alias("drifted"))
-
-
-def chi2_pvalues(cat: DataFrame) -> DataFrame:
-    """Adds ``chi2_pvalue`` to a :func:`drift_categorical` result (a few rows:
-    one per column) with an Arrow-batched pandas UDF."""
-
-    @F.pandas_udf("double")
-    def _sf(x: pd.Series, k: pd.Series) -> pd.Series:
-        return pd.Series([chi2_sf(float(a), int(b)) if b and b > 0 else 1.0 for a, b in zip(x, k)])
-
-    return cat.withColumn("chi2_pvalue", _sf(F.col("chi2"), F.col("dof")))
+    joined = stats.join(psi, "column").select(
+        "column", "n_ref", "n_cur", chi2.alias("chi2"), dof.alias("dof"), js.alias("js_distance"), r(F.col("psi")).alias("psi"))
+    out = joined.withColumn("chi2_pvalue", r(chi2_pvalue(F.col("chi2"), F.col("dof"))))
+    stat = F.col("chi2_pvalue") if test == "chisquare" else F.col("js_distance")
+    drifted = F.coalesce(stat < ALPHA if test == "chisquare" else stat >= DISTANCE_THRESHOLD, F.lit(False))
+    return out.select("column", "n_ref", "n_cur", "chi2", "dof", "chi2_pvalue", "js_distance", "psi",
+                      F.lit(test).alias("stat_test"), stat.alias("statistic"), drifted.alias("drifted"))
 
 
 def drift_summary(num: DataFrame, cat: DataFrame | None, reference_rows: Column, current_rows: Column,

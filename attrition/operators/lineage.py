@@ -10,7 +10,7 @@ from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -48,12 +48,19 @@ def schema_facet(df: DataFrame) -> DataFrame:
 
 def fingerprint(df: DataFrame, cols: Sequence[str] | None = None) -> DataFrame:
     """L2: order-free content hash of a data set: row count plus the sum of
-    the first 8 hex digits of each row's ``md5`` over its ``|``-joined text
-    (nulls as ``\\N``). Independent of partitioning and row order, and
-    recomputable by any SQL engine with ``md5``."""
+    the first 8 hex digits of each row's ``md5``. A row's text gives every
+    value with its length before it (``V3:abc``, null: ``N``), so different
+    rows have different texts. The sum is a 38-digit decimal, given as text.
+    Independent of partitioning and row order, and recomputable by any SQL
+    engine with ``md5``."""
     cols = list(cols or df.columns)
-    text = F.concat_ws("|", *[F.coalesce(F.col(c).cast("string"), F.lit("\\N")) for c in cols])
+
+    def part(c: str) -> Column:
+        v = F.col(c).cast("string")
+        return F.coalesce(F.concat(F.lit("V"), F.length(v).cast("string"), F.lit(":"), v), F.lit("N"))
+
+    text = F.concat(*[part(c) for c in cols])
     return df.agg(
         F.count(F.lit(1)).alias("row_count"),
-        F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("long")).alias("md5_sum"),
+        F.sum(F.conv(F.substring(F.md5(text), 1, 8), 16, 10).cast("decimal(38,0)")).cast("string").alias("md5_sum"),
     )

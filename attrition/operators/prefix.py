@@ -25,7 +25,7 @@ from typing import Sequence
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..session import cut_lineage
+from ..session import cut_lineage, parts_for
 
 
 def join_on(left: DataFrame, right: DataFrame, on: Sequence[str], how: str = "inner") -> DataFrame:
@@ -41,25 +41,36 @@ def collapse(df: DataFrame, value: str, sums: dict, by: Sequence[str] = ()) -> D
     return df.groupBy(*by, value).agg(*[F.sum(expr).alias(name) for name, expr in sums.items()])
 
 
+def range_parts(df: DataFrame, value: str, by: Sequence[str] = (), descending: bool = False,
+                parts: int | None = None) -> DataFrame:
+    """``df`` range-partitioned on (by, value) and pinned by a reliable
+    checkpoint, with the sort key ``__o`` and the part number ``__bucket``:
+    the input of :func:`ordered_cumsum` with ``pinned=True``, and free to be
+    read by other branches of the same plan."""
+    keys = list(by) or ["__g"]
+    o = (-F.col(value).cast("double")) if descending else F.col(value).cast("double")
+    d = df.withColumn("__o", o)
+    if not by:
+        d = d.withColumn("__g", F.lit(0))
+    n = parts or parts_for(df)
+    return cut_lineage(d.repartitionByRange(n, *keys, "__o").withColumn("__bucket", F.spark_partition_id()))
+
+
 def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                    descending: bool = False, parts: int | None = None, prefix: str = "cum_",
-                   with_next: bool = False) -> DataFrame:
+                   with_next: bool = False, pinned: bool = False) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` over ``value`` order within ``by``.
 
     ``df`` must hold one row per (by, value) — use :func:`collapse` first.
     ``with_next`` also adds ``next_value``: the following distinct value in
     the same order (null for the last one).
 
-    ``parts`` (default: shuffle partitions) is the number of range parts;
-    the result is exact for any number.
+    ``parts`` (default: from the input size) is the number of range parts;
+    the result is exact for any number. With ``pinned``, ``df`` is the result
+    of :func:`range_parts` with the same order.
     """
     keys = list(by) or ["__g"]
-    o = (-F.col(value).cast("double")) if descending else F.col(value).cast("double")
-    d = df.withColumn("__o", o)
-    if not by:
-        d = d.withColumn("__g", F.lit(0))
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    d = cut_lineage(d.repartitionByRange(n, *keys, "__o").withColumn("__bucket", F.spark_partition_id()))
+    d = df if pinned else range_parts(df, value, by, descending, parts)
     w_local = (Window.partitionBy(*keys, "__bucket").orderBy("__o")
                .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     for c in sum_cols:
@@ -102,7 +113,7 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], by: Sequence[str]
     keys = list(by) or ["__g"]
     cols = df.columns
     d = df if by else df.withColumn("__g", F.lit(0))
-    n = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = parts or parts_for(df)
     # a row id as last sort key makes every range key distinct, so even a run of
     # identical rows is split over parts; the checkpoint pins ids and parts
     d = d.withColumn("__id", F.monotonically_increasing_id())
@@ -115,4 +126,4 @@ def ordered_row_number(df: DataFrame, order: Sequence[Column], by: Sequence[str]
              .withColumn("__off", F.coalesce(F.sum("__c").over(w_off), F.lit(0)))
              .select(*keys, "__part", "__off"))
     return (join_on(d, offs, [*keys, "__part"])
-             .select(*[F.col(c) for c in cols], (F.col("__off") + F.col("__local")).cast("int").alias(out)))
+             .select(*[F.col(c) for c in cols], (F.col("__off") + F.col("__local")).cast("long").alias(out)))

@@ -225,14 +225,32 @@ class ValidationError(ValueError):
     pass
 
 
+def failed_checks(report: DataFrame) -> list[str]:
+    """Names of the failed checks (one small action: a row per rule)."""
+    return [r["rule"] for r in report.filter(~F.coalesce(F.col("success"), F.lit(False))).select("rule").collect()]
+
+
 def assert_valid(report: DataFrame) -> None:
-    """Q13: raise with the names of the failed checks (one small action)."""
-    failed = [r["rule"] for r in report.filter(~F.coalesce(F.col("success"), F.lit(False)))
-              .select("rule").collect()]
+    """Q13: raise with the names of the failed checks."""
+    failed = failed_checks(report)
     if failed:
         raise ValidationError(f"Data validation FAILED. Failed checks: {failed}")
 
 
+def gate(df: DataFrame, report: DataFrame, write, quarantine=None, write_on_fail: bool = False) -> bool:
+    """Q13: the validation gate of a stage. ``write(df)`` runs when the report
+    passes, or when ``write_on_fail`` is set. Otherwise the batch goes to
+    ``quarantine(df)`` (when given), nothing is written to the stage's own
+    output, and :class:`ValidationError` is raised. Returns whether it passed."""
+    failed = failed_checks(report)
+    if failed and not write_on_fail:
+        if quarantine is not None:
+            quarantine(df)
+        raise ValidationError(f"Data validation FAILED. Failed checks: {failed}")
+    write(df)
+    return not failed
+
+
 # -- the two rule sets of the churn configuration ------------------------------
 
 def gate_rules(min_rows: int = S.ROW_COUNT_MIN) -> list[Rule]:
@@ -255,11 +273,14 @@ def gate_rules(min_rows: int = S.ROW_COUNT_MIN) -> list[Rule]:
     ]
 
 
-def suite_rules(tenure_edges: Sequence[float] | None = None, kl_threshold: float | None = None) -> list[Rule]:
-    """The expectation suite (nulls ignored except by ``not_null``)."""
+def suite_rules(tenure_edges: Sequence[float] | None = None, kl_threshold: float | None = None,
+                min_rows: int | None = S.ROW_COUNT_MIN, max_rows: int | None = S.ROW_COUNT_MAX) -> list[Rule]:
+    """The expectation suite (nulls ignored except by ``not_null``). The row
+    count bounds are those of the original's file; pass others (or None for
+    no bound) for a larger table."""
     rs = [
         rule("columns_match", None, "columns_match", columns=S.RAW_COLUMNS),
-        rule("row_count", None, "row_count_between", min=S.ROW_COUNT_MIN, max=S.ROW_COUNT_MAX),
+        rule("row_count", None, "row_count_between", min=min_rows, max=max_rows),
         rule("not_null", "customerID"), rule("unique", "customerID"),
         rule("length_equal", "customerID", length=10),
         rule("not_null", "gender"), rule("in_set", "gender", values=S.GENDER_VALUES),

@@ -2,22 +2,18 @@
 
 Randomness comes from ``md5(seed:id)``: the same rows are picked whatever
 the partitioning, and DuckDB computes the same hash. Exact per-class ranks
-are built without a window over a whole class (a class can hold most of the
-data): rows are bucketed by the first four hex digits of the hash (65,536
-buckets, uniform by construction), a small per-(class, bucket) histogram
-gives each bucket's offset, and ``row_number`` only runs inside one
-(class, bucket) partition.
+come from the distributed row number over range parts, never from a window
+over a whole class (a class can hold most of the data).
 """
 
 from __future__ import annotations
 
 from typing import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import cut_lineage
 from ..functions import columns as C
 
 
@@ -31,46 +27,19 @@ def hash_sample(df: DataFrame, id_col: str, n: int, seed: int = S.SEED) -> DataF
     return (df.withColumn("__h", key).orderBy(F.col("__h"), F.col(id_col)).limit(n).drop("__h"))
 
 
-# A (class, bucket) holding more than HOT_FACTOR x the mean bucket plus
-# HOT_SLACK rows cannot come from the uniform hash of distinct ids: an id is
-# repeated. Such input is ranked with the distributed row number instead.
-HOT_FACTOR = 4.0
-HOT_SLACK = 10_000
-
-
-def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = S.SEED,
-                hex_digits: int = 4) -> DataFrame:
+def class_ranks(df: DataFrame, label: str, id_col: str, seed: int = S.SEED) -> DataFrame:
     """Adds ``__rank`` (1-based, by hash within class) and ``__n_class``.
 
-    One scalar over the (class, bucket) histogram (at most classes x
-    16^hex_digits rows) checks for a hot bucket; when one exists (a repeated
-    id), the ranks come from :func:`prefix.ordered_row_number`, whose range
-    parts split any group, copies of one id being numbered in any order.
-    Both ways give the same ranks for distinct ids.
+    The order is total: hash, id, then a hash of the whole row, so rows that
+    repeat an id are ranked alike in every run (identical rows are
+    interchangeable). One path for all sizes: the distributed row number of
+    :mod:`prefix`, whose range parts split any class or run of equal ids.
     """
     from .prefix import join_on, ordered_row_number
-    h = C.md5_order_key(seed, id_col)
-    keyed = df.withColumn("__h", h).withColumn("__b", F.substring("__h", 1, hex_digits))
-    # at most classes x 16^hex_digits rows, pinned once: the hot check and the
-    # ranking below read the same copy instead of each re-aggregating the input
-    hist = cut_lineage(keyed.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt")))
-    top, total, groups = hist.agg(F.max("__cnt"), F.sum("__cnt"), F.count(F.lit(1))).first()
-    if top is not None and top > HOT_FACTOR * total / groups + HOT_SLACK:
-        n_class = hist.groupBy(label).agg(F.sum("__cnt").alias("__n_class"))
-        ranked = ordered_row_number(keyed, [F.col("__h"), F.col(id_col)], by=[label], out="__rank")
-        return (join_on(ranked, n_class, [label])
-                .withColumn("__rank", F.col("__rank").cast("long")).drop("__h", "__b"))
-    wcls = Window.partitionBy(label)
-    hist = (hist.withColumn("__before", F.coalesce(F.sum("__cnt").over(
-                wcls.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)))
-                .withColumn("__n_class", F.sum("__cnt").over(wcls))
-                .drop("__cnt"))
-    # hist has at most classes x 16^hex_digits rows; AQE broadcasts it when
-    # its runtime size is under the broadcast threshold, else shuffles.
-    joined = keyed.join(hist, [label, "__b"], "inner")
-    w = Window.partitionBy(label, "__b").orderBy("__h", id_col)
-    return (joined.withColumn("__rank", F.col("__before") + F.row_number().over(w))
-                  .drop("__h", "__b", "__before"))
+    keyed = df.withColumns({"__h": C.md5_order_key(seed, id_col), "__all": F.xxhash64(*df.columns)})
+    ranked = ordered_row_number(keyed, [F.col("__h"), F.col(id_col), F.col("__all")], by=[label], out="__rank")
+    n_class = df.groupBy(label).agg(F.count(F.lit(1)).alias("__n_class"))   # one row per class
+    return join_on(ranked, n_class, [label]).drop("__h", "__all")
 
 
 def stratified_split(df: DataFrame, label: str, id_col: str, test_size: float = S.TEST_SIZE,

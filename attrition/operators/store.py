@@ -156,17 +156,17 @@ def assemble_service(views: Mapping[str, tuple[DataFrame, Sequence[str]]], key:
 
 
 def fill_from_store(requests: DataFrame, store: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
-    """Use stored features only for requests that gave **no** feature."""
-    given_none = None
-    for f in features:
-        cond = F.col(f"r.{f}").isNull()
-        given_none = cond if given_none is None else (given_none & cond)
-    st = store.select(key, *features)
-    joined = requests.alias("r").join(st.alias("s"), F.col(f"r.{key}") == F.col(f"s.{key}"), "left")
+    """Use stored features only for requests that gave **no** feature.
+
+    Only those requests join the store; the others pass by it (their columns
+    widen to the common type in the union).
+    """
+    given_any = F.coalesce(*[F.col(f).cast("string") for f in features]).isNotNull()
     other = [c for c in requests.columns if c not in features]
-    return joined.select(*[F.col(f"r.{c}") for c in other],
-                         *[F.when(given_none, F.col(f"s.{f}")).otherwise(F.col(f"r.{f}")).alias(f)
-                           for f in features])
+    rest = requests.filter(given_any).select(*other, *features)
+    st = store.select(key, *features)
+    empty = requests.filter(~given_any).alias("r").join(st.alias("s"), F.col(f"r.{key}") == F.col(f"s.{key}"), "left")
+    return rest.union(empty.select(*[F.col(f"r.{c}") for c in other], *[F.col(f"s.{f}").alias(f) for f in features]))
 
 
 def latest_batch(df: DataFrame, ts: str = "ingested_at", by_run: str | None = None) -> DataFrame:

@@ -107,7 +107,7 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None
     K.write_stage(E.pr_curve(test, "Churn", p), f"{base}/pr_curve", "csv", count=False)
 
     # 7. drift: reference sample vs the latest processed batch, summary, retrain rule
-    current = J.latest_batch(spark.table(_table_name(spark, tables, "churn_processed")), "ingested_at",
+    current = J.latest_batch(K.read_table(spark, tables["churn_processed"], "churn_processed"), "ingested_at",
                              by_run="pipeline_run_id")
     ref = spark.read.parquet(f"{base}/reference")
     num_cols = P.common_columns(ref, current, S.DRIFT_NUMERIC)
@@ -124,8 +124,3 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None
     K.write_stage(drift_metrics, tables["model_metrics"], "parquet", "append", count=False)
     return res
 
-
-def _table_name(spark: SparkSession, tables: dict, name: str) -> str:
-    """Tables were registered in a per-run database; read by path instead."""
-    spark.read.parquet(tables[name]).createOrReplaceTempView(f"pipeline_{name}")
-    return f"pipeline_{name}"

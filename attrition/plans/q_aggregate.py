@@ -151,8 +151,8 @@ def q_oldest(spark, sf):
 
 
 @query("rank_models", "T5", with_views(
-    "SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY metric_value DESC, model_name ASC, recorded_at ASC) "
-    "AS rank, row_number() OVER (PARTITION BY run_id ORDER BY metric_value DESC, model_name ASC, recorded_at ASC) = 1 "
+    "SELECT *, row_number() OVER (PARTITION BY run_id ORDER BY metric_value DESC, recorded_at ASC, model_name ASC) "
+    "AS rank, row_number() OVER (PARTITION BY run_id ORDER BY metric_value DESC, recorded_at ASC, model_name ASC) = 1 "
     "AS is_best "
     "FROM model_metrics WHERE metric_name = 'val_roc_auc'", "model_metrics"))
 def q_rank(spark, sf):

@@ -6,7 +6,6 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import drift as D
-from ..operators import sampling as R
 from ..sources import sinks as K
 from . import inputs as I
 from .catalog import query
@@ -16,9 +15,9 @@ LINE_NUMERIC = ["quantity", "extendedprice", "discount"]
 LINE_CATEGORICAL = ["returnflag", "linestatus"]
 REF_LINES = "(SELECT * FROM drift_lines WHERE side = 'reference')"
 CUR_LINES = "(SELECT * FROM drift_lines WHERE side = 'current')"
-REF_FEATURES = ("(SELECT * FROM customer_features ORDER BY md5('42:' || customerID), customerID "
-                f"LIMIT {S.REFERENCE_SAMPLE})")
-CUR_FEATURES = "customer_features"
+# two whole cohorts of the feature table
+REF_FEATURES = "(SELECT * FROM customer_features WHERE SeniorCitizen = 0)"
+CUR_FEATURES = "(SELECT * FROM customer_features WHERE SeniorCitizen = 1)"
 
 
 SPLIT_DATE = "1998-06-01"
@@ -35,8 +34,8 @@ def _lines(spark, sf):
 
 
 def _features_pair(spark, sf):
-    cur = I.features(spark, sf)
-    return R.hash_sample(cur, "customerID", S.REFERENCE_SAMPLE), cur
+    all_ = I.features(spark, sf)
+    return all_.filter("SeniorCitizen = 0"), all_.filter("SeniorCitizen = 1")
 
 
 # -- independent SQL -----------------------------------------------------------
@@ -49,7 +48,7 @@ def _long_sql(ref: str, cur: str, cols, dtype: str) -> str:
     return "(" + " UNION ALL ".join(parts) + ")"
 
 
-def numeric_sql(ref: str, cur: str, cols, small_n: int = D.SMALL_N) -> str:
+def numeric_sql(ref: str, cur: str, cols) -> str:
     return f""", lng AS (SELECT * FROM {_long_sql(ref, cur, cols, 'DOUBLE')} WHERE value IS NOT NULL),
 c AS (SELECT "column", value, sum(is_ref) AS n_ref, sum(1 - is_ref) AS n_cur FROM lng GROUP BY 1, 2),
 t AS (SELECT "column", sum(n_ref) AS tot_ref, sum(n_cur) AS tot_cur FROM c GROUP BY 1),
@@ -75,15 +74,11 @@ fin AS (SELECT "column", n_ref, n_cur, round(ks_stat, 6) AS ks_stat,
                lambda j: pow(-1.0, j - 1) * exp(-2.0 * j * j * lam * lam))), 1.0), 0.0) END, 6) AS ks_pvalue,
          round(wass, 6) AS wasserstein, round(CASE WHEN sd > 0 THEN wass / sd END, 6) AS wasserstein_norm,
          round(psi, 6) AS psi FROM st)
-SELECT *, CASE WHEN n_ref <= {small_n} THEN 'ks' ELSE 'wasserstein' END AS stat_test,
-       CASE WHEN n_ref <= {small_n} THEN ks_pvalue ELSE wasserstein_norm END AS statistic,
-       coalesce(CASE WHEN n_ref <= {small_n} THEN ks_pvalue < {D.ALPHA} ELSE wasserstein_norm >= {D.DISTANCE_THRESHOLD} END, false)
-         AS drifted FROM fin"""
+SELECT *, 'wasserstein' AS stat_test, wasserstein_norm AS statistic,
+       coalesce(wasserstein_norm >= {D.DISTANCE_THRESHOLD}, false) AS drifted FROM fin"""
 
 
-def categorical_sql(ref: str, cur: str, cols, small_n: int = D.SMALL_N) -> str:
-    crit = D.chi2_critical_map()
-    crit_case = "CASE dof " + " ".join(f"WHEN {k} THEN {v!r}" for k, v in crit.items()) + " END"
+def categorical_sql(ref: str, cur: str, cols) -> str:
     return f""", lng AS (SELECT * FROM {_long_sql(ref, cur, cols, 'VARCHAR')} WHERE value IS NOT NULL),
 c AS (SELECT "column", value, sum(is_ref) AS nr, sum(1 - is_ref) AS nc FROM lng GROUP BY 1, 2),
 t AS (SELECT "column", sum(nr) AS N_ref, sum(nc) AS N_cur FROM c GROUP BY 1),
@@ -101,11 +96,13 @@ fin AS (SELECT "column", n_ref, n_cur,
          round(CASE WHEN unseen THEN 'inf'::DOUBLE ELSE coalesce(chi2_raw, 0.0) END, 6) AS chi2, dof,
          round(sqrt(greatest(0.0, 0.5 * coalesce(kl_pm, 0.0) + 0.5 * coalesce(kl_qm, 0.0))), 6) AS js_distance,
          round(psi_raw, 6) AS psi FROM st)
-SELECT "column", n_ref, n_cur, chi2, dof, js_distance, psi,
-       CASE WHEN n_ref <= {small_n} THEN 'chisquare' ELSE 'jensenshannon' END AS stat_test,
-       CASE WHEN n_ref <= {small_n} THEN chi2 ELSE js_distance END AS statistic,
-       coalesce(CASE WHEN n_ref <= {small_n} THEN chi2 > ({crit_case}) ELSE js_distance >= {D.DISTANCE_THRESHOLD} END, false)
-         AS drifted FROM fin"""
+SELECT "column", n_ref, n_cur, chi2, dof,
+       -- survival function of the chi-square distribution, term by term through log-gamma
+       round(CASE WHEN dof <= 0 OR chi2 <= 0 THEN 1.0 WHEN chi2 > dof + 40 * sqrt(dof / 2.0) + 400 THEN 0.0
+             ELSE greatest(0.0, least(1.0, 1 - list_sum(list_transform(range(0, CAST(chi2 / 2 + 12 * sqrt(chi2 / 2) + 80 AS BIGINT)),
+                  lambda n: exp((dof / 2.0 + n) * ln(chi2 / 2) - chi2 / 2 - lgamma(dof / 2.0 + n + 1)))))) END, 6) AS chi2_pvalue,
+       js_distance, psi, 'jensenshannon' AS stat_test, js_distance AS statistic,
+       coalesce(js_distance >= {D.DISTANCE_THRESHOLD}, false) AS drifted FROM fin"""
 
 
 def summary_cte(ref: str, cur: str, num_cols, cat_cols) -> str:

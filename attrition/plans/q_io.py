@@ -82,8 +82,8 @@ def q_sink_json(spark, sf):
 def q_append(spark, sf):
     path = scratch_path(spark, "churn_validated")
     n = K.append_with_lineage(I.cleaned(spark, sf), path, "churn_validated", RUN_ID, ingested_at=_ts())
-    out = spark.read.parquet(path)
-    assert n >= 0
+    out = K.read_table(spark, path, "churn_validated")
+    assert n == out.count()
     return out
 
 
@@ -93,7 +93,7 @@ def q_append(spark, sf):
 def q_sink_predictions(spark, sf):
     path = scratch_path(spark, "churn_predictions")
     K.log_predictions(I.predictions(spark, sf), path, RUN_ID)
-    return spark.read.parquet(path)
+    return K.read_table(spark, path, "churn_predictions")
 
 
 @query("table_ddl", "S9", with_views(
@@ -106,8 +106,8 @@ def q_table_ddl(spark, sf):
     paths = K.ensure_tables(spark, base, database=db)
     K.append_with_lineage(I.cleaned(spark, sf), paths["churn_validated"], "churn_validated", RUN_ID)
     K.append_with_lineage(I.features(spark, sf), paths["churn_processed"], "churn_processed", RUN_ID, CODE_VERSION)
-    spark.catalog.refreshTable(f"{db}.churn_validated")
-    spark.catalog.refreshTable(f"{db}.churn_processed")
+    spark.catalog.recoverPartitions(f"{db}.churn_validated")
+    spark.catalog.recoverPartitions(f"{db}.churn_processed")
     return A.table_stats({t: spark.table(f"{db}.{t}") for t in S.TABLE_SCHEMAS})
 
 
@@ -138,9 +138,9 @@ _FP_COLS = S.FEATURE_TABLE_COLUMNS
 
 
 @query("dataset_fingerprint", "L2", with_views(
-    "SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5(concat_ws('|', "
-    + ", ".join(f"coalesce(CAST({c} AS VARCHAR), '\\N')" for c in _FP_COLS)
-    + ")), 1, 8) AS BIGINT)) AS BIGINT) AS md5_sum FROM customer_features", "customer_features"))
+    "SELECT count(*) AS row_count, CAST(sum(CAST('0x' || substr(md5("
+    + " || ".join(f"coalesce('V' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in _FP_COLS)
+    + "), 1, 8) AS BIGINT)) AS VARCHAR) AS md5_sum FROM customer_features", "customer_features"))
 def q_fingerprint(spark, sf):
     return L.fingerprint(I.features(spark, sf), _FP_COLS)
 

@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..operators import clean as P
 from ..operators import quality as Q
-from ..operators import sampling as R
 from . import inputs as I
 from .catalog import query
 from .oracle_sql import with_views
@@ -92,8 +91,9 @@ SELECT '{label}' AS rule, 'kl' AS kind, '{col}' AS "column", kl AS observed, coa
               UNION ALL SELECT {b} AS bin, 0 AS r, 1 AS c FROM {cur} WHERE {col} IS NOT NULL) GROUP BY bin))"""
 
 
-REFERENCE_SAMPLE_SQL = ("(SELECT * FROM customer_clean ORDER BY md5('42:' || customerID), customerID "
-                        f"LIMIT {S.REFERENCE_SAMPLE})")
+# the two cohorts that the KL rule compares, whole
+KL_REF_SQL = "(SELECT * FROM customer_clean WHERE SeniorCitizen = 0)"
+KL_CUR_SQL = "(SELECT * FROM customer_clean WHERE SeniorCitizen = 1)"
 
 
 def _report(df, rules, reference=None):
@@ -182,13 +182,15 @@ def q_rate(spark, sf):
 _KL = [Q.rule("kl", "tenure", edges=TENURE_EDGES, threshold=KL_THRESHOLD)]
 
 
+def _kl_report(clean):
+    return Q.run_rules(clean.filter("SeniorCitizen = 1"), _KL, reference=clean.filter("SeniorCitizen = 0"))
+
+
 @query("check_kl", "Q11", with_views(
-    _kl_sql("customer_clean", REFERENCE_SAMPLE_SQL, "tenure", TENURE_EDGES, KL_THRESHOLD, "kl:tenure"),
+    _kl_sql(KL_CUR_SQL, KL_REF_SQL, "tenure", TENURE_EDGES, KL_THRESHOLD, "kl:tenure"),
     "customer_clean"))
 def q_kl(spark, sf):
-    cur = I.cleaned(spark, sf)
-    ref = R.hash_sample(cur, "customerID", S.REFERENCE_SAMPLE)
-    return Q.run_rules(cur, _KL, reference=ref)
+    return _kl_report(I.cleaned(spark, sf))
 
 
 @query("validation_report", "Q12", _clean_sql(Q.gate_rules()))
@@ -201,12 +203,11 @@ _SUITE = Q.suite_rules()
 
 @query("validation_suite", "Q12", with_views(
     rules_sql("customer_clean", _SUITE, S.RAW_COLUMNS) + "\nUNION ALL\n"
-    + _kl_sql("customer_clean", REFERENCE_SAMPLE_SQL, "tenure", TENURE_EDGES, KL_THRESHOLD, "kl:tenure"),
+    + _kl_sql(KL_CUR_SQL, KL_REF_SQL, "tenure", TENURE_EDGES, KL_THRESHOLD, "kl:tenure"),
     "customer_clean"))
 def q_suite(spark, sf):
-    cur = I.cleaned(spark, sf)
-    ref = R.hash_sample(cur, "customerID", S.REFERENCE_SAMPLE)
-    return Q.run_rules(cur, Q.suite_rules(TENURE_EDGES, KL_THRESHOLD), reference=ref)
+    whole = I.cleaned(spark, sf)
+    return Q.run_rules(whole, Q.suite_rules()).unionByName(_kl_report(whole))
 
 
 @query("validation_summary", "Q12", with_views(

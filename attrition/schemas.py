@@ -66,16 +66,6 @@ FEATURE_TABLE_COLUMNS = [
 NON_MODEL_COLUMNS = ["customerID", "Churn", "tenure_group"]
 MODEL_FEATURES = [c for c in FEATURE_TABLE_COLUMNS if c not in NON_MODEL_COLUMNS]
 
-# Int8 flag columns of the processed table.
-INT8_COLUMNS = [
-    "SeniorCitizen", "Partner", "Dependents", "PhoneService", "MultipleLines",
-    "OnlineSecurity", "OnlineBackup", "DeviceProtection", "TechSupport",
-    "StreamingTV", "StreamingMovies", "PaperlessBilling", "gender_Male",
-    "InternetService_Fiber", "InternetService_No", "Contract_OneYear",
-    "Contract_TwoYear", "PaymentMethod_CreditCard", "PaymentMethod_ElecCheck",
-    "PaymentMethod_MailedCheck", "has_internet", "num_services", "Churn",
-]
-
 # Allowed values of the raw categorical columns.
 GENDER_VALUES = ["Male", "Female"]
 YES_NO_VALUES = ["Yes", "No"]

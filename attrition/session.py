@@ -26,10 +26,10 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     builder = SparkSession.builder.appName(app_name)
     if master and not given.contains("spark.master"):
         builder = builder.master(master)
-    cores = os.cpu_count() or 8
-    parts = shuffle_partitions or int(os.environ.get("ATTRITION_SHUFFLE_PARTITIONS", cores))
+    parts = shuffle_partitions or os.environ.get("ATTRITION_SHUFFLE_PARTITIONS")
+    if not parts and (master or given.get("spark.master", "")).startswith("local"):
+        parts = os.cpu_count() or 8   # one machine; a cluster keeps its own setting
     defaults = {
-        "spark.sql.shuffle.partitions": str(parts),
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.coalescePartitions.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
@@ -41,6 +41,8 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
         "spark.ui.showConsoleProgress": "false",
         "spark.driver.memory": os.environ.get("ATTRITION_DRIVER_MEMORY", "16g"),
     }
+    if parts:
+        defaults["spark.sql.shuffle.partitions"] = str(parts)
     for k, v in defaults.items():
         if not given.contains(k):
             builder = builder.config(k, v)
@@ -50,12 +52,18 @@ def get_spark(master: str | None = None, shuffle_partitions: int | None = None,
     return spark
 
 
+def is_local(master: str) -> bool:
+    """Whether driver and executors are one process (``local``, ``local[4]``; not ``local-cluster``)."""
+    return master == "local" or master.startswith("local[")
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder of the session.
 
     The cluster names a shared folder in ``spark.checkpoint.dir``; we read it
-    and never override it. Only when it is unset (local runs and tests) do
-    we pick a fresh folder of our own.
+    and never override it. Only on a local master (one machine, as in tests)
+    an unset one is replaced by a fresh folder of our own: on a cluster no
+    executor could read a folder of the driver, so that is an error.
     """
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
@@ -63,6 +71,8 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return current
     conf_dir = spark.conf.get("spark.checkpoint.dir", None)
     if not conf_dir:
+        if not is_local(sc.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         conf_dir = tempfile.mkdtemp(prefix="attrition-ckpt-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", conf_dir)
     sc.setCheckpointDir(conf_dir)
@@ -79,6 +89,27 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+#: Bytes of scanned files (or at least one checkpointed partition) per range part.
+PART_BYTES = 64 << 20
+
+
+def parts_for(df: DataFrame) -> int:
+    """Number of parts to range-partition ``df`` into: one per ``PART_BYTES``
+    of the files it scans or per partition of a checkpoint it reads, and at
+    least the session's shuffle partitions. Plan metadata only, no job."""
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    scanned = 0
+    for i in range(leaves.size()):
+        leaf = leaves.apply(i)
+        kind = leaf.getClass().getSimpleName()
+        if kind == "LogicalRelation":
+            scanned += int(str(leaf.stats().sizeInBytes()))
+        elif kind == "LogicalRDD":
+            n = max(n, leaf.rdd().getNumPartitions())
+    return max(n, -(-scanned // PART_BYTES))
+
+
 def cut_lineage(df: DataFrame, eager: bool = True) -> DataFrame:
     """Reliable checkpoint into the shared folder (survives executor loss)."""
     ensure_checkpoint_dir(df.sparkSession)

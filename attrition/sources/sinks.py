@@ -3,8 +3,10 @@
 Writes go to folders under the shared checkpoint directory (or a caller's
 path) as Parquet / CSV / JSON with ``overwrite`` or ``append``; tables are
 plain Parquet folders registered with ``CREATE TABLE ... USING parquet``.
-Row counts of overwrites are read back from the written files (Parquet
-footers, no data scan); appends count their input. (``Observation`` is not
+Warehouse tables are partitioned by run (``pipeline_run_id``), so the newest
+batch is a partition and an append's row count is that partition's footers.
+Row counts are read back from the written files (Parquet footers, no data
+scan); the input is never computed twice. (``Observation`` is not
 used: once a session has used one, Spark ML models that keep a training
 summary can no longer be serialized into tasks in that session.)
 """
@@ -62,7 +64,10 @@ def read_or_else(spark: SparkSession, primary: str, secondary: str, fmt: str = "
 def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "overwrite",
                 partition_by: Sequence[str] = (), sort_within: Sequence[str] = (),
                 count: bool = True) -> int | None:
-    """Write one stage output; returns rows written when ``count``."""
+    """Write one stage output; returns rows written when ``count``
+    (overwrites only: an append's rows cannot be told from earlier ones)."""
+    if mode == "append" and count:
+        raise ValueError("appends are counted by append_with_lineage, by run")
     out = df.sortWithinPartitions(*sort_within) if sort_within else df
     w = out.write.mode(mode)
     if partition_by:
@@ -75,8 +80,6 @@ def write_stage(df: DataFrame, path: str, fmt: str = "parquet", mode: str = "ove
         w.format(fmt).save(path)
     if not count:
         return None
-    if mode == "append":
-        return df.count()
     spark = df.sparkSession
     if fmt == "csv":
         return spark.read.options(**CSV_OPTIONS).csv(path).count()
@@ -101,25 +104,50 @@ def stamp(df: DataFrame, run_id: str, code_version: str | None = None,
 
 def append_with_lineage(df: DataFrame, table_path: str, table: str, run_id: str,
                         code_version: str = "", ingested_at: Column | None = None) -> int:
-    """Append to a warehouse table with lineage columns; returns rows inserted."""
+    """Append to a warehouse table with lineage columns; returns rows inserted.
+
+    The table is partitioned by ``pipeline_run_id``; the rows of the run are
+    counted from its files before and after, so ``df`` runs once.
+    """
+    spark = df.sparkSession
     schema = S.TABLE_SCHEMAS.get(table)
     out = stamp(df, run_id, code_version if "processed" in table else None, ingested_at)
     if schema is not None:
         out = out.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in out.columns
                            else F.lit(None).cast(f.dataType).alias(f.name) for f in schema.fields])
-    return write_stage(out, table_path, "parquet", "append")
+    before = _rows_of_run(spark, table_path, run_id)
+    write_stage(out, table_path, "parquet", "append", partition_by=[RUN_COLUMN], count=False)
+    return _rows_of_run(spark, table_path, run_id) - before
+
+
+RUN_COLUMN = "pipeline_run_id"
+
+
+def _rows_of_run(spark: SparkSession, table_path: str, run_id: str) -> int:
+    """Rows of one run: the scan is pruned to its partition and reads footers
+    only (an empty run id is stored as null)."""
+    if not path_exists(spark, table_path):
+        return 0
+    run = F.col(RUN_COLUMN) == run_id if run_id else F.col(RUN_COLUMN).isNull()
+    return spark.read.schema(f"{RUN_COLUMN} string").parquet(table_path).filter(run).count()
+
+
+def read_table(spark: SparkSession, table_path: str, table: str) -> DataFrame:
+    """A warehouse table by path with its declared types (run ids stay strings)."""
+    return spark.read.schema(S.TABLE_SCHEMAS[table]).parquet(table_path)
 
 
 def log_predictions(scored: DataFrame, table_path: str, run_id: str = "") -> int:
-    """Append scored rows to the predictions log (7 given columns,
-    the request time and run id defaulted)."""
-    cols = ["prediction_id", "customerID", "churn_probability", "churn_prediction",
-            "model_name", "model_version", "latency_ms"]
-    if "request_timestamp" in scored.columns:
-        cols.append("request_timestamp")
-    out = scored.select(*cols)
-    return append_with_lineage(out, table_path, "churn_predictions", run_id,
-                               ingested_at=None)
+    """Append scored rows to the predictions log."""
+    return append_with_lineage(prediction_log_rows(scored), table_path, "churn_predictions", run_id)
+
+
+def prediction_log_rows(scored: DataFrame) -> DataFrame:
+    """The log's given columns; the request time is now where there is none."""
+    now = F.current_timestamp()
+    time = F.coalesce(F.col("request_timestamp"), now) if "request_timestamp" in scored.columns else now
+    return scored.select("prediction_id", "customerID", "churn_probability", "churn_prediction", "model_name",
+                         "model_version", time.alias("request_timestamp"), "latency_ms")
 
 
 def metrics_long(wide: DataFrame, run_id: str, model_name: str, metric_cols: Sequence[str],
@@ -141,8 +169,9 @@ def metrics_long(wide: DataFrame, run_id: str, model_name: str, metric_cols: Seq
 def ensure_tables(spark: SparkSession, base: str, tables: Sequence[str] | None = None,
                   database: str | None = None) -> dict[str, str]:
     """Create the warehouse tables if missing (Parquet folders under
-    ``base``, registered in the session catalog, optionally in ``database``).
-    Returns name -> path."""
+    ``base``, registered in the session catalog, optionally in ``database``;
+    partitioned by run where they have a run id: after an append by path,
+    ``spark.catalog.recoverPartitions`` shows the new run). Returns name -> path."""
     prefix = ""
     if database:
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{base.rstrip('/')}'")
@@ -151,6 +180,7 @@ def ensure_tables(spark: SparkSession, base: str, tables: Sequence[str] | None =
     for name in tables or S.TABLE_SCHEMAS:
         path = f"{base.rstrip('/')}/{name}"
         ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in S.TABLE_SCHEMAS[name].fields)
-        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({ddl}) USING parquet LOCATION '{path}'")
+        by = f"PARTITIONED BY ({RUN_COLUMN}) " if RUN_COLUMN in S.TABLE_SCHEMAS[name].fieldNames() else ""
+        spark.sql(f"CREATE TABLE IF NOT EXISTS {prefix}{name} ({ddl}) USING parquet {by}LOCATION '{path}'")
         paths[name] = path
     return paths

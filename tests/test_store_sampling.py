@@ -93,10 +93,9 @@ def test_point_in_time_join_null_keys_and_one_hot_instant(spark):
         assert got == want, parts
 
 
-def test_split_with_a_hot_repeated_id(spark, monkeypatch):
+def test_split_with_a_hot_repeated_id(spark):
     rows = [(f"c{i:05d}", i % 3 == 0) for i in range(1800)] + [("dup", True)] * 1200
     df = spark.createDataFrame(rows, "id string, y boolean").withColumn("y", F.col("y").cast("int"))
-    monkeypatch.setattr(R, "HOT_SLACK", 50)     # small data: make the 1,200 copies count as hot
     out = R.stratified_split(df, "y", "id", 0.2, 0.1, 42).toPandas()
     for cls, n in ((1, 600 + 1200), (0, 1200)):
         sub = out[out.y == cls]
@@ -106,11 +105,13 @@ def test_split_with_a_hot_repeated_id(spark, monkeypatch):
         assert (sub.split == "test").sum() == k_test and (sub.split == "val").sum() == k_val
 
 
-def test_hot_path_ranks_equal_bucket_path_for_distinct_ids(spark, monkeypatch):
-    rows = [(f"c{i:05d}", i % 4 == 0) for i in range(2000)]
-    df = spark.createDataFrame(rows, "id string, y boolean")
-    cold = {r["id"]: r["__rank"] for r in R.class_ranks(df, "y", "id", 42).collect()}
-    monkeypatch.setattr(R, "HOT_FACTOR", 0.0)
-    monkeypatch.setattr(R, "HOT_SLACK", 0)
-    hot = {r["id"]: r["__rank"] for r in R.class_ranks(df, "y", "id", 42).collect()}
-    assert hot == cold
+def test_ranks_follow_the_hash_and_are_repeatable_for_repeated_ids(spark):
+    import hashlib
+    rows = [(f"c{i % 700:05d}", i % 4 == 0, i) for i in range(2000)]
+    df = spark.createDataFrame(rows, "id string, y boolean, v int")
+    one = {r["v"]: r["__rank"] for r in R.class_ranks(df, "y", "id", 42).collect()}
+    two = {r["v"]: r["__rank"] for r in R.class_ranks(df.repartition(7, "v"), "y", "id", 42).collect()}
+    assert one == two
+    for y in (True, False):
+        got = [i for i, f, v in sorted((r for r in rows if r[1] == y), key=lambda r: one[r[2]])]
+        assert got == sorted(got, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
