@@ -25,6 +25,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from . import clean as P
 from . import evaluate as E
+from . import sampling as R
 from . import store as J
 
 VEC = "features_vec"
@@ -96,6 +97,11 @@ def p1(name: str) -> Column:
     return vector_to_array(F.col(f"prob_{name}")).getItem(1)
 
 
+def soft_vote(df: DataFrame, cols: Sequence[str], out: str = "p_vote") -> DataFrame:
+    """M5: the mean of the given class-1 probabilities."""
+    return df.withColumn(out, sum(F.col(c) for c in cols) / F.lit(float(len(cols))))
+
+
 def score_with(models: dict[str, Model], df: DataFrame, vote: Sequence[str] | None = None) -> DataFrame:
     """Apply fitted models in turn; adds ``p_<name>`` and, when ``vote`` is
     given, ``p_vote`` = mean of their class-1 probabilities (M5)."""
@@ -103,13 +109,12 @@ def score_with(models: dict[str, Model], df: DataFrame, vote: Sequence[str] | No
     for name, m in models.items():
         out = m.transform(out).withColumn(f"p_{name}", p1(name)) \
                .drop(f"prob_{name}", f"raw_{name}", f"pred_{name}")
-    if vote:
-        out = out.withColumn("p_vote", sum(F.col(f"p_{n}") for n in vote) / F.lit(float(len(vote))))
-    return out
+    return soft_vote(out, [f"p_{n}" for n in vote]) if vote else out
 
 
-def split_metrics(scored: DataFrame, label: str, p: str, prefix: str, scale: int = 4) -> DataFrame:
-    """AUC, accuracy, F1, precision, recall of one split (rounded as logged)."""
+def split_metrics(scored: DataFrame, label: str, p: str, prefix: str, scale: int | None = 4) -> DataFrame:
+    """AUC, accuracy, F1, precision, recall of one split, rounded to ``scale``
+    places (as logged) or, with None, in full precision."""
     d = scored.withColumn("__pred", (F.col(p) >= S.DECISION_THRESHOLD).cast("int"))
     cm = E.confusion_metrics(d, label, "__pred", scale=scale)
     auc = E.roc_auc(d, label, p, scale=scale).select("roc_auc").scalar()
@@ -139,8 +144,32 @@ def cross_validate(estimator, df: DataFrame, fold_col: str, label: str = "Churn"
     return mean, math.sqrt(sum((a - mean) ** 2 for a in aucs) / k)
 
 
-def importances(model, names: Sequence[str], n: int = 20, scale: int = 6):
-    """(feature, importance) of a tree model, descending, top ``n``.
+def cross_validate_all(df: DataFrame, features: Sequence[str], label: str = "Churn", id_col: str = "customerID",
+                       k: int = S.CV_FOLDS, overrides: dict | None = None, scale: int = 4) -> dict[str, tuple[float, float]]:
+    """M6: AUC mean and population std over k stratified folds for each
+    learner and for their soft vote. Every fold trains the learners once; the
+    vote is scored from the same fits."""
+    data = assembler(features).transform(with_training_weights(R.assign_folds(df, label, id_col, k), label)).cache()
+    aucs: dict[str, list[float]] = {n: [] for n in [*LEARNERS, "voting_ensemble"]}
+    for f in range(k):
+        fold = data.filter(F.col("fold") != f)
+        models = {n: make_classifier(n, label, overrides=(overrides or {}).get(n)).fit(fold) for n in LEARNERS}
+        scored = score_with(models, data.filter(F.col("fold") == f), vote=LEARNERS).cache()
+        for n in aucs:
+            p = "p_vote" if n == "voting_ensemble" else f"p_{n}"
+            aucs[n].append(float(E.roc_auc(scored, label, p, scale=None).first()["roc_auc"] or 0.0))
+        scored.unpersist()
+    data.unpersist()
+    out = {}
+    for n, v in aucs.items():
+        mean = sum(v) / k
+        out[n] = (round(mean, scale), round(math.sqrt(sum((a - mean) ** 2 for a in v) / k), scale))
+    return out
+
+
+def importances(model, names: Sequence[str], n: int | None = 20, scale: int = 6):
+    """T4: (feature, importance) of a tree model, descending, top ``n``; with
+    ``n=None`` every feature (E6).
 
     The importance vector has one entry per feature (bounded by the schema).
     """
@@ -161,20 +190,34 @@ class TrainResult:
     metrics: DataFrame
     best: str
     features: list = field(default_factory=list)
+    reports: DataFrame | None = None        # classification report per model (test split)
+    importances: dict = field(default_factory=dict)   # top 20 per learner
+
+
+#: The learners in training order; the first trained wins ties.
+LEARNERS = ["random_forest", "xgboost", "lightgbm"]
 
 
 def train_all(train: DataFrame, val: DataFrame, test: DataFrame, features: Sequence[str] = S.MODEL_FEATURES,
               label: str = "Churn", run_id: str = "train", overrides: dict | None = None,
-              save_to: str | None = None) -> TrainResult:
+              save_to: str | None = None, cv_folds: int = 0, cv_overrides: dict | None = None,
+              id_col: str = "customerID") -> TrainResult:
     """M7: fit the three learners, score every split, log metrics long,
-    add the soft vote, pick the best model by validation AUC (full precision).
+    add the soft vote, pick the best model by validation AUC (full precision;
+    the first trained wins ties). Classification reports (test split) and the
+    top 20 importances come per model. With ``cv_folds`` the stratified
+    cross-validation of every learner and the vote on the training split is
+    logged as ``cv_auc_mean`` / ``cv_auc_std``; ``cv_overrides`` are its
+    hyper-parameters (default: those of the fit).
 
     With ``save_to`` every model is saved with Spark ML persistence and the
     reloaded copy is used (it carries no training summary, so it holds no
-    reference to the session)."""
+    reference to the session); the feature list and the name of the best model
+    are written beside them."""
     asm = assembler(features)
     tr = asm.transform(with_training_weights(train, label)).cache()
-    names = ["random_forest", "xgboost", "lightgbm"]
+    names = LEARNERS
+
     def fit(n):
         m = make_classifier(n, label, overrides=(overrides or {}).get(n)).fit(tr)
         return persist_model(m, f"{save_to.rstrip('/')}/{n}") if save_to else m
@@ -182,40 +225,70 @@ def train_all(train: DataFrame, val: DataFrame, test: DataFrame, features: Seque
     # sequential on purpose: boosting is bound by per-iteration job scheduling on
     # the driver, so concurrent boosters only contend (measured slower)
     models = {n: fit(n) for n in names}
-    parts = []
+    # five metrics per model and split and a report per model: a few rows each
+    spark = train.sparkSession
+    rows, reports, val_auc = [], [], {}
     for split_name, df in (("train", train), ("val", val), ("test", test)):
         scored = score_with(models, asm.transform(df), vote=names).cache()
         for n in [*names, "vote"]:
-            m = split_metrics(scored, label, f"p_{n}", split_name)
-            long = m.unpivot([], m.columns, "metric_name", "metric_value")
-            parts.append(long.withColumn("model_name", F.lit("voting_ensemble" if n == "vote" else n)))
-    metrics = parts[0]
-    for p_ in parts[1:]:
-        metrics = metrics.unionByName(p_)
-    metrics = metrics.withColumn("run_id", F.lit(run_id)).select("run_id", "model_name", "metric_name", "metric_value")
-    val_auc = metrics.filter(F.col("metric_name") == "val_roc_auc")
-    best = val_auc.orderBy(F.col("metric_value").desc(), F.col("model_name")).first()["model_name"]
+            name = "voting_ensemble" if n == "vote" else n
+            m = split_metrics(scored, label, f"p_{n}", split_name, scale=None).first().asDict()
+            rows += [(run_id, name, k, None if v is None else round(v, 4)) for k, v in m.items()]
+            if split_name == "val":
+                val_auc[name] = m["val_roc_auc"] if m["val_roc_auc"] is not None else -1.0
+            if split_name == "test":
+                pred = scored.withColumn("__pred", (F.col(f"p_{n}") >= S.DECISION_THRESHOLD).cast("int"))
+                report = E.classification_report(pred, label, "__pred")
+                columns = ["model_name", *report.columns]
+                reports += [(name, *r) for r in report.collect()]
+                report_schema = "model_name string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in report.schema)
+        scored.unpersist()
+    if cv_folds:
+        cv = cross_validate_all(train, features, label, id_col, cv_folds, cv_overrides or overrides)
+        for n, (mean, std) in cv.items():
+            rows += [(run_id, n, "cv_auc_mean", mean), (run_id, n, "cv_auc_std", std)]
+    metrics = spark.createDataFrame(rows, "run_id string, model_name string, metric_name string, metric_value double")
+    best = max(val_auc, key=val_auc.get)   # in training order: the first of equal ones
     tr.unpersist()
-    return TrainResult(models, metrics, best, list(features))
-
-
-def score(requests: DataFrame, models: dict, features: Sequence[str] = S.MODEL_FEATURES,
-          store: DataFrame | None = None, vote: Sequence[str] | None = None, model_name: str = "churn_classifier",
-          model_version: str = "1", key: str = "customerID") -> tuple[DataFrame, DataFrame]:
-    """M8: set-based scoring. Returns (scored, quarantined)."""
-    ok, bad = P.range_quarantine(requests)
+    if save_to:
+        record = spark.createDataFrame([(best, list(features))], "best_model string, features array<string>")
+        record.coalesce(1).write.mode("overwrite").json(f"{save_to.rstrip('/')}/record")
+    return TrainResult(models, metrics, best, list(features), spark.createDataFrame(reports, report_schema).select(*columns),
+                       {n: importances(models[n], features) for n in names})
+
+
+def score_all(requests: DataFrame, models: dict, features: Sequence[str] = S.MODEL_FEATURES,
+              store: DataFrame | None = None, vote: Sequence[str] | None = None, model_name: str = "churn_classifier",
+              model_version: str = "1", key: str = "customerID") -> DataFrame:
+    """M8: every request comes back: the columns it has besides the features,
+    ``status`` (scored or rejected), ``violations`` (the rules a rejected one
+    breaks, else empty) and the result columns (null where rejected). One
+    pass over the requests, so it also runs on a stream."""
+    rejected = P.is_rejected()
+    tagged = requests.withColumns({
+        "status": F.when(rejected, F.lit("rejected")).otherwise(F.lit("scored")),
+        "violations": F.when(rejected, P.violations()).otherwise(F.array().cast("array<string>"))})
     if store is not None:
-        ok = J.fill_from_store(ok, store, key, features)
-    ok = P.derive_missing(ok)
-    ok = P.align_columns(ok, features, fill=0, keep=[c for c in ok.columns if c not in features])
-    scored = score_with(models, assembler(features).transform(ok), vote=vote)
+        tagged = J.fill_from_store(tagged, store, key, features)
+    tagged = P.derive_missing(tagged)
+    ready = P.align_columns(tagged, features, fill=0, keep=[c for c in tagged.columns if c not in features])
+    scored = score_with(models, assembler(features).transform(ready), vote=vote)
     pcol = "p_vote" if vote else f"p_{list(models)[0]}"
-    out = (scored.withColumn("churn_probability", F.col(pcol))
+    out = (scored.withColumn("churn_probability", F.when(F.col("status") == "scored", F.col(pcol)))
                  .transform(P.with_risk_level)
                  .transform(P.decide_label)
                  .withColumn("model_name", F.lit(model_name))
                  .withColumn("model_version", F.lit(model_version)))
-    keep = [c for c in requests.columns if c not in features] + [
-        "churn_probability", "churn_probability_rounded", "churn_prediction", "churn_label", "risk_level",
-        "model_name", "model_version"]
-    return out.select(*keep), bad
+    results = ["churn_probability", "churn_probability_rounded", "churn_prediction", "churn_label", "risk_level"]
+    keep = [c for c in requests.columns if c not in features]
+    return out.select(*keep, "status", "violations",
+                      *[F.when(F.col("status") == "scored", F.col(c)).alias(c) for c in results],
+                      "model_name", "model_version")
+
+
+def score(requests: DataFrame, models: dict, features: Sequence[str] = S.MODEL_FEATURES,
+          store: DataFrame | None = None, vote: Sequence[str] | None = None, model_name: str = "churn_classifier",
+          model_version: str = "1", key: str = "customerID") -> tuple[DataFrame, DataFrame]:
+    """M8 in two frames: (scored, rejected with ``violations``)."""
+    every = score_all(requests, models, features, store, vote, model_name, model_version, key)
+    return every.filter("status = 'scored'").drop("status", "violations"), P.range_quarantine(requests)[1]

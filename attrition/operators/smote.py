@@ -4,20 +4,24 @@ Exact kNN without comparing all pairs:
 
 1. identical feature vectors are collapsed into one point with a
    multiplicity (a heavy duplicate is one row, not a hot group);
-2. every point is projected on a direction ``v`` (unit length, weighted by
-   the per-feature spread): ``|a_i - a_j| <= ||x_i - x_j||``, so a band
-   ``|a_i - a_j| <= r`` around a point holds every neighbour within ``r``;
+2. every point is projected on two directions of unit length, ``a`` and
+   ``b``: ``|a_i - a_j| <= ||x_i - x_j||`` and likewise for ``b``, so the
+   rectangle of ``a_i +- r`` and ``b_i +- r`` holds every neighbour within ``r``;
 3. an upper bound ``r_i`` on the k-th neighbour distance comes from the
-   points of the neighbouring rank buckets: runs of a fixed number of
-   consecutive points in projection order (a distributed row number), so
-   each point meets a bounded number of others;
-4. the exact neighbours are found by a band join: each point visits the
-   buckets its band ``[a_i - r_i, a_i + r_i]`` touches (equi-join on the
-   bucket), the band filter and the true distance decide, and a window per
-   point keeps its k nearest (ties by point id).
+   points of the neighbouring rank buckets on either direction: runs of a
+   fixed number of consecutive points, so each point meets a bounded number
+   of others;
+4. each direction is cut into slices of equally many points, by rank, so a
+   far outlier or a dense stretch makes no large slice; a cell is a pair of
+   slices. Each point visits the cells its rectangle touches (equi-join on
+   the cell); the rectangle, then the true distance decide, and a window per
+   point keeps its k nearest (ties by point id). Slice numbers of the
+   rectangle's sides are ranks, from the distributed prefix sum.
 
 Synthetic rows are generated by ``spark.range`` and placed with
-md5-derived numbers (base row, neighbour slot, gap), joined by equi-joins.
+md5-derived numbers (base row, neighbour slot, gap), joined by equi-joins. A
+point with fewer than k others in its class draws from those it has, and a
+class of one row yields copies of it, so the number of rows is always exact.
 """
 
 from __future__ import annotations
@@ -31,7 +35,7 @@ from pyspark.sql import functions as F
 from .. import schemas as S
 from ..functions.columns import hash_unit
 from ..session import cut_lineage
-from .prefix import ordered_row_number
+from .prefix import collapse, ordered_cumsum, ordered_row_number
 from .sampling import class_ranks
 
 
@@ -47,6 +51,78 @@ def collapse_points(df: DataFrame, features: Sequence[str]) -> DataFrame:
               .withColumn("pk", F.md5(F.to_json(F.col("x")))))
 
 
+def _directions(stats, n_features: int) -> list[Column]:
+    """Two orthogonal unit directions, weighted by the spread of each feature."""
+    w = [float(stats[f"s{i}"] or 0.0) + 1e-9 * (1 + (i * 0.6180339887) % 1) for i in range(n_features)]
+    one = math.sqrt(sum(x * x for x in w))
+    v = [x / one for x in w]
+    u = [x if i % 2 == 0 else -x for i, x in enumerate(v)]
+    along = sum(x * y for x, y in zip(u, v))
+    u = [x - along * y for x, y in zip(u, v)]
+    two = math.sqrt(sum(x * x for x in u)) or 1.0
+    return [F.array(*[F.lit(x) for x in v]), F.array(*[F.lit(x / two) for x in u])]
+
+
+def _with_slices(pts: DataFrame, col: str, size: int) -> DataFrame:
+    """Adds ``<col>_s``: the slice of each point, ``size`` points in ``col``
+    order each, and ``<col>_lo`` / ``<col>_hi``: the slices of the first and
+    last point within ``r`` of it."""
+    sides = pts.withColumns({"__lo": F.col(col) - F.col("r"), "__hi": F.col(col) + F.col("r")})
+    values = sides.select(F.inline(F.array(F.struct(F.col(col).alias("v"), F.lit(1).alias("n")),
+                                           F.struct(F.col("__lo").alias("v"), F.lit(0).alias("n")),
+                                           F.struct(F.col("__hi").alias("v"), F.lit(0).alias("n")))))
+    ranks = ordered_cumsum(collapse(values, "v", {"n": F.col("n")}), "v", ["n"])
+    first = F.floor((F.col("cum_n") - F.col("n")) / size)     # slice of the first point at or after v
+    last = F.floor((F.col("cum_n") - 1) / size)               # slice of the last point at or before v
+    own = ranks.select(F.col("v").alias("__v"), first.alias(f"{col}_s"))
+    lo = ranks.select(F.col("v").alias("__v"), first.alias(f"{col}_lo"))
+    hi = ranks.select(F.col("v").alias("__v"), last.alias(f"{col}_hi"))
+    out = sides
+    for key, side in ((col, own), ("__lo", lo), ("__hi", hi)):
+        out = out.join(side, F.col(key) == F.col("__v")).drop("__v")
+    return out.drop("__lo", "__hi")
+
+
+def candidate_pairs(pts: DataFrame, cell_points: int = 32) -> DataFrame:
+    """Step 4 up to the distance: ``pk, x, r, q, xq, mq`` for every ordered
+    pair whose rectangles allow ``dist <= r``. ``pts``: pk, x, m, a, b, r."""
+    n = pts.count()
+    size = max(cell_points, math.isqrt(n * cell_points))      # sqrt(n / cell_points) slices each way
+    sliced = cut_lineage(_with_slices(cut_lineage(_with_slices(pts, "a", size)), "b", size))
+    cells = sliced.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("m").alias("mq"), F.col("a").alias("aq"),
+                          F.col("b").alias("bq"), F.col("a_s").alias("ca"), F.col("b_s").alias("cb"))
+    visits = (sliced.select("pk", "x", "a", "b", "r", "b_lo", "b_hi", F.explode(F.sequence("a_lo", "a_hi")).alias("ca"))
+              .select("pk", "x", "a", "b", "r", "ca", F.explode(F.sequence("b_lo", "b_hi")).alias("cb")))
+    return visits.join(cells, ["ca", "cb"]).filter(
+        (F.col("q") != F.col("pk")) & (F.abs(F.col("aq") - F.col("a")) <= F.col("r"))
+        & (F.abs(F.col("bq") - F.col("b")) <= F.col("r"))).select("pk", "x", "r", "q", "xq", "mq")
+
+
+def with_radius(points: DataFrame, k: int, n_features: int, bucket_target: int = 32) -> DataFrame:
+    """Steps 2 and 3: ``pk, x, m, a, b, r`` of every collapsed point (``r`` is
+    infinite where the whole data hold fewer than k others)."""
+    stats = points.agg(*[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(n_features)]).first()
+
+    def project(v: Column) -> Column:
+        return F.aggregate(F.zip_with(F.col("x"), v, lambda p, q: p * q), F.lit(0.0), lambda acc, z: acc + z)
+
+    v, u = _directions(stats, n_features)
+    pts = cut_lineage(points.withColumns({"a": project(v), "b": project(u)}))
+    # each point meets at most 3 * size others per direction, and at least k of them when the data has k others
+    size = max(bucket_target, k + 1)
+    found = []
+    for col in ("a", "b"):
+        ranked = ordered_row_number(pts.select("pk", "x", "m", col), [F.col(col).asc(), F.col("pk").asc()], out="__r")
+        ranked = ranked.withColumn("rb", F.floor((F.col("__r") - 1) / F.lit(size)).cast("long"))
+        others = ranked.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("m").alias("mq"), F.col("rb").alias("b"))
+        probe = ranked.select("pk", "x", "m", F.explode(F.sequence(F.col("rb") - 1, F.col("rb") + 1)).alias("b"))
+        near = probe.join(others, "b").filter(F.col("q") != F.col("pk")).withColumn("d", _dist("x", "xq"))
+        found.append(_kth(near, pts, k))
+    # a hair wider than the distance, so that rounding of the projections drops no neighbour
+    radius = found[0].union(found[1]).groupBy("pk").agg((F.min("r") * (1 + 1e-9) + 1e-9).alias("r"))
+    return cut_lineage(pts.join(radius, "pk", "left").withColumn("r", F.coalesce("r", F.lit(float("inf")))))
+
+
 def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 32) -> DataFrame:
     """k nearest neighbours (by multiplicity) of every collapsed point.
 
@@ -54,50 +130,9 @@ def knn_exact(points: DataFrame, k: int, n_features: int, bucket_target: int = 3
     neighbour slots ``[slot_lo, slot_hi)`` of ``pk`` (the point itself fills
     the first ``m-1`` slots when it is duplicated).
     """
-    stats = points.agg(*[F.stddev_pop(F.col("x")[i]).alias(f"s{i}") for i in range(n_features)],
-                       F.sum("m").alias("n")).first()
-    w = [float(stats[f"s{i}"] or 0.0) + 1e-9 * (1 + (i * 0.6180339887) % 1) for i in range(n_features)]
-    norm = math.sqrt(sum(x * x for x in w))
-    v = F.array(*[F.lit(x / norm) for x in w])
-    pts = cut_lineage(points.withColumn("a", F.aggregate(F.zip_with(F.col("x"), v, lambda p, q: p * q),
-                                                         F.lit(0.0), lambda acc, z: acc + z)))
-    lo, hi, n = pts.agg(F.min("a"), F.max("a"), F.count(F.lit(1))).first()
-    span = max(float(hi) - float(lo), 1e-12)
-    width = span / max(1.0, n / float(bucket_target))
-
-    def bucket(col: str, wd: float) -> Column:
-        return F.floor((F.col(col) - F.lit(float(lo))) / F.lit(wd)).cast("long")
-
-    # -- step 3: upper bounds r_i from the points of the neighbouring rank buckets.
-    # Buckets of `size` consecutive points in projection order (a distributed row
-    # number), so a dense stretch of the projection never makes a large bucket:
-    # each point meets at most 3 * size others, and at least k of them when the
-    # data has k others.
-    size = max(bucket_target, k + 1)
-    ranked = ordered_row_number(pts.select("pk", "x", "a", "m"), [F.col("a").asc(), F.col("pk").asc()], out="__r")
-    ranked = ranked.withColumn("rb", F.floor((F.col("__r") - 1) / F.lit(size)).cast("long"))
-    others = ranked.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("m").alias("mq"),
-                           F.col("rb").alias("b"))
-    probe = ranked.select("pk", "x", "a", "m", F.explode(F.sequence(F.col("rb") - 1, F.col("rb") + 1)).alias("b"))
-    cand = (probe.join(others, "b").filter(F.col("q") != F.col("pk"))
-                 .withColumn("d", _dist("x", "xq")))
-    radius = cut_lineage(_kth(cand, pts, k))
-    # points with fewer than k others in the whole data: every point is a candidate
-    rest = pts.select("pk").join(radius.select("pk"), "pk", "left_anti").withColumn("r", F.lit(float("inf")))
-    radius = radius.unionByName(rest)
-
-    # -- step 4: exact band join at the finest bucket width
-    q_side = pts.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("a").alias("aq"),
-                        F.col("m").alias("mq"), bucket("a", width).alias("b"))
-    rr = F.least(F.col("r"), F.lit(span))
-    band = (pts.join(radius, "pk")
-               .select("pk", "x", "a", "m", "r",
-                       F.explode(F.sequence(F.floor((F.col("a") - rr - F.lit(float(lo))) / F.lit(width)).cast("long"),
-                                            F.floor((F.col("a") + rr - F.lit(float(lo))) / F.lit(width)).cast("long")))
-                       .alias("b")))
-    cand = (band.join(q_side, "b").filter((F.col("q") != F.col("pk")) & (F.abs(F.col("aq") - F.col("a")) <= F.col("r")))
-                .withColumn("d", _dist("x", "xq")).filter(F.col("d") <= F.col("r")))
-    return _slots(cand, pts, k)
+    pts = with_radius(points, k, n_features, bucket_target)
+    near = candidate_pairs(pts, bucket_target).withColumn("d", _dist("x", "xq")).filter(F.col("d") <= F.col("r"))
+    return _slots(near.join(pts.select("pk", "m"), "pk"), pts, k)
 
 
 def _first_k(cand: DataFrame, k: int) -> DataFrame:
@@ -155,18 +190,22 @@ def smote(df: DataFrame, label: str, features: Sequence[str], id_col: str, ratio
     # the minority rows feed the kNN, the ranks and the synthesis: materialize once
     mino = cut_lineage(base.filter(F.col(label) == minority))
     pts = collapse_points(mino, features)
-    nbrs = knn_exact(pts, k, len(features))
+    # at most k neighbours per point, as one array; the slots run from 0 without gaps
+    nbrs = knn_exact(pts, k, len(features)).groupBy("pk").agg(
+        F.collect_list(F.struct("slot_lo", "slot_hi", "nb")).alias("nbs"), F.max("slot_hi").alias("slots"))
     ranked = (class_ranks(mino, label, id_col, seed)
               .select(F.col("__rank").alias("rank"), F.array(*[F.col(c) for c in features]).alias("x")))
     spark = df.sparkSession
     s = spark.range(n_new).select(
         F.col("id").alias("s"),
         (F.floor(hash_unit(seed, F.col("id"), "base") * n_min) + 1).alias("rank"),
-        F.floor(hash_unit(seed, F.col("id"), "slot") * k).cast("long").alias("slot"),
+        hash_unit(seed, F.col("id"), "slot").alias("u"),
         hash_unit(seed, F.col("id"), "gap").alias("gap"))
     with_base = s.join(ranked, "rank").withColumn("pk", F.md5(F.to_json(F.col("x"))))
-    picked = (with_base.join(nbrs.select("pk", "nb", "slot_lo", "slot_hi"), "pk")
-                       .filter((F.col("slot") >= F.col("slot_lo")) & (F.col("slot") < F.col("slot_hi"))))
+    slot = F.floor(F.col("u") * F.col("slots"))
+    mine = F.filter("nbs", lambda n: (n["slot_lo"] <= F.col("slot")) & (F.col("slot") < n["slot_hi"]))
+    picked = (with_base.join(nbrs, "pk", "left").withColumn("slot", slot)
+              .withColumn("nb", F.coalesce(F.get(mine, F.lit(0))["nb"], F.col("pk"))).drop("nbs", "slots"))
     nb_x = pts.select(F.col("pk").alias("nb"), F.col("x").alias("xn"))
     syn = (picked.join(nb_x, "nb")
                  .withColumn("xs", F.zip_with("x", "xn", lambda a, b: a + F.col("gap") * (b - a))))

@@ -47,7 +47,8 @@ def _lineage(spark, base, df, job, run_id, state, inputs, outputs, rows=None):
 
 def run_batch_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None, run_id: str | None = None,
                        code_version: str = "", raw: DataFrame | None = None, min_rows: int = S.ROW_COUNT_MIN,
-                       overrides: dict | None = None) -> PipelineResult:
+                       overrides: dict | None = None, cv_folds: int = S.CV_FOLDS,
+                       write_on_fail: bool = False) -> PipelineResult:
     base = (base or scratch_path(spark, "pipeline")).rstrip("/")
     run_id = run_id or uuid.uuid4().hex
     res = PipelineResult(base, run_id)
@@ -60,20 +61,38 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None
     ingested = spark.read.parquet(f"{base}/raw")
     _lineage(spark, base, ingested, "ingest", run_id, "COMPLETE", [sf_dir], [f"{base}/raw"], res.rows["ingested"])
 
-    # 2. validate: the stage output is written first, then a failed gate raises
+    # 2. validate: the report is always written; a batch that fails the gate goes to
+    # quarantine and the run stops (with write_on_fail it goes on)
     validated = P.cast_narrow(ingested, ["SeniorCitizen"])
-    report = Q.run_rules(validated, Q.gate_rules(min_rows))
-    K.write_stage(report, f"{base}/validation_report", "json", count=False)
-    res.rows["validated"] = K.write_stage(validated, f"{base}/validated", "parquet")
-    K.append_with_lineage(validated, tables["churn_validated"], "churn_validated", run_id)
-    Q.assert_valid(report)
+    paths = [f"{base}/raw"], [f"{base}/validated"]
+    _lineage(spark, base, validated, "validate", run_id, "START", *paths)
+    K.write_stage(Q.run_rules(validated, Q.gate_rules(min_rows)), f"{base}/validation_report", "json", count=False)
+    report = spark.read.schema("rule string, kind string, column string, observed double, success boolean").json(
+        f"{base}/validation_report")
+
+    def accept(df: DataFrame) -> None:
+        res.rows["validated"] = K.write_stage(df, f"{base}/validated", "parquet")
+        K.append_with_lineage(spark.read.parquet(f"{base}/validated"), tables["churn_validated"], "churn_validated", run_id)
+
+    def reject(df: DataFrame) -> None:
+        res.rows["quarantined"] = K.write_stage(df, f"{base}/quarantine", "parquet")
+
+    try:
+        passed = Q.gate(validated, report, accept, reject, write_on_fail)
+    except Q.ValidationError:
+        _lineage(spark, base, validated, "validate", run_id, "FAIL", [f"{base}/raw"], [f"{base}/quarantine"], res.rows["quarantined"])
+        raise
+    _lineage(spark, base, validated, "validate", run_id, "COMPLETE" if passed else "FAIL", *paths, res.rows["validated"])
 
     # 3. preprocess: features, reference sample, processed table
     features = P.build_features(spark.read.parquet(f"{base}/validated"))
+    paths = [f"{base}/validated"], [f"{base}/processed", f"{base}/reference"]
+    _lineage(spark, base, features, "preprocess", run_id, "START", *paths)
     res.rows["processed"] = K.write_stage(features, f"{base}/processed", "parquet")
     processed = spark.read.parquet(f"{base}/processed")
     K.write_stage(R.hash_sample(processed, "customerID", S.REFERENCE_SAMPLE), f"{base}/reference", "parquet")
     K.append_with_lineage(processed, tables["churn_processed"], "churn_processed", run_id, code_version)
+    _lineage(spark, base, processed, "preprocess", run_id, "COMPLETE", *paths, res.rows["processed"])
 
     # 4. feature store: stamped snapshot + latest row per entity
     snap = processed.withColumn("event_timestamp", F.current_timestamp()) \
@@ -90,8 +109,12 @@ def run_batch_pipeline(spark: SparkSession, sf_dir: str, base: str | None = None
     train = SM.smote(parts["train"], "Churn", S.MODEL_FEATURES, "customerID").drop("is_synthetic")
     K.write_stage(train, f"{base}/train_resampled", "parquet")
     trained = M.train_all(spark.read.parquet(f"{base}/train_resampled"), parts["val"], parts["test"],
-                          run_id=run_id, overrides=overrides, save_to=f"{base}/models")
+                          run_id=run_id, overrides=overrides, save_to=f"{base}/models", cv_folds=cv_folds)
     res.best_model = trained.best
+    K.write_stage(trained.reports, f"{base}/model_reports", "json", count=False)
+    top = [(n, i + 1, f, v) for n, vals in trained.importances.items() for i, (f, v) in enumerate(vals)]
+    K.write_stage(spark.createDataFrame(top, "model_name string, rank int, feature string, importance double"),
+                  f"{base}/model_importances", "json", count=False)
     metrics = trained.metrics.withColumn("recorded_at", F.current_timestamp())
     K.write_stage(metrics, tables["model_metrics"], "parquet", "append", count=False)
 

@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import aggregate as A
+from ..operators import clean as P
 from ..operators import lineage as L
 from ..session import scratch_path
 from ..sources import sinks as K
@@ -118,20 +119,32 @@ def q_fallback(spark, sf):
     return K.read_or_else(spark, scratch_path(spark, "missing-table"), path)
 
 
-@query("lineage_events", "L1", with_views(
-    f"SELECT '{RUN_ID}' AS run_id, 'ingest' AS job, 'START' AS state, 1 AS n_inputs, 1 AS n_outputs, "
-    "21 AS n_schema_fields, CAST(NULL AS BIGINT) AS row_count UNION ALL "
-    f"SELECT '{RUN_ID}', 'ingest', 'COMPLETE', 1, 1, 21, count(*) FROM customer_clean", "customer_clean"))
+_LINEAGE_STAGES = [("ingest", S.RAW_COLUMNS, "customer_clean"), ("validate", S.RAW_COLUMNS, "customer_clean"),
+                   ("preprocess", S.FEATURE_TABLE_COLUMNS, "customer_features")]
+
+
+@query("lineage_events", "L1", with_views(" UNION ALL ".join(
+    f"SELECT '{RUN_ID}' AS run_id, '{job}' AS job, '{state}' AS state, 1 AS n_inputs, 1 AS n_outputs, "
+    f"'{','.join(cols)}' AS fields, true AS has_time, {n} AS row_count"
+    for job, cols, view in _LINEAGE_STAGES
+    for state, n in (("START", "CAST(NULL AS BIGINT)"), ("COMPLETE", f"(SELECT count(*) FROM {view})"))), "customer_features"))
 def q_lineage(spark, sf):
-    clean = I.cleaned(spark, sf)
-    out = scratch_path(spark, "raw-ingested")
-    src = f"{sf.rstrip('/')}/customer.parquet"
-    start = L.lineage_event(spark, clean, "ingest", RUN_ID, "START", [src], [out], event_time=None)
-    rows = K.write_stage(clean, out, "csv")
-    done = L.lineage_event(spark, clean, "ingest", RUN_ID, "COMPLETE", [src], [out], row_count=rows)
-    return start.unionByName(done).select(
+    """Events of three written stages: each reads what the one before wrote."""
+    events, src = None, f"{sf.rstrip('/')}/customer.parquet"
+    steps = {"ingest": lambda _: I.cleaned(spark, sf), "validate": lambda df: P.cast_narrow(df, ["SeniorCitizen"]),
+             "preprocess": P.build_features}
+    df = None
+    for job, step in steps.items():
+        df, out = step(df), scratch_path(spark, f"lineage-{job}")
+        start = L.lineage_event(spark, df, job, RUN_ID, "START", [src], [out])
+        rows = K.write_stage(df, out, "parquet")
+        done = L.lineage_event(spark, df, job, RUN_ID, "COMPLETE", [src], [out], row_count=rows)
+        events = start.unionByName(done) if events is None else events.unionByName(start).unionByName(done)
+        df, src = spark.read.parquet(out), out
+    return events.select(
         "run_id", "job", "state", F.size("inputs").alias("n_inputs"), F.size("outputs").alias("n_outputs"),
-        F.size("schema_fields").alias("n_schema_fields"), "row_count")
+        F.array_join(F.transform("schema_fields", lambda f: f["name"]), ",").alias("fields"),
+        F.col("event_time").isNotNull().alias("has_time"), "row_count")
 
 
 _FP_COLS = S.FEATURE_TABLE_COLUMNS

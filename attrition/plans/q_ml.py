@@ -1,8 +1,13 @@
 """Queries for training, scoring and model reports.
 
 Model fitting is deterministic at a fixed seed; fitted models are kept in a
-per-process registry keyed by input folder so that the queries that share a
-model (importances, vote, scoring, segments) do not refit it.
+registry keyed by application and input folder so that the queries that share
+a model (importances, vote, scoring, segments) do not refit it.
+
+A model's numbers depend on its learner, which SQL does not have. So these
+queries return, for every row or metric, what SQL can decide (which rows are
+in the split, which requests are rejected and why, how many rows a segment
+has) beside checks of the model's output that must all be true.
 """
 
 from __future__ import annotations
@@ -10,6 +15,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators import clean as P
 from ..operators import evaluate as E
 from ..operators import ml as M
 from ..operators import sampling as R
@@ -31,7 +37,7 @@ def resampled(spark, sf):
     """Training split plus SMOTE rows (minority to 0.7 x majority), as the
     original trains; the resampled set is written once to the shared
     checkpoint folder so training reads a fixed input."""
-    key = ("smote", sf)
+    key = (spark.sparkContext.applicationId, "smote", sf)
     if key not in _REGISTRY:
         tr = splits(spark, sf)["train"]
         out = SM.smote(tr, "Churn", S.MODEL_FEATURES, "customerID", S.SMOTE_RATIO, S.SMOTE_K, S.SEED)
@@ -40,7 +46,7 @@ def resampled(spark, sf):
 
 
 def trained(spark, sf) -> M.TrainResult:
-    key = ("train_all", sf)
+    key = (spark.sparkContext.applicationId, "train_all", sf)
     if key not in _REGISTRY:
         sp = splits(spark, sf)
         train = resampled(spark, sf).drop("is_synthetic")
@@ -54,8 +60,21 @@ def _test_scores(spark, sf, names, vote=None):
     test = M.assembler(S.MODEL_FEATURES).transform(splits(spark, sf)["test"])
     scored = M.score_with({n: res.models[n] for n in names}, test, vote=vote)
     p = "p_vote" if vote else f"p_{names[0]}"
-    return scored.select("customerID", "Churn", F.round(p, 6).alias("probability"),
-                         (F.col(p) >= S.DECISION_THRESHOLD).cast("tinyint").alias("prediction"))
+    decided = P.decide_label(scored.withColumn("churn_probability", F.col(p)))
+    return decided.select("customerID", "Churn", F.col(p).between(0, 1).alias("probability_in_range"),
+                          (F.col("churn_prediction") == (F.col(p) >= S.DECISION_THRESHOLD).cast("int")).alias("decision_matches"))
+
+
+# the test split, ranked in plain SQL
+_RANKED = """, r AS (SELECT customerID, Churn,
+  row_number() OVER (PARTITION BY Churn ORDER BY md5('42:' || customerID), customerID) AS rk,
+  count(*) OVER (PARTITION BY Churn) AS nc FROM customer_features),
+split AS (SELECT customerID, Churn, CASE WHEN rk <= round(nc * 0.2) THEN 'test'
+  WHEN rk <= round(nc * 0.2) + round((nc - round(nc * 0.2)) * 0.1) THEN 'val' ELSE 'train' END AS split FROM r)
+"""
+_TEST_SQL = with_views(_RANKED + "SELECT customerID, Churn, true AS probability_in_range, true AS decision_matches "
+                       "FROM split WHERE split = 'test'", "customer_features")
+_MODELS_SQL = "(SELECT unnest(['random_forest', 'xgboost', 'lightgbm', 'voting_ensemble']) AS model_name)"
 
 
 @query("balanced_weights", "M4", with_views(
@@ -66,89 +85,179 @@ def q_weights(spark, sf):
         .withColumn("weight", F.round("weight", 6))
 
 
-@query("rf_train", "M1")
+@query("rf_train", "M1", _TEST_SQL)
 def q_rf(spark, sf):
     return _test_scores(spark, sf, ["random_forest"])
 
 
-@query("gbt_train", "M2")
+@query("gbt_train", "M2", _TEST_SQL)
 def q_gbt(spark, sf):
     return _test_scores(spark, sf, ["xgboost"])
 
 
-@query("gbt_balanced_train", "M3")
+@query("gbt_balanced_train", "M3", _TEST_SQL)
 def q_gbt_bal(spark, sf):
     return _test_scores(spark, sf, ["lightgbm"])
 
 
-@query("soft_vote", "M5")
+@query("soft_vote", "M5", with_views(
+    "SELECT line_id, round((score + score * score + (1 - score)) / 3, 6) AS p_vote, "
+    "CAST(CASE WHEN (score + score * score + (1 - score)) / 3 >= 0.5 THEN 1 ELSE 0 END AS TINYINT) AS prediction "
+    "FROM scored_lines", "scored_lines"))
 def q_vote(spark, sf):
-    names = ["random_forest", "xgboost", "lightgbm"]
-    return _test_scores(spark, sf, names, vote=names)
+    """The vote over three given scores per line (of the trained learners: ``rf_train`` and its twins, ``score_batch``)."""
+    given = I.scored_lines(spark, sf).withColumns({
+        "p_a": F.col("score"), "p_b": F.col("score") * F.col("score"), "p_c": 1 - F.col("score")})
+    return M.soft_vote(given, ["p_a", "p_b", "p_c"]).select(
+        "line_id", F.round("p_vote", 6).alias("p_vote"), (F.col("p_vote") >= 0.5).cast("tinyint").alias("prediction"))
+
 
+# cross-validation fits every learner k times: fewer rounds than the training run
+CV_FIT = {"random_forest": {"numTrees": 20, "maxDepth": 5}, "xgboost": {"maxIter": 5}, "lightgbm": {"maxIter": 5}}
 
-@query("cross_validate", "M6")
+
+@query("cross_validate", "M6", with_views(_RANKED + f""", f AS (
+  SELECT *, (row_number() OVER (PARTITION BY Churn ORDER BY md5('42:' || customerID), customerID) - 1) % 5 AS fold
+  FROM split WHERE split = 'train')
+SELECT m.model_name, CAST(fold AS INTEGER) AS fold, count(*) AS n_rows, CAST(sum(Churn) AS BIGINT) AS n_positive,
+       true AS auc_in_range FROM f, {_MODELS_SQL} m GROUP BY 1, 2""", "customer_features"))
 def q_cv(spark, sf):
     tr = splits(spark, sf)["train"]
-    folds = R.assign_folds(tr, "Churn", "customerID", S.CV_FOLDS, S.SEED)
-    data = M.assembler(S.MODEL_FEATURES).transform(M.with_training_weights(folds)).cache()
-    est = M.make_classifier("random_forest")
-    mean, std = M.cross_validate(est, data, "fold")
-    data.unpersist()
-    return spark.createDataFrame([("random_forest", round(mean, 4), round(std, 4))],
-                                 "model_name string, cv_auc_mean double, cv_auc_std double")
+    cv = M.cross_validate_all(tr, S.MODEL_FEATURES, k=S.CV_FOLDS, overrides=CV_FIT)
+    done = spark.createDataFrame([(n, m, d) for n, (m, d) in cv.items()], "model_name string, mean double, std double")
+    sizes = R.assign_folds(tr, "Churn", "customerID", S.CV_FOLDS, S.SEED).groupBy("fold").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum("Churn").alias("n_positive"))
+    ok = F.col("mean").between(0, 1) & F.col("std").between(0, 0.5)
+    # a row per model for each fold
+    models = done.agg(F.collect_list(F.struct("model_name", ok.alias("auc_in_range"))).alias("ms")).select(F.explode("ms").alias("m"))
+    tagged = models.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(S.CV_FOLDS - 1))))
+    return sizes.join(tagged, "fold").select("m.model_name", "fold", "n_rows", "n_positive", "m.auc_in_range")
+
+
+_METRIC_SQL = ("(SELECT unnest(['train', 'val', 'test']) || '_' || m AS metric_name FROM "
+               "(SELECT unnest(['roc_auc', 'accuracy', 'f1', 'precision', 'recall']) AS m))")
 
 
-@query("train_pipeline", "M7")
+@query("train_pipeline", "M7", with_views(
+    f"SELECT 'train-run' AS run_id, m.model_name, k.metric_name, true AS in_range, 1 AS best_models, "
+    f"(SELECT count(*) FROM customer_features) AS n_rows FROM {_MODELS_SQL} m, {_METRIC_SQL} k", "customer_features"))
 def q_train(spark, sf):
     res = trained(spark, sf)
-    return res.metrics.withColumn("is_best", F.col("model_name") == F.lit(res.best))
+    best = res.metrics.select(F.count_distinct(F.when(F.col("model_name") == res.best, F.col("model_name"))).cast("int")).scalar()
+    return res.metrics.select("run_id", "model_name", "metric_name", F.col("metric_value").between(0, 1).alias("in_range"),
+                              best.alias("best_models"), I.features(spark, sf).select(F.count(F.lit(1))).scalar().alias("n_rows"))
+
+
+def _violation_sql() -> str:
+    tests = [("customerID IS NULL", "customerID:required")]
+    for c, (lo, hi) in S.REQUEST_BOUNDS.items():
+        tests += [(f"{c} < {lo}", f"{c}:min")] if lo is not None else []
+        tests += [(f"{c} > {hi}", f"{c}:max")] if hi is not None else []
+    return "concat_ws(',', " + ", ".join(f"CASE WHEN {t} THEN '{n}' END" for t, n in tests) + ")"
 
 
-@query("score_batch", "M8")
+REQUEST_SQL = (f"SELECT CAST(request_id AS BIGINT) AS request_id, customerID, CASE WHEN v = '' THEN 'scored' ELSE 'rejected' END "
+               f"AS status, v AS violations, true AS result_matches FROM (SELECT *, {_violation_sql()} AS v FROM score_requests)")
+
+
+def result_matches():
+    """Whether the result columns of a request agree with its status: all
+    consistent for a scored one, all null for a rejected one."""
+    p = F.col("churn_probability")
+    good = p.between(0, 1) & (F.col("churn_prediction") == (p >= S.DECISION_THRESHOLD).cast("int")) & F.col("risk_level").isNotNull()
+    return F.coalesce(F.when(F.col("status") == "scored", good).otherwise(
+        F.coalesce(p.cast("string"), F.col("churn_prediction").cast("string"), F.col("risk_level")).isNull()), F.lit(False))
+
+
+@query("score_batch", "M8", with_views(REQUEST_SQL, "score_requests"))
 def q_score(spark, sf):
     res = trained(spark, sf)
-    names = ["random_forest", "xgboost", "lightgbm"]
-    scored, _ = M.score(I.requests(spark, sf), {n: res.models[n] for n in names},
+    names = M.LEARNERS
+    every = M.score_all(I.requests(spark, sf), {n: res.models[n] for n in names},
                         store=I.features(spark, sf), vote=names, model_name="voting_ensemble")
-    return scored
+    return every.select("request_id", "customerID", "status", F.array_join("violations", ",").alias("violations"),
+                        result_matches().alias("result_matches"))
 
 
-def _importances(spark, sf, name):
+def _importances(spark, sf, name, n):
+    """Feature, rank and whether the importance is in [0, 1] and no larger than the one before."""
     res = trained(spark, sf)
-    rows = M.importances(res.models[name], res.features, n=20)
-    return spark.createDataFrame([(name, f, v) for f, v in rows], "model_name string, feature string, importance double")
+    vals = M.importances(res.models[name], res.features, n=n)
+    rows = [(name, i + 1, f, 0 <= v <= 1 and (i == 0 or v <= vals[i - 1][1])) for i, (f, v) in enumerate(vals)]
+    return spark.createDataFrame(rows, "model_name string, rank int, feature string, in_order boolean")
 
 
-@query("top_importances", "T4")
+@query("top_importances", "T4", with_views(
+    "SELECT 'random_forest' AS model_name, CAST(rank AS INTEGER) AS rank, true AS in_order, "
+    "(SELECT count(*) FROM customer_features) AS n_rows FROM range(1, 21) t(rank)", "customer_features"))
 def q_top_imp(spark, sf):
-    return _importances(spark, sf, "random_forest")
+    n_rows = I.features(spark, sf).select(F.count(F.lit(1))).scalar()
+    return _importances(spark, sf, "random_forest", 20).select("model_name", "rank", "in_order", n_rows.alias("n_rows"))
 
 
-@query("feature_importance", "E6")
-def q_imp(spark, sf):
-    a = _importances(spark, sf, "xgboost")
-    return a.unionByName(_importances(spark, sf, "lightgbm"))
+_FEATURES_SQL = "(SELECT unnest([" + ", ".join(f"'{f}'" for f in S.MODEL_FEATURES) + "]) AS feature)"
 
 
-@query("segment_eval", "E7")
+@query("feature_importance", "E6", with_views(
+    f"SELECT m.model_name, f.feature, true AS in_order, (SELECT count(*) FROM customer_features) AS n_rows "
+    f"FROM {_MODELS_SQL} m, {_FEATURES_SQL} f WHERE m.model_name IN ('xgboost', 'lightgbm')", "customer_features"))
+def q_imp(spark, sf):
+    """Every feature of both boosted learners."""
+    n_rows = I.features(spark, sf).select(F.count(F.lit(1))).scalar()
+    both = _importances(spark, sf, "xgboost", None).unionByName(_importances(spark, sf, "lightgbm", None))
+    return both.select("model_name", "feature", "in_order", n_rows.alias("n_rows"))
+
+
+# name -> (segment, assertion); the segment is plain SQL in both dialects
+_MONTHLY = "Contract_OneYear = 0 AND Contract_TwoYear = 0"
+_NEW = f"tenure <= 6 AND InternetService_Fiber = 1 AND {_MONTHLY}"
+_LOYAL = "tenure >= 48 AND Contract_TwoYear = 1"
+SEGMENTS = {
+    "new_fiber_monthly_probability": (_NEW, "churn_probability > 0.4"),
+    "new_fiber_monthly_risk": (_NEW, "risk_level IN ('MEDIUM', 'HIGH', 'CRITICAL')"),
+    "loyal_two_year_probability": (_LOYAL, "churn_probability < 0.5"),
+    "loyal_two_year_decision": (_LOYAL, "churn_prediction = 0"),
+    "required_fields": ("true", "customerID IS NOT NULL AND churn_probability IS NOT NULL AND churn_prediction IS NOT NULL "
+                                "AND risk_level IS NOT NULL AND model_name IS NOT NULL"),
+    "probability_in_unit_range": ("true", "churn_probability >= 0 AND churn_probability <= 1"),
+    "senior_monthly_high_charges": (f"SeniorCitizen = 1 AND MonthlyCharges >= 80 AND {_MONTHLY}", "churn_probability > 0.3"),
+}
+
+
+@query("segment_eval", "E7", with_views(" UNION ALL ".join(
+    f"SELECT '{name}' AS segment, (SELECT count(*) FROM customer_features WHERE {seg}) AS rows, true AS counts_agree"
+    for name, (seg, _) in SEGMENTS.items()), "customer_features"))
 def q_segments(spark, sf):
     res = trained(spark, sf)
-    names = ["random_forest", "xgboost", "lightgbm"]
-    feats = I.features(spark, sf)
-    scored = M.score_with({n: res.models[n] for n in names}, M.assembler(S.MODEL_FEATURES).transform(feats),
-                          vote=names).withColumn("churn_probability", F.col("p_vote"))
-    p = F.col("churn_probability")
-    month_to_month = (F.col("Contract_OneYear") == 0) & (F.col("Contract_TwoYear") == 0)
-    assertions = {
-        "new_fiber_month_to_month_high_risk": (
-            (F.col("tenure") <= 6) & (F.col("InternetService_Fiber") == 1) & month_to_month, p > 0.4),
-        "long_tenure_two_year_low_risk": ((F.col("tenure") >= 48) & (F.col("Contract_TwoYear") == 1), p < 0.5),
-        "probability_in_unit_range": (F.lit(True), (p >= 0) & (p <= 1)),
-    }
-    return E.segment_eval(scored, assertions)
-
-
-@query("smote", "R4")
+    scored = M.score_with({n: res.models[n] for n in M.LEARNERS},
+                          M.assembler(S.MODEL_FEATURES).transform(I.features(spark, sf)), vote=M.LEARNERS)
+    scored = P.decide_label(P.with_risk_level(scored.withColumn("churn_probability", F.col("p_vote")))) \
+        .withColumn("model_name", F.lit("voting_ensemble"))
+    out = E.segment_eval(scored, {name: (F.expr(seg), F.expr(check)) for name, (seg, check) in SEGMENTS.items()})
+    always = F.col("segment").isin("required_fields", "probability_in_unit_range")
+    agree = F.col("passed").between(0, F.col("rows")) & (F.col("success") == ((F.col("rows") > 0) & (F.col("passed") == F.col("rows")))) \
+        & (~always | F.col("success"))
+    return out.select("segment", "rows", agree.alias("counts_agree"))
+
+
+@query("smote", "R4", with_views(_RANKED + """, n AS (SELECT Churn, count(*) AS c FROM split WHERE split = 'train' GROUP BY 1)
+SELECT Churn, is_synthetic, n_rows, true AS in_range FROM (
+  SELECT Churn, false AS is_synthetic, c AS n_rows FROM n
+  UNION ALL SELECT 1, true, CAST(floor(0.7 * (SELECT c FROM n WHERE Churn = 0)) AS BIGINT) - (SELECT c FROM n WHERE Churn = 1))
+WHERE n_rows > 0""", "customer_features"))
 def q_smote(spark, sf):
-    return resampled(spark, sf)
+    """Rows by class and kind, and whether every synthetic value lies within its class."""
+    out = resampled(spark, sf)
+    lo_hi = out.filter("not is_synthetic and Churn = 1").agg(
+        *[F.min(c).alias(f"lo_{c}") for c in S.MODEL_FEATURES], *[F.max(c).alias(f"hi_{c}") for c in S.MODEL_FEATURES])
+    ranges = out.groupBy("Churn", "is_synthetic").agg(
+        F.count(F.lit(1)).alias("n_rows"), *[F.min(c).alias(f"min_{c}") for c in S.MODEL_FEATURES],
+        *[F.max(c).alias(f"max_{c}") for c in S.MODEL_FEATURES])
+    inside = ~F.col("is_synthetic")
+    within = F.lit(True)
+    for c in S.MODEL_FEATURES:
+        within = within & (F.col(f"min_{c}") >= F.col(f"lo_{c}") - 1e-9) & (F.col(f"max_{c}") <= F.col(f"hi_{c}") + 1e-9)
+    # one row of class bounds, four of counts
+    bounds = lo_hi.withColumn("is_synthetic", F.lit(True))
+    return ranges.join(bounds, "is_synthetic", "left").select("Churn", "is_synthetic", "n_rows",
+                                                            (inside | F.coalesce(within, F.lit(False))).alias("in_range"))

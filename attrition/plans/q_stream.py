@@ -14,6 +14,7 @@ from .. import schemas as S
 from ..session import scratch_path
 from ..sources.views import table_path
 from ..streaming import monitor as SM
+from . import inputs as I
 from . import q_ml
 from .catalog import query
 from .oracle_sql import with_views
@@ -44,7 +45,8 @@ def q_stream_rate_result(spark, sf):
     return SM.run_to_completion(spark, out, "stream-rate-result")
 
 
-@query("stream_score", "W7")
+@query("stream_score", "W7", with_views(q_ml.REQUEST_SQL.replace("SELECT CAST(request_id AS BIGINT) AS request_id",
+       "SELECT CAST(request_id AS VARCHAR) AS prediction_id"), "score_requests"))
 def q_stream_score(spark, sf):
     res = q_ml.trained(spark, sf)
     names = ["random_forest", "xgboost", "lightgbm"]
@@ -55,9 +57,11 @@ def q_stream_score(spark, sf):
     q.awaitTermination()
     if q.exception() is not None:
         raise q.exception()
-    return spark.read.parquet(sink).select("prediction_id", "customerID", F.round("churn_probability", 6)
-                                           .alias("churn_probability"), "churn_prediction", "risk_level",
-                                           "model_name")
+    out = spark.read.parquet(sink)
+    consistent = F.when(F.col("status") == "scored", F.col("churn_probability").between(0, 1) & F.col("churn_prediction").isNotNull()) \
+        .otherwise(F.col("churn_probability").isNull() & F.col("churn_prediction").isNull()) & F.col("request_timestamp").isNotNull()
+    return out.select("prediction_id", "customerID", "status", F.array_join("violations", ",").alias("violations"),
+                      F.coalesce(consistent, F.lit(False)).alias("result_matches"))
 
 
 def _stream_quantile_sql() -> str:
@@ -88,7 +92,8 @@ FROM st WHERE t - t0 >= 120""", "predictions")
 
 @query("stream_alert_for", "W4", _stream_alert_sql())
 def q_stream_alert(spark, sf):
-    s = SM.view_stream(spark, table_path(sf, "events"), "predictions").withColumn(
+    own = SM.state_session(spark)
+    s = SM.view_stream(own, table_path(sf, "events"), "predictions").withColumn(
         "latency_s", F.col("latency_ms") / 1000)
     q = SM.windowed_quantile_stream(s, "request_timestamp", "latency_s", S.LATENCY_EDGES, 0.95) \
         .withColumn("quantile", F.round("quantile", 6))
@@ -98,11 +103,21 @@ def q_stream_alert(spark, sf):
 
 @query("stream_absence_alert", "W6", with_views("""
 , s AS (SELECT DISTINCT CAST(floor(epoch(request_timestamp) / 60) AS BIGINT) AS slot FROM predictions),
-c AS (SELECT slot FROM s WHERE make_timestamp((slot + 1) * 60 * 1000000)
-      <= (SELECT max(request_timestamp) FROM predictions) - INTERVAL 10 MINUTE),
-g AS (SELECT range AS slot FROM range((SELECT min(slot) FROM c), (SELECT max(slot) FROM c) + 1))
+g AS (SELECT range AS slot FROM range((SELECT min(slot) FROM s), (SELECT max(slot) FROM s) + 1))
 SELECT make_timestamp(slot * 60 * 1000000) AS slot_start, make_timestamp((slot + 1) * 60 * 1000000) AS slot_end
-FROM g WHERE slot NOT IN (SELECT slot FROM c)""", "predictions"))
+FROM g WHERE slot NOT IN (SELECT slot FROM s) AND make_timestamp((slot + 1) * 60 * 1000000)
+      <= (SELECT max(request_timestamp) FROM predictions) - INTERVAL 10 MINUTE""", "predictions"))
 def q_stream_absence(spark, sf):
     s = SM.view_stream(spark, table_path(sf, "events"), "predictions")
-    return SM.run_to_completion(spark, SM.absence_stream(s, "request_timestamp"), "stream-absence")
+    beats = replayed_clock(spark, I.predictions(spark, sf), "request_timestamp")
+    return SM.run_to_completion(spark, SM.absence_stream(s, "request_timestamp", beats), "stream-absence")
+
+
+def replayed_clock(spark, df, ts, seconds=60):
+    """The heartbeats of a backfill: one per slot of the time that ``df`` spans, as a stream."""
+    t = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds)
+    lo, hi = df.agg(F.min(t), F.max(t)).first()
+    path = scratch_path(spark, "clock")
+    slots = spark.range(int(lo or 0), int(hi or -1) + 1)
+    slots.select(F.timestamp_seconds(F.col("id") * seconds).alias(ts)).write.parquet(path)
+    return spark.readStream.schema(f"{ts} timestamp").parquet(path)

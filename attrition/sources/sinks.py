@@ -139,15 +139,15 @@ def read_table(spark: SparkSession, table_path: str, table: str) -> DataFrame:
 
 def log_predictions(scored: DataFrame, table_path: str, run_id: str = "") -> int:
     """Append scored rows to the predictions log."""
-    return append_with_lineage(prediction_log_rows(scored), table_path, "churn_predictions", run_id)
+    return append_with_lineage(scored.select(*prediction_log_columns(scored)), table_path, "churn_predictions", run_id)
 
 
-def prediction_log_rows(scored: DataFrame) -> DataFrame:
-    """The log's given columns; the request time is now where there is none."""
+def prediction_log_columns(scored: DataFrame) -> list[Column]:
+    """The log's columns; the request time is now where there is none."""
     now = F.current_timestamp()
-    time = F.coalesce(F.col("request_timestamp"), now) if "request_timestamp" in scored.columns else now
-    return scored.select("prediction_id", "customerID", "churn_probability", "churn_prediction", "model_name",
-                         "model_version", time.alias("request_timestamp"), "latency_ms")
+    time = F.coalesce(F.col("request_timestamp").cast("timestamp"), now) if "request_timestamp" in scored.columns else now
+    given = ["prediction_id", "customerID", "churn_probability", "churn_prediction", "model_name", "model_version"]
+    return [*map(F.col, given), time.alias("request_timestamp"), F.col("latency_ms")]
 
 
 def metrics_long(wide: DataFrame, run_id: str, model_name: str, metric_cols: Sequence[str],

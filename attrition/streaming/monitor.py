@@ -11,6 +11,7 @@ from __future__ import annotations
 
 from typing import Iterator, Sequence
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -20,14 +21,20 @@ from pyspark.sql.streaming.stateful_processor import StatefulProcessor, Stateful
 from ..operators import ml as M
 from ..operators.monitor import _seconds, quantile_from_buckets
 from ..session import scratch_path
+from ..sources import sinks as K
 from ..sources.views import VIEWS
 
 
-def view_stream(spark: SparkSession, folder_or_file: str, view: str, max_files: int = 1) -> DataFrame:
-    """Stream a driver table through one of the derived-view projections."""
+def view_stream(spark: SparkSession, folder_or_file: str, view: str, max_files: int | None = None) -> DataFrame:
+    """Stream a driver table through one of the derived-view projections.
+
+    ``max_files`` bounds the files of a micro-batch (default: all there are,
+    so a backfill runs in parallel)."""
     table, cols = VIEWS[view]
     schema = spark.read.parquet(folder_or_file).schema
-    reader = spark.readStream.schema(schema).option("maxFilesPerTrigger", max_files)
+    reader = spark.readStream.schema(schema)
+    if max_files:
+        reader = reader.option("maxFilesPerTrigger", max_files)
     if folder_or_file.rstrip("/").endswith(".parquet"):
         # a single file: stream its folder, filtered to that file name
         folder, _, name = folder_or_file.rstrip("/").rpartition("/")
@@ -77,9 +84,13 @@ class HoldTimeAlert(StatefulProcessor):
 
     Input per key: the windows whose condition is true, as they close.
     State: start and last evaluation time (seconds) of the current run of
-    consecutive steps. A window fires when its run has lasted ``hold``.
+    consecutive steps. A window fires when its run has lasted ``hold``. The
+    runs of a micro-batch are found by array operations and the firing
+    windows leave in chunks.
     """
 
+    CHUNK = 10_000
+
     def __init__(self, hold_s: int, step_s: int, keep: Sequence[str]):
         self.hold_s, self.step_s, self.keep = hold_s, step_s, list(keep)
 
@@ -87,93 +98,76 @@ class HoldTimeAlert(StatefulProcessor):
         self.run = handle.getValueState("run", "start long, last long")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True).sort_values("window_end")
-        start, last = self.run.get() if self.run.exists() else (None, None)
-        out = []
-        for rec in pdf.itertuples(index=False):
-            t = int(pd.Timestamp(rec.window_end).timestamp())
-            if last is None or t != last + self.step_s:
-                start = t
-            last = t
-            if t - start >= self.hold_s:
-                row = {c: getattr(rec, c) for c in self.keep}
-                row.update(active_seconds=t - start, active_since=pd.Timestamp(start, unit="s"))
-                out.append(row)
-        self.run.update((start, last))
-        cols = self.keep + ["active_seconds", "active_since"]
-        yield pd.DataFrame(out, columns=cols)
+        pdf = pd.concat([r[self.keep] for r in rows], ignore_index=True).sort_values("window_end", ignore_index=True)
+        t = pd.to_datetime(pdf["window_end"]).to_numpy().astype("datetime64[s]").astype(np.int64)
+        start, last = self.run.get() if self.run.exists() else (int(t[0]), int(t[0]) - self.step_s)
+        fresh = np.diff(t, prepend=last) != self.step_s      # a run begins at this window
+        at = np.maximum.accumulate(np.where(fresh, np.arange(len(t)), -1))
+        since = np.where(at < 0, start, t[np.maximum(at, 0)])
+        self.run.update((int(since[-1]), int(t[-1])))
+        fired = t - since >= self.hold_s
+        out = pdf[fired].assign(active_seconds=(t - since)[fired], active_since=pd.to_datetime(since[fired], unit="s"))
+        for i in range(0, max(1, len(out)), self.CHUNK):
+            yield out.iloc[i:i + self.CHUNK]
 
     def close(self) -> None:
         pass
 
 
+STATE_STORE = "spark.sql.streaming.stateStore.providerClass"
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def state_session(spark: SparkSession) -> SparkSession:
+    """A session beside ``spark`` (same context) whose state store is RocksDB,
+    as the stateful alerts need; the caller's own session is left as it is."""
+    own = spark.newSession()
+    for k in ("spark.sql.session.timeZone", "spark.sql.shuffle.partitions"):
+        own.conf.set(k, spark.conf.get(k))
+    own.conf.set(STATE_STORE, ROCKSDB)
+    return own
+
+
 def alert_for_stream(windows: DataFrame, condition: Column, hold: str, step: str = "1 minute",
-                     key: str = "alert") -> DataFrame:
+                     by: Sequence[str] = ()) -> DataFrame:
     """W4 (stream): firing windows of a watermarked window stream whose
-    ``condition`` held at every step for ``hold``. One state row per alert
-    key; the windows a micro-batch closes are bounded by its time span."""
-    spark = windows.sparkSession
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != provider:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
+    ``condition`` held at every step for ``hold``, per series ``by``. One
+    state row per series; the windows a micro-batch closes are bounded by its
+    time span. ``windows`` must come from a session with the RocksDB state
+    store (:func:`state_session`)."""
+    if windows.sparkSession.conf.get(STATE_STORE, "") != ROCKSDB:
+        raise ValueError(f"set {STATE_STORE} to {ROCKSDB}, or read the stream in state_session(spark)")
     keep = [c for c in windows.columns]
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in windows.schema.fields)
-    hot = windows.filter(F.coalesce(condition, F.lit(False))).withColumn("__alert", F.lit(key))
-    return hot.groupBy("__alert").transformWithStateInPandas(
+    hot = windows.filter(F.coalesce(condition, F.lit(False)))
+    if not by:
+        hot = hot.withColumn("__alert", F.lit("alert"))
+    return hot.groupBy(*(by or ["__alert"])).transformWithStateInPandas(
         HoldTimeAlert(_seconds(hold), _seconds(step), keep),
         f"{fields}, active_seconds long, active_since timestamp", "Append", "None")
 
 
-class AbsenceAlert(StatefulProcessor):
-    """Empty slots between slots with events (W6, stream).
+def heartbeat_stream(spark: SparkSession, ts: str) -> DataFrame:
+    """One row a second with the current time: what makes event time go on
+    while no event arrives."""
+    return spark.readStream.format("rate").option("rowsPerSecond", 1).load().select(F.col("timestamp").alias(ts))
 
-    Input per key: one row per closed slot that saw events, as the watermark
-    closes it (closed slots arrive in time order across micro-batches).
-    State: the last slot seen. Each slot after a gap emits the empty slots
-    in between.
-    """
 
-    def __init__(self, gap_s: int):
-        self.gap_s = gap_s
+def absence_stream(stream: DataFrame, ts: str, heartbeats: DataFrame, gap: str = "1 minute",
+                   watermark: str = "10 minutes") -> DataFrame:
+    """W6 (stream): ``gap``-wide slots without events, as they close.
 
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.last = handle.getValueState("last", "slot long")
-
-    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        pdf = pd.concat(list(rows), ignore_index=True)
-        slots = sorted({int(pd.Timestamp(v).timestamp()) // self.gap_s for v in pdf["window_start"]})
-        last = self.last.get()[0] if self.last.exists() else None
-        empty = []
-        for slot in slots:
-            if last is not None and slot > last + 1:
-                empty.extend(range(last + 1, slot))
-            last = slot if last is None else max(last, slot)
-        if last is not None:
-            self.last.update((last,))
-        starts = pd.to_datetime([x * self.gap_s for x in empty], unit="s")
-        yield pd.DataFrame({"slot_start": starts, "slot_end": starts + pd.Timedelta(seconds=self.gap_s)})
-
-    def close(self) -> None:
-        pass
-
-
-def absence_stream(stream: DataFrame, ts: str, gap: str = "1 minute", watermark: str = "10 minutes",
-                   key: str = "absence") -> DataFrame:
-    """W6 (stream): ``gap``-wide slots without events between slots with
-    events. Events are counted per slot by a watermarked aggregate (the state
-    and the input of the next step are one row per slot, not per event); a
-    stateful step keyed by the alert keeps the last slot and emits the gaps."""
-    spark = stream.sparkSession
-    provider = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
-    if spark.conf.get("spark.sql.streaming.stateStore.providerClass", "") != provider:
-        spark.conf.set("spark.sql.streaming.stateStore.providerClass", provider)
-    per_slot = (stream.withColumn("__et", F.col(ts).cast("timestamp"))
-                      .withWatermark("__et", watermark)
-                      .groupBy(F.window("__et", gap).alias("w")).agg(F.count(F.lit(1)).alias("events"))
-                      .select(F.col("w.start").alias("window_start"), "events")
-                      .withColumn("__alert", F.lit(key)))
-    return per_slot.groupBy("__alert").transformWithStateInPandas(
-        AbsenceAlert(_seconds(gap)), "slot_start timestamp, slot_end timestamp", "Append", "None")
+    ``heartbeats`` (a stream with the column ``ts``, at least one row per
+    slot: :func:`heartbeat_stream`, or the replayed clock of a backfill) are
+    counted as zero events in the same watermarked aggregate, so an empty slot
+    is a group of its own and leaves as soon as the watermark passes it,
+    whether or not an event ever arrives again. No custom state, and the work
+    is spread by slot."""
+    events = stream.select(F.col(ts).cast("timestamp").alias("__et"), F.lit(1).alias("__n"))
+    beats = heartbeats.select(F.col(ts).cast("timestamp").alias("__et"), F.lit(0).alias("__n"))
+    return (events.unionByName(beats).withWatermark("__et", watermark)
+            .groupBy(F.window("__et", gap).alias("w")).agg(F.sum("__n").alias("events"))
+            .filter("events = 0").select(F.col("w.start").alias("slot_start"), F.col("w.end").alias("slot_end")))
 
 
 def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "append",
@@ -184,15 +178,25 @@ def start_parquet_sink(df: DataFrame, path: str, checkpoint: str, mode: str = "a
     return w.start()
 
 
+def score_log_rows(scored: DataFrame) -> DataFrame:
+    """Rows of the predictions log from :func:`ml.score_all`, with the status
+    and violations of each request: scored and rejected alike."""
+    latency = F.col("latency_ms") if "latency_ms" in scored.columns else F.lit(None).cast("double")
+    log = scored.withColumns({"prediction_id": F.col("request_id").cast("string"), "latency_ms": latency})
+    log = log.select("status", "violations", *K.prediction_log_columns(log))
+    return log
+
+
 def stream_score(stream: DataFrame, models: dict, sink: str, checkpoint: str,
                  vote: Sequence[str] | None = None, features: Sequence[str] | None = None,
-                 store: DataFrame | None = None, available_now: bool = True) -> StreamingQuery:
-    """Score request rows as they arrive and append them to the
-    predictions log (stateless, exactly-once via the checkpoint)."""
+                 store: DataFrame | None = None, run_id: str = "", available_now: bool = True) -> StreamingQuery:
+    """Score request rows as they arrive (stateless, exactly-once via the
+    checkpoint): every request is written once, in the columns of the
+    predictions log plus ``status`` and ``violations``."""
     from .. import schemas as S
-    scored, _ = M.score(stream, models, features or S.MODEL_FEATURES, store=store, vote=vote,
-                        model_name="voting_ensemble" if vote else list(models)[0])
-    out = scored.withColumn("prediction_id", F.col("request_id").cast("string"))
+    scored = M.score_all(stream, models, features or S.MODEL_FEATURES, store=store, vote=vote,
+                         model_name="voting_ensemble" if vote else list(models)[0])
+    out = score_log_rows(scored).withColumn("pipeline_run_id", F.lit(run_id))
     return start_parquet_sink(out, sink, checkpoint, "append", available_now)
 
 

@@ -71,3 +71,33 @@ def test_knn_exact_dense_cluster_and_tiny_data(spark):
     rows = [tuple(map(float, r)) for r in np.vstack([dense, spread])]
     _check_knn(spark, rows, 5, 8)
     _check_knn(spark, [(0.0, 0.0, 0.0), (1.0, 0.0, 0.0), (0.0, 2.0, 0.0)], 5, 32)   # fewer than k others
+
+
+def test_smote_row_count_is_exact_for_tiny_minorities(spark):
+    for n_min in (1, 2, 4, 5, 6):
+        rows = [(f"a{i}", 0, float(i), 1.0) for i in range(40)] + [(f"b{i}", 1, float(i), 0.0) for i in range(n_min)]
+        df = spark.createDataFrame(rows, "id string, y int, u double, v double")
+        out = smote(df, "y", ["u", "v"], "id", ratio=0.7, k=5)
+        assert out.filter("is_synthetic").count() == int(0.7 * 40) - n_min, n_min
+        assert out.filter("y = 1 and (u < 0 or u > 5 or v <> 0)").count() == 0
+
+
+def test_a_far_outlier_makes_no_large_slice(spark):
+    from attrition.operators.smote import _with_slices, with_radius
+    rng = np.random.default_rng(2)
+    rows = [tuple(map(float, r)) for r in rng.uniform(0, 1, (1000, 3))] + [(1e9, 1e9, 1e9)]
+    pts = with_radius(collapse_points(spark.createDataFrame(rows, "f0 double, f1 double, f2 double"), ["f0", "f1", "f2"]), 5, 3)
+    for col in ("a", "b"):
+        largest = _with_slices(pts, col, 100).groupBy(f"{col}_s").count().agg(F.max("count")).first()[0]
+        assert largest <= 100
+
+
+def test_candidate_pairs_hold_all_neighbours_and_stay_few(spark):
+    from attrition.operators.smote import candidate_pairs, with_radius
+    rng = np.random.default_rng(3)
+    per_point = {}
+    for n in (300, 1200):
+        rows = [tuple(map(float, r)) for r in rng.uniform(0, 1, (n, 3))]
+        pts = with_radius(collapse_points(spark.createDataFrame(rows, "f0 double, f1 double, f2 double"), ["f0", "f1", "f2"]), 5, 3)
+        per_point[n] = candidate_pairs(pts).count() / n
+    assert per_point[1200] < 1200 / 4 and per_point[1200] < 4 * per_point[300]
