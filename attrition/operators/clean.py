@@ -189,19 +189,48 @@ def ingest_coerced(raw: DataFrame) -> DataFrame:
     return coerce_numeric(trim_strings(raw), ["TotalCharges"])
 
 
+def _sql_text(s: str) -> str:
+    """A SQL string literal of any text."""
+    return "'" + "".join(c if c.isalnum() or c in " ()-:" else f"\\u{ord(c):04x}" for c in s) + "'"
+
+
 def ingest_clean(raw: DataFrame) -> DataFrame:
-    """Ingest stage: strip strings, TotalCharges to number, blanks to 0.0."""
-    return fill_null(ingest_coerced(raw), {"TotalCharges": 0.0})
+    """Ingest stage: strip strings, TotalCharges to number, blanks to 0.0 (one
+    select of SQL text: the plan is analysed once)."""
+    out = []
+    for name, dtype in raw.dtypes:
+        e = f"btrim(`{name}`, {_sql_text(C.WHITESPACE)})" if dtype == "string" else f"`{name}`"
+        if name == "TotalCharges":
+            e = f"nanvl(coalesce(try_cast({e} AS DOUBLE), 0.0D), 0.0D)"
+        out.append(f"{e} AS `{name}`")
+    return raw.selectExpr(*out)
+
+
+def _encode_sql(col: str, mapping: Mapping[str, int]) -> str:
+    """:func:`yes_no_encode` as SQL: the source text is read once, in a map lookup."""
+    entries = ", ".join(f"{_sql_text(k)}, {v}" for k, v in mapping.items())
+    unknown = f"raise_error(concat('unmapped value in {col}: ', coalesce(CAST(`{col}` AS STRING), 'NULL')))"
+    return f"CAST(coalesce(try_element_at(map({entries}), `{col}`), {unknown}) AS TINYINT)"
 
 
 def build_features(clean: DataFrame) -> DataFrame:
-    """Preprocess stage: encode, one-hot, derive, project (29 columns)."""
-    df = target_encode(clean)
-    df = yes_no_encode(df, S.BINARY_COLUMNS)
-    df = cast_narrow(df, ["SeniorCitizen"])
-    df = one_hot(df)
-    df = tenure_bucket(df)
-    df = charges_per_month(df)
-    df = has_internet(df)
-    df = num_services(df)
-    return project(df)
+    """Preprocess stage: encode, one-hot, derive, project (29 columns).
+
+    The chain of the single operators above, as two selects of SQL text: the
+    flags, then what is derived from them.
+    """
+    first = {c: f"`{c}`" for c in ("customerID", "tenure", "MonthlyCharges", "TotalCharges")}
+    first["SeniorCitizen"] = "CAST(SeniorCitizen AS TINYINT)"
+    first["Churn"] = _encode_sql("Churn", S.TARGET_MAP)
+    first.update({c: _encode_sql(c, S.BINARY_MAP) for c in S.BINARY_COLUMNS})
+    first.update({name: f"CAST(coalesce(`{src}` = {_sql_text(val)}, false) AS TINYINT)" for name, src, val in S.ONE_HOT_SPEC})
+    bins = " ".join(f"WHEN tenure <= {edge} THEN {_sql_text(label)}" for edge, label in zip(S.TENURE_EDGES, S.TENURE_LABELS))
+    first["tenure_group"] = f"CASE {bins} ELSE {_sql_text(S.TENURE_LABELS[-1])} END"
+    first["charges_per_month"] = ("rint((CASE WHEN tenure > 0 THEN TotalCharges / tenure ELSE MonthlyCharges END) * 10000.0D) "
+                                  "/ 10000.0D")
+    derived = {
+        "has_internet": "CAST(InternetService_No = 0 AS TINYINT)",
+        "num_services": f"CAST({' + '.join(f'coalesce(CAST(`{c}` AS INT), 0)' for c in S.SERVICE_COLUMNS)} AS TINYINT)",
+    }
+    flags = clean.selectExpr(*[f"{e} AS `{c}`" for c, e in first.items()])
+    return flags.selectExpr(*[f"{derived.get(c, f'`{c}`')} AS `{c}`" for c in S.FEATURE_TABLE_COLUMNS])
