@@ -14,9 +14,16 @@ ASCII_SPACE = " \t\n\x0b\x0c\r"
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
+#: Rows of a batch that goes to a Python worker, where the session leaves Spark's default:
+#: texts are long, and a batch is held in memory on both sides.
+BATCH_ROWS = 1000
+
+
 def prepare(spark: SparkSession) -> None:
-    """Set the checkpoint folder and let Python workers import this package."""
+    """Set the checkpoint folder, bound the batches of texts and let Python workers import this package."""
     ensure_checkpoint_dir(spark)
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
     root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
     paths = os.environ.get("PYTHONPATH", "").split(os.pathsep)
     env = spark.sparkContext.environment
@@ -45,6 +52,18 @@ def stored(df: DataFrame, name: str, *sort: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def fresh(df: DataFrame, *names: str) -> list[str]:
+    """The names, each lengthened until no column of ``df`` has it."""
+    taken = {c.lower() for c in df.columns}
+    out = []
+    for name in names:
+        while name.lower() in taken:
+            name = "_" + name
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def ascii_lower(c: Column) -> Column:
     """Lower-case A-Z only."""
     return F.translate(c, UPPER, UPPER.lower())

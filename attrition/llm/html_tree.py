@@ -57,6 +57,7 @@ NOISE = frozenset("""ad ads adbox adslot advert adverts advertisement advertisem
     search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tagcloud toolbar topbar
     widget widgets""".split())
 KEPT_WORDS = frozenset(["header", "banner"])   # cut only outside an article
+ARTICLE_WORDS = frozenset("article post entry story hentry".split())   # class words of a container that is an article
 
 TOKEN = re.compile(
     r"<!--.*?(?:-->|\Z)|<!\[CDATA\[(?P<cdata>.*?)(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
@@ -67,24 +68,26 @@ WORDS = re.compile(r"[a-zA-Z][a-z]*|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _is_noise(tag: str, attrs: str, in_article: bool) -> bool:
-    """Whether the attributes of a start tag mark its element as no article text."""
+def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
+    """Whether the attributes of a start tag mark its element as no article text, or as an article."""
     if tag in ("html", "body", "main"):
-        return False
+        return False, False
+    article = False
     for m in ATTR.finditer(attrs):
         name = m[1].lower()
         value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True
+            return True, False
         if name == "style" and HIDDEN.search(value):
-            return True
+            return True, False
         if name in ("class", "id", "role"):
             words = {w.lower() for w in WORDS.findall(value)} | set(value.lower().split())
             if words & NOISE and not (in_article and words & NOISE <= KEPT_WORDS):
-                return True
+                return True, False
             if "header" in words and not in_article and tag not in HEADINGS:
-                return True
-    return False
+                return True, False
+            article |= tag in CONTAINERS and bool(ARTICLE_WORDS & set(value.lower().split()))
+    return False, article
 
 
 class Tree:
@@ -158,11 +161,10 @@ class Tree:
             node = len(tags)
             tags.append(tag)
             parents.append(up)
-            within = inside[up] or tag in ("article", "main")
-            inside.append(within)
             attrs = m["attrs"]
-            cut.append(cut[up] or tag in CUT or tag == "header" and not inside[up]
-                       or bool(attrs and attrs.strip(" /")) and _is_noise(tag, attrs, inside[up]))
+            noise, article = _judge(tag, attrs, inside[up]) if attrs and attrs.strip(" /") else (False, False)
+            inside.append(inside[up] or article or tag in ("article", "main"))
+            cut.append(cut[up] or noise or tag in CUT or tag == "header" and not inside[up])
             events.append((node, None))
             if attrs.endswith("/") and tag not in BLOCK:   # <svg/>, <span/>: nothing inside
                 events.append((~node, None))
@@ -244,12 +246,13 @@ class Tree:
                     break
             up = self.parent[up]
         keep = [best]
-        if best and self.parent[best] >= 0 and self.tag[best] not in ("body", "main"):
-            floor = max(10.0, 0.2 * scores.get(best, 0.0))
+        if best and self.tag[best] not in ("body", "main"):
+            whole = self.tag[best] == "article"   # an article is complete but for its headline
+            floor = max(2.0, 0.2 * scores.get(best, 0.0))
             for i in range(1, len(self.tag)):
-                if i == best or self.parent[i] != self.parent[best] or self.cut[i] or not self.size[i]:
+                if i == best or self.parent[i] != self.parent[best] or self.cut[i] or not self.size[i] or self.link_density(i) >= 0.3:
                     continue
-                if self.link_density(i) < 0.3 and (scores.get(i, 0.0) >= floor or self.tag[i] in ("h1", "p", "pre", "blockquote")):
+                if self.tag[i] == "h1" or not whole and (scores.get(i, 0.0) >= floor or self.tag[i] in PARAGRAPHS and self.size[i] >= 40):
                     keep.append(i)
         return sorted(keep)
 

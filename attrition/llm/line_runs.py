@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import ASCII_SPACE, ascii_lower, prepare
+from attrition.llm.common import ASCII_SPACE, ascii_lower, fresh, prepare
 from attrition.session import scratch_path
 
 MIN_CHARS = 20
@@ -116,30 +116,41 @@ def dropped_hashes(docs: DataFrame, n_batches: int = 4, min_chars: int = MIN_CHA
 
 def dedup_lines(docs: DataFrame, n_batches: int = 4, min_chars: int = MIN_CHARS,
                 min_docs: int = MIN_DOCS, fanout: int = 2) -> DataFrame:
-    """``docs`` with ``text`` cut to its kept lines, plus ``_n_lines`` and ``_n_dropped``.
+    """``docs`` with ``text`` cut to its kept lines; every other column passes through.
 
-    Needs columns doc_id (bigint) and text; all others pass through.
+    Needs columns doc_id (bigint) and text. ``line_counts`` has the digest.
     """
+    return _cut(docs, "text", *fresh(docs, "n_lines", "n_dropped"), n_batches, min_chars, min_docs, fanout).select(*docs.columns)
+
+
+def line_counts(docs: DataFrame, n_batches: int = 4, min_chars: int = MIN_CHARS,
+                min_docs: int = MIN_DOCS, fanout: int = 2) -> DataFrame:
+    """doc_id, text (its kept lines), n_lines (before dropping), n_dropped."""
+    return _cut(docs.select("doc_id", "text"), "text", "n_lines", "n_dropped", n_batches, min_chars, min_docs, fanout)
+
+
+def _cut(docs: DataFrame, text: str, n_lines: str, n_dropped: str, n_batches: int, min_chars: int,
+         min_docs: int, fanout: int) -> DataFrame:
     drops = dropped_hashes(docs, n_batches, min_chars, min_docs, fanout)
-    keyed = drops.select(F.col("doc_id").alias("_drop_id"), F.col("drops").alias("_drops"))
-    lines = split_lines(F.col("text"))
-    joined = docs.join(keyed, docs["doc_id"] == keyed["_drop_id"], "left")
+    drop_id, gone, kept = fresh(docs, "drop_id", "gone", "kept")
+    keyed = drops.select(F.col("doc_id").alias(drop_id), F.col("drops").alias(gone))
+    lines = split_lines(F.col(text))
+    joined = docs.join(keyed, docs["doc_id"] == keyed[drop_id], "left")
 
     def stays(line: Column) -> Column:
         key = line_key(line)
-        return ~((F.length(key) >= min_chars) & F.array_contains(F.col("_drops"), _hash(key)))
+        return ~((F.length(key) >= min_chars) & F.array_contains(F.col(gone), _hash(key)))
 
-    kept = F.when(F.col("_drops").isNull(), lines).otherwise(F.filter(lines, stays))
-    out = joined.withColumns({"_n_lines": F.size(lines).cast("long"), "_kept": kept})
-    out = out.withColumn("_n_dropped", F.col("_n_lines") - F.size("_kept"))
-    text = F.when(F.col("_n_dropped") > 0, F.array_join("_kept", "\n")).otherwise(F.col("text"))
-    return out.withColumn("text", text).drop("_kept", "_drops", "_drop_id")
+    out = joined.withColumns({n_lines: F.size(lines).cast("long"),
+                              kept: F.when(F.col(gone).isNull(), lines).otherwise(F.filter(lines, stays))})
+    out = out.withColumn(n_dropped, F.col(n_lines) - F.size(kept))
+    cut = F.when(F.col(n_dropped) > 0, F.array_join(kept, "\n")).otherwise(F.col(text))
+    return out.withColumn(text, cut).select(*docs.columns, n_lines, n_dropped)
 
 
 def op9_digest(docs: DataFrame) -> DataFrame:
-    out = dedup_lines(docs.select("doc_id", "text"))
-    return out.select("doc_id", F.col("_n_lines").alias("n_lines"), F.col("_n_dropped").alias("n_dropped"),
-                      F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
+    out = line_counts(docs)
+    return out.select("doc_id", "n_lines", "n_dropped", F.sha2(F.coalesce(F.col("text"), F.lit("")), 256).alias("kept_sha256"))
 
 
 OP9_SQL = r"""

@@ -31,8 +31,7 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, without the lines that repeat across documents; n_chars follows the text."""
     out = line_runs.dedup_lines(docs)
-    cut = F.when(F.col("_n_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return out.withColumn("n_chars", cut).select(*docs.columns)
+    return out.withColumn("n_chars", F.coalesce(F.length("text").cast("long"), F.col("n_chars"))).select(*docs.columns)
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -10,11 +10,13 @@ from pyspark.sql import functions as F
 from attrition.llm import chat, html_tree, line_runs, quality_bt
 from attrition.llm.queries import ORACLES, QUERIES
 
-DOCS = "doc_id bigint, text string, source string, keeper string, a bigint"
+# extra columns have the names that the operators use inside
+EXTRA = ["source", "keeper", "a", "b", "n", "drops", "gone", "kept", "drop_id", "n_lines", "n_dropped", "_n_lines", "batch", "quality", "f"]
 
 
 def _docs(spark, rows):
-    return spark.createDataFrame([(i, t, "s", "x", 1) for i, t in rows], DOCS)
+    return spark.createDataFrame([(i, t, *["x"] * len(EXTRA)) for i, t in rows],
+                                 "doc_id bigint, text string, " + ", ".join(f"{c} string" for c in EXTRA))
 
 
 # --- quality -----------------------------------------------------------------
@@ -81,6 +83,24 @@ def test_small_pages(page, text):
     assert html_tree.main_text(page) == text
 
 
+LONG = "Some words of the body, with commas, and enough of them to make a paragraph that counts."
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<body><div class="page-header"><h1>Site</h1></div><div class="post"><div class="post-header"><h1>Title</h1></div>'
+     f'<p>{LONG}</p><p>{LONG}</p></div><div class="sidebar"><p>{LONG}</p></div></body>', f"Title\n{LONG}\n{LONG}"),
+    (f'<body><h1>Title</h1><article><p>{LONG}</p></article><p>We use cookies, and more, of the like, here and there.</p></body>',
+     f"Title\n{LONG}"),
+    (f'<body><div><p>{LONG}</p><p>{LONG}</p></div><div><p>{LONG}</p></div><div><a href="#">one</a><a href="#">two</a></div></body>',
+     f"{LONG}\n{LONG}\n{LONG}"),
+    (f'<body><main><div id="comments"><p>{LONG}</p><p>{LONG}</p></div><p>{LONG}</p><div hidden><p>{LONG}</p></div></main></body>', LONG),
+    (f'<body><article><p>{LONG}</p><article class="comment"><p>{LONG}</p></article><table><tr><td>1<td>2</table></article>',
+     f"{LONG}\n1\n2"),
+    (f'<body><article><p>{LONG}</p><div class="share-buttons">Share</div><p class="notice">Notice</p><select><option>x</select></article>', LONG)])
+def test_other_layouts(page, text):
+    assert html_tree.main_text(page) == text
+
+
 def test_long_and_deep_pages_end():
     deep = "<div>" * 3000 + "<p>core, text</p>" + "</div>" * 3000
     assert html_tree.main_text(deep) == "core, text"
@@ -167,11 +187,14 @@ def test_line_dedup_equals_brute_force(spark, batches, fanout):
     rows = [(i, "\n".join(rng.choice([x, f"  {x.upper()}\t"]) for x in rng.choices(pool, k=rng.randint(0, 6)))) for i in range(60)]
     rows += [(5, rows[5][1]), (None, pool[0]), (70, None), (71, ""), (72, "\n".join(pool) * 300)]
     docs = _docs(spark, rows)
-    out = line_runs.dedup_lines(docs, n_batches=batches, fanout=fanout)
-    got = sorted(((r.doc_id, r._n_lines, r._n_dropped, hashlib.sha256((r.text or "").encode()).hexdigest())
+    out = line_runs.line_counts(docs, n_batches=batches, fanout=fanout)
+    got = sorted(((r.doc_id, r.n_lines, r.n_dropped, hashlib.sha256((r.text or "").encode()).hexdigest())
                   for r in out.collect()), key=str)
     assert got == _brute_lines(rows)
-    assert out.columns == docs.columns + ["_n_lines", "_n_dropped"]
+    cut = line_runs.dedup_lines(docs, n_batches=batches, fanout=fanout)
+    assert cut.columns == docs.columns
+    assert sorted((r.doc_id or -1, r.text or "") for r in cut.collect()) == sorted((r.doc_id or -1, r.text or "") for r in out.collect())
+    assert cut.filter("gone <> 'x' or kept <> 'x'").count() == 0
     assert line_runs.op9_digest(docs.limit(0)).count() == 0
 
 
