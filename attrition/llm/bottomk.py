@@ -12,19 +12,22 @@ their Jaccard similarity. Steps:
    two such sketches cannot both miss. Values that occur once are dropped;
    values of common passages come last in the order and mostly stay out.
 3. Pairs. Lists of up to ``SMALL_LIST`` classes give all their pairs. In a
-   longer list every class is paired with a few hubs only.
+   longer list every class is paired with a few hubs only: the classes that
+   have the fewest values of their own, which is what the origin of a group
+   of near copies looks like, and one by hash.
 4. Pairs are filtered by size and by the union sketch's estimate, and what is
    left is verified on the full sets, from the texts.
 5. Links become components (large-star / small-star, reliable checkpoints).
-6. Long lists that still hold more than one component are finished block by
-   block: sketch overlaps of classes of different components are counted
-   inside the tasks, only pairs with enough overlap come out, and go through
-   4 and 5. So no list is cut and no link between different components is
-   lost; a large group of near copies, which the hubs have joined, costs
-   nothing here.
+6. Long lists may still hold more than one component. Of their classes,
+   those that have more than a quarter of their shingles to themselves are
+   similar to none. The rest, grouped by the lists they share, are compared
+   block by block on their full sets, inside the tasks; a pair of blocks
+   returns only the links that join components. So no list is cut and no
+   link between components is lost, and a large group of near copies makes
+   pairs neither through its hubs nor through its stragglers.
 
-Nothing about single documents reaches the driver. Texts cross the shuffle
-for the documents of step 3 only, besides one join that picks them.
+Nothing about single documents reaches the driver. One join picks the texts
+of the listed classes; later steps read these only.
 
 Defined cases: a text with fewer than five words has its whole word sequence
 as one shingle; without words (or null) the set is empty, linked with
@@ -52,9 +55,8 @@ K = 48
 SHARE = (3, 8)
 #: Similarity asked for, in percent.
 PERCENT = 75
-SMALL_LIST = 48
-HUBS = 3
-BLOCK_ROWS = 512
+SMALL_LIST = 16
+BLOCK_ROWS = 1024
 
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
@@ -116,30 +118,43 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", sketch(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-def inverted_lists(classes: DataFrame) -> DataFrame:
-    """(value, class): the retained values under which each class (class, sketch) is listed."""
+def listed_classes(classes: DataFrame) -> DataFrame:
+    """class, keys, common, weight: the retained values under which each class
+    (class, sketch) is listed, rarest first; the share of its sketch that
+    others have too, and how common these values are."""
     values = classes.select("class", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("f")).filter("f > 1")
     own = values.join(shared, "value").groupBy("class", "size").agg(
-        F.sort_array(F.collect_list(F.struct("f", "value"))).alias("shared"))
+        F.sort_array(F.collect_list(F.struct("f", "value"))).alias("shared"), F.sum(F.log("f")).alias("weight"))
     # values that occur once fill the prefix first
     room = F.col("size") - _least(F.col("size")) + 1 - (F.col("size") - F.size("shared"))
-    return own.filter(room > 0).select("class", F.explode(F.slice("shared", F.lit(1), room)).alias("s")).select(
-        F.col("s.value").alias("value"), "class")
+    return own.filter(room > 0).select(
+        "class", F.transform(F.slice("shared", F.lit(1), room), lambda s: s["value"]).alias("keys"),
+        (F.size("shared") / F.col("size")).alias("common"), "weight")
 
 
-def list_pairs(index: DataFrame) -> DataFrame:
+def list_pairs(listed: DataFrame) -> DataFrame:
     """Distinct pairs (a < b): all of short lists, members with hubs in long ones."""
-    picks = [F.min_by("class", F.xxhash64("class", F.lit(i))).alias(f"h{i}") for i in range(HUBS)]
-    lists = index.groupBy("value").agg(F.count("*").alias("size"), *picks).filter("size > 1")
+    index = listed.select("class", "common", "weight", F.explode("keys").alias("value"))
+    tie = F.xxhash64("class")
+    hubs = F.array(F.max_by("class", F.struct(F.col("common"), F.col("weight"), tie)),
+                   F.max_by("class", F.struct(F.col("weight"), tie)), F.max_by("class", tie))
+    lists = index.groupBy("value").agg(F.count("*").alias("size"), hubs.alias("hubs")).filter("size > 1")
     small = index.join(lists.filter(F.col("size") <= SMALL_LIST).select("value"), "value")
     pairs = small.select("value", F.col("class").alias("a")).join(
         small.select("value", F.col("class").alias("b")), "value").filter("a < b").select("a", "b")
     large = index.join(lists.filter(F.col("size") > SMALL_LIST), "value").select(
-        "class", F.explode(F.array(*[F.col(f"h{i}") for i in range(HUBS)])).alias("hub")).filter("class <> hub")
+        "class", F.explode(F.array_distinct("hubs")).alias("hub")).filter("class <> hub")
     return pairs.union(large.select(F.least("class", "hub"), F.greatest("class", "hub"))).distinct()
 
 
+def listed_texts(docs: DataFrame, listed: DataFrame) -> DataFrame:
+    """class, text (UTF-8) of the listed classes, in the shared folder."""
+    ids = listed.select(F.col("class").alias("_class"))
+    return stored(docs.select(F.col("doc_id").alias("class"), F.col("text").cast("binary").alias("text"))
+                  .join(ids, F.col("class") == F.col("_class"), "left_semi").dropDuplicates(["class"]), "near-texts")
+
+
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     """The pairs whose sizes and union sketch allow the similarity."""
     left = classes.select(F.col("class").alias("a"), F.col("n").alias("na"), F.col("sketch").alias("ka"))
@@ -151,13 +166,10 @@ def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
     return both.filter(shared * SHARE[1] >= F.size(union) * SHARE[0]).select("a", "b")
 
 
-def linked(pairs: DataFrame, docs: DataFrame) -> DataFrame:
-    """The pairs whose full sets are similar."""
-    ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    texts = stored(docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(ids, "doc_id")
-                   .dropDuplicates(["doc_id"]), "near-texts")
-    one = texts.select(F.col("doc_id").alias("a"), F.col("text").alias("ta"))
-    two = texts.select(F.col("doc_id").alias("b"), F.col("text").alias("tb"))
+def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
+    """The pairs whose full sets are similar (texts: class, text)."""
+    one = texts.select(F.col("class").alias("a"), F.col("text").alias("ta"))
+    two = texts.select(F.col("class").alias("b"), F.col("text").alias("tb"))
     return pairs.join(two, "b").join(one, "a").filter(F.pandas_udf(_verify, "boolean")("a", "ta", "tb")).select("a", "b")
 
 
@@ -182,54 +194,92 @@ def components(links: DataFrame) -> DataFrame:
         state = now
 
 
-def _block_overlaps(least_of: int = K):
-    """Pairs of one block pair whose sketches overlap enough, across components."""
-
-    def run(pdf: pd.DataFrame) -> pd.DataFrame:
-        rows = pdf.drop_duplicates("class").reset_index(drop=True)
-        sides = rows["own"].to_numpy()
-        k = rows["sketch"].to_numpy()
-        size = np.array([len(s) for s in k])
-        owner = np.repeat(np.arange(len(rows)), size)
-        _, value, count = np.unique(np.concatenate(k), return_inverse=True, return_counts=True)
-        use = count[value] > 1
-        _, value = np.unique(value[use], return_inverse=True)
-        owner = owner[use]
-        x = np.zeros((len(rows), int(value.max(initial=-1)) + 1), np.float32)
-        x[owner, value] = 1
-        same = pdf["i"].iloc[0] == pdf["j"].iloc[0]
-        left = np.arange(len(rows)) if same else np.flatnonzero(sides == pdf["i"].iloc[0])
-        right = np.arange(len(rows)) if same else np.flatnonzero(sides != pdf["i"].iloc[0])
-        shared = x[left] @ x[right].T
-        need = np.ceil(np.minimum(size[left][:, None], size[right][None]) * SHARE[0] / SHARE[1])
-        root = rows["root"].to_numpy()
-        name = rows["class"].to_numpy()
-        good = (shared >= need) & (root[left][:, None] != root[right][None])
-        if same:
-            good &= left[:, None] < right[None]
-        p, q = np.nonzero(good)
-        a, b = name[left[p]], name[right[q]]
-        return pd.DataFrame({"a": np.minimum(a, b), "b": np.maximum(a, b)})
-
-    return run
-
-
-def unfinished_pairs(index: DataFrame, classes: DataFrame, roots: DataFrame) -> DataFrame | None:
-    """Pairs across components in long lists that hold more than one (None: there are no such lists)."""
-    sizes = index.groupBy("value").agg(F.count("*").alias("size")).filter(F.col("size") > SMALL_LIST)
-    named = index.join(sizes, "value").join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn(
-        "root", F.coalesce("root", "class"))
-    mixed = named.groupBy("value").agg(F.min("root").alias("lo"), F.max("root").alias("hi")).filter("lo <> hi").select("value")
-    rows = cut_lineage(named.join(mixed, "value"))
+def _incidence(owner: np.ndarray, values: np.ndarray, rows: int):
+    """Slices of the 0/1 matrix (rows, values), for values of at least two rows."""
+    _, value, count = np.unique(values, return_inverse=True, return_counts=True)
+    use = count[value] > 1
+    _, value = np.unique(value[use], return_inverse=True)
+    owner = owner[use]
+    for at in range(0, int(value.max(initial=-1)) + 1, 2048):
+        part = (value >= at) & (value < at + 2048)
+        x = np.zeros((rows, 2048), np.float32)
+        x[owner[part], value[part] - at] = 1
+        yield x
+
+
+def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
+    """Links (a < b) of one pair of blocks that join its components into a forest."""
+    rows = pdf.drop_duplicates("class").reset_index(drop=True)
+    i, j = pdf["i"].iloc[0], pdf["j"].iloc[0]
+    own = rows["own"].to_numpy()
+    left, right = np.flatnonzero(own == i), np.flatnonzero(own == j)
+    n, root, name = (rows[x].to_numpy() for x in ("n", "root", "class"))
+    sets = rows["shingles"].tolist()
+    c = np.array([len(x) for x in sets])
+    # shingles that a set has to itself are in no intersection
+    most = np.minimum(c[left][:, None], c[right][None])
+    total = n[left][:, None] + n[right][None]
+    good = (root[left][:, None] != root[right][None]) & (100 * most >= PERCENT * (total - most))
+    if good.any():
+        shared = np.zeros(good.shape, np.int64)
+        for x in _incidence(np.repeat(np.arange(len(rows)), c), np.concatenate(sets), len(rows)):
+            shared += np.rint(x[left] @ x[right].T).astype(np.int64)
+        good &= 100 * shared >= PERCENT * (total - shared)
+    above: dict[int, int] = {}
+
+    def top(r: int) -> int:
+        while r in above:
+            r = above[r]
+        return r
+
+    out = []
+    for p, q in zip(*np.nonzero(good)):
+        a, b = left[p], right[q]
+        x, y = top(root[a]), top(root[b])
+        if x != y:
+            above[max(x, y)] = min(x, y)
+            out.append((min(name[a], name[b]), max(name[a], name[b])))
+    return pd.DataFrame(out, columns=["a", "b"])
+
+
+def _full_set(texts: pd.Series) -> pd.Series:
+    return pd.Series([shingle_set(t) for t in texts])
+
+
+def shared_shingles(texts: DataFrame) -> DataFrame:
+    """class, shingles: those of each set that some other set of ``texts`` has too."""
+    every = texts.select("class", F.explode(F.pandas_udf(_full_set, "array<bigint>")("text")).alias("shingle"))
+    common = every.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1").select("shingle")
+    return every.join(common, "shingle").groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
+
+
+def unfinished_links(listed: DataFrame, classes: DataFrame, texts: DataFrame, roots: DataFrame) -> DataFrame | None:
+    """Links between the components that meet in long lists (None: none meet)."""
+    named = listed.select("class", "keys").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    index = named.select("class", F.coalesce("root", "class").alias("root"), F.explode("keys").alias("value"))
+
+    def mixed(rows: DataFrame, least: int) -> DataFrame:
+        return rows.groupBy("value").agg(F.count("*").alias("size"), F.min("root").alias("lo"), F.max("root").alias("hi"),
+                                         F.min("class").alias("first")).filter(
+            (F.col("size") > least) & (F.col("lo") != F.col("hi"))).select("value", "first")
+
+    rows = cut_lineage(index.join(mixed(index, SMALL_LIST).select("value"), "value"))
     if rows.isEmpty():
         return None
-    blocks = F.ceil(F.col("size") / BLOCK_ROWS).cast("int")
-    own = F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int")
-    dealt = (rows.withColumn("blocks", blocks).withColumn("own", own)
+    sets = shared_shingles(texts.join(rows.select("class").distinct(), "class"))
+    # a set with too many shingles to itself is similar to no other
+    facts = cut_lineage(sets.join(classes.select("class", "n"), "class").filter(
+        100 * F.size("shingles") >= PERCENT * F.col("n")))
+    rows = rows.join(facts.select("class"), "class")
+    meets = rows.join(mixed(rows, 1), "value").filter("class <> first").select(
+        F.col("first").alias("a"), F.col("class").alias("b"))
+    groups = components(meets).select(F.col("node").alias("class"), F.col("root").alias("group"))
+    sizes = groups.groupBy("group").agg(F.ceil(F.count("*") / BLOCK_ROWS).cast("int").alias("blocks"))
+    members = groups.join(rows.select("class", "root").distinct(), "class").join(sizes, "group")
+    dealt = (members.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-             .select("value", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root"))
-    with_sketch = dealt.join(classes.select("class", "sketch"), "class")
-    return with_sketch.groupBy("value", "i", "j").applyInPandas(_block_overlaps(), "a bigint, b bigint").distinct()
+             .select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root"))
+    return dealt.join(facts, "class").groupBy("group", "i", "j").applyInPandas(_block_links, "a bigint, b bigint")
 
 
 def near_duplicates(docs: DataFrame) -> DataFrame:
@@ -238,14 +288,15 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     rows = stored(sketches(docs), "sketches")
     classes = cut_lineage(rows.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("class"), F.first("sketch").alias("sketch")))
-    index = cut_lineage(inverted_lists(classes.select("class", "sketch")))
-    pairs = cut_lineage(estimated(list_pairs(index), classes.select("class", "n", "sketch")))
-    links = cut_lineage(linked(pairs, docs))
+    facts = classes.select("class", "n", "sketch")
+    listed = cut_lineage(listed_classes(facts))
+    texts = listed_texts(docs, listed)
+    pairs = cut_lineage(estimated(list_pairs(listed), facts))
+    links = cut_lineage(linked(pairs, texts))
     roots = components(links)
-    rest = unfinished_pairs(index, classes, roots)
+    rest = unfinished_links(listed, facts, texts, roots)
     if rest is not None:
-        rest = cut_lineage(estimated(rest.join(pairs, ["a", "b"], "left_anti"), classes.select("class", "n", "sketch")))
-        more = cut_lineage(linked(rest, docs))
+        more = cut_lineage(rest)
         if not more.isEmpty():
             roots = components(links.union(more))
     named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
@@ -255,3 +306,24 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
                          F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+
+
+OP3_SQL = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+         'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(ws) >= 5 THEN list_distinct(list_transform(range(1, len(ws) - 3), lambda i: array_to_string(ws[i:i + 4], ' ')))
+                      WHEN len(ws) > 0 THEN [array_to_string(ws, ' ')] ELSE [] END AS shingles FROM w
+), k AS (SELECT doc_id, len(shingles) AS n, md5(array_to_string(list_sort(shingles), chr(10))) AS sig, shingles FROM s),
+c AS (SELECT sig, n, min(doc_id) AS class, any_value(shingles) AS shingles FROM k WHERE n > 0 GROUP BY sig, n),
+x AS (SELECT class, n, unnest(shingles) AS shingle FROM c),
+p AS (
+  SELECT a.class AS a, b.class AS b FROM x a JOIN x b ON a.shingle = b.shingle AND a.class < b.class
+  GROUP BY a.class, b.class, a.n, b.n HAVING 100 * count(*) >= 75 * (a.n + b.n - count(*))
+), e AS (SELECT a, b FROM p UNION ALL SELECT b, a FROM p),
+r AS (SELECT class AS node, class AS seen FROM c UNION SELECT r.node, e.b FROM r JOIN e ON r.seen = e.a),
+m AS (SELECT node, min(seen) AS root FROM r GROUP BY node)
+SELECT k.doc_id, CAST(k.n AS BIGINT) AS n_shingles, coalesce(m.root, k.doc_id) AS component_id, coalesce(m.root, k.doc_id) = k.doc_id AS kept
+FROM k LEFT JOIN c ON k.sig = c.sig AND k.n = c.n LEFT JOIN m ON c.class = m.node
+"""

@@ -69,6 +69,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 ORACLES: dict[str, str] = {
+    "op3_bottomk_neardup": bottomk.OP3_SQL,
     "op4_chat_format": chat.OP4_SQL,
     "op9_line_dedup": line_runs.OP9_SQL,
 }
