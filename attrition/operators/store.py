@@ -73,7 +73,7 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
     1. one row per feature instant ``(key, event time)`` (the newest by
        created time / tie, a partial ``max_by``) and one per label instant;
     2. the instants are range-partitioned on ``(key, time, kind)`` into
-       ``partitions`` parts (default: shuffle partitions) and pinned with a
+       ``partitions`` parts (default: from the input size) and pinned with a
        reliable checkpoint, so a hot key spans many parts;
     3. inside each (part, key) a running max gives the newest feature instant
        at or before every label instant (features sort first at a tie);
@@ -81,7 +81,7 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
        most ``partitions`` rows per key;
     5. the answer per label instant is joined back to the label rows.
     """
-    from ..session import cut_lineage
+    from ..session import cut_lineage, parts_for
     if features is None:
         feat_cols = [c for c in feats.columns if c not in (key, event_ts, created_ts, *tie)]
     else:
@@ -91,7 +91,7 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
     fstruct = F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order_cols)],
                        *[F.col(c) for c in feat_cols])
     ts = lambda c: F.col(c).cast("timestamp")
-    n = partitions or int(labels.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    n = partitions or max(parts_for(labels), parts_for(feats))
 
     f_inst = (feats.filter(F.col(key).isNotNull())
                    .groupBy(F.col(key).alias("__key"), ts(event_ts).alias("__t"))
