@@ -153,11 +153,14 @@ def test_packed_documents_are_whole_and_without_conflicts(spark):
         want[i] = want.get(i, 0) + len(t or "") + 1
     assert size == want
     source = {i: s for i, _, s, _ in rows[:400]}
+    text = {i: t for i, t, _, _ in rows[:400]}
     for packed in bins.values():
         spans = sorted((r.bin_start, r.bin_start + r.length) for r in packed)
         assert spans[0][0] == 0 and spans[-1][1] <= 64 and all(a[1] == b[0] for a, b in zip(spans, spans[1:]))
         own = [source[r.doc_id] for r in packed if r.doc_id not in (7, None)]
         assert len(own) == len(set(own))
+        texts = [text[r.doc_id] for r in packed if r.doc_id not in (7, None)]
+        assert len(texts) == len(set(texts))   # equal texts are one cluster
     assert bestfit.pack_documents(df.limit(0)).count() == 0
 
 
