@@ -123,7 +123,8 @@ def listed_classes(classes: DataFrame) -> DataFrame:
     (class, sketch) is listed, rarest first; the share of its sketch that
     others have too, and how common these values are."""
     values = classes.select("class", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
-    shared = values.groupBy("value").agg(F.count("*").alias("f")).filter("f > 1")
+    # pinned: joins with it are between two plain shuffles, of which a hot value's can be split
+    shared = cut_lineage(values.groupBy("value").agg(F.count("*").alias("f")).filter("f > 1"))
     own = values.join(shared, "value").groupBy("class", "size").agg(
         F.sort_array(F.collect_list(F.struct("f", "value"))).alias("shared"), F.sum(F.log("f")).alias("weight"))
     # values that occur once fill the prefix first
@@ -139,7 +140,7 @@ def list_pairs(listed: DataFrame) -> DataFrame:
     tie = F.xxhash64("class")
     hubs = F.array(F.max_by("class", F.struct(F.col("common"), F.col("weight"), tie)),
                    F.max_by("class", F.struct(F.col("weight"), tie)), F.max_by("class", tie))
-    lists = index.groupBy("value").agg(F.count("*").alias("size"), hubs.alias("hubs")).filter("size > 1")
+    lists = cut_lineage(index.groupBy("value").agg(F.count("*").alias("size"), hubs.alias("hubs")).filter("size > 1"))
     small = index.join(lists.filter(F.col("size") <= SMALL_LIST).select("value"), "value")
     pairs = small.select("value", F.col("class").alias("a")).join(
         small.select("value", F.col("class").alias("b")), "value").filter("a < b").select("a", "b")
@@ -249,7 +250,7 @@ def _full_set(texts: pd.Series) -> pd.Series:
 def shared_shingles(texts: DataFrame) -> DataFrame:
     """class, shingles: those of each set that some other set of ``texts`` has too."""
     every = texts.select("class", F.explode(F.pandas_udf(_full_set, "array<bigint>")("text")).alias("shingle"))
-    common = every.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1").select("shingle")
+    common = cut_lineage(every.groupBy("shingle").agg(F.count("*").alias("f")).filter("f > 1").select("shingle"))
     return every.join(common, "shingle").groupBy("class").agg(F.collect_list("shingle").alias("shingles"))
 
 
@@ -263,7 +264,7 @@ def unfinished_links(listed: DataFrame, classes: DataFrame, texts: DataFrame, ro
                                          F.min("class").alias("first")).filter(
             (F.col("size") > least) & (F.col("lo") != F.col("hi"))).select("value", "first")
 
-    rows = cut_lineage(index.join(mixed(index, SMALL_LIST).select("value"), "value"))
+    rows = cut_lineage(index.join(cut_lineage(mixed(index, SMALL_LIST).select("value")), "value"))
     if rows.isEmpty():
         return None
     sets = shared_shingles(texts.join(rows.select("class").distinct(), "class"))

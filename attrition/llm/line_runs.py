@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm.common import ASCII_SPACE, ascii_lower, fresh, prepare
+from attrition.llm.common import ASCII_SPACE, ascii_lower, fresh, prepare, stored
 from attrition.session import scratch_path
 
 MIN_CHARS = 20
@@ -109,7 +109,9 @@ def dropped_hashes(docs: DataFrame, n_batches: int = 4, min_chars: int = MIN_CHA
     runs = LineRuns(spark, fanout, min_docs)
     for i in range(len(cuts) + 1):
         runs.add(staged_lines.filter(F.col("batch") == i).select("doc_id", "a", "b").distinct())
-    return (staged_lines.join(runs.condemned(), ["a", "b"])
+    # written first: the join is then between two plain shuffles, of which a hot line's can be split
+    condemned = stored(runs.condemned(), "line-condemned")
+    return (staged_lines.join(condemned, ["a", "b"])
             .filter(F.col("doc_id") != F.col("keeper"))
             .groupBy("doc_id").agg(F.collect_set(F.struct("a", "b")).alias("drops")))
 
