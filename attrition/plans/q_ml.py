@@ -248,16 +248,13 @@ WHERE n_rows > 0""", "customer_features"))
 def q_smote(spark, sf):
     """Rows by class and kind, and whether every synthetic value lies within its class."""
     out = resampled(spark, sf)
-    lo_hi = out.filter("not is_synthetic and Churn = 1").agg(
-        *[F.min(c).alias(f"lo_{c}") for c in S.MODEL_FEATURES], *[F.max(c).alias(f"hi_{c}") for c in S.MODEL_FEATURES])
     ranges = out.groupBy("Churn", "is_synthetic").agg(
         F.count(F.lit(1)).alias("n_rows"), *[F.min(c).alias(f"min_{c}") for c in S.MODEL_FEATURES],
         *[F.max(c).alias(f"max_{c}") for c in S.MODEL_FEATURES])
-    inside = ~F.col("is_synthetic")
+    given = ~F.col("is_synthetic")
+    bounds = ranges.groupBy("Churn").agg(*[F.min(F.when(given, F.col(f"min_{c}"))).alias(f"lo_{c}") for c in S.MODEL_FEATURES],
+                                         *[F.max(F.when(given, F.col(f"max_{c}"))).alias(f"hi_{c}") for c in S.MODEL_FEATURES])
     within = F.lit(True)
     for c in S.MODEL_FEATURES:
         within = within & (F.col(f"min_{c}") >= F.col(f"lo_{c}") - 1e-9) & (F.col(f"max_{c}") <= F.col(f"hi_{c}") + 1e-9)
-    # one row of class bounds, four of counts
-    bounds = lo_hi.withColumn("is_synthetic", F.lit(True))
-    return ranges.join(bounds, "is_synthetic", "left").select("Churn", "is_synthetic", "n_rows",
-                                                            (inside | F.coalesce(within, F.lit(False))).alias("in_range"))
+    return ranges.join(bounds, "Churn").select("Churn", "is_synthetic", "n_rows", F.coalesce(within, F.lit(False)).alias("in_range"))
