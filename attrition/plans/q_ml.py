@@ -26,6 +26,8 @@ from .catalog import query
 from .oracle_sql import with_views
 
 _REGISTRY: dict[tuple, object] = {}
+#: Hyper-parameters of the training run other than the original's (none; tests fit fewer rounds).
+TRAIN_FIT: dict | None = None
 
 
 def splits(spark, sf):
@@ -50,7 +52,7 @@ def trained(spark, sf) -> M.TrainResult:
     if key not in _REGISTRY:
         sp = splits(spark, sf)
         train = resampled(spark, sf).drop("is_synthetic")
-        _REGISTRY[key] = M.train_all(train, sp["val"], sp["test"], run_id="train-run",
+        _REGISTRY[key] = M.train_all(train, sp["val"], sp["test"], run_id="train-run", overrides=TRAIN_FIT,
                                      save_to=scratch_path(spark, "models"))
     return _REGISTRY[key]
 

@@ -10,6 +10,16 @@ REG = load_all()
 SQL_KEYS = sorted(k for k, q in REG.items() if q.oracle and k != "validation_gate")
 
 
+@pytest.fixture(scope="module", autouse=True)
+def few_rounds():
+    """What the oracles check of a model does not depend on its size."""
+    from attrition.plans import q_ml
+    old = q_ml.TRAIN_FIT, q_ml.CV_FIT
+    q_ml.TRAIN_FIT = q_ml.CV_FIT = {"random_forest": {"numTrees": 5, "maxDepth": 4}, "xgboost": {"maxIter": 2}, "lightgbm": {"maxIter": 2}}
+    yield
+    q_ml.TRAIN_FIT, q_ml.CV_FIT = old
+
+
 @pytest.fixture(scope="module")
 def con(sf):
     c = duckdb.connect()
