@@ -118,27 +118,13 @@ def sketches(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", sketch(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
 
 
-#: A value is hot when it has more than this share of the rows; so fewer than 1 / HOT values are.
-HOT = 0.001
-
-
-def _join_by_value(rows: DataFrame, table: DataFrame, count: str, total: int) -> DataFrame:
-    """``rows`` joined with ``table`` (value, ``count`` rows of it, ...): a hot
-    value's rows are not shuffled into one task. The hot entries of the table,
-    fewer than 1 / HOT by their definition, are broadcast."""
-    hot = F.broadcast(table.filter(F.col(count) > HOT * total))
-    cold = rows.join(hot.select("value"), "value", "left_anti").join(table.filter(F.col(count) <= HOT * total), "value")
-    return cold.unionByName(rows.join(hot, "value"))
-
-
 def listed_classes(classes: DataFrame) -> DataFrame:
     """class, keys, common, weight: the retained values under which each class
     (class, sketch) is listed, rarest first; the share of its sketch that
     others have too, and how common these values are."""
     values = classes.select("class", F.size("sketch").alias("size"), F.explode("sketch").alias("value"))
     shared = values.groupBy("value").agg(F.count("*").alias("f")).filter("f > 1")
-    total = classes.agg(F.coalesce(F.sum(F.size("sketch")), F.lit(0)).alias("n")).first()["n"]
-    own = _join_by_value(values, shared, "f", total).groupBy("class", "size").agg(
+    own = values.join(shared, "value").groupBy("class", "size").agg(
         F.sort_array(F.collect_list(F.struct("f", "value"))).alias("shared"), F.sum(F.log("f")).alias("weight"))
     # values that occur once fill the prefix first
     room = F.col("size") - _least(F.col("size")) + 1 - (F.col("size") - F.size("shared"))
@@ -154,11 +140,10 @@ def list_pairs(listed: DataFrame) -> DataFrame:
     hubs = F.array(F.max_by("class", F.struct(F.col("common"), F.col("weight"), tie)),
                    F.max_by("class", F.struct(F.col("weight"), tie)), F.max_by("class", tie))
     lists = index.groupBy("value").agg(F.count("*").alias("size"), hubs.alias("hubs")).filter("size > 1")
-    total = listed.agg(F.coalesce(F.sum(F.size("keys")), F.lit(0)).alias("n")).first()["n"]
     small = index.join(lists.filter(F.col("size") <= SMALL_LIST).select("value"), "value")
     pairs = small.select("value", F.col("class").alias("a")).join(
         small.select("value", F.col("class").alias("b")), "value").filter("a < b").select("a", "b")
-    large = _join_by_value(index, lists.filter(F.col("size") > SMALL_LIST), "size", total).select(
+    large = index.join(lists.filter(F.col("size") > SMALL_LIST), "value").select(
         "class", F.explode(F.array_distinct("hubs")).alias("hub")).filter("class <> hub")
     return pairs.union(large.select(F.least("class", "hub"), F.greatest("class", "hub"))).distinct()
 
@@ -189,9 +174,9 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 
 
 def components(links: DataFrame) -> DataFrame:
-    """(node, root): the smallest node reachable, for every node with a link
-    (a, b), by large-star and small-star steps until all edges are stars."""
-    edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    """(node, root): the smallest node reachable, for every node with a link."""
+    edges = cut_lineage(links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    state = None
     while True:
         # large star: neighbours above u go to the smallest neighbour
         both = edges.union(edges.select("v", "u"))
@@ -202,12 +187,11 @@ def components(links: DataFrame) -> DataFrame:
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u <> v")
         edges = cut_lineage(small.distinct())
-        # stars: a node has one edge up and none down, or none up
-        ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
-            edges.select("v", F.lit(0), F.lit(1))).groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
-        if ends.filter("up > 1 or (up = 1 and down = 1)").isEmpty():
+        now = tuple(edges.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first())
+        if now == state:
             return edges.select(F.col("u").alias("node"), F.col("v").alias("root")).union(
                 edges.select("v", "v").distinct())
+        state = now
 
 
 def _incidence(owner: np.ndarray, values: np.ndarray, rows: int):
