@@ -53,6 +53,8 @@ FRAME_TOKENS = 8 * BLOCK
 SHARD_TOKENS = 8_000_000
 #: Tokens that one task codes at a time.
 BATCH_TOKENS = 2_000_000
+#: Blocks that are coded side by side.
+SIDE = 128
 MAGIC = b"RNS1"
 
 
@@ -185,8 +187,8 @@ def encode_frames(frames: list[tuple[np.ndarray, list[np.ndarray]]], table: Freq
     tails = sorted((i for i, b in enumerate(cut) if len(b) < BLOCK), key=lambda i: len(cut[i]))
     coded: dict[int, bytes] = {}
     for group in (full, tails):
-        for k in range(0, len(group), 64):
-            some = group[k:k + 64]
+        for k in range(0, len(group), SIDE):
+            some = group[k:k + SIDE]
             coded.update(zip(some, encode_blocks([cut[i] for i in some], table)))
     out = []
     for (ids, docs), (a, b) in zip(frames, spans):
@@ -216,8 +218,8 @@ def decode_frames(payloads: list[bytes], table: FrequencyTable) -> list[tuple[li
         heads.append(([int(i) if k else None for i, k in zip(ids, known)], lens, first, len(blocks)))
     order = sorted(range(len(blocks)), key=lambda i: blocks[i].size)
     got: dict[int, np.ndarray] = {}
-    for k in range(0, len(order), 64):
-        some = order[k:k + 64]
+    for k in range(0, len(order), SIDE):
+        some = order[k:k + SIDE]
         for i, ids in zip(some, decode_blocks([blocks[i] for i in some], table)):
             if zlib.crc32(ids.astype("<u4").tobytes()) != blocks[i].crc:
                 raise ValueError("damaged block")
@@ -230,7 +232,8 @@ def decode_frames(payloads: list[bytes], table: FrequencyTable) -> list[tuple[li
 
 
 # Lower-case letters that the tokenizer's pattern takes as one run, then plain marks that it takes as another.
-PLAIN_WORD = re.compile(rb"((?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])*)([.,;:!?*#$%&|]*)")
+PLAIN_LETTERS = re.compile(rb"(?:[a-z]|\xc3[\x9f-\xb6\xb8-\xbf])*")
+PLAIN_MARKS = b".,;:!?*#$%&|"
 
 
 IS_SPACE = np.zeros(256, bool)
@@ -287,7 +290,7 @@ class WordTokenizer:
     #: Bytes of text that are worked at a time.
     RUN_BYTES = 4_000_000
 
-    def __init__(self, path: str, most: int = 500_000):
+    def __init__(self, path: str, most: int = 700_000):
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
         self.model, self.most = self.lib.model, most
@@ -308,9 +311,11 @@ class WordTokenizer:
         return ids
 
     def _word(self, word: bytes):
-        m = PLAIN_WORD.fullmatch(word)
-        if m:
-            return self._part(m[1]) + self._part(m[2]) if m[1] and m[2] else self._part(word)
+        letters = word.rstrip(PLAIN_MARKS)
+        if letters.isalpha() and letters.islower() or PLAIN_LETTERS.fullmatch(letters):
+            if len(letters) == len(word) or not letters:
+                return self._part(word)
+            return self._part(letters) + self._part(word[len(letters):])
         return self.lib.encode(word.decode("utf-8", "replace"), add_special_tokens=False).ids
 
     def encode(self, texts: list[bytes], end_id: int) -> Iterator[list[np.ndarray]]:
