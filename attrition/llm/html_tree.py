@@ -2,7 +2,10 @@
 
 A page becomes a tree (implied end tags, void elements, raw text and broken
 markup included). Subtrees that are no article text by their tag, role or
-class words are cut. Every paragraph of the rest earns points for its length
+class are cut: a class or id counts as noise by its whole name, not by some
+word of it (``related-work``, ``category-social``), by its first word only if
+the element is mostly links, an id of a heading never, and an article element
+only if it is a comment or an advertisement. Every paragraph of the rest earns points for its length
 and commas and passes them to its ancestors, less at each level; a node's
 score is its points discounted by its link density. The best container wins,
 and its siblings stay when they score well or are headings or paragraphs
@@ -57,6 +60,18 @@ NOISE = frozenset("""ad ads adbox adslot advert adverts advertisement advertisem
     search share sharing sidebar signup skip social sponsor sponsored subscribe subscription tagcloud toolbar topbar
     widget widgets""".split())
 KEPT_WORDS = frozenset(["header", "banner"])   # cut only outside an article
+# Noise words that articles are also about: an id made of a heading may hold them.
+TOPICS = frozenset("""advertisement advertisements advertising alert banner complementary consent cookie cookies dialog
+    disclaimer discussion login menu modal navigation newsletter notice notices notification notifications pager
+    pagination popup promo promoted promotion recommended related replies reply respond search share sharing signup skip
+    social sponsor sponsored subscribe subscription toolbar widget widgets""".split())
+# Words that say nothing of the content: with them around, a noise word still is the whole name.
+PARTS = frozenset("""area article articles bar block body bottom box btn button buttons center col column container content
+    entry form group holder icon icons inner item items left link links list main module outer overlay page panel post
+    posts primary region right row secondary section site slot story strip text thread title top unit wrap wrapper""".split())
+# What an article element may not be.
+NO_ARTICLE = frozenset("ad ads advert advertisement comment comments promo reply sponsored".split())
+MANY_LINKS = 0.5   # link density of what is no text
 ARTICLE_WORDS = frozenset("article post entry story hentry".split())   # class words of a container that is an article
 
 TOKEN = re.compile(
@@ -68,35 +83,53 @@ WORDS = re.compile(r"[a-zA-Z][a-z]*|[A-Z]+")
 HIDDEN = re.compile(r"display\s*:\s*none|visibility\s*:\s*hidden", re.I)
 
 
-def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool]:
-    """Whether the attributes of a start tag mark its element as no article text, or as an article."""
+def _named(name: str, noise: frozenset) -> bool:
+    """Whether a class or id as a whole, and not some word of it, is a noise word."""
+    if name.lower() in noise:
+        return True
+    words = [w.lower() for w in WORDS.findall(name)]
+    return any(w in noise for w in words) and all(w in noise or w in PARTS or len(w) == 1 for w in words)
+
+
+def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
+    """Whether the attributes of a start tag mark its element as no article text, as an article, or as no article
+    text if it is mostly links."""
     if tag in ("html", "body", "main"):
-        return False, False
-    article = False
+        return False, False, False
+    given: dict[str, list[str]] = {}
     for m in ATTR.finditer(attrs):
         name = m[1].lower()
         value = m[2] if m[2] is not None else m[3] if m[3] is not None else m[4] or ""
         if name == "hidden" or name == "aria-hidden" and value.lower() == "true":
-            return True, False
+            return True, False, False
         if name == "style" and HIDDEN.search(value):
-            return True, False
+            return True, False, False
         if name in ("class", "id", "role"):
-            words = {w.lower() for w in WORDS.findall(value)} | set(value.lower().split())
-            if words & NOISE and not (in_article and words & NOISE <= KEPT_WORDS):
-                return True, False
-            if "header" in words and not in_article and tag not in HEADINGS:
-                return True, False
-            article |= tag in CONTAINERS and bool(ARTICLE_WORDS & set(value.lower().split()))
-    return False, article
+            given.setdefault(name, []).extend(value.split())
+    noise = NOISE - KEPT_WORDS if in_article else NOISE if tag in HEADINGS else NOISE | KEPT_WORDS
+    if any(r.lower() in noise for r in given.get("role", [])):
+        return True, False, False
+    classes = given.get("class", [])
+    article = tag in CONTAINERS and any(c.lower() in ARTICLE_WORDS for c in classes)
+    if article or tag == "article":
+        return not article and any(c.lower() in NO_ARTICLE for c in classes), article, False
+    ids = [] if tag in HEADINGS else given.get("id", [])
+    if any(_named(c, noise) for c in classes) or any(_named(i, noise - TOPICS) for i in ids):
+        return True, False, False
+    heads = [[w.lower() for w in WORDS.findall(x)] for x in classes + ids]
+    if not in_article and any(len(h) > 1 and all(w in noise for w in h) for h in heads):
+        return True, False, False
+    return False, False, tag not in HEADINGS and any(h and h[0] in noise for h in heads)
 
 
 class Tree:
     """Flat arrays of a parsed page; children have larger numbers than their parent."""
 
-    __slots__ = ("tag", "parent", "cut", "events", "in_article", "size", "links")
+    __slots__ = ("tag", "parent", "cut", "events", "in_article", "size", "links", "doubt")
 
     def __init__(self, page: str):
         self.tag, self.parent, self.cut, self.in_article = ["#root"], [-1], [False], [False]
+        self.doubt: list[int] = []   # no article text if mostly links
         self.events: list[tuple[int, str | None]] = []   # (node, text), (node, None) opens, (~node, None) closes
         self._parse(page)
         self._fold()
@@ -162,7 +195,9 @@ class Tree:
             tags.append(tag)
             parents.append(up)
             attrs = m["attrs"]
-            noise, article = _judge(tag, attrs, inside[up]) if attrs and attrs.strip(" /") else (False, False)
+            noise, article, doubt = _judge(tag, attrs, inside[up]) if attrs and attrs.strip(" /") else (False, False, False)
+            if doubt:
+                self.doubt.append(node)
             inside.append(inside[up] or article or tag in ("article", "main"))
             cut.append(cut[up] or noise or tag in CUT or tag == "header" and not inside[up])
             events.append((node, None))
@@ -180,7 +215,8 @@ class Tree:
         close_to(1)
 
     def _fold(self) -> None:
-        """Forms that hold no article are cut; text and link lengths are summed up the tree."""
+        """Forms that hold no article are cut, and doubtful parts that are mostly links; text and link lengths
+        are summed up the tree."""
         n = len(self.tag)
         holds = [0] * n
         for i in range(n - 1, 0, -1):
@@ -189,6 +225,15 @@ class Tree:
             if self.tag[i] == "form" and holds[i] < 3:
                 self.cut[i] = True
             holds[self.parent[i]] += holds[i]
+        self._sum()
+        links = [i for i in self.doubt if self.size[i] and self.link_density(i) >= MANY_LINKS]
+        if links:
+            for i in links:
+                self.cut[i] = True
+            self._sum()
+
+    def _sum(self) -> None:
+        n = len(self.tag)
         self.size, self.links = [0] * n, [0] * n
         for i in range(1, n):
             self.cut[i] = self.cut[i] or self.cut[self.parent[i]]

@@ -101,6 +101,22 @@ def test_other_layouts(page, text):
     assert html_tree.main_text(page) == text
 
 
+@pytest.mark.parametrize("part", [
+    '<section id="discussion"><p>x, y</p></section>', '<h2 id="related-work">x, y</h2>', '<h2 id="search">x, y</h2>',
+    '<div id="social-impact"><p>x, y</p></div>', '<p class="search-engines">x, y</p>', '<section id="cookies"><p>x, y</p></section>'])
+def test_words_of_a_slug_cut_nothing(part):
+    post = f'<article class="post hentry category-social tag-newsletter"><p>{LONG}</p>{part}<p>{LONG}</p></article>'
+    assert html_tree.main_text(f"<body>{post}</body>") == f"{LONG}\nx, y\n{LONG}"
+    assert html_tree.main_text(f"<body><div class='layout'>{post.replace('article', 'div')}</div></body>") == f"{LONG}\nx, y\n{LONG}"
+
+
+@pytest.mark.parametrize("part", [
+    '<div class="related-reading"><a href="#">x, y</a></div>', '<div class="comment-list"><p>x, y</p></div>',
+    '<article class="comment"><p>x, y</p></article>', '<div class="SocialBar">x, y</div>', '<div id="disqus_thread">x, y</div>'])
+def test_whole_names_of_noise_are_cut(part):
+    assert html_tree.main_text(f"<body><article><p>{LONG}</p>{part}<p>{LONG}</p></article></body>") == f"{LONG}\n{LONG}"
+
+
 def test_long_and_deep_pages_end():
     deep = "<div>" * 3000 + "<p>core, text</p>" + "</div>" * 3000
     assert html_tree.main_text(deep) == "core, text"
