@@ -8,8 +8,11 @@ the element is mostly links, an id of a heading never, and an article element
 only if it is a comment or an advertisement. Every paragraph of the rest earns points for its length
 and commas and passes them to its ancestors, less at each level; a node's
 score is its points discounted by its link density. The best container wins,
-and its siblings stay when they score well or are headings or paragraphs
-with few links. The text of what stays is returned block by block.
+and its siblings stay, whatever their length, unless they are mostly links;
+headings stay when something under them does. Inside an article or main
+element that holds for every level up to it; beside an article element that
+stands in the body itself only headings, other articles and what is between
+them stay. The text of what stays is returned block by block.
 
 Pages are independent: one ``mapInPandas`` pass, no shuffle, Arrow batches of
 bounded size; time is linear in the page.
@@ -125,10 +128,11 @@ def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
 class Tree:
     """Flat arrays of a parsed page; children have larger numbers than their parent."""
 
-    __slots__ = ("tag", "parent", "cut", "events", "in_article", "size", "links", "doubt")
+    __slots__ = ("tag", "parent", "cut", "events", "in_article", "size", "links", "doubt", "_children")
 
     def __init__(self, page: str):
         self.tag, self.parent, self.cut, self.in_article = ["#root"], [-1], [False], [False]
+        self._children: list[list[int]] = []
         self.doubt: list[int] = []   # no article text if mostly links
         self.events: list[tuple[int, str | None]] = []   # (node, text), (node, None) opens, (~node, None) closes
         self._parse(page)
@@ -290,17 +294,47 @@ class Tree:
                 if self.tag[up] == "article":
                     break
             up = self.parent[up]
-        keep = [best]
-        if best and self.tag[best] not in ("body", "main"):
-            whole = self.tag[best] == "article"   # an article is complete but for its headline
-            floor = max(2.0, 0.2 * scores.get(best, 0.0))
-            for i in range(1, len(self.tag)):
-                if i == best or self.parent[i] != self.parent[best] or self.cut[i] or not self.size[i] or self.link_density(i) >= 0.3:
-                    continue
-                if self.tag[i] == "h1" or not whole and (scores.get(i, 0.0) >= floor or self.tag[i] in PARAGRAPHS and self.size[i] >= 40):
-                    keep.append(i)
+        keep = {best}
+        marked = self.tag[best] in ("article", "main")
+        if best and self.tag[best] != "body" and self.tag[best] != "main":
+            keep |= self._siblings(best, marked)
+        while self.in_article[self.parent[best]]:   # parts of the article or main element around
+            best = self.parent[best]
+            if self.tag[best] != "main":
+                keep |= self._siblings(best, False) - {best}
         return sorted(keep)
 
+    def _siblings(self, node: int, marked: bool) -> set[int]:
+        """The siblings that stay with a kept node: text with few links, and headings of what is kept.
+
+        Beside a marked article right in the body only headings, other articles and what is between them stay."""
+        up = self.parent[node]
+        level = [i for i in self.children()[up] if i == node or not self.cut[i] and self.size[i]]
+        few = {i for i in level if i == node or self.link_density(i) < MANY_LINKS}
+        texts = {i for i in few if self.tag[i] not in HEADINGS}
+        if marked and self.tag[up] in ("#root", "html", "body"):
+            texts = {i for i in texts if i == node or self.tag[i] == "article"}
+        keep = set(texts)
+        under = [False] * 7   # whether a heading of that level has kept text under it
+        for i in reversed(level):
+            if i in texts:
+                under = [True] * 7
+            elif self.tag[i] in HEADINGS:
+                rank = int(self.tag[i][1])
+                if under[rank] or rank == 1 and i in few:
+                    keep.add(i)
+                under[rank:] = [False] * (7 - rank)
+        low, high = min(keep), max(keep)
+        keep |= {i for i in few if low < i < high and self.tag[i] not in HEADINGS}
+        return keep
+
+    def children(self) -> list[list[int]]:
+        if not self._children:
+            self._children = [[] for _ in self.tag]
+            for i in range(1, len(self.tag)):
+                self._children[self.parent[i]].append(i)
+        return self._children
+
     def text(self) -> str:
         keep = set(self.main_nodes())
         blocks: list[str] = []

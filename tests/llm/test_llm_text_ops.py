@@ -117,6 +117,20 @@ def test_whole_names_of_noise_are_cut(part):
     assert html_tree.main_text(f"<body><article><p>{LONG}</p>{part}<p>{LONG}</p></article></body>") == f"{LONG}\n{LONG}"
 
 
+LINKS = '<ul><li><a href="#">one, two</a></li><li><a href="#">three</a></li></ul>'
+
+
+@pytest.mark.parametrize("page, text", [
+    (f'<div><div><p>{LONG}</p><p>{LONG}</p><p>{LONG}</p></div><h2>Next</h2><section><p>Short.</p></section><pre>x = 1</pre>'
+     f'<h3><a href="#n">Note</a></h3><p>End.</p><h2>Elsewhere</h2>{LINKS}</div>', f"{LONG}\n{LONG}\n{LONG}\nNext\nShort.\nx = 1\nNote\nEnd."),
+    (f'<main><p>Lead.</p><article><p>{LONG}</p></article><article><p>Part two.</p></article>{LINKS}</main>', f"Lead.\n{LONG}\nPart two."),
+    (f'<main><h1>Title</h1><p>Lead.</p><div><article><p>{LONG}</p></article>{LINKS}</div></main>', f"Title\nLead.\n{LONG}"),
+    (f'<body><h1>Title</h1><p>Lead.</p><article><p>{LONG}</p></article><h2>More</h2><article><p>Part two.</p></article><p>Imprint</p></body>',
+     f"Title\nLead.\n{LONG}\nMore\nPart two.")])
+def test_siblings_of_the_container_stay(page, text):
+    assert html_tree.main_text(page) == text
+
+
 def test_long_and_deep_pages_end():
     deep = "<div>" * 3000 + "<p>core, text</p>" + "</div>" * 3000
     assert html_tree.main_text(deep) == "core, text"
