@@ -3,7 +3,8 @@
 Documents are cut into segments of at most ``capacity`` tokens; a full
 segment is a sequence of its own. The rest goes, longest first, into the bin
 with the tightest fitting residual that holds neither a document of the same
-source nor one of the same duplicate cluster. Bins are kept in residual
+source nor one of the same duplicate cluster (a component of near copies, as
+``bottomk`` finds them: five-word shingles, 0.75 or more). Bins are kept in residual
 order and carry a bitmap of their sources and one of their clusters; the
 search starts at the successor of the length and goes on until a compatible
 bin is found (blocks of bins whose common bits already conflict are skipped
@@ -27,7 +28,8 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import parts_for, prepare
+from attrition.llm import bottomk
+from attrition.llm.common import parts_for, prepare, stored
 
 CAPACITY = 8192
 DOCS_PER_SHARD = 8192
@@ -160,7 +162,13 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, docs_per_shard: int = DOCS_P
 
 
 def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
-    """Pack doc_id, text, source by byte tokens (UTF-8 bytes and an end token); clusters are equal texts."""
+    """Pack doc_id, text, source by byte tokens (UTF-8 bytes and an end token); clusters are near-duplicate components.
+
+    A document is known by a hash of its id and text there, so null and repeated ids take part row by row."""
     text = F.coalesce("text", F.lit(""))
-    return pack(docs.select("doc_id", (F.octet_length(text) + 1).alias("length"), "source",
-                            F.xxhash64(text).alias("cluster")), capacity)
+    rows = docs.select(F.xxhash64("doc_id", text).alias("doc_id"), text.alias("text"), F.col("doc_id").alias("own_id"),
+                       (F.octet_length(text) + 1).alias("length"), "source", F.xxhash64(text).alias("hash"))
+    near = bottomk.near_duplicates(rows, "own_id", "length", "source", "hash")
+    # texts without words are in no component: equal ones are a cluster
+    cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("hash"))
+    return pack(stored(near.select(F.col("own_id").alias("doc_id"), "length", "source", cluster.alias("cluster")), "lengths"), capacity)

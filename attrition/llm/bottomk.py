@@ -112,10 +112,10 @@ def _least(size: Column) -> Column:
     return F.ceil(size * SHARE[0] / F.lit(SHARE[1])).cast("int")
 
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc_id, n, s1, s2, sketch of each row of doc_id, text."""
+def sketches(docs: DataFrame, *carry: str) -> DataFrame:
+    """doc_id, carried columns, n, s1, s2, sketch of each row of doc_id, text."""
     sketch = F.pandas_udf(_sketch, "n bigint, s1 bigint, s2 bigint, sketch array<bigint>")
-    return docs.select("doc_id", sketch(F.col("text").cast("binary")).alias("s")).select("doc_id", "s.*")
+    return docs.select("doc_id", *carry, sketch(F.col("text").cast("binary")).alias("s")).select("doc_id", *carry, "s.*")
 
 
 def listed_classes(classes: DataFrame) -> DataFrame:
@@ -283,10 +283,10 @@ def unfinished_links(listed: DataFrame, classes: DataFrame, texts: DataFrame, ro
     return dealt.join(facts, "class").groupBy("group", "i", "j").applyInPandas(_block_links, "a bigint, b bigint")
 
 
-def near_duplicates(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id, kept of each row of doc_id, text."""
+def near_duplicates(docs: DataFrame, *carry: str) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept and the carried columns of each row of doc_id, text."""
     prepare(docs.sparkSession)
-    rows = stored(sketches(docs), "sketches")
+    rows = stored(sketches(docs, *carry), "sketches")
     classes = cut_lineage(rows.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
         F.min("doc_id").alias("class"), F.first("sketch").alias("sketch")))
     facts = classes.select("class", "n", "sketch")
@@ -302,11 +302,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
             roots = components(links.union(more))
     named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
         F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("root", "class").alias("root"))
-    joined = rows.select("doc_id", "n", "s1", "s2").join(
+    joined = rows.select("doc_id", "n", "s1", "s2", *carry).join(
         named, (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
     return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"))
+                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *carry)
 
 
 OP3_SQL = r"""

@@ -164,6 +164,24 @@ def test_packed_documents_are_whole_and_without_conflicts(spark):
     assert bestfit.pack_documents(df.limit(0)).count() == 0
 
 
+def test_near_copies_never_share_a_sequence(spark):
+    rng = random.Random(11)
+    rows, family = [], {}
+    for k in range(4):   # families of edited copies, each copy of another source, ids null or repeated; no two of one length
+        base = ["".join(rng.choices("abcdefgh", k=6)) for _ in range(60 + 10 * k)]
+        for i in range(8):
+            text = " ".join([*base, "z" * (i + 1)])
+            rows.append((rng.choice([None, 1, 2]), text, f"s{k}{i}"))
+            family[len(text) + 1] = k
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    bins = {}
+    for r in bestfit.pack_documents(df, 4000).collect():
+        bins.setdefault(r.bin_id, []).append(family[r.length])
+    assert sum(map(len, bins.values())) == len(rows) == len(family)
+    assert all(len(b) == len(set(b)) for b in bins.values())
+    assert any(len(b) > 1 for b in bins.values())
+
+
 # --- token-id files --------------------------------------------------------------------
 
 def test_word_tokenizer_equals_the_library():
