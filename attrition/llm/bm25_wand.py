@@ -13,8 +13,11 @@ words, worth less than the threshold together, are inessential, and the
 essential words of a passage plus all inessential ones must reach it. The
 others are searched with block-max WAND, and everything above the threshold
 is retrieved. A hit is verified on the words themselves: enough of the word
-n-grams of the item's question and of its answer (its last sentence) occur
-around the passage.
+n-grams of the question and of the answer (the item's last sentence) occur
+around the passage, in the whole item or in the unit that was retrieved. In a
+part of fewer than ``SHORT`` words one changed word can take most n-grams
+away: such an answer is judged by its words, and where either part is short it
+is enough that the n-grams of both together occur.
 
 The items are few against the corpus, but no bound is assumed: they are
 indexed in shards of at most ``SHARD_WORDS`` words, each broadcast in its
@@ -47,6 +50,8 @@ INESSENTIAL = 0.35
 BLOCK = 8
 GRAM = 3
 OVERLAP = 0.6
+#: From so many words on, one changed word leaves a share of OVERLAP of the n-grams.
+SHORT = 10
 SHARD_WORDS = 2_000_000
 K1, B = 1.2, 0.75
 
@@ -78,17 +83,37 @@ def grams(words: list[bytes]) -> set[tuple]:
     return {tuple(words[i:i + n]) for i in range(len(words) - n + 1)} if n else set()
 
 
+def held(part: list[bytes], near: list[bytes]) -> float:
+    """The share of a part's n-grams that occur in ``near``."""
+    want, n = grams(part), min(GRAM, len(part))
+    have = {tuple(near[i:i + n]) for i in range(len(near) - n + 1)}
+    return len(want & have) / len(want) if want else 1.0
+
+
+def verified(question: list[bytes], answer: list[bytes], near: list[bytes], overlap: float) -> tuple[float, float] | None:
+    """The shares of question and answer in ``near``, if they are enough."""
+    q, a = held(question, near), held(answer, near)
+    if answer and len(answer) < SHORT:
+        a = len(set(answer) & set(near)) / len(set(answer))
+    if min(q, a) >= overlap:
+        return q, a
+    short = min(len(question), len(answer)) < SHORT
+    return (q, a) if short and held(question + answer, near) >= overlap else None
+
+
 class BlockMaxIndex:
     """BM25 weights of words in units, as shares of each unit's own score."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = [(i, *question_answer(t or "")) for i, t in items]
         units: list[tuple[int, list[bytes]]] = []
+        self.spans: list[tuple[int, int]] = []   # of the units in their items' words
         for k, (_, q, a) in enumerate(self.items):
             words = q + a
             n = -(-len(words) // UNIT_WORDS)
             for u in range(n):   # units of about the same length
-                units.append((k, words[u * len(words) // n:(u + 1) * len(words) // n]))
+                self.spans.append((u * len(words) // n, (u + 1) * len(words) // n))
+                units.append((k, words[slice(*self.spans[-1])]))
         self.unit_item = [k for k, _ in units]
         tfs = [Counter(w) for _, w in units]
         df = Counter(w for tf in tfs for w in tf)
@@ -209,16 +234,13 @@ class BlockMaxIndex:
                 if item in best and best[item][1] >= score:
                     continue
                 _, q, a = self.items[item]
-                reach = len(q) + len(a)
-                near = words[max(0, low - reach):high + reach]
-                shares = []
-                for part in (q, a):
-                    want = grams(part)
-                    n = min(GRAM, len(part))
-                    have = {tuple(near[i:i + n]) for i in range(len(near) - n + 1)}
-                    shares.append(len(want & have) / len(want) if want else 1.0)
-                if min(shares) >= overlap:
-                    best[item] = (self.items[item][0], min(1.0, score), *shares, low)
+                for first, last in dict.fromkeys([(0, len(q) + len(a)), self.spans[unit]]):
+                    one, two = q[first:last], a[max(0, first - len(q)):max(0, last - len(q))]
+                    reach = len(one) + len(two)
+                    shares = verified(one, two, words[max(0, low - reach):high + reach], overlap)
+                    if shares:
+                        best[item] = (self.items[item][0], min(1.0, score), *shares, low)
+                        break
         return sorted(best.values(), key=lambda h: h[0])
 
 

@@ -256,6 +256,23 @@ def test_planted_items_are_found_and_clean_documents_left(spark):
     assert bm25_wand.decontaminate(docs.limit(0), table).count() == 0
 
 
+def test_copies_with_a_changed_answer_or_one_unit_are_found():
+    items, words, zipf, rng = _items(7)
+    noise = lambda k: " ".join("n" + "".join(rng.choices("klmnop", k=5)) for _ in range(k))
+    pick = lambda k: " ".join(rng.sample(words, k))
+    question, long = pick(14), pick(150)
+    answers = [pick(k) for k in (1, 2, 4, 6, 8)]
+    items += [(100 + k, f"{question}. {a}.") for k, a in enumerate(answers)] + [(200, f"{long}. {pick(20)}."), (201, f"{question}. {pick(40)}.")]
+    index = bm25_wand.BlockMaxIndex(items)
+    find = lambda text: {h[0] for h in index.hits(f"{noise(90)} {text} {noise(90)}")}
+    for k, a in enumerate(answers):
+        w = a.split()
+        assert 100 + k in find(f"{question}. {' '.join([*w[:len(w) // 2], 'changed', *w[len(w) // 2 + 1:]])}.")
+    start, stop = index.spans[next(u for u, k in enumerate(index.unit_item) if index.items[k][0] == 200)]
+    assert 200 in find(" ".join(long.split()[start:stop]))
+    assert 201 not in find(question) and not find("")
+
+
 def test_item_shards_give_the_same_hits(spark, monkeypatch):
     docs, items = spark.read.parquet(f"{SF}/documents.parquet"), spark.read.parquet(f"{SF}/benchmark.parquet")
     whole = {(r.doc_id, r.item_id) for r in bm25_wand.contaminated(docs, items).collect()}
