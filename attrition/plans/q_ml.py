@@ -7,7 +7,9 @@ a model (importances, vote, scoring, segments) do not refit it.
 A model's numbers depend on its learner, which SQL does not have. So these
 queries return, for every row or metric, what SQL can decide (which rows are
 in the split, which requests are rejected and why, how many rows a segment
-has) beside checks of the model's output that must all be true.
+has) beside checks of the model's output that must all be true. What was learned
+(probabilities, fold means, importances, passed counts) is written as a table
+of its own in the shared folder; ``LEARNED`` names the last one of each query.
 """
 
 from __future__ import annotations
@@ -26,6 +28,8 @@ from .catalog import query
 from .oracle_sql import with_views
 
 _REGISTRY: dict[tuple, object] = {}
+#: Query -> path of the Parquet table with the values that its last run learned.
+LEARNED: dict[str, str] = {}
 #: Hyper-parameters of the training run other than the original's (none; tests fit fewer rounds).
 TRAIN_FIT: dict | None = None
 
@@ -57,12 +61,20 @@ def trained(spark, sf) -> M.TrainResult:
     return _REGISTRY[key]
 
 
-def _test_scores(spark, sf, names, vote=None):
+def offered(df, name):
+    """Write the learned values of a query as a table and read them back for its checks."""
+    LEARNED[name] = scratch_path(df.sparkSession, f"learned-{name}")
+    df.write.parquet(LEARNED[name])
+    return df.sparkSession.read.schema(df.schema).parquet(LEARNED[name])
+
+
+def _test_scores(spark, sf, query_name, names, vote=None):
     res = trained(spark, sf)
     test = M.assembler(S.MODEL_FEATURES).transform(splits(spark, sf)["test"])
     scored = M.score_with({n: res.models[n] for n in names}, test, vote=vote)
     p = "p_vote" if vote else f"p_{names[0]}"
     decided = P.decide_label(scored.withColumn("churn_probability", F.col(p)))
+    decided = offered(decided.select("customerID", "Churn", p, "churn_prediction"), query_name)
     return decided.select("customerID", "Churn", F.col(p).between(0, 1).alias("probability_in_range"),
                           (F.col("churn_prediction") == (F.col(p) >= S.DECISION_THRESHOLD).cast("int")).alias("decision_matches"))
 
@@ -89,17 +101,17 @@ def q_weights(spark, sf):
 
 @query("rf_train", "M1", _TEST_SQL)
 def q_rf(spark, sf):
-    return _test_scores(spark, sf, ["random_forest"])
+    return _test_scores(spark, sf, "rf_train", ["random_forest"])
 
 
 @query("gbt_train", "M2", _TEST_SQL)
 def q_gbt(spark, sf):
-    return _test_scores(spark, sf, ["xgboost"])
+    return _test_scores(spark, sf, "gbt_train", ["xgboost"])
 
 
 @query("gbt_balanced_train", "M3", _TEST_SQL)
 def q_gbt_bal(spark, sf):
-    return _test_scores(spark, sf, ["lightgbm"])
+    return _test_scores(spark, sf, "gbt_balanced_train", ["lightgbm"])
 
 
 @query("soft_vote", "M5", with_views(
@@ -114,8 +126,8 @@ def q_vote(spark, sf):
         "line_id", F.round("p_vote", 6).alias("p_vote"), (F.col("p_vote") >= 0.5).cast("tinyint").alias("prediction"))
 
 
-# cross-validation fits every learner k times: fewer rounds than the training run
-CV_FIT = {"random_forest": {"numTrees": 20, "maxDepth": 5}, "xgboost": {"maxIter": 5}, "lightgbm": {"maxIter": 5}}
+#: Hyper-parameters of the cross-validation other than the original's (none; tests fit fewer rounds).
+CV_FIT: dict | None = None
 
 
 @query("cross_validate", "M6", with_views(_RANKED + f""", f AS (
@@ -126,7 +138,8 @@ SELECT m.model_name, CAST(fold AS INTEGER) AS fold, count(*) AS n_rows, CAST(sum
 def q_cv(spark, sf):
     tr = splits(spark, sf)["train"]
     cv = M.cross_validate_all(tr, S.MODEL_FEATURES, k=S.CV_FOLDS, overrides=CV_FIT)
-    done = spark.createDataFrame([(n, m, d) for n, (m, d) in cv.items()], "model_name string, mean double, std double")
+    done = offered(spark.createDataFrame([(n, m, d) for n, (m, d) in cv.items()], "model_name string, mean double, std double"),
+                   "cross_validate")
     sizes = R.assign_folds(tr, "Churn", "customerID", S.CV_FOLDS, S.SEED).groupBy("fold").agg(
         F.count(F.lit(1)).alias("n_rows"), F.sum("Churn").alias("n_positive"))
     ok = F.col("mean").between(0, 1) & F.col("std").between(0, 0.5)
@@ -177,6 +190,7 @@ def q_score(spark, sf):
     names = M.LEARNERS
     every = M.score_all(I.requests(spark, sf), {n: res.models[n] for n in names},
                         store=I.features(spark, sf), vote=names, model_name="voting_ensemble")
+    every = offered(every, "score_batch")
     return every.select("request_id", "customerID", "status", F.array_join("violations", ",").alias("violations"),
                         result_matches().alias("result_matches"))
 
@@ -185,6 +199,8 @@ def _importances(spark, sf, name, n):
     """Feature, rank and whether the importance is in [0, 1] and no larger than the one before."""
     res = trained(spark, sf)
     vals = M.importances(res.models[name], res.features, n=n)
+    offered(spark.createDataFrame([(name, i + 1, f, v) for i, (f, v) in enumerate(vals)],
+                                  "model_name string, rank int, feature string, importance double"), f"importances-{name}")
     rows = [(name, i + 1, f, 0 <= v <= 1 and (i == 0 or v <= vals[i - 1][1])) for i, (f, v) in enumerate(vals)]
     return spark.createDataFrame(rows, "model_name string, rank int, feature string, in_order boolean")
 
@@ -236,6 +252,7 @@ def q_segments(spark, sf):
     scored = P.decide_label(P.with_risk_level(scored.withColumn("churn_probability", F.col("p_vote")))) \
         .withColumn("model_name", F.lit("voting_ensemble"))
     out = E.segment_eval(scored, {name: (F.expr(seg), F.expr(check)) for name, (seg, check) in SEGMENTS.items()})
+    out = offered(out, "segment_eval")
     always = F.col("segment").isin("required_fields", "probability_in_unit_range")
     agree = F.col("passed").between(0, F.col("rows")) & (F.col("success") == ((F.col("rows") > 0) & (F.col("passed") == F.col("rows")))) \
         & (~always | F.col("success"))

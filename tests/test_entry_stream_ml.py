@@ -51,3 +51,32 @@ def test_balanced_weights_sum(spark, sf):
     w = M.balanced_weights(I.features(spark, sf), "Churn").groupBy("Churn").agg(F.sum("weight").alias("s"))
     vals = [r["s"] for r in w.collect()]
     assert abs(vals[0] - vals[1]) < 1e-6
+
+
+def test_cross_validation_fits_the_production_parameters_and_offers_what_it_learned(spark, sf, monkeypatch):
+    from attrition.plans import q_ml
+    seen = []
+
+    def fits(df, features, k, overrides):
+        seen.append(overrides)
+        return {n: (0.75, 0.0125) for n in [*M.LEARNERS, "voting_ensemble"]}
+
+    monkeypatch.setattr(q_ml.M, "cross_validate_all", fits)
+    out = load_all()["cross_validate"].fn(spark, sf)
+    assert out.count() == 20 and out.filter("auc_in_range").count() == 20
+    assert seen == [None] and M.make_classifier("random_forest").getNumTrees() == 200
+    learned = spark.read.parquet(q_ml.LEARNED["cross_validate"]).collect()
+    assert {(r["mean"], r["std"]) for r in learned} == {(0.75, 0.0125)} and len(learned) == 4
+
+
+def test_learned_values_stand_beside_the_checks(spark, sf, monkeypatch):
+    from attrition.plans import q_ml
+    monkeypatch.setattr(q_ml, "_REGISTRY", {})
+    monkeypatch.setattr(q_ml, "TRAIN_FIT", {"random_forest": {"numTrees": 3, "maxDepth": 3}, "xgboost": {"maxIter": 1}, "lightgbm": {"maxIter": 1}})
+    reg = load_all()
+    want = {"rf_train": ("rf_train", "p_random_forest"), "score_batch": ("score_batch", "churn_probability"),
+            "segment_eval": ("segment_eval", "passed"), "top_importances": ("importances-random_forest", "importance")}
+    for key, (name, column) in want.items():
+        n = reg[key].fn(spark, sf).count()
+        table = spark.read.parquet(q_ml.LEARNED[name])
+        assert table.count() == n and table.filter(F.col(column).isNotNull()).count() > 0
