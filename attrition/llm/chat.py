@@ -75,7 +75,7 @@ def format_chat(turns: DataFrame, segments: bool = False) -> DataFrame:
 
 
 def read_back(formatted: DataFrame) -> DataFrame:
-    """conv_id, formatted and the ``turns`` array<struct<role, text>> read from the formatted string."""
+    """The rows with the ``turns`` array<struct<role, text>> read from the formatted string."""
     messages = F.split("formatted", r"<\|im_end\|>\n", -1)
     messages = F.slice(messages, 1, F.size(messages) - 1)
 
@@ -86,7 +86,7 @@ def read_back(formatted: DataFrame) -> DataFrame:
         return F.transform(F.split(body, r"<\|im_sep\|>", -1),
                            lambda x: F.struct(name.alias("role"), unescape(x).alias("text")))
 
-    return formatted.select("conv_id", "formatted", F.flatten(F.transform(messages, parse)).alias("turns"))
+    return formatted.select("*", F.flatten(F.transform(messages, parse)).alias("turns"))
 
 
 # A conversation whose texts are control strings themselves; part of the registered query.
@@ -99,9 +99,9 @@ def op4_digest(conversations: DataFrame) -> DataFrame:
                                  F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"),
                                  F.lit(TRAP).alias("text"))
     turns = conversations.select("conv_id", "turn", "role", "text").unionByName(trap)
-    back = read_back(format_chat(turns))
+    back = read_back(format_chat(turns, segments=True))
     said = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
-    loss = F.array_join(F.transform(F.filter("turns", lambda t: t["role"] == LOSS_ROLE), lambda t: t["text"]), "")
+    loss = F.array_join(F.transform(F.filter("segments", lambda s: s["loss"]), lambda s: unescape(s["piece"])), "")
     return back.select(
         "conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(said, 256).alias("turns_sha256"),
         loss.alias("loss"), F.length("formatted").cast("long").alias("formatted_chars"),

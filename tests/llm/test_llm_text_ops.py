@@ -189,6 +189,21 @@ def test_chat_merges_neighbours_and_handles_edges(spark):
     assert digest[-1].loss_sha256 == hashlib.sha256(chat.TRAP.encode()).hexdigest()
 
 
+def test_the_digest_reads_the_loss_mask(spark, monkeypatch):
+    df = spark.createDataFrame([(1, 0, "user", "a"), (1, 1, "assistant", "b&<|")], "conv_id bigint, turn bigint, role string, text string")
+    real = chat.format_chat
+
+    def unmasked(turns, segments=False):
+        out = real(turns, segments)
+        wrong = F.transform("segments", lambda s: s.withField("loss", F.lit(False)))
+        return out.withColumn("segments", wrong) if segments else out
+
+    chars = lambda: {r.conv_id: r.loss_chars for r in chat.op4_digest(df).collect()}
+    assert chars() == {1: 4, -1: len(chat.TRAP)}
+    monkeypatch.setattr(chat, "format_chat", unmasked)
+    assert chars() == {1: 0, -1: 0}
+
+
 # --- line dedup ----------------------------------------------------------------------
 
 def _brute_lines(rows, min_chars=20, min_docs=3):
