@@ -8,7 +8,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.llm import bestfit, bm25_wand, bottomk, chat, fst_tokens, html_tree, line_runs, mih, quality_bt, rans
+from attrition.llm import (
+    bestfit, bm25_wand, bottomk, bpa, chat, fst_tokens, html_tree, line_runs, mih, mixture_lang, quality_bt, rans, resample,
+)
 from attrition.llm.common import table
 from attrition.session import scratch_path
 
@@ -55,6 +57,18 @@ def op10_bm25_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bm25_wand.contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
 
 
+def op11_mixture_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return mixture_lang.op11_digest(table(spark, sf_dir, "documents"))
+
+
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return resample.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bpa.ranked_search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_quality_bt": op1_quality_bt,
     "op2_html_tree": op2_html_tree,
@@ -66,10 +80,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_multi_index_hashing": op8_multi_index_hashing,
     "op9_line_dedup": op9_line_dedup,
     "op10_bm25_decontamination": op10_bm25_decontamination,
+    "op11_mixture_language": op11_mixture_language,
+    "op12_importance_resampling": op12_importance_resampling,
+    "op13_best_position": op13_best_position,
 }
 
 ORACLES: dict[str, str] = {
     "op3_bottomk_neardup": bottomk.OP3_SQL,
     "op4_chat_format": chat.OP4_SQL,
     "op9_line_dedup": line_runs.OP9_SQL,
+    "op12_importance_resampling": resample.OP12_SQL,
+    "op13_best_position": bpa.OP13_SQL,
 }
