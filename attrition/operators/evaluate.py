@@ -73,29 +73,30 @@ def classification_report(df: DataFrame, label: str, pred: str, names=("No Churn
     return c.select(F.inline(F.array(*rows)))
 
 
-def _score_table(df: DataFrame, label: str, score: str, weight: str | None = None) -> DataFrame:
+def _score_table(df: DataFrame, label: str, score: str, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
     """Distinct scores with positive / negative counts (or sums of an integer
     ``weight``) and descending running sums. The distinct-score table is materialized once, inside
     :func:`prefix.ordered_cumsum` (range parts pinned by a checkpoint); the
     totals are read from it too."""
     y = F.col(label).cast("long")
     w = F.col(weight).cast("long") if weight else F.lit(1)
-    col = collapse(df.filter(F.col(score).isNotNull()), score, {"pos": y * w, "neg": (F.lit(1) - y) * w})
-    return ordered_cumsum(col, score, ["pos", "neg"], descending=True)
+    col = collapse(df.filter(F.col(score).isNotNull()), score, {"pos": y * w, "neg": (F.lit(1) - y) * w}, by)
+    return ordered_cumsum(col, score, ["pos", "neg"], by, descending=True)
 
 
-def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6, weight: str | None = None) -> DataFrame:
-    """Exact ROC AUC; tied scores count one half (Mann-Whitney).
+def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6, weight: str | None = None,
+            by: Sequence[str] = ()) -> DataFrame:
+    """Exact ROC AUC, of each group ``by`` in one pass; tied scores count one half (Mann-Whitney).
 
     AUC = sum over distinct scores of neg * (positives scored higher + pos / 2), over P * N.
     The products are doubles: P * N passes the bigint range at some 3e9 rows each.
     """
-    t = _score_table(df, label, score, weight)
+    t = _score_table(df, label, score, weight, by)
     num = F.sum(F.col("neg") * (F.col("cum_pos") - F.col("pos") + F.col("pos") / 2.0))
     p, n = F.sum("pos"), F.sum("neg")
     auc = F.when((p > 0) & (n > 0), num / (p.cast("double") * n.cast("double")))
-    return t.agg((F.round(auc, scale) if scale is not None else auc).alias("roc_auc"),
-                 p.alias("n_pos"), n.alias("n_neg"))
+    return t.groupBy(*by).agg((F.round(auc, scale) if scale is not None else auc).alias("roc_auc"),
+                              p.alias("n_pos"), n.alias("n_neg"))
 
 
 def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:

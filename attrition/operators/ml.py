@@ -1,28 +1,28 @@
-"""Training, voting, cross-validation, scoring and importances on Spark ML.
+"""Training, voting, cross-validation, scoring and importances.
 
-The three learners of the original pipeline become Spark ML tree ensembles
-(random forest, and two gradient-boosted tree configurations standing in for
-the boosting libraries); class balancing is a weight column; the soft vote
+Of the three learners of the original pipeline the random forest is Spark ML's; the two
+boosters are histogram gradient boosting (:mod:`attrition.operators.boost`),
+level by level and leaf by leaf. Class balancing is a weight column; the soft vote
 averages class-1 probabilities; scoring is one set-based plan (quarantine ->
-store fill -> derive -> align -> assemble -> transform -> decide).
+store fill -> derive -> align -> assemble -> score -> decide).
 """
 
 from __future__ import annotations
 
-import math
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, field
 from typing import Sequence
 
 from pyspark.ml import Model
-from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
-from pyspark.ml.evaluation import BinaryClassificationEvaluator
+from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import cut_lineage, scratch_path
+from . import boost as B
 from . import clean as P
 from . import evaluate as E
 from . import sampling as R
@@ -51,41 +51,57 @@ def assembler(features: Sequence[str], out: str = VEC) -> VectorAssembler:
     return VectorAssembler(inputCols=list(features), outputCol=out, handleInvalid="keep")
 
 
-def _out_cols(est, name: str):
-    return est.setProbabilityCol(f"prob_{name}").setRawPredictionCol(f"raw_{name}") \
-              .setPredictionCol(f"pred_{name}")
-
-
-def make_classifier(name: str, label: str = "Churn", features_col: str = VEC, seed: int = S.SEED,
-                    overrides: dict | None = None):
-    """M1-M3: the three learners with the original hyper-parameters.
-
-    random_forest: 200 trees, depth 10, min 2 rows per leaf, balanced weights.
-    xgboost: 200 boosting rounds, depth 6, step 0.05, row and column
-    subsampling 0.8, positive weight 3. lightgbm: 200 rounds, step 0.05,
-    balanced weights; leaf-wise growth to 31 leaves has no Spark analogue,
-    depth 5 (at most 32 leaves) stands in.
-    """
+def random_forest(label: str = "Churn", features_col: str = VEC, seed: int = S.SEED, overrides: dict | None = None):
+    """M1: 200 trees, depth 10, at least 2 rows per leaf, balanced weights."""
     o = overrides or {}
-    if name == "random_forest":
-        est = RandomForestClassifier(
-            labelCol=label, featuresCol=features_col, weightCol="w_balanced",
-            numTrees=o.get("numTrees", S.RF_PARAMS["n_estimators"]), maxDepth=o.get("maxDepth", S.RF_PARAMS["max_depth"]),
-            minInstancesPerNode=S.RF_PARAMS["min_samples_leaf"], featureSubsetStrategy="sqrt", seed=seed)
-    elif name == "xgboost":
-        est = GBTClassifier(
-            labelCol=label, featuresCol=features_col, weightCol="w_pos",
-            maxIter=o.get("maxIter", S.XGB_PARAMS["n_estimators"]), maxDepth=o.get("maxDepth", S.XGB_PARAMS["max_depth"]),
-            stepSize=S.XGB_PARAMS["learning_rate"], subsamplingRate=S.XGB_PARAMS["subsample"],
-            featureSubsetStrategy=str(S.XGB_PARAMS["colsample_bytree"]), seed=seed)
+    return RandomForestClassifier(
+        labelCol=label, featuresCol=features_col, weightCol="w_balanced", probabilityCol="prob_random_forest",
+        rawPredictionCol="raw_random_forest", predictionCol="pred_random_forest",
+        numTrees=o.get("numTrees", S.RF_PARAMS["n_estimators"]), maxDepth=o.get("maxDepth", S.RF_PARAMS["max_depth"]),
+        minInstancesPerNode=S.RF_PARAMS["min_samples_leaf"], featureSubsetStrategy="sqrt", seed=seed)
+
+
+def boost_params(name: str, overrides: dict | None = None, seed: int = S.SEED) -> B.BoostParams:
+    """M2, M3: the boosters' hyper-parameters; what the original leaves open has its libraries' defaults.
+
+    xgboost: 200 rounds, depth 6, step 0.05, rows and columns sampled at 0.8 for each
+    tree. lightgbm: 200 rounds, step 0.05, best-first growth to 31 leaves within depth 6."""
+    if name == "xgboost":
+        x = S.XGB_PARAMS
+        p = B.BoostParams(x["n_estimators"], x["learning_rate"], x["max_depth"], row_share=x["subsample"],
+                          column_share=x["colsample_bytree"], l2=1.0, min_rows=1, min_hessian=1.0, seed=seed)
     elif name == "lightgbm":
-        est = GBTClassifier(
-            labelCol=label, featuresCol=features_col, weightCol="w_balanced",
-            maxIter=o.get("maxIter", S.LGBM_PARAMS["n_estimators"]), maxDepth=o.get("maxDepth", 5),
-            stepSize=S.LGBM_PARAMS["learning_rate"], seed=seed)
+        x = S.LGBM_PARAMS
+        p = B.BoostParams(x["n_estimators"], x["learning_rate"], x["max_depth"], x["num_leaves"], l2=0.0, min_rows=20,
+                          min_hessian=1e-3, seed=seed)
     else:
         raise ValueError(name)
-    return _out_cols(est, name)
+    return B.with_rounds(p, overrides)
+
+
+#: The weight column of each booster: positives count three times; classes weigh alike.
+BOOST_WEIGHT = {"xgboost": "w_pos", "lightgbm": "w_balanced"}
+
+
+def boost_fits(df: DataFrame, name: str, features: Sequence[str], label: str, folds: Sequence[int | None] = (None,),
+               overrides: dict | None = None, row_key: Column | None = None, fold: str | None = None,
+               key: str | None = None) -> B.Training:
+    """One booster's fits, each without one of ``folds`` (None: on all rows), in one training loop.
+
+    The second-order booster cuts its bins by the hessian, the other by rows."""
+    weight = BOOST_WEIGHT[name]
+    fits = [B.Fit(name if f is None else f"{name}_{f}", boost_params(name, overrides), weight, f) for f in folds]
+    data = df.withColumn("__x", vector_to_array(VEC))
+    return B.fit_together(data, "__x", features, label, fits, row_key, fold, key, F.col(weight) if name == "xgboost" else None)
+
+
+def fit_learner(name: str, df: DataFrame, features: Sequence[str], label: str = "Churn", overrides: dict | None = None,
+                id_col: str | None = None):
+    """Fit one learner on assembled and weighted rows."""
+    if name == "random_forest":
+        return random_forest(label, overrides=overrides).fit(df)
+    row_key = F.xxhash64(id_col, vector_to_array(VEC)) if id_col else None
+    return boost_fits(df, name, features, label, overrides=overrides, row_key=row_key).models[name]
 
 
 def with_training_weights(df: DataFrame, label: str = "Churn") -> DataFrame:
@@ -102,13 +118,15 @@ def soft_vote(df: DataFrame, cols: Sequence[str], out: str = "p_vote") -> DataFr
     return df.withColumn(out, sum(F.col(c) for c in cols) / F.lit(float(len(cols))))
 
 
-def score_with(models: dict[str, Model], df: DataFrame, vote: Sequence[str] | None = None) -> DataFrame:
+def score_with(models: dict, df: DataFrame, vote: Sequence[str] | None = None) -> DataFrame:
     """Apply fitted models in turn; adds ``p_<name>`` and, when ``vote`` is
     given, ``p_vote`` = mean of their class-1 probabilities (M5)."""
     out = df
     for name, m in models.items():
-        out = m.transform(out).withColumn(f"p_{name}", p1(name)) \
-               .drop(f"prob_{name}", f"raw_{name}", f"pred_{name}")
+        if isinstance(m, B.BoostedTrees):
+            out = m.score(out, vector_to_array(F.col(VEC)), f"p_{name}")
+        else:
+            out = m.transform(out).withColumn(f"p_{name}", p1(name)).drop(f"prob_{name}", f"raw_{name}", f"pred_{name}")
     return soft_vote(out, [f"p_{n}" for n in vote]) if vote else out
 
 
@@ -123,63 +141,98 @@ def split_metrics(scored: DataFrame, label: str, p: str, prefix: str, scale: int
     return wide.select(*[F.col(c).cast("double").alias(f"{prefix}_{c}") for c in cols])
 
 
-def cross_validate(estimator, df: DataFrame, fold_col: str, label: str = "Churn",
-                   k: int = S.CV_FOLDS, parallelism: int = S.CV_FOLDS) -> tuple[float, float]:
-    """M6: AUC mean and population std over the folds of ``fold_col``.
-
-    Each fold trains on the other folds and scores its own; the k fits are
-    independent jobs submitted concurrently (like ``CrossValidator``'s
-    ``parallelism``). AUC is exact (``numBins=0``: no down-sampling).
-    """
-    ev = BinaryClassificationEvaluator(labelCol=label, rawPredictionCol=estimator.getRawPredictionCol(),
-                                       metricName="areaUnderROC", numBins=0)
-
-    def one(f: int) -> float:
-        model = estimator.copy().fit(df.filter(F.col(fold_col) != f))
-        return float(ev.evaluate(model.transform(df.filter(F.col(fold_col) == f))))
-
-    with ThreadPoolExecutor(max_workers=max(1, min(parallelism, k))) as pool:
-        aucs = list(pool.map(one, range(k)))
-    mean = sum(aucs) / k
-    return mean, math.sqrt(sum((a - mean) ** 2 for a in aucs) / k)
-
-
-def cross_validate_all(df: DataFrame, features: Sequence[str], label: str = "Churn", id_col: str = "customerID",
-                       k: int = S.CV_FOLDS, overrides: dict | None = None, scale: int = 4) -> dict[str, tuple[float, float]]:
-    """M6: AUC mean and population std over k stratified folds for each
-    learner and for their soft vote. Every fold trains the learners once; the
-    vote is scored from the same fits."""
-    data = assembler(features).transform(with_training_weights(R.assign_folds(df, label, id_col, k), label)).cache()
-    aucs: dict[str, list[float]] = {n: [] for n in [*LEARNERS, "voting_ensemble"]}
-    for f in range(k):
-        fold = data.filter(F.col("fold") != f)
-        models = {n: make_classifier(n, label, overrides=(overrides or {}).get(n)).fit(fold) for n in LEARNERS}
-        scored = score_with(models, data.filter(F.col("fold") == f), vote=LEARNERS).cache()
-        for n in aucs:
-            p = "p_vote" if n == "voting_ensemble" else f"p_{n}"
-            aucs[n].append(float(E.roc_auc(scored, label, p, scale=None).first()["roc_auc"] or 0.0))
-        scored.unpersist()
-    data.unpersist()
-    out = {}
-    for n, v in aucs.items():
-        mean = sum(v) / k
-        out[n] = (round(mean, scale), round(math.sqrt(sum((a - mean) ** 2 for a in v) / k), scale))
-    return out
-
-
-def importances(model, names: Sequence[str], n: int | None = 20, scale: int = 6):
+def cross_validate(df: DataFrame, features: Sequence[str], label: str = "Churn", id_col: str = "customerID",
+                   k: int = S.CV_FOLDS, overrides: dict | None = None) -> DataFrame:
+    """M6: model_name, fold, roc_auc of k stratified folds, for each learner and their soft vote.
+
+    Each booster's k fits share one training loop, in which a row's margin under the fit that
+    has not seen it is its out-of-fold score; the forest's fits and the two loops run side by side. The
+    AUCs are exact, all of them from one prefix sum with learner and fold as groups."""
+    data = assembler(features).transform(with_training_weights(R.assign_folds(df, label, id_col, k), label))
+    data = cut_lineage(data.select(id_col, label, "fold", "w_balanced", "w_pos", VEC)
+                       .withColumn("__key", F.monotonically_increasing_id()))
+    folds = range(k)
+
+    def forest() -> DataFrame:
+        out = None
+        for f in folds:
+            m = random_forest(label, overrides=(overrides or {}).get("random_forest")).fit(data.filter(F.col("fold") != f))
+            part = m.transform(data.filter(F.col("fold") == f)).select("__key", p1("random_forest").alias("p_random_forest"))
+            out = part if out is None else out.unionAll(part)
+        return cut_lineage(out)
+
+    def booster(name: str) -> DataFrame:
+        done = boost_fits(data, name, features, label, list(folds), (overrides or {}).get(name),
+                          F.xxhash64(id_col, vector_to_array(VEC)), "fold", "__key").margins()
+        own = F.coalesce(*[F.when(F.col("fold") == f, F.col(f"{name}_{f}")) for f in folds])
+        return done.select(F.col("key").alias("__key"), (1 / (1 + F.exp(-own))).alias(f"p_{name}"))
+
+    with ThreadPoolExecutor(max_workers=len(LEARNERS)) as pool:
+        parts = list(pool.map(lambda n: forest() if n == "random_forest" else booster(n), LEARNERS))
+    scored = data.select("__key", "fold", label)
+    for part in parts:
+        scored = scored.join(part, "__key")
+    scored = soft_vote(scored, [f"p_{n}" for n in LEARNERS], "p_voting_ensemble")
+    names = [*LEARNERS, "voting_ensemble"]
+    long = scored.select("fold", label, F.explode(F.array(*[
+        F.struct(F.lit(n).alias("model_name"), F.col(f"p_{n}").alias("p")) for n in names])).alias("s")) \
+        .select("fold", label, "s.*")
+    return E.roc_auc(long, label, "p", scale=None, by=["model_name", "fold"]).select("model_name", "fold", "roc_auc")
+
+
+def cv_summary(aucs: DataFrame, scale: int = 4) -> DataFrame:
+    """model_name, auc_mean, auc_std (population) over the folds."""
+    return aucs.groupBy("model_name").agg(F.round(F.avg("roc_auc"), scale).alias("auc_mean"),
+                                          F.round(F.stddev_pop("roc_auc"), scale).alias("auc_std"))
+
+
+def forest_nodes(spark, path: str, names: Sequence[str]) -> DataFrame:
+    """tree, node, name, gain and weighted rows of the inner nodes of a saved forest."""
+    n = F.col("nodeData")
+    nodes = spark.read.parquet(f"{path}/data").filter(n["split"]["featureIndex"] >= 0)
+    count = F.aggregate(n["impurityStats"], F.lit(0.0), lambda a, x: a + x)
+    return nodes.select(F.col("treeID").alias("tree"), n["id"].alias("node"), n["split"]["featureIndex"].alias("feature"),
+                        F.array(*map(F.lit, names))[n["split"]["featureIndex"]].alias("name"),
+                        n["gain"].alias("gain"), count.alias("cover"))
+
+
+def importance_table(model, names: Sequence[str], spark, saved: str | None = None) -> DataFrame:
+    """Feature, importance of every feature, aggregated from the model's node table.
+
+    The forest: each tree's impurity decrease by feature (gain x rows) as a share, averaged over trees. The
+    second-order booster: the share of the mean gain of a feature's splits. The leaf-wise
+    booster: the number of its splits."""
+    if isinstance(model, B.BoostedTrees):
+        found = B.importances(model.node_table(spark), model.kind)
+    else:
+        if saved is None:
+            saved = scratch_path(spark, "forest")
+            model.write().overwrite().save(saved)
+        nodes = forest_nodes(spark, saved, names).groupBy("tree", "name").agg(F.sum(F.col("gain") * F.col("cover")).alias("g"))
+        totals = nodes.groupBy("tree").agg(F.sum("g").alias("t"))
+        share = nodes.join(totals, "tree").filter("t > 0").groupBy(F.col("name").alias("feature")).agg(
+            F.sum(F.col("g") / F.col("t")).alias("s"))
+        found = share.select("feature", (F.col("s") / share.agg(F.sum("s")).scalar()).alias("importance"))
+    every = spark.createDataFrame([(n,) for n in names], "feature string")
+    return every.join(found, "feature", "left").select("feature", F.coalesce("importance", F.lit(0.0)).alias("importance"))
+
+
+def importances(model, names: Sequence[str], n: int | None = 20, scale: int = 6, spark=None, saved: str | None = None) -> list:
     """T4: (feature, importance) of a tree model, descending, top ``n``; with
-    ``n=None`` every feature (E6).
-
-    The importance vector has one entry per feature (bounded by the schema).
-    """
-    vals = model.featureImportances.toArray().tolist()
-    rows = sorted(zip(names, [round(float(v), scale) for v in vals]), key=lambda r: (-r[1], r[0]))[:n]
-    return rows
-
-
-def persist_model(model, path: str):
-    """Save a fitted model (Spark ML persistence) and return the reloaded copy."""
+    ``n=None`` every feature (E6). One row per feature at most (bounded by the schema)."""
+    from pyspark.sql import SparkSession
+    table = importance_table(model, names, spark or SparkSession.active(), saved)
+    top = table.select("feature", F.round("importance", scale).alias("importance")).orderBy(F.desc("importance"), "feature")
+    return [tuple(r) for r in (top.limit(n) if n else top).collect()]
+
+
+def persist_model(model, path: str, spark=None):
+    """Save a fitted model (Spark ML persistence, or the booster's node table) and return the reloaded copy."""
+    if isinstance(model, B.BoostedTrees):
+        from pyspark.sql import SparkSession
+        spark = spark or SparkSession.active()
+        model.save(spark, path)
+        return B.BoostedTrees.load(spark, path)
     model.write().overwrite().save(path)
     return type(model).load(path)
 
@@ -198,33 +251,43 @@ class TrainResult:
 LEARNERS = ["random_forest", "xgboost", "lightgbm"]
 
 
+def fit_learners(train: DataFrame, features: Sequence[str], label: str = "Churn", overrides: dict | None = None,
+                 save_to: str | None = None, names: Sequence[str] = tuple(LEARNERS), id_col: str | None = None) -> dict:
+    """Fit the named learners side by side (each is a loop of small jobs, bound by their latency);
+    with ``save_to`` they are saved there and the reloaded copies are returned."""
+    spark = train.sparkSession
+    id_col = id_col if id_col in train.columns else None
+    tr = assembler(features).transform(with_training_weights(train, label)).cache()
+
+    def fit(n: str):
+        m = fit_learner(n, tr, features, label, (overrides or {}).get(n), id_col)
+        return persist_model(m, f"{save_to.rstrip('/')}/{n}", spark) if save_to else m
+
+    with ThreadPoolExecutor(max_workers=len(names)) as pool:
+        models = dict(zip(names, pool.map(fit, names)))
+    tr.unpersist()
+    return models
+
+
 def train_all(train: DataFrame, val: DataFrame, test: DataFrame, features: Sequence[str] = S.MODEL_FEATURES,
               label: str = "Churn", run_id: str = "train", overrides: dict | None = None,
               save_to: str | None = None, cv_folds: int = 0, cv_overrides: dict | None = None,
-              id_col: str = "customerID") -> TrainResult:
+              id_col: str = "customerID", models: dict | None = None) -> TrainResult:
     """M7: fit the three learners, score every split, log metrics long,
     add the soft vote, pick the best model by validation AUC (full precision;
     the first trained wins ties). Classification reports (test split) and the
     top 20 importances come per model. With ``cv_folds`` the stratified
     cross-validation of every learner and the vote on the training split is
     logged as ``cv_auc_mean`` / ``cv_auc_std``; ``cv_overrides`` are its
-    hyper-parameters (default: those of the fit).
+    hyper-parameters (default: those of the fit). ``models`` are fits that exist already.
 
     With ``save_to`` every model is saved with Spark ML persistence and the
     reloaded copy is used (it carries no training summary, so it holds no
     reference to the session); the feature list and the name of the best model
     are written beside them."""
-    asm = assembler(features)
-    tr = asm.transform(with_training_weights(train, label)).cache()
-    names = LEARNERS
-
-    def fit(n):
-        m = make_classifier(n, label, overrides=(overrides or {}).get(n)).fit(tr)
-        return persist_model(m, f"{save_to.rstrip('/')}/{n}") if save_to else m
-
-    # sequential on purpose: boosting is bound by per-iteration job scheduling on
-    # the driver, so concurrent boosters only contend (measured slower)
-    models = {n: fit(n) for n in names}
+    asm, names = assembler(features), LEARNERS
+    if models is None:
+        models = fit_learners(train, features, label, overrides, save_to, id_col=id_col)
     # five metrics per model and split and a report per model: a few rows each
     spark = train.sparkSession
     rows, reports, val_auc = [], [], {}
@@ -244,17 +307,16 @@ def train_all(train: DataFrame, val: DataFrame, test: DataFrame, features: Seque
                 report_schema = "model_name string, " + ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in report.schema)
         scored.unpersist()
     if cv_folds:
-        cv = cross_validate_all(train, features, label, id_col, cv_folds, cv_overrides or overrides)
-        for n, (mean, std) in cv.items():
-            rows += [(run_id, n, "cv_auc_mean", mean), (run_id, n, "cv_auc_std", std)]
+        for r in cv_summary(cross_validate(train, features, label, id_col, cv_folds, cv_overrides or overrides)).collect():
+            rows += [(run_id, r["model_name"], "cv_auc_mean", r["auc_mean"]), (run_id, r["model_name"], "cv_auc_std", r["auc_std"])]
     metrics = spark.createDataFrame(rows, "run_id string, model_name string, metric_name string, metric_value double")
     best = max(val_auc, key=val_auc.get)   # in training order: the first of equal ones
-    tr.unpersist()
     if save_to:
         record = spark.createDataFrame([(best, list(features))], "best_model string, features array<string>")
         record.coalesce(1).write.mode("overwrite").json(f"{save_to.rstrip('/')}/record")
     return TrainResult(models, metrics, best, list(features), spark.createDataFrame(reports, report_schema).select(*columns),
-                       {n: importances(models[n], features) for n in names})
+                       {n: importances(models[n], features, spark=spark, saved=f"{save_to.rstrip('/')}/{n}" if save_to else None)
+                        for n in names})
 
 
 def score_all(requests: DataFrame, models: dict, features: Sequence[str] = S.MODEL_FEATURES,

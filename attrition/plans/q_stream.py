@@ -48,11 +48,10 @@ def q_stream_rate_result(spark, sf):
 @query("stream_score", "W7", with_views(q_ml.REQUEST_SQL.replace("SELECT CAST(request_id AS BIGINT) AS request_id",
        "SELECT CAST(request_id AS VARCHAR) AS prediction_id"), "score_requests"))
 def q_stream_score(spark, sf):
-    res = q_ml.trained(spark, sf)
     names = ["random_forest", "xgboost", "lightgbm"]
     s = SM.view_stream(spark, table_path(sf, "events"), "score_requests")
     sink = scratch_path(spark, "stream-score-sink")
-    q = SM.stream_score(s, {n: res.models[n] for n in names}, sink, scratch_path(spark, "stream-score-ckpt"),
+    q = SM.stream_score(s, q_ml.models(spark, sf), sink, scratch_path(spark, "stream-score-ckpt"),
                         vote=names)
     q.awaitTermination()
     if q.exception() is not None:

@@ -89,6 +89,12 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Delete a scratch folder of this library that is no longer read."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
+
+
 #: Bytes of scanned files (or at least one checkpointed partition) per range part.
 PART_BYTES = 64 << 20
 

@@ -53,30 +53,70 @@ def test_balanced_weights_sum(spark, sf):
     assert abs(vals[0] - vals[1]) < 1e-6
 
 
-def test_cross_validation_fits_the_production_parameters_and_offers_what_it_learned(spark, sf, monkeypatch):
+def test_cross_validation_fits_the_production_parameters(spark, sf, monkeypatch):
     from attrition.plans import q_ml
     seen = []
 
     def fits(df, features, k, overrides):
         seen.append(overrides)
-        return {n: (0.75, 0.0125) for n in [*M.LEARNERS, "voting_ensemble"]}
+        rows = [(n, f, 0.75 + f / 100) for n in [*M.LEARNERS, "voting_ensemble"] for f in range(k)]
+        return spark.createDataFrame(rows, "model_name string, fold int, roc_auc double")
 
-    monkeypatch.setattr(q_ml.M, "cross_validate_all", fits)
+    monkeypatch.setattr(q_ml, "_REGISTRY", {})
+    monkeypatch.setattr(q_ml.M, "cross_validate", fits)
     out = load_all()["cross_validate"].fn(spark, sf)
     assert out.count() == 20 and out.filter("auc_in_range").count() == 20
-    assert seen == [None] and M.make_classifier("random_forest").getNumTrees() == 200
-    learned = spark.read.parquet(q_ml.LEARNED["cross_validate"]).collect()
-    assert {(r["mean"], r["std"]) for r in learned} == {(0.75, 0.0125)} and len(learned) == 4
+    assert seen == [None] and M.random_forest().getNumTrees() == 200
+    assert M.boost_params("xgboost").rounds == 200 and M.boost_params("lightgbm").max_leaves == 31
+    learned = load_all()["learned_cv"].fn(spark, sf).collect()
+    assert len(learned) == 4 and {(r["auc_mean"], r["auc_std"]) for r in learned} == {(0.77, 0.0141)}
+    assert len(seen) == 1 and learned[0]["fold_aucs"] == [0.75, 0.76, 0.77, 0.78, 0.79]
 
 
-def test_learned_values_stand_beside_the_checks(spark, sf, monkeypatch):
+def test_learned_values_are_results(spark, sf, monkeypatch):
     from attrition.plans import q_ml
     monkeypatch.setattr(q_ml, "_REGISTRY", {})
-    monkeypatch.setattr(q_ml, "TRAIN_FIT", {"random_forest": {"numTrees": 3, "maxDepth": 3}, "xgboost": {"maxIter": 1}, "lightgbm": {"maxIter": 1}})
+    monkeypatch.setattr(q_ml, "TRAIN_FIT", {"random_forest": {"numTrees": 3, "maxDepth": 3}, "xgboost": {"maxIter": 3}, "lightgbm": {"maxIter": 3}})
     reg = load_all()
-    want = {"rf_train": ("rf_train", "p_random_forest"), "score_batch": ("score_batch", "churn_probability"),
-            "segment_eval": ("segment_eval", "passed"), "top_importances": ("importances-random_forest", "importance")}
-    for key, (name, column) in want.items():
-        n = reg[key].fn(spark, sf).count()
-        table = spark.read.parquet(q_ml.LEARNED[name])
-        assert table.count() == n and table.filter(F.col(column).isNotNull()).count() > 0
+    fitted = []
+    fit = M.fit_learner
+    monkeypatch.setattr(M, "fit_learner", lambda name, *a, **k: (fitted.append(name), fit(name, *a, **k))[1])
+    top = reg["top_importances"].fn(spark, sf)
+    assert top.count() == 20 and fitted == ["random_forest"]   # and no other learner
+    forest = q_ml.models(spark, sf, ["random_forest"])["random_forest"]
+    every = reg["learned_importances"].fn(spark, sf).toPandas()
+    own = every[every.model_name == "random_forest"].set_index("feature").importance
+    for f, v in zip(S.MODEL_FEATURES, forest.featureImportances.toArray()):
+        assert abs(own[f] - v) < 1e-5
+    boosted = q_ml.models(spark, sf)
+    splits = every[every.model_name == "lightgbm"].set_index("feature").importance
+    counts = boosted["lightgbm"].nodes.query("feature >= 0").groupby("name").size()
+    assert splits.sum() == counts.sum() and all(splits[f] == n for f, n in counts.items())
+    gains = boosted["xgboost"].nodes.query("feature >= 0").groupby("name").gain.mean()
+    share = every[every.model_name == "xgboost"].set_index("feature").importance
+    assert all(abs(share[f] - g / gains.sum()) < 1e-5 for f, g in gains.items()) and len(every) == 78
+    p = reg["learned_probabilities"].fn(spark, sf).toPandas()
+    assert ((p.p_random_forest + p.p_xgboost + p.p_lightgbm) / 3 - p.p_vote).abs().max() < 1e-5 and p.p_xgboost.between(0, 1).all()
+    segments = reg["learned_segments"].fn(spark, sf).toPandas()
+    assert (segments.passed <= segments["rows"]).all() and len(fitted) == 3
+
+
+def test_kept_models_follow_the_input_files(spark, sf, tmp_path, monkeypatch):
+    from attrition.plans import q_ml
+    monkeypatch.setattr(q_ml, "_REGISTRY", {})
+    spark.read.parquet(f"{sf}/customer.parquet").write.parquet(f"{tmp_path}/customer.parquet")
+    made = []
+    make = lambda: made.append(1) or len(made)
+    assert [q_ml._kept(spark, str(tmp_path), "x", make) for _ in range(2)] == [1, 1]
+    spark.read.parquet(f"{sf}/customer.parquet").limit(5).write.mode("append").parquet(f"{tmp_path}/customer.parquet")
+    assert q_ml._kept(spark, str(tmp_path), "x", make) == 2
+
+
+def test_cross_validation_scores_every_row_once_out_of_fold(spark, sf):
+    sp = R.split_frames(R.stratified_split(I.features(spark, sf), "Churn", "customerID"))
+    small = {"random_forest": {"numTrees": 3, "maxDepth": 3}, "xgboost": {"maxIter": 2}, "lightgbm": {"maxIter": 2}}
+    aucs = M.cross_validate(sp["train"], S.MODEL_FEATURES, k=3, overrides=small)
+    rows = aucs.collect()
+    assert len(rows) == 12 and all(0 <= r["roc_auc"] <= 1 for r in rows)
+    means = {r["model_name"]: r["auc_mean"] for r in M.cv_summary(aucs).collect()}
+    assert set(means) == {*M.LEARNERS, "voting_ensemble"}
