@@ -7,6 +7,7 @@ and a lineage-cutting folder taken from ``spark.checkpoint.dir``.
 
 from __future__ import annotations
 
+import gc
 import os
 import tempfile
 import uuid
@@ -95,6 +96,15 @@ def drop_path(spark: SparkSession, path: str) -> None:
     at.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(at, True)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark's cleaner remove shuffle and checkpoint files of frames that nothing refers to any more.
+
+    The cleaner learns of them when the driver collects its garbage, which a driver
+    with little work seldom does; loops of many small jobs ask for it."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 #: Bytes of scanned files (or at least one checkpointed partition) per range part.
 PART_BYTES = 64 << 20
 
