@@ -144,8 +144,10 @@ def pack(docs: DataFrame, capacity: int = CAPACITY, docs_per_shard: int = DOCS_P
     spark = docs.sparkSession
     prepare(spark)
     shards = parts_for(spark, docs.count(), docs_per_shard)
+    # rows without an id are alike: a number of their own deals them out
+    spread = F.when(F.col("doc_id").isNull(), F.monotonically_increasing_id())
     rows = docs.select("doc_id", F.col("length").cast("long").alias("length"), F.col("source").cast("string").alias("source"),
-                       "cluster", F.pmod(F.xxhash64("doc_id", "length"), F.lit(shards)).alias("shard"))
+                       "cluster", F.pmod(F.xxhash64("doc_id", "length", "cluster", spread), F.lit(shards)).alias("shard"))
 
     def run(key: tuple, pdf: pd.DataFrame) -> pd.DataFrame:
         none = pdf["doc_id"].isna()
@@ -172,3 +174,9 @@ def pack_documents(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
     # texts without words are in no component: equal ones are a cluster
     cluster = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("hash"))
     return pack(stored(near.select(F.col("own_id").alias("doc_id"), "length", "source", cluster.alias("cluster")), "lengths"), capacity)
+
+
+def pack_distinct(docs: DataFrame, capacity: int = CAPACITY) -> DataFrame:
+    """Pack documents of which no two are near copies, in the same way; equal texts are the only clusters looked for."""
+    text = F.coalesce("text", F.lit(""))
+    return pack(docs.select("doc_id", (F.octet_length(text) + 1).alias("length"), "source", F.xxhash64(text).alias("cluster")), capacity)

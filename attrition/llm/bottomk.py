@@ -26,14 +26,17 @@ their Jaccard similarity. Steps:
    link between components is lost, and a large group of near copies makes
    pairs neither through its hubs nor through its stragglers.
 
-Nothing about single documents reaches the driver. One join picks the texts
+A class is known by a number of its own, not by a doc_id, which may stand on
+several texts. Steps are pinned as Parquet in the shared folder, and a step's files
+go when the next ones no longer read them. Nothing about single documents reaches the driver. One join picks the texts
 of the listed classes; later steps read these only.
 
 Defined cases: a text with fewer than five words has its whole word sequence
 as one shingle; without words (or null) the set is empty, linked with
 nothing; a null doc_id takes no part (its component is null, it is kept);
 rows that repeat a doc_id are one document when their texts are equal, else
-each row is judged by its text; an empty table gives no rows; other columns
+each row is judged by its text, and a component is named by the smallest doc_id of
+its rows; an empty table gives no rows; other columns
 are ignored. Words are separated by U+0020 and U+0009 to U+000D, A-Z
 lower-cased.
 """
@@ -46,8 +49,8 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import prepare, stored
-from attrition.session import cut_lineage
+from attrition.llm.common import drop_stored, fresh, prepare, stored
+from attrition.session import release
 
 SHINGLE = 5
 K = 48
@@ -148,11 +151,12 @@ def list_pairs(listed: DataFrame) -> DataFrame:
     return pairs.union(large.select(F.least("class", "hub"), F.greatest("class", "hub"))).distinct()
 
 
-def listed_texts(docs: DataFrame, listed: DataFrame) -> DataFrame:
-    """class, text (UTF-8) of the listed classes, in the shared folder."""
-    ids = listed.select(F.col("class").alias("_class"))
-    return stored(docs.select(F.col("doc_id").alias("class"), F.col("text").cast("binary").alias("text"))
-                  .join(ids, F.col("class") == F.col("_class"), "left_semi").dropDuplicates(["class"]), "near-texts")
+def listed_texts(docs: DataFrame, classes: DataFrame, listed: DataFrame) -> DataFrame:
+    """class, text (UTF-8) of the listed classes, in the shared folder, from the rows (doc_id, text hash) that stand for them."""
+    own = classes.join(listed.select("class"), "class").select("class", F.col("one.doc_id").alias("_id"), F.col("one.hash").alias("_hash"))
+    text = docs.select("doc_id", F.xxhash64("text").alias("hash"), F.col("text").cast("binary").alias("text"))
+    return stored(text.join(own, (F.col("doc_id") == F.col("_id")) & (F.col("hash") == F.col("_hash")))
+                  .groupBy("class").agg(F.first("text").alias("text")), "near-texts")
 
 
 def estimated(pairs: DataFrame, classes: DataFrame) -> DataFrame:
@@ -176,7 +180,9 @@ def linked(pairs: DataFrame, texts: DataFrame) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """(node, root): the smallest node reachable, for every node with a link
     (a, b), by large-star and small-star steps until all edges are stars."""
+    spark = links.sparkSession
     edges = links.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+    before = None
     while True:
         # large star: neighbours above u go to the smallest neighbour
         both = edges.union(edges.select("v", "u"))
@@ -186,7 +192,10 @@ def components(links: DataFrame) -> DataFrame:
         big = big.distinct()
         low = big.groupBy("u").agg(F.min("v").alias("m"))
         small = big.join(low, "u").select(F.explode(F.array("u", "v")).alias("u"), F.col("m").alias("v")).filter("u <> v")
-        edges = cut_lineage(small.distinct())
+        edges = stored(small.distinct(), "edges")
+        drop_stored(before)
+        before = edges
+        release(spark)
         # stars: a node has one edge up and none down, or none up
         ends = edges.select("u", F.lit(1).alias("up"), F.lit(0).alias("down")).union(
             edges.select("v", F.lit(0), F.lit(1))).groupBy("u").agg(F.sum("up").alias("up"), F.max("down").alias("down"))
@@ -264,13 +273,13 @@ def unfinished_links(listed: DataFrame, classes: DataFrame, texts: DataFrame, ro
                                          F.min("class").alias("first")).filter(
             (F.col("size") > least) & (F.col("lo") != F.col("hi"))).select("value", "first")
 
-    rows = cut_lineage(index.join(mixed(index, SMALL_LIST).select("value"), "value"))
+    rows = met = stored(index.join(mixed(index, SMALL_LIST).select("value"), "value"), "met")
     if rows.isEmpty():
         return None
     sets = shared_shingles(texts.join(rows.select("class").distinct(), "class"))
     # a set with too many shingles to itself is similar to no other
-    facts = cut_lineage(sets.join(classes.select("class", "n"), "class").filter(
-        100 * F.size("shingles") >= PERCENT * F.col("n")))
+    facts = stored(sets.join(classes.select("class", "n"), "class").filter(
+        100 * F.size("shingles") >= PERCENT * F.col("n")), "shared")
     rows = rows.join(facts.select("class"), "class")
     meets = rows.join(mixed(rows, 1), "value").filter("class <> first").select(
         F.col("first").alias("a"), F.col("class").alias("b"))
@@ -280,33 +289,69 @@ def unfinished_links(listed: DataFrame, classes: DataFrame, texts: DataFrame, ro
     dealt = (members.withColumn("own", F.pmod(F.xxhash64("class"), F.col("blocks")).cast("int"))
              .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
              .select("group", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "class", "root"))
-    return dealt.join(facts, "class").groupBy("group", "i", "j").applyInPandas(_block_links, "a bigint, b bigint")
+    out = stored(dealt.join(facts, "class").groupBy("group", "i", "j").applyInPandas(_block_links, "a bigint, b bigint"), "more-links")
+    drop_stored(met, facts)
+    return out
+
+
+def duplicate_groups(docs: DataFrame, *carry: str) -> DataFrame:
+    """doc_id, _text_hash, n_shingles, _group, component_id and the carried columns of each row of doc_id, text.
+
+    ``_group`` tells components apart; it is null where a row takes no part."""
+    spark = docs.sparkSession
+    prepare(spark)
+    rows = stored(sketches(docs.withColumn("_text_hash", F.xxhash64("text")), "_text_hash", *carry)
+                  .withColumn("_row", F.monotonically_increasing_id()), "sketches")
+    classes = stored(rows.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
+        F.min("_row").alias("class"), F.min("doc_id").alias("least"), F.first("sketch").alias("sketch"),
+        F.min_by(F.struct("doc_id", F.col("_text_hash").alias("hash")), "_row").alias("one")), "classes")
+    facts = classes.select("class", "n", "sketch")
+    listed = stored(listed_classes(facts), "listed")
+    texts = listed_texts(docs, classes.select("class", "one"), listed)
+    pairs = stored(estimated(list_pairs(listed), facts), "pairs")
+    links = stored(linked(pairs, texts), "links")
+    drop_stored(pairs)
+    release(spark)
+    roots = components(links)
+    more = unfinished_links(listed, facts, texts, roots)
+    if more is not None and not more.isEmpty():
+        roots = components(links.union(more))
+    drop_stored(listed, texts, links, more)
+    release(spark)
+    named = classes.select("n", "s1", "s2", "class", "least").join(roots.withColumnRenamed("node", "class"), "class", "left")
+    names = named.filter("root is not null").groupBy("root").agg(F.min("least").alias("component"))
+    named = named.join(names.withColumnRenamed("root", "_root"), F.col("root") == F.col("_root"), "left").select(
+        F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("root", "class").alias("group"),
+        F.coalesce("component", "least").alias("component"))
+    joined = rows.select("doc_id", "_text_hash", "n", "s1", "s2", *carry).join(
+        named, (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
+    here = F.col("doc_id").isNotNull()
+    return joined.select("doc_id", "_text_hash", F.col("n").alias("n_shingles"), F.when(here, F.col("group")).alias("_group"),
+                         F.when(here, F.coalesce("component", "doc_id")).alias("component_id"), *carry)
 
 
 def near_duplicates(docs: DataFrame, *carry: str) -> DataFrame:
     """doc_id, n_shingles, component_id, kept and the carried columns of each row of doc_id, text."""
-    prepare(docs.sparkSession)
-    rows = stored(sketches(docs, *carry), "sketches")
-    classes = cut_lineage(rows.filter("n > 0 and doc_id is not null").groupBy("n", "s1", "s2").agg(
-        F.min("doc_id").alias("class"), F.first("sketch").alias("sketch")))
-    facts = classes.select("class", "n", "sketch")
-    listed = cut_lineage(listed_classes(facts))
-    texts = listed_texts(docs, listed)
-    pairs = cut_lineage(estimated(list_pairs(listed), facts))
-    links = cut_lineage(linked(pairs, texts))
-    roots = components(links)
-    rest = unfinished_links(listed, facts, texts, roots)
-    if rest is not None:
-        more = cut_lineage(rest)
-        if not more.isEmpty():
-            roots = components(links.union(more))
-    named = classes.join(roots.withColumnRenamed("node", "class"), "class", "left").select(
-        F.col("n").alias("cn"), F.col("s1").alias("c1"), F.col("s2").alias("c2"), F.coalesce("root", "class").alias("root"))
-    joined = rows.select("doc_id", "n", "s1", "s2", *carry).join(
-        named, (F.col("n") == F.col("cn")) & (F.col("s1") == F.col("c1")) & (F.col("s2") == F.col("c2")), "left")
-    component = F.when(F.col("doc_id").isNotNull(), F.coalesce("root", "doc_id"))
-    return joined.select("doc_id", F.col("n").alias("n_shingles"), component.alias("component_id"),
-                         F.coalesce(F.col("doc_id") == component, F.lit(True)).alias("kept"), *carry)
+    return duplicate_groups(docs, *carry).select(
+        "doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *carry)
+
+
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """The rows of ``docs`` without near copies: of each component the row of the smallest (doc_id, text hash)
+    stays, once. Rows without words or doc_id stay."""
+    groups = stored(duplicate_groups(docs).select("doc_id", F.col("_text_hash").alias("hash"), F.col("_group").alias("group")), "groups")
+    several = groups.filter("group is not null").groupBy(F.col("group").alias("of")).agg(
+        F.min(F.struct("doc_id", "hash")).alias("best"), F.count("*").alias("rows")).filter("rows > 1")
+    members = groups.join(several, F.col("group") == F.col("of"))
+    here, k_id, k_hash = fresh(docs, "hash", "k_id", "k_hash")
+    keys = lambda x: x.groupBy(F.col("doc_id").alias(k_id), F.col("hash").alias(k_hash)).agg(F.count("*").alias("n"))
+    gone = keys(members.filter(F.struct("doc_id", "hash") != F.col("best"))).select(k_id, k_hash)
+    # rows equal to the one that stays
+    again = keys(members.filter(F.struct("doc_id", "hash") == F.col("best"))).filter("n > 1").select(k_id, k_hash)
+    same = (F.col("doc_id") == F.col(k_id)) & (F.col(here) == F.col(k_hash))
+    rest = docs.withColumn(here, F.xxhash64("text")).join(gone, same, "left_anti")
+    once = rest.join(again, same, "left_semi").dropDuplicates(["doc_id", here])
+    return rest.join(again, same, "left_anti").union(once).select(*docs.columns)
 
 
 OP3_SQL = r"""

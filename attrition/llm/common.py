@@ -7,7 +7,7 @@ import os
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from attrition.session import ensure_checkpoint_dir, scratch_path
+from attrition.session import drop_path, ensure_checkpoint_dir, scratch_path
 
 #: The ASCII white space that separates words and pads lines: U+0020 and U+0009 to U+000D.
 ASCII_SPACE = " \t\n\x0b\x0c\r"
@@ -52,6 +52,14 @@ def stored(df: DataFrame, name: str, *sort: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_stored(*frames: DataFrame | None) -> None:
+    """Delete the folders of frames that :func:`stored` gave and that nothing reads any more."""
+    for df in frames:
+        if df is not None:
+            for path in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+                drop_path(df.sparkSession, path)
+
+
 def fresh(df: DataFrame, *names: str) -> list[str]:
     """The names, each lengthened until no column of ``df`` has it."""
     taken = {c.lower() for c in df.columns}

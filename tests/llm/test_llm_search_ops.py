@@ -109,7 +109,42 @@ def test_components_of_chains_and_stars(spark):
 
 def test_near_duplicates_of_nothing(spark):
     empty = spark.createDataFrame([], "doc_id bigint, text string")
-    assert bottomk.near_duplicates(empty).count() == 0
+    assert bottomk.near_duplicates(empty).count() == 0 and bottomk.one_of_each(empty).count() == 0
+
+
+def _repeated_ids():
+    """One doc_id on several texts; near copies of each."""
+    rng = random.Random(8)
+    say = lambda n=40: " ".join("".join(rng.choices("abcdefgh", k=4)) for _ in range(n))
+    a, u, v, b, c = say(), say(), say(), say(), say()
+    rows = [(1, a), (2, a + " x"), (2, u), (3, u + " y"), (2, v), (2, v), (5, b), (5, b + " z"), (6, c), (6, c), (None, c), (None, c),
+            (9, None), (9, ""), (9, " "), (2, None), (8, "one two"), (8, "ONE two"), (4, "one two")]
+    return rows + [(rng.randrange(20, 30), rng.choice([a, u, b]) + f" w{k}") for k in range(25)]
+
+
+@pytest.mark.parametrize("small", [48, 2])
+def test_rows_that_repeat_a_doc_id_are_judged_by_their_texts(spark, monkeypatch, small):
+    monkeypatch.setattr(bottomk, "SMALL_LIST", small)
+    rows = _repeated_ids()
+    texts = sorted({(i, t or "") for i, t in rows if i is not None})
+    found = _brute_components([(k, t) for k, (_, t) in enumerate(texts)])   # by (doc_id, text)
+    least: dict = {}
+    for k, (i, _) in enumerate(texts):
+        least[found[k][1]] = min(least.get(found[k][1], i), i)
+    want = {texts[k]: (n, least[c]) for k, (n, c) in found.items()}
+    df = spark.createDataFrame([(i, t, "s", 7) for i, t in rows], "doc_id bigint, text string, hash string, k_id int")
+    out = sorted(map(tuple, bottomk.near_duplicates(df).collect()), key=repr)
+    n_of = {t: n for (_, t), (n, _) in want.items()}
+    assert out == sorted([(None, n_of.get(t or "", 0), None, True) if i is None else (i, *want[i, t or ""], want[i, t or ""][1] == i)
+                          for i, t in rows], key=repr)
+    kept = [(r.doc_id, r.text) for r in bottomk.one_of_each(df).collect()]
+    worded = [(i, t) for i, t in kept if i is not None and want[i, t or ""][0]]
+    component = {texts[k]: c for k, (_, c) in found.items()}
+    assert sorted(component[x] for x in worded) == sorted({component[x] for x in texts if want[x][0]})   # one row of each
+    assert all(i == want[i, t][1] for i, t in worded)
+    others = [(i, t) for i, t in rows if i is None or not want[i, t or ""][0]]
+    assert sorted(map(repr, kept)) == sorted(map(repr, worded + others))
+    assert bottomk.one_of_each(df).columns == df.columns
 
 
 # --- nearest neighbours --------------------------------------------------------------
