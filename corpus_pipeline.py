@@ -1,8 +1,8 @@
 """From raw documents to packed training sequences, stage by stage.
 
 Each stage takes (spark, docs, sf_dir) and works on all rows its predecessor
-kept; ``run`` writes every stage's result as Parquet into the shared folder
-and reads it again for the next one. All but the last return the columns of
+kept; ``run`` writes every stage's result as Parquet into the shared folder,
+reads it again for the next one and drops it when that is written. All but the last return the columns of
 ``documents`` (doc_id, text, lang, source, n_chars). Other columns of the
 input pass through; an empty input gives an empty result; a null text counts
 as empty; rows with a null doc_id are scored, decontaminated and packed, and
@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from attrition.llm import bestfit, bm25_wand, bottomk, line_runs, quality_bt
 from attrition.llm.common import table
-from attrition.session import scratch_path
+from attrition.session import drop_path, release, scratch_path
 
 #: The stages hold trained models and similarity search, which SQL cannot express.
 ORACLE_SQL = None
@@ -35,9 +35,8 @@ def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document (the smallest doc_id) of each near-duplicate component."""
-    gone = bottomk.near_duplicates(docs).filter("not kept").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(*docs.columns)
+    """One row (the smallest doc_id; of one doc_id's texts the smallest hash) of each near-duplicate component."""
+    return bottomk.one_of_each(docs)
 
 
 def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -46,8 +45,9 @@ def decontaminate(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """bin_id, bin_start, doc_id, segment, doc_start, length of every packed segment."""
-    return bestfit.pack_documents(docs)
+    """bin_id, bin_start, doc_id, segment, doc_start, length of every packed segment; a cluster is a
+    text here, as near_dedup has left one document of each group."""
+    return bestfit.pack_distinct(docs)
 
 
 STAGES = [
@@ -60,9 +60,12 @@ STAGES = [
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         path = scratch_path(spark, f"stage-{name}")
         stage(spark, docs, sf_dir).write.parquet(path)
-        docs = spark.read.parquet(path)
+        if before:
+            drop_path(spark, before)
+        release(spark)
+        docs, before = spark.read.parquet(path), path
     return STAGES[-1][1](spark, docs, sf_dir)
