@@ -5,7 +5,10 @@ markup included). Subtrees that are no article text by their tag, role or
 class are cut: a class or id counts as noise by its whole name, not by some
 word of it (``related-work``, ``category-social``), by its first word only if
 the element is mostly links, an id of a heading never, and an article element
-only if it is a comment or an advertisement. Every paragraph of the rest earns points for its length
+only if it is a comment or an advertisement. A compound class of a division, section, list,
+form or table counts by its last word (``user-comments``, ``sticky-ad``), inside an
+article only if that word can hardly name content or stands beside a word of the
+page's frame (``cookie-banner``, ``right-rail``; but ``lunch-menu`` stays). Every paragraph of the rest earns points for its length
 and commas and passes them to its ancestors, less at each level; a node's
 score is its points discounted by its link density. The best container wins,
 and its siblings stay, whatever their length, unless they are mostly links;
@@ -28,6 +31,7 @@ from __future__ import annotations
 
 import html as html_lib
 import re
+from collections import Counter
 from collections.abc import Iterator
 
 import pandas as pd
@@ -72,6 +76,15 @@ TOPICS = frozenset("""advertisement advertisements advertising alert banner comp
 PARTS = frozenset("""area article articles bar block body bottom box btn button buttons center col column container content
     entry form group holder icon icons inner item items left link links list main module outer overlay page panel post
     posts primary region right row secondary section site slot story strip text thread title top unit wrap wrapper""".split())
+# A compound class of a part of the page is noise by its first word, by its last one, or by a last word that goes
+# with a word of the second list; outside an article the last word is enough.
+NOISE_HEADS = frozenset("adsense disqus footer gdpr masthead sidebar".split())
+NOISE_TAILS = frozenset("""ad ads advert advertisement adverts breadcrumb breadcrumbs comments commentlist consent footer
+    masthead navbar sidebar""".split())
+DOUBTFUL_TAILS = frozenset("banner comment header menu modal nav notice notices popup rail".split())
+COMPANIONS = frozenset("""ad ads consent cookie cookies copyright desktop facebook fb footer gdpr global left legal main mobile nav
+    page privacy reader right side site sticky top user visitor""".split())
+PART_TAGS = frozenset("div dl form ol section table ul".split())   # elements whose compound classes are judged so
 # What an article element may not be.
 NO_ARTICLE = frozenset("ad ads advert advertisement comment comments promo reply sponsored".split())
 MANY_LINKS = 0.5   # link density of what is no text
@@ -94,6 +107,16 @@ def _named(name: str, noise: frozenset) -> bool:
     return any(w in noise for w in words) and all(w in noise or w in PARTS or len(w) == 1 for w in words)
 
 
+def _compound(name: str, in_article: bool) -> bool:
+    """Whether the first or last word of a compound class marks a part of the page that is no article text."""
+    words = [w.lower() for w in WORDS.findall(name)]
+    if len(words) < 2:
+        return False
+    if words[0] in NOISE_HEADS or words[-1] in NOISE_TAILS:
+        return True
+    return words[-1] in DOUBTFUL_TAILS and (not in_article or any(w in COMPANIONS for w in words[:-1]))
+
+
 def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
     """Whether the attributes of a start tag mark its element as no article text, as an article, or as no article
     text if it is mostly links."""
@@ -119,6 +142,8 @@ def _judge(tag: str, attrs: str, in_article: bool) -> tuple[bool, bool, bool]:
     ids = [] if tag in HEADINGS else given.get("id", [])
     if any(_named(c, noise) for c in classes) or any(_named(i, noise - TOPICS) for i in ids):
         return True, False, False
+    if tag in PART_TAGS and any(_compound(c, in_article) for c in classes + (ids if not in_article else [])):
+        return True, False, False
     heads = [[w.lower() for w in WORDS.findall(x)] for x in classes + ids]
     if not in_article and any(len(h) > 1 and all(w in noise for w in h) for h in heads):
         return True, False, False
@@ -141,20 +166,21 @@ class Tree:
     def _parse(self, page: str) -> None:
         tags, parents, cut, inside, events = self.tag, self.parent, self.cut, self.in_article, self.events
         stack, open_tags, pos = [0], ["#root"], 0
+        count: Counter = Counter()   # of the open tags, so that none is looked for in vain
 
         def close_to(depth: int) -> None:
             while len(stack) > depth:
                 events.append((~stack.pop(), None))
-                open_tags.pop()
+                count[open_tags.pop()] -= 1
 
         def close_first(which: frozenset, stop: frozenset) -> None:
             """Close from the outermost open tag of ``which`` inside the nearest ``stop``."""
-            found = 0
+            found, left = 0, sum(count[t] for t in which)
             for i in range(len(open_tags) - 1, 0, -1):
-                if open_tags[i] in stop:
+                if not left or open_tags[i] in stop:
                     break
                 if open_tags[i] in which:
-                    found = i
+                    found, left = i, left - 1
             if found:
                 close_to(found)
 
@@ -174,19 +200,21 @@ class Tree:
             if m["close"]:
                 if tag == "br":
                     events.append((stack[-1], " "))
-                elif tag in open_tags:
-                    depth = len(open_tags) - 1 - open_tags[::-1].index(tag)
+                elif count[tag]:
+                    depth = len(open_tags) - 1
                     # an inline end tag does not close the blocks around it
-                    if tag in BLOCK or not any(t in BLOCK for t in open_tags[depth + 1:]):
+                    while open_tags[depth] != tag and (tag in BLOCK or open_tags[depth] not in BLOCK):
+                        depth -= 1
+                    if open_tags[depth] == tag:
                         close_to(depth)
                 continue
-            if tag in ("html", "body") and tag in open_tags:
+            if tag in ("html", "body") and count[tag]:
                 continue
-            if tag in CLOSES_P and "p" in open_tags:
+            if tag in CLOSES_P and count["p"]:
                 close_first(frozenset(["p"]), frozenset(["button", "td", "th", "table"]))
             if tag in IMPLIED:
                 close_first(*IMPLIED[tag])
-            if tag == "body" and "head" in open_tags:
+            if tag == "body" and count["head"]:
                 close_to(open_tags.index("head"))
             if tag in VOID:
                 if tag in ("br", "hr", "wbr", "img") and not cut[stack[-1]]:
@@ -210,6 +238,7 @@ class Tree:
                 continue
             stack.append(node)
             open_tags.append(tag)
+            count[tag] += 1
             if tag in RAW:
                 end = re.compile(rf"</{tag}(?=[\s/>])", re.I).search(page, pos)
                 stop = end.start() if end else n
@@ -255,12 +284,13 @@ class Tree:
 
     def scores(self) -> dict[int, float]:
         """Points of paragraphs passed to ancestors (whole, half, a third, ...), discounted by link density."""
+        block = [0] * len(self.tag)   # the block around each node
+        for i in range(1, len(self.tag)):
+            block[i] = i if self.tag[i] in BLOCK else block[self.parent[i]]
         own: dict[int, list[str]] = {}
         for i, text in self.events:
             if text and i >= 0 and not self.cut[i]:
-                while i > 0 and self.tag[i] not in BLOCK:
-                    i = self.parent[i]
-                own.setdefault(i, []).append(text)
+                own.setdefault(block[i], []).append(text)
         points: dict[int, float] = {}
         for i, texts in own.items():
             text = " ".join("".join(texts).split())

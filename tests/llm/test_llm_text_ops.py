@@ -131,6 +131,40 @@ def test_siblings_of_the_container_stay(page, text):
     assert html_tree.main_text(page) == text
 
 
+NOISE_NAMES = """user-comments reader-comments fb-comments right-rail global-footer footer-legal cookie-policy-banner
+    privacy-notice gdpr-consent-message google-ad sticky-ad mobile-menu site-header cookie-banner site-footer page-footer
+    left-rail main-nav site-nav top-menu legal-notice copyright-notice sidebar-inner post-comments article-comments
+    masthead-wrap banner-ads inline-advert consent-banner facebook-comments userComments cookie_banner""".split()
+CONTENT_NAMES = """lunch-menu body-text article-body post-content entry-summary lead-paragraph pull-quote code-block
+    related-work search-engines social-impact cookie-recipe menu-engineering comment-syntax ad-hoc-networks header-files
+    notice-periods review-text figure-wrap step-list faq-answer table-wrap story-header hero-banner key-points
+    author-bio results-section method-notes share-prices navigation-systems""".split()
+
+
+@pytest.mark.parametrize("inside", [True, False])
+def test_compound_names(inside):
+    for name in NOISE_NAMES + CONTENT_NAMES:
+        part = f'<div class="{name}"><p>x, y</p></div>'
+        frame = ("article", "") if inside else ("div", ' class="layout"')
+        page = f"<body><{frame[0]}{frame[1]}><p>{LONG}</p>{part}<p>{LONG}</p></{frame[0]}></body>"
+        kept = name in CONTENT_NAMES and (inside or name not in ("lunch-menu", "story-header", "hero-banner"))
+        assert html_tree.main_text(page) == (f"{LONG}\nx, y\n{LONG}" if kept else f"{LONG}\n{LONG}"), (name, inside)
+
+
+def test_classes_of_code_and_headings_are_not_judged_by_their_last_word():
+    page = f'<article><p>{LONG}</p><h2 class="user-comments">On comments</h2><pre><span class="hljs-comment">// x</span></pre><p>{LONG}</p></article>'
+    assert html_tree.main_text(page) == f"{LONG}\nOn comments\n// x\n{LONG}"
+
+
+@pytest.mark.parametrize("tags", ["<ul><li>", "<div>", "<b>", "<table><tr><td>", "<dl><dd>", "<section><p>", "<a><i>"])
+def test_time_is_linear_in_the_depth(tags):
+    import time
+    n = 40_000
+    start = time.process_time()
+    html_tree.main_text(tags * n + "core, text" + "</x></i></b></div>" * n)
+    assert time.process_time() - start < 5
+
+
 def test_long_and_deep_pages_end():
     deep = "<div>" * 3000 + "<p>core, text</p>" + "</div>" * 3000
     assert html_tree.main_text(deep) == "core, text"
