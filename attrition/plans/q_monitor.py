@@ -81,7 +81,7 @@ def q_alert_for(spark, sf):
     return W.alert_for(q, F.col("quantile") > 1.0, "2 minutes")
 
 
-@query("drift_alert", "W5", with_views("""
+DRIFT_ALERT_SQL = with_views("""
 , d AS (SELECT recorded_at AS ts, coalesce(metric_value > 0.2, false) AS c FROM model_metrics
         WHERE metric_name = 'drift_score' AND recorded_at IS NOT NULL),
 g AS (SELECT ts, sum(CASE WHEN c THEN 0 ELSE 1 END) AS nf, sum(CASE WHEN c THEN 1 ELSE 0 END) AS nt
@@ -91,7 +91,10 @@ ep AS (SELECT before, min(ts) AS active_since FROM k WHERE nt > 0 GROUP BY befor
 e AS (SELECT before, ts AS resolved_at FROM k WHERE nf > 0)
 SELECT active_since, active_since + INTERVAL 300 SECOND AS fired_at, resolved_at
 FROM ep LEFT JOIN e USING (before)
-WHERE resolved_at IS NULL OR resolved_at >= active_since + INTERVAL 300 SECOND""", "model_metrics"))
+WHERE resolved_at IS NULL OR resolved_at >= active_since + INTERVAL 300 SECOND""", "model_metrics")
+
+
+@query("drift_alert", "W5", DRIFT_ALERT_SQL)
 def q_drift_alert(spark, sf):
     m = I.metrics(spark, sf).filter(F.col("metric_name") == "drift_score")
     return W.alert_on_samples(m, "recorded_at", F.col("metric_value") > S.DRIFT_THRESHOLD, "5 minutes")

@@ -18,6 +18,7 @@ from . import inputs as I
 from . import q_ml
 from .catalog import query
 from .oracle_sql import with_views
+from .q_monitor import DRIFT_ALERT_SQL
 
 _WIN = """w AS (SELECT p.*, time_bucket(INTERVAL 1 MINUTE, request_timestamp) - to_minutes(r.k) AS window_start
        FROM predictions p, range(0, 5) r(k))"""
@@ -100,6 +101,16 @@ def q_stream_alert(spark, sf):
     return SM.run_to_completion(spark, out, "stream-alert")
 
 
+@query("stream_drift_alert", "W5", DRIFT_ALERT_SQL)
+def q_stream_drift_alert(spark, sf):
+    own = SM.state_session(spark)
+    s = SM.view_stream(own, table_path(sf, "events"), "model_metrics").filter("metric_name = 'drift_score'")
+    # the clock goes on until the last sample can have fired and its watermark has passed
+    beats = replayed_clock(own, I.metrics(spark, sf), "recorded_at", ahead=(5 + 10 + 1) * 60)
+    out = SM.alert_on_samples_stream(s, "recorded_at", F.col("metric_value") > S.DRIFT_THRESHOLD, "5 minutes", heartbeats=beats)
+    return SM.alert_episodes(SM.run_to_completion(own, out, "stream-drift-alert"))
+
+
 @query("stream_absence_alert", "W6", with_views("""
 , s AS (SELECT DISTINCT CAST(floor(epoch(request_timestamp) / 60) AS BIGINT) AS slot FROM predictions),
 g AS (SELECT range AS slot FROM range((SELECT min(slot) FROM s), (SELECT max(slot) FROM s) + 1))
@@ -112,11 +123,11 @@ def q_stream_absence(spark, sf):
     return SM.run_to_completion(spark, SM.absence_stream(s, "request_timestamp", beats), "stream-absence")
 
 
-def replayed_clock(spark, df, ts, seconds=60):
-    """The heartbeats of a backfill: one per slot of the time that ``df`` spans, as a stream."""
+def replayed_clock(spark, df, ts, seconds=60, ahead=0):
+    """The heartbeats of a backfill: one per slot of the time that ``df`` spans and ``ahead`` seconds more, as a stream."""
     t = F.floor(F.unix_seconds(F.col(ts).cast("timestamp")) / seconds)
     lo, hi = df.agg(F.min(t), F.max(t)).first()
     path = scratch_path(spark, "clock")
-    slots = spark.range(int(lo or 0), int(hi or -1) + 1)
+    slots = spark.range(int(lo or 0), int(hi or -1) + 1 + ahead // seconds)
     slots.select(F.timestamp_seconds(F.col("id") * seconds).alias(ts)).write.parquet(path)
     return spark.readStream.schema(f"{ts} timestamp").parquet(path)

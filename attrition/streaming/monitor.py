@@ -147,6 +147,122 @@ def alert_for_stream(windows: DataFrame, condition: Column, hold: str, step: str
         f"{fields}, active_seconds long, active_since timestamp", "Append", "None")
 
 
+class GaugeAlert(StatefulProcessor):
+    """``for:`` hold time of a gauge that keeps its last value (W5, stream).
+
+    Input per key: the instants with samples, as the watermark closes them
+    (``et_us``, false and true samples ``nf``, ``nt``). State: start
+    (microseconds) of the running episode and whether it has fired. An
+    episode that is still true fires from an event-time timer set to its
+    start plus the hold time, so no further sample of the series is needed.
+    """
+
+    CHUNK = 10_000
+    COLUMNS = ["state", "active_us", "fired_us", "resolved_us"]
+
+    def __init__(self, hold_s: int, by: Sequence[str]):
+        self.hold_us, self.by = hold_s * 1_000_000, list(by)
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        self.episode = handle.getValueState("episode", "start_us long, fired boolean")
+
+    def _timer(self, start_us: int) -> int:
+        """The first millisecond of the watermark that closes the episode's firing time."""
+        return -((start_us + self.hold_us) // -1000)
+
+    def _rows(self, key, rows: list[tuple]) -> Iterator[pd.DataFrame]:
+        out = pd.DataFrame(rows, columns=self.COLUMNS).astype({"active_us": "Int64", "fired_us": "Int64", "resolved_us": "Int64"})
+        for name, value in zip(self.by, key):
+            out[name] = [value] * len(out)
+        for i in range(0, max(1, len(out)), self.CHUNK):
+            yield out.iloc[i:i + self.CHUNK][[*self.by, *self.COLUMNS]]
+
+    def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
+        pdf = pd.concat([r[["et_us", "nf", "nt"]] for r in rows], ignore_index=True).sort_values("et_us")
+        t, false, true = (pdf[c].to_numpy(np.int64) for c in ("et_us", "nf", "nt"))
+        # an episode is named by the instants with false samples before it
+        name = np.cumsum(false > 0) - (false > 0)
+        first = pd.Series(t[true > 0]).groupby(name[true > 0]).min().to_dict()
+        ends = dict(zip(name[false > 0].tolist(), t[false > 0].tolist()))
+        fired = False
+        if self.episode.exists():
+            start, fired = self.episode.get()
+            first[0] = int(start)
+            if not fired:
+                self.handle.deleteTimer(self._timer(int(start)))
+            self.episode.clear()
+        out = []
+        for k in sorted(first):
+            start, end = int(first[k]), ends.get(k)
+            fire, before = start + self.hold_us, fired and k == 0
+            due = self._timer(start) <= timerValues.getCurrentWatermarkInMs() if end is None else end >= fire
+            if due and not before:
+                out.append(("firing", start, fire, None))
+            if end is not None and due:
+                out.append(("resolved", start, fire, end))
+            if end is None:
+                self.episode.update((start, bool(due or before)))
+                if not (due or before):
+                    self.handle.registerTimer(self._timer(start))
+        yield from self._rows(key, out)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        out = []
+        if self.episode.exists():
+            start, fired = self.episode.get()
+            if not fired and self._timer(int(start)) <= expiredTimerInfo.getExpiryTimeInMs():
+                self.episode.update((int(start), True))
+                out.append(("firing", int(start), int(start) + self.hold_us, None))
+        yield from self._rows(key, out)
+
+    def close(self) -> None:
+        pass
+
+
+def alert_on_samples_stream(samples: DataFrame, ts: str, condition: Column, hold: str, by: Sequence[str] = (),
+                            heartbeats: DataFrame | None = None, watermark: str = "10 minutes") -> DataFrame:
+    """W5 (stream): the changes of a gauge alert, as event time closes them.
+
+    A row ``state = 'firing'`` leaves once the condition has held for ``hold``
+    since the sample that made it true, whether or not a sample comes after
+    it, and a row ``'resolved'`` at the first false sample after that.
+    :func:`alert_episodes` folds them to the rows of the batch twin.
+
+    Samples are counted per series and instant in a watermarked aggregate
+    (spread by instant, false and true apart), so the alert sees closed
+    instants only and keeps one state row per series. ``heartbeats`` (a stream
+    with the column ``ts``) are instants without samples: they make event time
+    go on while no sample arrives. Rows without a time have no place.
+    ``samples`` must come from a session with the RocksDB state store
+    (:func:`state_session`)."""
+    if samples.sparkSession.conf.get(STATE_STORE, "") != ROCKSDB:
+        raise ValueError(f"set {STATE_STORE} to {ROCKSDB}, or read the stream in state_session(spark)")
+    c = F.coalesce(condition, F.lit(False))
+    rows = samples.select(*by, F.col(ts).cast("timestamp").alias("__et"),
+                          F.when(c, 0).otherwise(1).alias("__f"), F.when(c, 1).otherwise(0).alias("__t"))
+    if heartbeats is not None:
+        beats = heartbeats.select(F.col(ts).cast("timestamp").alias("__et"), F.lit(0).alias("__f"), F.lit(0).alias("__t"))
+        rows = rows.unionByName(beats, allowMissingColumns=True)
+    instants = (rows.filter(F.col("__et").isNotNull()).withWatermark("__et", watermark)
+                    .groupBy("__et", *by).agg(F.sum("__f").alias("nf"), F.sum("__t").alias("nt"))
+                    .filter("nf + nt > 0").withColumn("et_us", F.unix_micros("__et")))
+    if not by:
+        instants = instants.withColumn("__alert", F.lit("alert"))
+    types = "".join(f"`{f.name}` {f.dataType.simpleString()}, " for f in samples.select(*by).schema.fields) if by else ""
+    out = instants.groupBy(*(by or ["__alert"])).transformWithStateInPandas(
+        GaugeAlert(_seconds(hold), by), f"{types}state string, active_us long, fired_us long, resolved_us long",
+        "Append", "EventTime")
+    at = lambda n: F.timestamp_micros(f"{n}_us")
+    return out.select(*by, "state", at("active").alias("active_since"), at("fired").alias("fired_at"),
+                      at("resolved").alias("resolved_at"))
+
+
+def alert_episodes(changes: DataFrame, by: Sequence[str] = ()) -> DataFrame:
+    """One row per fired episode from the written changes of :func:`alert_on_samples_stream`."""
+    return changes.groupBy(*by, "active_since", "fired_at").agg(F.max("resolved_at").alias("resolved_at"))
+
+
 def heartbeat_stream(spark: SparkSession, ts: str) -> DataFrame:
     """One row a second with the current time: what makes event time go on
     while no event arrives."""

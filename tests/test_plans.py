@@ -17,7 +17,7 @@ MODEL_OR_STREAM = {"learned_cv", "learned_probabilities", "learned_metrics", "le
                    "gbt_first_tree", "gbt_balanced_first_tree", "rf_train", "gbt_train", "gbt_balanced_train", "cross_validate", "train_pipeline",
                    "score_batch", "top_importances", "feature_importance", "segment_eval", "stream_score",
                    "stream_rate_5m", "stream_rate_by_result_5m", "stream_latency_p95_5m", "stream_alert_for",
-                   "stream_absence_alert",
+                   "stream_absence_alert", "stream_drift_alert",
                    "validation_gate"}
 FORBIDDEN = ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython")
 

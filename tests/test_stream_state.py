@@ -97,3 +97,44 @@ def test_absence_fires_though_no_event_ever_arrives_again(spark):
     out = SM.run_to_completion(spark, SM.absence_stream(read(events), "ts", read(clock)), "outage")
     got = sorted(int((r.slot_start - t0).total_seconds()) // 60 for r in out.collect())
     assert got == [4, 5, 11] + list(range(20, 50))   # closed slots: the clock's minute 60 less the 10 minutes of delay
+
+
+GAUGE = "ts timestamp, series string, v double"
+
+
+def _gauge_changes(spark, rows, beats, n, watermark="1 minute"):
+    folder, clock = scratch_path(spark, "gauge"), scratch_path(spark, "gauge-clock")
+    _write_batches(spark, rows, GAUGE, folder, n, "ts")
+    _write_batches(spark, [(b,) for b in beats], "ts timestamp", clock, n, "ts")
+    own = SM.state_session(spark)
+    read = lambda p, s: own.readStream.schema(s).option("maxFilesPerTrigger", 1).parquet(p)
+    out = SM.alert_on_samples_stream(read(folder, GAUGE), "ts", F.col("v") > 1, "5 minutes", by=["series"],
+                                     heartbeats=read(clock, "ts timestamp"), watermark=watermark)
+    return SM.run_to_completion(own, out, "gauge-out")
+
+
+def test_gauge_alert_fires_though_the_rising_sample_is_the_last(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(t0, "a", 0.0), (t0 + dt.timedelta(minutes=3), "a", 5.0)]
+    got = _gauge_changes(spark, rows, [t0 + dt.timedelta(minutes=m) for m in range(20)], 2).collect()
+    assert [(r.series, r.state, r.active_since, r.fired_at, r.resolved_at) for r in got] == \
+        [("a", "firing", rows[1][0], rows[1][0] + dt.timedelta(minutes=5), None)]
+
+
+def test_gauge_alert_stream_equals_batch(spark):
+    """Series of runs, ties of true and false at one instant, ends exactly at the firing time, nulls, in 4 batches."""
+    t0 = dt.datetime(2024, 1, 1)
+    at = lambda m, us=0: t0 + dt.timedelta(minutes=m, microseconds=us)
+    rows = []
+    for m in range(0, 120, 2):
+        rows.append((at(m, 7), "a", 9.0 if m % 20 < 12 else 0.0))
+        rows.append((at(m, m), "b", None if m % 34 == 0 else 9.0))
+    rows += [(at(5), "c", 9.0), (at(10), "c", 0.0), (at(30), "c", 9.0), (at(34), "c", 9.0), (at(34), "c", 0.0),
+             (at(50), "c", 9.0), (at(70), "c", 9.0), (at(70), "c", 0.0), (at(71), "c", 9.0), (at(74), None, 9.0)]
+    changes = _gauge_changes(spark, rows, [at(m) for m in range(140)], 4, "10 minutes")
+    got = SM.alert_episodes(changes, ["series"])
+    want = W.alert_on_samples(spark.createDataFrame(rows, GAUGE), "ts", F.col("v") > 1, "5 minutes", by=["series"])
+    assert want.count() > 10
+    assert CO.compare(got.toPandas(), want.select(*got.columns).toPandas()) == "ok"
+    # each episode fires and resolves once
+    assert changes.groupBy("series", "active_since", "state").count().filter("count > 1").isEmpty()
