@@ -17,10 +17,12 @@ from __future__ import annotations
 
 from typing import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..session import cut_lineage, parts_for
+from ..sources.sinks import path_exists
 
 
 def _order_struct(ts: str, created: str | None, tie: Sequence[str]) -> Column:
@@ -50,6 +52,68 @@ def latest_per_entity(df: DataFrame, key: str, event_ts: str, created_ts: str |
               .select(key, "__l.*"))
 
 
+BUCKET = "store_bucket"
+
+
+def read_materialized(spark: SparkSession, path: str) -> DataFrame:
+    """The latest rows that :func:`materialize_increment` keeps under ``path``."""
+    return spark.read.parquet(f"{path.rstrip('/')}/rows").drop(BUCKET)
+
+
+def high_water_mark(spark: SparkSession, path: str):
+    """The newest arrival time taken into the store, or None."""
+    marks = f"{path.rstrip('/')}/marks"
+    return spark.read.parquet(marks).agg(F.max("upto")).first()[0] if path_exists(spark, marks) else None
+
+
+def materialize_increment(source: DataFrame, path: str, key: str, event_ts: str, arrived: str,
+                          created_ts: str | None = None, upto=None, start=None, end=None,
+                          tie: Sequence[str] = (), buckets: int = 64) -> list[int]:
+    """J1, incremental: merge the rows that arrived since the last run into a
+    table of the newest row per entity; returns the buckets it touched.
+
+    A run takes the rows with ``mark < arrived <= upto`` (default: all that
+    has arrived) and ``start < event_ts <= end``. Rows are judged by event
+    time, not by arrival, so one that comes late never displaces a newer one.
+    Rows without an arrival time are taken by every run: merging a row twice
+    changes nothing, which also makes a run that died safe to repeat, as the
+    mark moves last.
+
+    The table has one partition per hash bucket of the key. Only the buckets
+    of the new rows are read, and only they are overwritten. The new rows
+    are first reduced to one per entity by a partial aggregate (a hot entity
+    is one row per task), then both sides meet in one shuffle by bucket.
+    ``buckets`` belongs to the table: all runs must give the same number, and
+    it should leave a few hundred MB to a bucket. One run at a time.
+    """
+    spark, path = source.sparkSession, path.rstrip("/")
+    rows, marks = f"{path}/rows", f"{path}/marks"
+    mark, kind = high_water_mark(spark, path), source.schema[arrived].dataType
+    if upto is None:
+        upto = source.agg(F.max(arrived)).first()[0]
+    at, fresh = F.col(arrived), F.lit(True)
+    if mark is not None:
+        fresh = at > F.lit(mark).cast(kind)
+    new = source.filter(at.isNull() | (fresh & (at <= F.lit(upto).cast(kind)))).drop(arrived)
+    order = dict(created_ts=created_ts, tie=tie)
+    bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
+    new = cut_lineage(latest_per_entity(new, key, event_ts, start=start, end=end, **order).withColumn(BUCKET, bucket))
+    touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())   # at most ``buckets`` numbers
+    if touched:
+        both = new
+        if path_exists(spark, rows):
+            both = spark.read.schema(new.schema).parquet(rows).filter(F.col(BUCKET).isin(touched)).unionByName(new)
+        # an aggregate by key after a shuffle by bucket needs none of its own
+        both = both.repartition(BUCKET).withColumn("__key", F.struct(BUCKET, key))
+        merged = latest_per_entity(both, "__key", event_ts, **order).drop("__key")
+        merged.select(*new.columns).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(BUCKET).parquet(rows)
+    if upto is not None:
+        one = spark.range(1).select(F.lit(upto).cast(kind).alias("upto"), F.lit(len(touched)).alias("buckets"),
+                                    F.current_timestamp().alias("run_at"))
+        one.write.mode("append").parquet(marks)
+    return touched
+
+
 def feature_lookup(keys: DataFrame, latest: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """Fetch features for entity keys; unknown keys get nulls.
 
@@ -81,7 +145,6 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
        most ``partitions`` rows per key;
     5. the answer per label instant is joined back to the label rows.
     """
-    from ..session import cut_lineage, parts_for
     if features is None:
         feat_cols = [c for c in feats.columns if c not in (key, event_ts, created_ts, *tie)]
     else:

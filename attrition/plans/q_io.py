@@ -148,6 +148,8 @@ def q_lineage(spark, sf):
 
 
 _FP_COLS = S.FEATURE_TABLE_COLUMNS
+_FP_TEXT = " || ".join(f"coalesce('V' || length(CAST({c} AS VARCHAR)) || ':' || CAST({c} AS VARCHAR), 'N')" for c in _FP_COLS)
+_FP_HALF = "CAST(sum(CAST('0x' || substr(md5({t}), {i}, 16) AS UBIGINT)) AS VARCHAR)"
 
 
 @query("dataset_fingerprint", "L2", with_views(
@@ -158,6 +160,19 @@ def q_fingerprint(spark, sf):
     return L.fingerprint(I.features(spark, sf), _FP_COLS)
 
 
+@query("fingerprint_by_partition", "L2", with_views(
+    f"SELECT Contract_OneYear, count(*) AS row_count, {_FP_HALF.format(t=_FP_TEXT, i=1)} AS high_sum, "
+    f"{_FP_HALF.format(t=_FP_TEXT, i=17)} AS low_sum FROM customer_features GROUP BY Contract_OneYear", "customer_features"))
+def q_fingerprint_states(spark, sf):
+    """Two appends, each adding its own states; merged, they are those of the whole table."""
+    path, features = scratch_path(spark, "fingerprint-states"), I.features(spark, sf)
+    churned = F.coalesce(F.col("Churn") == 1, F.lit(False))
+    for part in (churned, ~churned):
+        L.fingerprint_states(features.filter(part), "Contract_OneYear", _FP_COLS).write.mode("append").parquet(path)
+    merged = L.merge_states(spark.read.parquet(path), "Contract_OneYear")
+    return merged.withColumns({c: F.col(c).cast("string") for c in ("high_sum", "low_sum")})
+
+
 @query("run_stamp", "L3", with_views(
     f"SELECT *, TIMESTAMP '{FIXED_TS}' AS ingested_at, '{RUN_ID}' AS pipeline_run_id, "
     f"'{CODE_VERSION}' AS dvc_commit_hash FROM customer_features", "customer_features"))

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import store as J
+from ..session import scratch_path
 from . import inputs as I
 from .catalog import query
 from .oracle_sql import with_views
@@ -35,6 +36,18 @@ def q_latest(spark, sf):
     return _latest(spark, sf)
 
 
+@query("latest_incremental", "J1", _with_latest("SELECT * FROM latest"))
+def q_latest_incremental(spark, sf):
+    """Three runs over rows that arrive up to 700 days after their event."""
+    path = scratch_path(spark, "latest-store")
+    src = I.snapshots(spark, sf).withColumn("arrived", F.date_add(F.col("event_timestamp").cast("date"),
+                                                                  F.pmod("snapshot_id", F.lit(700)).cast("int")))
+    for upto in ("1997-12-31", "1998-06-30", None):
+        J.materialize_increment(src, path, "customerID", "event_timestamp", "arrived", "created_timestamp", upto=upto,
+                                start=WINDOW_START, end=AS_OF, tie=["snapshot_id"])
+    return J.read_materialized(spark, path)
+
+
 @query("feature_lookup", "J2", _with_latest(
     "SELECT k.customerID, k.label_timestamp, l.total_price, l.priority, l.status "
     "FROM label_times k LEFT JOIN latest l ON k.customerID = l.customerID", "label_times"))

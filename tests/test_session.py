@@ -81,3 +81,19 @@ def test_first_trained_wins_equal_validation_auc(spark):
     auc = {r.model_name: r.metric_value for r in res.metrics.filter("metric_name = 'val_roc_auc'").collect()}
     assert set(auc.values()) == {0.5} and res.best == "random_forest"
     assert res.reports.select("model_name").distinct().count() == 4 and set(res.importances) == set(M.LEARNERS)
+
+
+def test_states_of_appends_add_up_and_name_what_changed(spark):
+    rows = [(p, i % 7, None if i % 5 == 0 else f"v{i}") for i in range(90) for p in ("a", "b", None)]
+    make = lambda r: spark.createDataFrame(r, "p string, n int, v string")
+    whole = L.fingerprint_states(make(rows), "p")
+    parts = L.fingerprint_states(make(rows[:100]), "p").unionByName(L.fingerprint_states(make(rows[100:]).repartition(5), "p"))
+    merged = L.merge_states(parts, "p")
+    assert merged.dtypes == whole.dtypes
+    assert L.changed_partitions(whole, merged, "p").count() == 0
+    assert L.merge_states(parts).first() == L.merge_states(whole).first()
+    # one value differs in b, c is new, a is gone, the null partition is the same
+    other = [r for r in rows if r[0] != "a"] + [("c", 1, "x")]
+    other[other.index(("b", 1, "v1"))] = ("b", 1, "v1 ")
+    got = L.changed_partitions(merged, L.fingerprint_states(make(other), "p"), "p").collect()
+    assert {(r.p, r.change) for r in got} == {("a", "removed"), ("b", "changed"), ("c", "added")}

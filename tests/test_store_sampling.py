@@ -1,11 +1,13 @@
 import datetime as dt
 import random
+import re
 
 import pandas as pd
 from pyspark.sql import functions as F
 
 from attrition.operators import sampling as R
 from attrition.operators import store as J
+from attrition.session import scratch_path
 
 
 def _brute_pit(labels, feats, ttl_days):
@@ -115,3 +117,52 @@ def test_ranks_follow_the_hash_and_are_repeatable_for_repeated_ids(spark):
     for y in (True, False):
         got = [i for i, f, v in sorted((r for r in rows if r[1] == y), key=lambda r: one[r[2]])]
         assert got == sorted(got, key=lambda i: (hashlib.md5(f"42:{i}".encode()).hexdigest(), i))
+
+
+def _increments(spark, rows, path, bounds, buckets=8):
+    src = spark.createDataFrame(rows, "k string, e timestamp, seen timestamp, id long")
+    return [J.materialize_increment(src, path, "k", "e", "seen", upto=u, tie=["id"], buckets=buckets) for u in bounds], src
+
+
+def test_increments_equal_one_full_run(spark):
+    """Late rows, a hot and a null key, rows without an arrival time, ties; a run repeated changes nothing."""
+    rnd, t0 = random.Random(5), dt.datetime(2024, 1, 1)
+    rows = []
+    for i in range(600):
+        key = rnd.choice(["hot", "hot", None] + [f"k{j}" for j in range(40)])
+        e = t0 + dt.timedelta(hours=rnd.randint(0, 200))
+        seen = None if i % 50 == 0 else e + dt.timedelta(hours=rnd.choice([0, 1, 90]))
+        rows.append((key, e, seen, i))
+    path = scratch_path(spark, "increments")
+    hours = lambda h: t0 + dt.timedelta(hours=h)
+    for upto in (60, 60, 150, None):
+        touched, src = _increments(spark, rows, path, [hours(upto) if upto else None])
+        part = src.filter(F.col("seen").isNull() | (F.col("seen") <= F.lit(hours(upto or 10_000))))
+        want = J.latest_per_entity(part.drop("seen"), "k", "e", tie=["id"])
+        got = J.read_materialized(spark, path)
+        assert sorted(map(str, got.select("k", "e", "id").collect())) == sorted(map(str, want.select("k", "e", "id").collect()))
+    assert J.high_water_mark(spark, path) == max(r[2] for r in rows if r[2])
+
+
+def test_an_increment_leaves_other_buckets_alone(spark):
+    t0 = dt.datetime(2024, 1, 1)
+    rows = [(f"k{i}", t0, t0, i) for i in range(200)]
+    path = scratch_path(spark, "touched")
+    (first,), _ = _increments(spark, rows, path, [t0])
+    assert first == list(range(8))
+    files = lambda: {f.split("/rows/")[1] for f in spark.read.parquet(f"{path}/rows").inputFiles()}
+    before, later = files(), t0 + dt.timedelta(days=1)
+    (second, third), _ = _increments(spark, rows + [("k7", later, later, 999)], path, [later, later])
+    assert len(second) == 1 and third == []
+    assert {f.split("/")[0] for f in before ^ files()} == {f"{J.BUCKET}={second[0]}"}
+    rows = J.read_materialized(spark, path)
+    assert rows.count() == 200 and rows.filter("k = 'k7'").first().id == 999
+    # the merge reads the touched bucket only
+    plan = spark.read.parquet(f"{path}/rows").filter(F.col(J.BUCKET).isin(second))._jdf.queryExecution().executedPlan().toString()
+    assert re.search(rf"PartitionFilters: \[.*{J.BUCKET}#\d+ = {second[0]}", plan), plan
+
+
+def test_increments_of_an_empty_table(spark):
+    path = scratch_path(spark, "nothing")
+    (touched,), _ = _increments(spark, [], path, [None])
+    assert touched == [] and J.high_water_mark(spark, path) is None
