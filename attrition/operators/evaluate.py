@@ -73,7 +73,8 @@ def classification_report(df: DataFrame, label: str, pred: str, names=("No Churn
     return c.select(F.inline(F.array(*rows)))
 
 
-def _score_table(df: DataFrame, label: str, score: str, weight: str | None = None, by: Sequence[str] = ()) -> DataFrame:
+def _score_table(df: DataFrame, label: str, score: str, weight: str | None = None, by: Sequence[str] = (),
+                 parts: int | None = None, next_cols: Sequence[str] = ()) -> DataFrame:
     """Distinct scores with positive / negative counts (or sums of an integer
     ``weight``) and descending running sums. The distinct-score table is materialized once, inside
     :func:`prefix.ordered_cumsum` (range parts pinned by a checkpoint); the
@@ -81,7 +82,7 @@ def _score_table(df: DataFrame, label: str, score: str, weight: str | None = Non
     y = F.col(label).cast("long")
     w = F.col(weight).cast("long") if weight else F.lit(1)
     col = collapse(df.filter(F.col(score).isNotNull()), score, {"pos": y * w, "neg": (F.lit(1) - y) * w}, by)
-    return ordered_cumsum(col, score, ["pos", "neg"], by, descending=True)
+    return ordered_cumsum(col, score, ["pos", "neg"], by, descending=True, parts=parts, next_cols=next_cols)
 
 
 def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6, weight: str | None = None,
@@ -99,14 +100,28 @@ def roc_auc(df: DataFrame, label: str, score: str, scale: int | None = 6, weight
                               p.alias("n_pos"), n.alias("n_neg"))
 
 
-def roc_curve(df: DataFrame, label: str, score: str) -> DataFrame:
+def roc_curve(df: DataFrame, label: str, score: str, drop_collinear: bool = False,
+              parts: int | None = None) -> DataFrame:
     """(threshold, fpr, tpr) at every distinct score, descending, plus
-    the (0, 0) start with a null threshold. Collinear points are kept."""
-    t = _score_table(df, label, score)
+    the (0, 0) start with a null threshold.
+
+    ``drop_collinear`` leaves out the points that the curve can be drawn
+    without: those whose step (positives and negatives at the score) equals
+    the next one's, by the rule of the usual library. The highest and the
+    lowest score always stay. A step is compared with its neighbour across
+    the borders of the range parts too, so any number of ``parts`` gives the
+    same points.
+    """
+    t = _score_table(df, label, score, parts=parts, next_cols=["pos", "neg"] if drop_collinear else ())
     P = t.select(F.sum("pos")).scalar()
     N = t.select(F.sum("neg")).scalar()
-    pts = t.select(F.col(score).cast("double").alias("threshold"),
-                   (F.col("cum_neg") / N).alias("fpr"), (F.col("cum_pos") / P).alias("tpr"))
+    kept = t
+    if drop_collinear:
+        first = (F.col("cum_pos") == F.col("pos")) & (F.col("cum_neg") == F.col("neg"))
+        turns = (F.col("next_pos") != F.col("pos")) | (F.col("next_neg") != F.col("neg"))
+        kept = t.filter(first | F.col("next_pos").isNull() | turns)
+    pts = kept.select(F.col(score).cast("double").alias("threshold"),
+                      (F.col("cum_neg") / N).alias("fpr"), (F.col("cum_pos") / P).alias("tpr"))
     start = df.sparkSession.range(1).select(F.lit(None).cast("double").alias("threshold"),
                                             F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     return start.unionByName(pts)

@@ -58,12 +58,13 @@ def range_parts(df: DataFrame, value: str, by: Sequence[str] = (), descending: b
 
 def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Sequence[str] = (),
                    descending: bool = False, parts: int | None = None, prefix: str = "cum_",
-                   with_next: bool = False, pinned: bool = False) -> DataFrame:
+                   with_next: bool = False, pinned: bool = False, next_cols: Sequence[str] = ()) -> DataFrame:
     """Add inclusive running sums ``cum_<c>`` over ``value`` order within ``by``.
 
     ``df`` must hold one row per (by, value) — use :func:`collapse` first.
     ``with_next`` also adds ``next_value``: the following distinct value in
-    the same order (null for the last one).
+    the same order (null for the last one), and ``next_cols`` adds
+    ``next_<c>``: these columns of the following row, across part borders too.
 
     ``parts`` (default: from the input size) is the number of range parts;
     the result is exact for any number. With ``pinned``, ``df`` is the result
@@ -76,9 +77,11 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
     for c in sum_cols:
         d = d.withColumn(f"__l_{c}", F.sum(c).over(w_local))
     extra_aggs = []
-    if with_next:
-        d = d.withColumn("__lead", F.lead(value).over(Window.partitionBy(*keys, "__bucket").orderBy("__o")))
-        extra_aggs = [F.min_by(F.col(value), F.col("__o")).alias("__first")]
+    following = {**({"next_value": value} if with_next else {}), **{f"next_{c}": c for c in next_cols}}
+    if following:
+        row = F.struct(*[F.col(c).alias(name) for name, c in following.items()])
+        d = d.withColumn("__lead", F.lead(row).over(Window.partitionBy(*keys, "__bucket").orderBy("__o")))
+        extra_aggs = [F.min_by(row, F.col("__o")).alias("__first")]
     totals = d.groupBy(*keys, "__bucket").agg(*[F.sum(c).alias(f"__t_{c}") for c in sum_cols], *extra_aggs)
     # at most `parts` rows per group
     w_off = (Window.partitionBy(*keys).orderBy("__bucket")
@@ -86,15 +89,16 @@ def ordered_cumsum(df: DataFrame, value: str, sum_cols: Sequence[str], by: Seque
     for c in sum_cols:
         totals = totals.withColumn(f"__off_{c}", F.coalesce(F.sum(f"__t_{c}").over(w_off), F.lit(0)))
     keep = [f"__off_{c}" for c in sum_cols]
-    if with_next:
+    if following:
         totals = totals.withColumn("__next_b", F.lead("__first").over(Window.partitionBy(*keys).orderBy("__bucket")))
         keep.append("__next_b")
     totals = totals.select(*keys, "__bucket", *keep)
     out = join_on(d, totals, [*keys, "__bucket"])
     for c in sum_cols:
         out = out.withColumn(f"{prefix}{c}", F.col(f"__off_{c}") + F.col(f"__l_{c}"))
-    if with_next:
-        out = out.withColumn("next_value", F.coalesce(F.col("__lead"), F.col("__next_b"))).drop("__lead", "__next_b")
+    if following:
+        after = F.coalesce(F.col("__lead"), F.col("__next_b"))
+        out = out.withColumns({name: after.getField(name) for name in following}).drop("__lead", "__next_b")
     drop = ["__o", "__bucket", *[f"__l_{c}" for c in sum_cols], *[f"__off_{c}" for c in sum_cols]]
     if not by:
         drop.append("__g")

@@ -165,15 +165,19 @@ def duplicate_values(df: DataFrame, col: str) -> DataFrame:
               .filter(F.col("n") > 1))
 
 
-def binned_shares(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
-    """Share of rows in each left-closed bin ``[e_i, e_{i+1})``; out-of-range
-    values go to the open tail bins ``-1`` and ``len(edges)-1``."""
-    x = F.col(col).cast("double")
+def bin_index(col: Column, edges: Sequence[float]) -> Column:
+    """The left-closed bin ``[e_i, e_{i+1})`` of a value; out-of-range values
+    go to the open tail bins ``-1`` and ``len(edges)-1``."""
+    x = col.cast("double")
     b = F.when(x < F.lit(edges[0]), F.lit(-1))
     for i in range(1, len(edges)):
         b = b.when(x < F.lit(edges[i]), F.lit(i - 1))
-    b = b.otherwise(F.lit(len(edges) - 1))
-    return df.filter(F.col(col).isNotNull()).select(b.alias("bin"))
+    return b.otherwise(F.lit(len(edges) - 1))
+
+
+def binned_shares(df: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:
+    """The bin (:func:`bin_index`) of every row with a value."""
+    return df.filter(F.col(col).isNotNull()).select(bin_index(F.col(col), edges).alias("bin"))
 
 
 def kl_divergence(current: DataFrame, reference: DataFrame, col: str, edges: Sequence[float]) -> DataFrame:

@@ -114,6 +114,47 @@ def materialize_increment(source: DataFrame, path: str, key: str, event_ts: str,
     return touched
 
 
+def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int) -> DataFrame:
+    """``df`` as the table ``table`` under ``path``, bucketed and
+    sorted by ``key``; returns the table.
+
+    Rows are dealt by the key's hash before they are written, so a bucket is
+    one file. Joins on the key then read the buckets as they lie: the table is
+    shuffled once, when it is written. ``buckets`` should leave a few hundred
+    MB to a file, and tables that are joined with each other take the same.
+    """
+    (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
+       .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
+    return df.sparkSession.table(table)
+
+
+def asked_rows(store: DataFrame, keys: DataFrame, key: str, buckets: int) -> DataFrame:
+    """The rows of a bucketed ``store`` whose key is among ``keys``;
+    the store is not shuffled.
+
+    The keys come to the store: they are reduced to distinct ones by a partial
+    aggregate (a hot key is one row per task), then dealt over as many
+    partitions as the table has buckets. What is asked for is as small as the
+    requests are; :func:`feature_lookup` and :func:`fill_from_store` join it
+    back to them, and there AQE can split a hot key. Null keys match nothing.
+    """
+    asked = keys.select(F.col(key)).filter(F.col(key).isNotNull()).distinct().repartition(buckets, key)
+    return store.join(asked, key, "left_semi")
+
+
+def assemble_bucketed(entities: DataFrame, views: Mapping[str, tuple[DataFrame, Sequence[str]]],
+                      key: str = S.ENTITY_KEY) -> DataFrame:
+    """One row per row of ``entities`` with the features of every view
+    (nulls where a view lacks the entity). All are bucketed by the key into
+    equally many buckets, so no side of any join is shuffled: a left join
+    keeps the buckets of its left side for the next one, which a full outer
+    join would not."""
+    out = entities.select(key)
+    for src, feats in views.values():
+        out = out.join(src.select(key, *feats), key, "left")
+    return out
+
+
 def feature_lookup(keys: DataFrame, latest: DataFrame, key: str, features: Sequence[str]) -> DataFrame:
     """Fetch features for entity keys; unknown keys get nulls.
 

@@ -79,6 +79,18 @@ def q_roc(spark, sf):
     return E.roc_curve(I.scored_lines(spark, sf), "label", "score")
 
 
+@query("roc_curve_corners", "E4", with_views(f"""
+, {_CUM},
+x AS (SELECT *, lead(pos) OVER (ORDER BY score DESC) AS next_pos, lead(neg) OVER (ORDER BY score DESC) AS next_neg,
+             row_number() OVER (ORDER BY score DESC) AS i FROM cu)
+SELECT CAST(NULL AS DOUBLE) AS threshold, 0.0::DOUBLE AS fpr, 0.0::DOUBLE AS tpr
+UNION ALL SELECT CAST(score AS DOUBLE), cum_neg / (SELECT n FROM t), cum_pos / (SELECT p FROM t) FROM x
+WHERE i = 1 OR next_pos IS NULL OR next_pos <> pos OR next_neg <> neg
+""", "scored_lines"))
+def q_roc_corners(spark, sf):
+    return E.roc_curve(I.scored_lines(spark, sf), "label", "score", drop_collinear=True)
+
+
 @query("pr_curve", "E5", with_views(f"""
 , {_CUM}
 SELECT CAST(score AS DOUBLE) AS threshold, cum_pos / (cum_pos + cum_neg) AS precision,

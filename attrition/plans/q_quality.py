@@ -5,8 +5,10 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from .. import schemas as S
+from ..operators import check_states as CS
 from ..operators import clean as P
 from ..operators import quality as Q
+from ..session import scratch_path
 from . import inputs as I
 from .catalog import query
 from .oracle_sql import with_views
@@ -210,6 +212,26 @@ def q_suite(spark, sf):
     return Q.run_rules(whole, Q.suite_rules()).unionByName(_kl_report(whole))
 
 
+# the rules whose states merge exactly; the runs are the contracts, so one is far larger than the others
+_MERGED = [r for r in _SUITE if r.kind not in ("unique", "unique_ratio")] + [r for r in Q.gate_rules() if r.kind != "unique"]
+
+
+@query("validation_merged", "Q12", with_views(
+    rules_sql("customer_clean", _MERGED, S.RAW_COLUMNS) + "\nUNION ALL\n"
+    + _kl_sql(KL_CUR_SQL, KL_REF_SQL, "tenure", TENURE_EDGES, KL_THRESHOLD, "kl:tenure"), "customer_clean"))
+def q_merged(spark, sf):
+    """Each run appends its states; the report over all runs reads only them."""
+    clean = I.cleaned(spark, sf)
+    folder, cohorts = scratch_path(spark, "check-states"), scratch_path(spark, "cohort-states")
+    for churn in ("Yes", "No"):   # two appends, each of several runs
+        run = clean.filter(F.col("Churn").eqNullSafe(churn) if churn == "Yes" else ~F.col("Churn").eqNullSafe("Yes"))
+        CS.check_states(run.withColumn("run", F.col("Contract")), _MERGED, "run").write.mode("append").parquet(folder)
+    CS.check_states(clean.withColumn("senior", F.col("SeniorCitizen")), _KL, "senior").write.parquet(cohorts)
+    states, cohort = spark.read.parquet(folder), spark.read.parquet(cohorts)
+    kl = CS.report_from_states(cohort.filter("senior = 1"), _KL, reference=cohort.filter("senior = 0"))
+    return CS.report_from_states(states, _MERGED).unionByName(kl).drop("error")
+
+
 @query("validation_summary", "Q12", with_views(
     "SELECT count(*) AS evaluated, CAST(sum(CAST(success AS INT)) AS BIGINT) AS passed, "
     "round(sum(CAST(success AS DOUBLE)) / count(*), 6) AS success_rate, bool_and(success) AS success FROM ("

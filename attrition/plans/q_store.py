@@ -2,13 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from .. import schemas as S
 from ..operators import store as J
 from ..session import scratch_path
 from . import inputs as I
-from .catalog import query
+from .catalog import REGISTRY, query
 from .oracle_sql import with_views
 
 AS_OF = "1998-06-30"
@@ -57,6 +59,22 @@ def q_lookup(spark, sf):
                             ["orders_view:total_price", "orders_view:priority", "orders_view:status"])
 
 
+#: Buckets of the queries' tables; a production table has one per few hundred MB.
+BUCKETS = 16
+
+
+def _bucketed(spark, df, name, buckets=BUCKETS):
+    table = f"{name}_{uuid.uuid4().hex[:10]}"
+    return J.write_bucketed(df, table, scratch_path(spark, name), "customerID", buckets)
+
+
+@query("feature_lookup_bucketed", "J2", REGISTRY["feature_lookup"].oracle)
+def q_lookup_bucketed(spark, sf):
+    keys, store = I.label_times(spark, sf), _bucketed(spark, _latest(spark, sf), "latest_store")
+    return J.feature_lookup(keys, J.asked_rows(store, keys, "customerID", BUCKETS), "customerID",
+                            ["orders_view:total_price", "orders_view:priority", "orders_view:status"])
+
+
 @query("point_in_time_join", "J3", with_views(f"""
 , cand AS (
   SELECT l.customerID, l.label_timestamp, f.event_timestamp AS feature_timestamp, f.snapshot_id,
@@ -86,6 +104,14 @@ def q_assemble(spark, sf):
     return J.assemble_service({name: (src, feats) for name, feats in S.FEATURE_VIEWS.items()})
 
 
+@query("feature_service_bucketed", "J4", REGISTRY["feature_service_assemble"].oracle)
+def q_assemble_bucketed(spark, sf):
+    """Each view is a table of its own beside the table of the entities."""
+    src = I.features(spark, sf)
+    views = {name: (_bucketed(spark, src.select("customerID", *feats), name), feats) for name, feats in S.FEATURE_VIEWS.items()}
+    return J.assemble_bucketed(_bucketed(spark, src.select("customerID"), "entities"), views)
+
+
 _ALL_NULL = " AND ".join(f"r.{f} IS NULL" for f in S.MODEL_FEATURES)
 
 
@@ -98,6 +124,13 @@ def q_fill_store(spark, sf):
     return J.fill_from_store(I.requests(spark, sf), I.features(spark, sf), "customerID", S.MODEL_FEATURES)
 
 
+@query("fill_from_store_bucketed", "J5", REGISTRY["fill_from_store"].oracle)
+def q_fill_bucketed(spark, sf):
+    requests = I.requests(spark, sf)
+    store = _bucketed(spark, I.features(spark, sf), "feature_store")
+    return J.fill_from_store(requests, J.asked_rows(store, requests, "customerID", BUCKETS), "customerID", S.MODEL_FEATURES)
+
+
 @query("latest_batch", "J6", with_views(
     "SELECT * FROM (SELECT *, date_trunc('day', request_timestamp) AS ingested_at FROM predictions) "
     "WHERE ingested_at = (SELECT max(date_trunc('day', request_timestamp)) FROM predictions)", "predictions"))

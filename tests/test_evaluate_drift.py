@@ -153,3 +153,25 @@ def test_ordered_row_number_identical_rows(spark):
     hot = got[got.g == "hot"].sort_values("rn")
     assert list(hot.rn) == list(range(1, 504)) and list(hot.v[:3]) == [0, 0, 0]
     assert sorted(got[got.g == "cold"].rn) == [1, 2]
+
+
+def test_roc_corners_alike_over_parts(spark):
+    rnd = random.Random(3)
+    # a third of all rows on one score, runs of equal steps, nulls
+    rows = [(rnd.random() < 0.4, 0.5 if rnd.random() < 0.33 else round(rnd.random(), 2)) for _ in range(600)]
+    rows += [(True, 1 + i / 10) for i in range(8)] + [(False, -1 - i / 10) for i in range(8)] + [(True, None)]
+    df = spark.createDataFrame([(int(y), s) for y, s in rows], "y int, s double")
+    steps = {}
+    for y, s in rows:
+        if s is not None:
+            pos, neg = steps.get(s, (0, 0))
+            steps[s] = (pos + y, neg + (not y))
+    order = sorted(steps, reverse=True)
+    keep = {s for i, s in enumerate(order) if i in (0, len(order) - 1) or steps[s] != steps[order[i + 1]]}
+    full = {r.threshold: (r.fpr, r.tpr) for r in E.roc_curve(df, "y", "s").collect()}
+    for parts in (1, 7):
+        got = {r.threshold: (r.fpr, r.tpr) for r in E.roc_curve(df, "y", "s", drop_collinear=True, parts=parts).collect()}
+        assert set(got) == keep | {None} and len(keep) < len(order)
+        assert all(full[s] == point for s, point in got.items())
+    one = spark.createDataFrame([(1, 0.5), (0, 0.5)], "y int, s double")
+    assert sorted((r.fpr, r.tpr) for r in E.roc_curve(one, "y", "s", drop_collinear=True).collect()) == [(0.0, 0.0), (1.0, 1.0)]

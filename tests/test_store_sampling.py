@@ -166,3 +166,60 @@ def test_increments_of_an_empty_table(spark):
     path = scratch_path(spark, "nothing")
     (touched,), _ = _increments(spark, [], path, [None])
     assert touched == [] and J.high_water_mark(spark, path) is None
+
+
+def _above_store_scans(plan, marks):
+    """The operators between each store scan and the root of a plan tree."""
+    lines, out = plan.split("\n"), []
+    depth = lambda line: len(line) - len(re.sub(r"^[\s:+|-]*", "", line))
+    for i, line in enumerate(lines):
+        if "FileScan" in line and any(m in line for m in marks):
+            d, above = depth(line), []
+            for j in range(i - 1, -1, -1):
+                if depth(lines[j]) < d:
+                    d = depth(lines[j])
+                    above.append(lines[j])
+                    if "Join" in lines[j]:
+                        break
+            out.append(above)
+    return out
+
+
+def test_bucketed_store_is_never_shuffled(spark):
+    own = spark.newSession()
+    own.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")   # as with a store of many GB
+    own.conf.set("spark.sql.session.timeZone", "UTC")
+    store = own.range(500).select(F.concat(F.lit("k"), "id").alias("k"), (F.col("id") * 2).alias("a"), (F.col("id") % 7).alias("b"))
+    # a hot key, unknown keys, null keys and repeated ones
+    keys = own.range(3000).select("id", F.when(F.col("id") % 3 == 0, "k7").when(F.col("id") % 11 == 0, None)
+                                  .otherwise(F.concat(F.lit("k"), F.col("id") % 900)).alias("k"))
+    want = sorted(J.feature_lookup(keys, store, "k", ["v:a", "b"]).collect(), key=lambda r: r.id)
+    for n in (3, 8):
+        path = scratch_path(own, "bucketed")
+        table = J.write_bucketed(store, f"bucketed_{n}", path, "k", n)
+        got = J.feature_lookup(keys, J.asked_rows(table, keys, "k", n), "k", ["v:a", "b"])
+        assert sorted(got.collect(), key=lambda r: r.id) == want
+        asked = J.asked_rows(table, keys, "k", n)._jdf.queryExecution().executedPlan().toString()
+        above = _above_store_scans(asked, ["Bucketed: true"])
+        assert len(above) == 1 and "Join" in above[0][-1] and not [x for x in above[0] if "Exchange" in x], asked
+        # views of one bucket count: no exchange anywhere in the assembly
+        views = {c: (J.write_bucketed(store.select("k", c).filter(f"{c} % 3 > 0"), f"view_{c}_{n}", scratch_path(own, c), "k", n), [c])
+                 for c in ("a", "b")}
+        ids = J.write_bucketed(store.select("k"), f"ids_{n}", scratch_path(own, "ids"), "k", n)
+        out = J.assemble_bucketed(ids, views, "k")
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "Exchange" not in plan and plan.count("Bucketed: true") == 3, plan
+        rows = {r.k: (r.a, r.b) for r in out.collect()}
+        assert rows == {f"k{i}": (i * 2 if i * 2 % 3 else None, i % 7 if i % 7 % 3 else None) for i in range(500)}
+
+
+def test_fill_from_a_bucketed_store(spark):
+    store = spark.createDataFrame([("a", 1.0, 2.0), ("b", 3.0, None)], "k string, x double, y double")
+    reqs = spark.createDataFrame([(1, "a", None, None), (2, "a", 9.0, None), (3, "z", None, None), (4, None, None, None),
+                                  (5, "b", None, None), (6, "a", None, None)], "id int, k string, x double, y double")
+    table = J.write_bucketed(store, "fill_store", scratch_path(spark, "fill"), "k", 4)
+    got = J.fill_from_store(reqs, J.asked_rows(table, reqs, "k", 4), "k", ["x", "y"])
+    assert sorted(map(tuple, got.collect()), key=lambda r: r[0]) == [
+        (1, "a", 1.0, 2.0), (2, "a", 9.0, None), (3, "z", None, None), (4, None, None, None), (5, "b", 3.0, None), (6, "a", 1.0, 2.0)]
+    none = J.write_bucketed(store.limit(0), "empty_store", scratch_path(spark, "none"), "k", 4)
+    assert J.asked_rows(none, reqs, "k", 4).count() == 0 and J.asked_rows(table, reqs.limit(0), "k", 4).count() == 0
