@@ -122,6 +122,8 @@ def write_bucketed(df: DataFrame, table: str, path: str, key: str, buckets: int)
     one file. Joins on the key then read the buckets as they lie: the table is
     shuffled once, when it is written. ``buckets`` should leave a few hundred
     MB to a file, and tables that are joined with each other take the same.
+    Meant for tables of about one row per key (as :func:`latest_per_entity`
+    gives): all rows of a key lie in one file.
     """
     (df.repartition(buckets, key).write.mode("overwrite").format("parquet")
        .bucketBy(buckets, key).sortBy(key).option("path", path).saveAsTable(table))
