@@ -1,7 +1,9 @@
 """Quality, HTML extraction, chat formatting and line dedup: brute force, round trips and edge rows."""
 
 import hashlib
+import math
 import random
+import zlib
 
 import numpy as np
 import pytest
@@ -43,6 +45,74 @@ def test_quality_held_out_accuracy(spark):
     assert out.count() == 1000 and out.filter("score between 0 and 1").count() == 1000
 
 
+def _plain_features(text):
+    """The features of a text, counted byte by byte and word by word."""
+    data = (text or "").encode()
+    if not data:
+        return [0.0] * 20
+    space, stops, letters = b" \t\n\x0b\x0c\r", b".,;:", lambda c: 65 <= c <= 90 or 97 <= c <= 122 or c >= 128
+    words, word = [], b""
+    for c in data + b" ":
+        if c in space:
+            words += [word] if word else []
+            word = b""
+        else:
+            word += bytes([c])
+    kinds = {"upper": lambda c: 65 <= c <= 90, "digit": lambda c: 48 <= c <= 57, "space": lambda c: c in space, "stop": lambda c: c in stops,
+             "mark": lambda c: not (letters(c) or 48 <= c <= 57 or c in space or c in stops), "bang": lambda c: c == 33,
+             "bar": lambda c: c == 124, "symbol": lambda c: c in b"*#$%&@~^=+<>{}[]\\_`", "line": lambda c: c == 10,
+             "high": lambda c: 128 <= c < 192}
+    share = {k: sum(1 for c in data if is_it(c)) / (len(data) + 30) for k, is_it in kinds.items()}
+    w = max(1, len(words))
+    repeats = sum(1 for i, x in enumerate(words) if x in words[:i]) if len(words) < 3000 else len(words) - len(dict.fromkeys(words))
+    again = sum(1 for x, y in zip(words, words[1:]) if x == y) / (w + 3.75)
+    tail = 0
+    for x in words:
+        while x and x[-1] in b"*#$%&!|~^":
+            x, tail = x[:-1], tail + 1
+    total = sum(len(x) for x in words)
+    return [math.log(1 + len(data)), *share.values(), total / w / 10, sum(len(x) > 20 for x in words) / w,
+            (repeats if words else 1) / (w + 3.75), again, tail / (total + 30),
+            *[math.log(1 + 20 * x) for x in (share["upper"], share["mark"], share["bar"], again)]]
+
+
+def test_quality_equals_a_plain_loop(spark):
+    """Features, pairs, the fit and the scores of sf0.001 without the operator's code."""
+    sf = "/root/testdata/sf0.001"
+    docs = spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").toPandas().sort_values("doc_id")
+    votes = {}
+    for r in spark.read.parquet(f"{sf}/labels.parquet").select("doc_id", "quality").collect():
+        votes.setdefault(r.doc_id, set()).add(r.quality)
+    x = np.array([_plain_features(t) for t in docs.text])
+    learn = [i for i, d in enumerate(docs.doc_id) if zlib.crc32(str(d).encode()) % 3 != 1 and votes.get(d) in ({0}, {1})]
+    y = np.array([min(votes[docs.doc_id.iloc[i]]) for i in learn])
+    t = x[learn]
+    scale = np.where(t.std(0) < 1e-9, 1, t.std(0))
+    z = (t - t.mean(0)) / scale
+    good, bad, rng = z[y == 1], z[y == 0], np.random.default_rng(11)
+    n = max(len(good), len(bad)) * 8
+    draw = lambda m: [k for _ in range(-(-n // m)) for k in rng.permutation(m)][:n]
+    first, second = draw(len(good)), draw(len(bad))
+    d = np.array([good[i] - bad[j] for i, j in zip(first, second)])
+    w = np.zeros(20)
+    for _ in range(5000):   # steps of a bounded length down the gradient of the same strictly convex loss, by its curvature
+        p = 1 / (1 + np.exp(d @ w))
+        grad = 1e-3 * w - (p[:, None] * d).mean(0)
+        curve = (d.T * (p * (1 - p))) @ d / len(d) + 1e-3 * np.eye(20)
+        step = np.linalg.solve(curve, grad)
+        w -= step * min(1, 0.5 / max(1e-12, np.abs(step).max()))
+        if np.abs(step).max() < 1e-10:
+            break
+    assert np.abs(grad).max() < 1e-8
+    s = z @ w
+    cut = float(np.quantile(s, (y == 0).mean(), method="midpoint"))
+    want = dict(zip(docs.doc_id, 1 / (1 + np.exp(-((x - t.mean(0)) / scale @ w - cut)))))
+    got = QUERIES["op1_quality_bt"](spark, sf).collect()
+    assert len(got) == len(docs) and len(learn) > 50
+    assert max(abs(r.score - want[r.doc_id]) for r in got) < 0.01
+    assert all(r.predicted == (want[r.doc_id] >= 0.5) for r in got if abs(want[r.doc_id] - 0.5) > 0.01)
+
+
 def test_quality_edge_rows_and_missing_labels(spark):
     docs = _docs(spark, [(1, None), (2, ""), (3, "word " * 50_000), (3, "word " * 50_000), (None, "x")])
     none = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
