@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas as S
-from ..session import cut_lineage, parts_for
+from .. import session
 from ..sources.sinks import path_exists
 
 
@@ -97,7 +97,7 @@ def materialize_increment(source: DataFrame, path: str, key: str, event_ts: str,
     new = source.filter(at.isNull() | (fresh & (at <= F.lit(upto).cast(kind)))).drop(arrived)
     order = dict(created_ts=created_ts, tie=tie)
     bucket = F.pmod(F.xxhash64(key), F.lit(buckets)).cast("int")
-    new = cut_lineage(latest_per_entity(new, key, event_ts, start=start, end=end, **order).withColumn(BUCKET, bucket))
+    new = session.cut_lineage(latest_per_entity(new, key, event_ts, start=start, end=end, **order).withColumn(BUCKET, bucket))
     touched = sorted(r[0] for r in new.select(BUCKET).distinct().collect())   # at most ``buckets`` numbers
     if touched:
         both = new
@@ -197,7 +197,7 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
     fstruct = F.struct(*[F.col(c).alias(f"__k{i}") for i, c in enumerate(order_cols)],
                        *[F.col(c) for c in feat_cols])
     ts = lambda c: F.col(c).cast("timestamp")
-    n = partitions or max(parts_for(labels), parts_for(feats))
+    n = partitions or max(session.parts_for(labels), session.parts_for(feats))
 
     f_inst = (feats.filter(F.col(key).isNotNull())
                    .groupBy(F.col(key).alias("__key"), ts(event_ts).alias("__t"))
@@ -208,7 +208,7 @@ def point_in_time_join(labels: DataFrame, feats: DataFrame, key: str, label_ts:
                   .unionByName(l_inst.withColumn("__kind", F.lit(1)))
                   .repartitionByRange(n, "__key", "__t", "__kind")
                   .withColumn("__p", F.spark_partition_id()))
-    inst = cut_lineage(inst)   # both branches below must see the same part numbers
+    inst = session.cut_lineage(inst)   # both branches below must see the same part numbers
 
     feat_t = F.when(F.col("__kind") == 0, F.col("__t"))
     w_local = (Window.partitionBy("__p", "__key").orderBy("__t", "__kind")
