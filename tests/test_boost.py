@@ -94,6 +94,35 @@ def test_fits_do_not_depend_on_partitions_or_company(spark, monkeypatch):
     assert both.models["p"].nodes.equals(one.models["p"].nodes) and both.models["q"].nodes.tree.max() == 4
 
 
+def test_a_pass_is_one_job_of_one_stage(spark, monkeypatch):
+    monkeypatch.setattr(B, "PART_ROWS", 90)
+    run, tracker, seen = B.Booster._pass, spark.sparkContext.statusTracker(), []
+
+    def counted(self, growers):
+        group = f"boost-pass-{len(seen)}"
+        spark.sparkContext.setJobGroup(group, "")
+        out = run(self, growers)
+        seen.append([len(tracker.getJobInfo(j).stageIds) for j in tracker.getJobIdsForGroup(group)])
+        return out
+
+    monkeypatch.setattr(B.Booster, "_pass", counted)
+    try:
+        B.fit_together(_table(spark), "x", FEATURES, "y", [B.Fit("m", B.BoostParams(rounds=4, max_depth=3), "w")])
+    finally:
+        spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
+    assert len(seen) == 12 and all(jobs == [1] for jobs in seen[1:])   # the first one makes and checkpoints the blocks
+
+
+def test_features_counted_as_one_give_the_same_trees(spark, monkeypatch):
+    df, p = _table(spark, missing=True), B.BoostParams(rounds=3, max_depth=4)
+    assert B.feature_groups([13, 3, 31, 256, 3, 256]) == [[1, 4, 0], [2], [3], [5]]
+    trees = []
+    for most in (1, 1024, 1 << 15):
+        monkeypatch.setattr(B, "GROUP_BINS", most)
+        trees.append(B.fit_together(df, "x", FEATURES, "y", [B.Fit("m", p, "w")]).models["m"].nodes)
+    assert trees[0].equals(trees[1]) and trees[0].equals(trees[2])
+
+
 def test_held_folds_are_not_learned_from_and_margins_are_out_of_fold(spark):
     df, p = _table(spark), B.BoostParams(rounds=3, max_depth=3)
     cv = B.fit_together(df, "x", FEATURES, "y", [B.Fit(f"f{k}", p, "w", k) for k in range(4)], F.xxhash64("id"), "fold", "id")
