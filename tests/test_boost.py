@@ -123,6 +123,14 @@ def test_features_counted_as_one_give_the_same_trees(spark, monkeypatch):
     assert trees[0].equals(trees[1]) and trees[0].equals(trees[2])
 
 
+def test_training_rows_are_dealt_evenly_and_alike(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_ROWS", 100)
+    df = _table(spark, 1000)
+    one, two = (M.dealt(d).withColumn("part", F.spark_partition_id()).toPandas() for d in (df.coalesce(1), df.repartition(7)))
+    assert one.astype(str).equals(two.astype(str)) and len(one) == 1000
+    assert one.groupby("part").size().between(50, 150).all() and one.part.nunique() == 10
+
+
 def test_held_folds_are_not_learned_from_and_margins_are_out_of_fold(spark):
     df, p = _table(spark), B.BoostParams(rounds=3, max_depth=3)
     cv = B.fit_together(df, "x", FEATURES, "y", [B.Fit(f"f{k}", p, "w", k) for k in range(4)], F.xxhash64("id"), "fold", "id")
