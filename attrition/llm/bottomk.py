@@ -2,7 +2,8 @@
 
 A document's set is its distinct 5-word shingles, hashed to 64 bits; the
 sketch is the ``K`` smallest hashes, and the overlap of two sketches estimates
-their Jaccard similarity. Steps:
+their Jaccard similarity. Words and shingles of many texts are hashed together,
+as arrays. Steps:
 
 1. Equal sets (by size and two 64-bit sums) collapse into classes; the rest
    works on one row per class.
@@ -43,13 +44,15 @@ lower-cased.
 
 from __future__ import annotations
 
+from collections.abc import Iterable, Iterator
+
 import numpy as np
 import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from attrition.llm.common import drop_stored, fresh, prepare, stored
+from attrition.llm.common import ASCII_SPACE, drop_stored, fresh, prepare, stored
 from attrition.session import release
 
 SHINGLE = 5
@@ -60,7 +63,14 @@ SHARE = (3, 8)
 PERCENT = 75
 SMALL_LIST = 16
 BLOCK_ROWS = 1024
-
+#: Bytes of texts that are cut into words and hashed together.
+CHUNK_BYTES = 1 << 18
+#: Words of more bytes are hashed one by one.
+LONG_WORD = 64
+
+_FOLD = bytes(32 if c in ASCII_SPACE.encode() else c + 32 if 65 <= c <= 90 else c for c in range(256))
+#: Masks of the first 0 to 8 bytes of a little-endian word.
+_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], np.uint64)
 _M1, _M2 = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 _STEP = np.uint64(0x9E3779B97F4A7C15)
 
@@ -71,42 +81,104 @@ def _mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
-def shingle_set(text: bytes | None, size: int = SHINGLE) -> np.ndarray:
-    """The sorted distinct 64-bit hashes (signed) of a UTF-8 text's shingles."""
-    words = text.lower().split() if text else []
-    if not words:
-        return np.zeros(0, np.int64)
-    h = np.fromiter(map(xxhash.xxh3_64_intdigest, words), np.uint64, len(words))
-    n = max(1, len(words) - size + 1)
-    width = min(size, len(words))
+def _word_hashes(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The hash of each word of the texts in order, and where each text's words begin (one entry more than texts).
+
+    A word is read eight bytes at a time, all words of the texts together; the few beyond
+    ``LONG_WORD`` bytes are hashed one by one."""
+    buf = b"".join((b" ", b" ".join(texts), b" " * 8)).translate(_FOLD)
+    space = np.frombuffer(buf, np.uint8) == 32
+    edge = np.flatnonzero(space[1:] != space[:-1]) + 1
+    start, length = edge[::2], edge[1::2] - edge[::2]
+    first = np.searchsorted(start, np.cumsum([1] + [len(t) + 1 for t in texts]))
+    eight = np.ndarray(len(buf) - 7, "<u8", buf, strides=(1,))
+    h = _mix((eight[start] & _BYTES[np.minimum(length, 8)]) ^ length.astype(np.uint64) * _STEP)
+    at, more = 8, np.flatnonzero(length > 8)
+    while len(more) and at < LONG_WORD:
+        h[more] = _mix(h[more] * _STEP + (eight[start[more] + at] & _BYTES[np.minimum(length[more] - at, 8)]))
+        at += 8
+        more = more[length[more] > at]
+    for i in more.tolist():
+        h[i] = xxhash.xxh3_64_intdigest(buf[start[i]:start[i] + length[i]])
+    return h, first
+
+
+def _shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """The hashes (signed) of all runs of ``width`` words."""
+    n = max(0, len(h) - width + 1)
     x = np.full(n, np.uint64(width))
     for i in range(width):
         x = _mix(x * _STEP + h[i:i + n])
-    return np.unique(x.view(np.int64))
+    return x.view(np.int64)
+
+
+def _joined_sets(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The shingle sets of the texts one after the other, and their bounds."""
+    h, first = _word_hashes(texts)
+    words = np.diff(first)
+    bounds = np.concatenate(([0], np.cumsum(np.where(words > 0, np.maximum(words - SHINGLE + 1, 1), 0))))
+    every, x = _shingles(h, SHINGLE), np.empty(bounds[-1], np.int64)
+    for w, k, lo, hi in zip(words.tolist(), first.tolist(), bounds.tolist(), bounds[1:].tolist()):
+        if w:
+            x[lo:hi] = every[k:k + hi - lo] if w >= SHINGLE else _shingles(h[k:k + w], w)
+            x[lo:hi].sort()
+    new = np.ones(len(x), bool)
+    np.not_equal(x[1:], x[:-1], out=new[1:])
+    new[bounds[:-1][words > 0]] = True
+    return x[new], np.concatenate(([0], np.cumsum(new)))[bounds]
+
+
+def _chunks(texts: Iterable[bytes | None]) -> Iterator[list[bytes]]:
+    """The texts (null: empty) in order, in lists of some ``CHUNK_BYTES``, at least one text each."""
+    chunk, size = [], 0
+    for t in texts:
+        chunk.append(t or b"")
+        size += len(chunk[-1])
+        if size >= CHUNK_BYTES:
+            yield chunk
+            chunk, size = [], 0
+    if chunk:
+        yield chunk
+
+
+def shingle_sets(texts: Iterable[bytes | None]) -> Iterator[np.ndarray]:
+    """The sorted distinct 64-bit hashes (signed) of each UTF-8 text's shingles."""
+    for chunk in _chunks(texts):
+        x, bounds = _joined_sets(chunk)
+        yield from np.split(x, bounds[1:-1])
 
 
 def similar(a: np.ndarray, b: np.ndarray, percent: int = PERCENT) -> bool:
     """100 * intersection >= percent * union, on full sets."""
-    both = len(np.intersect1d(a, b, assume_unique=True))
+    x = np.concatenate((a, b))
+    x.sort()
+    both = int(np.count_nonzero(x[1:] == x[:-1]))
     return bool(both) and 100 * both >= percent * (len(a) + len(b) - both)
 
 
 def _sketch(texts: pd.Series) -> pd.DataFrame:
-    rows = []
-    for t in texts:
-        x = shingle_set(t)
-        u = x.view(np.uint64)
-        rows.append((len(x), int(u.sum(dtype=np.uint64).view(np.int64)),
-                     int(_mix(u ^ _STEP).sum(dtype=np.uint64).view(np.int64)), x[:K]))
-    return pd.DataFrame(rows, columns=["n", "s1", "s2", "sketch"])
+    out = []
+    for chunk in _chunks(texts):
+        x, bounds = _joined_sets(chunk)
+        n, u = np.diff(bounds), x.view(np.uint64)
+        some = bounds[:-1][n > 0]
+        sums = np.zeros((2, len(n)), np.int64)
+        if len(some):
+            sums[0, n > 0] = np.add.reduceat(u, some).view(np.int64)
+            sums[1, n > 0] = np.add.reduceat(_mix(u ^ _STEP), some).view(np.int64)
+        least = [x[lo:hi] for lo, hi in zip(bounds.tolist(), np.minimum(bounds[1:], bounds[:-1] + K).tolist())]
+        out.append(pd.DataFrame({"n": n, "s1": sums[0], "s2": sums[1], "sketch": least}))
+    return pd.concat(out, ignore_index=True) if out else pd.DataFrame(columns=["n", "s1", "s2", "sketch"])
 
 
 def _verify(a: pd.Series, text_a: pd.Series, text_b: pd.Series) -> pd.Series:
-    last, own, out = None, None, []
-    for i, x, y in zip(a, text_a, text_b):
-        if i != last:   # rows come sorted by the left document
-            last, own = i, shingle_set(x)
-        out.append(similar(own, shingle_set(y)))
+    key, new = a.to_numpy(), np.ones(len(a), bool)
+    new[1:] = key[1:] != key[:-1]   # rows come sorted by the left document
+    lefts, own, out = shingle_sets(text_a[new]), None, []
+    for first, other in zip(new.tolist(), shingle_sets(text_b)):
+        if first:
+            own = next(lefts)
+        out.append(similar(own, other))
     return pd.Series(out, dtype=bool)
 
 
@@ -253,7 +325,7 @@ def _block_links(pdf: pd.DataFrame) -> pd.DataFrame:
 
 
 def _full_set(texts: pd.Series) -> pd.Series:
-    return pd.Series([shingle_set(t) for t in texts])
+    return pd.Series(list(shingle_sets(texts)))
 
 
 def shared_shingles(texts: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -98,6 +99,46 @@ def test_a_large_group_of_copies_makes_few_pairs(spark):
     assert {r.component_id for r in bottomk.near_duplicates(df).collect() if r.doc_id % 3 == 0} == {0}
 
 
+def _odd_texts():
+    rng = random.Random(6)
+    some = [bytes(rng.choices(b"aAbZ\x00\xc3\xa9\x1c\x85\xa0 \t\n\x0b\x0c\r", k=rng.randrange(200))) for _ in range(400)]
+    long = [b"q" * k + end + b" one two three four" for k in (7, 8, 9, 15, 16, 17, 63, 64, 65, 130) for end in (b"", b"a", b"b", b"\x00")]
+    return some + long + [None, b"", b" \t", b"x", b"X", b"a b", b"b a", b"ab", b"a " * 3000, b"one two three four five", b"z" * 70000] + long
+
+
+@pytest.mark.parametrize("chunk", [1, 300, 1 << 18])
+def test_shingle_sets_equal_sets_of_words(monkeypatch, chunk):
+    """Sets, sizes and sketches as plain tuples of words give them, however the texts fall into chunks."""
+    monkeypatch.setattr(bottomk, "CHUNK_BYTES", chunk)
+    texts = _odd_texts()
+    words = [(t or b"").lower().split() for t in texts]
+    plain = [frozenset(tuple(w[i:i + 5]) for i in range(max(1, len(w) - 4))) if w else frozenset() for w in words]
+    sets = list(bottomk.shingle_sets(texts))
+    assert [len(x) for x in sets] == [len(x) for x in plain]
+    assert all((x[1:] > x[:-1]).all() for x in sets)
+    pairs = {(p, x.tobytes()) for p, x in zip(plain, sets)}
+    assert len(pairs) == len(set(plain)) == len({b for _, b in pairs})
+    sketched = bottomk._sketch(pd.Series(texts))
+    assert sketched["n"].tolist() == [len(x) for x in plain]
+    assert [k.tolist() for k in sketched["sketch"]] == [x[:bottomk.K].tolist() for x in sets]
+    assert len(set(zip(sketched["n"], sketched["s1"], sketched["s2"]))) == len(set(plain))
+    both = list(zip(range(0, 400, 2), range(1, 400, 2))) + [(k, k) for k in range(len(texts))] + [(3, k) for k in range(60)]
+    got = bottomk._verify(*(pd.Series(x) for x in ([a for a, _ in both], [texts[a] for a, _ in both], [texts[b] for _, b in both])))
+    assert got.tolist() == [bool(plain[a]) and 100 * len(plain[a] & plain[b]) >= 75 * len(plain[a] | plain[b]) for a, b in both]
+
+
+def test_texts_are_hashed_together(monkeypatch):
+    """A batch takes a number of array passes that goes with its bytes, not with its texts."""
+    calls, mix = [], bottomk._mix
+    monkeypatch.setattr(bottomk, "_mix", lambda x: calls.append(1) or mix(x))
+    rng = random.Random(7)
+    texts = pd.Series([" ".join(f"w{rng.randrange(10**6)}" for _ in range(50)).encode() for _ in range(500)])
+    bottomk._sketch(texts)
+    sketching = len(calls)
+    bottomk._verify(pd.Series(range(500)), texts, texts[::-1].reset_index(drop=True))
+    assert sketching < 50 and len(calls) < 150   # 3,000 and 8,000 text by text
+
+
 def test_components_of_chains_and_stars(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(100, 160)] + [(5, i) for i in range(6, 40)] + [(200, 201), (201, 202), (202, 200)]
