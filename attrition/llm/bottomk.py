@@ -209,7 +209,9 @@ def listed_classes(classes: DataFrame) -> DataFrame:
 
 
 def list_pairs(listed: DataFrame) -> DataFrame:
-    """Distinct pairs (a < b): all of short lists, members with hubs in long ones."""
+    """Distinct pairs (a < b): all of short lists, members with hubs in long ones.
+
+    The long lists of a class mostly name the same hubs, which are gathered by class before they make pairs."""
     index = listed.select("class", "common", "weight", F.explode("keys").alias("value"))
     tie = F.xxhash64("class")
     hubs = F.array(F.max_by("class", F.struct(F.col("common"), F.col("weight"), tie)),
@@ -218,8 +220,9 @@ def list_pairs(listed: DataFrame) -> DataFrame:
     small = index.join(lists.filter(F.col("size") <= SMALL_LIST).select("value"), "value")
     pairs = small.select("value", F.col("class").alias("a")).join(
         small.select("value", F.col("class").alias("b")), "value").filter("a < b").select("a", "b")
-    large = index.join(lists.filter(F.col("size") > SMALL_LIST), "value").select(
-        "class", F.explode(F.array_distinct("hubs")).alias("hub")).filter("class <> hub")
+    met = index.join(lists.filter(F.col("size") > SMALL_LIST), "value").groupBy("class").agg(
+        F.array_distinct(F.flatten(F.collect_set("hubs"))).alias("hubs"))
+    large = met.select("class", F.explode("hubs").alias("hub")).filter("class <> hub")
     return pairs.union(large.select(F.least("class", "hub"), F.greatest("class", "hub"))).distinct()
 
 

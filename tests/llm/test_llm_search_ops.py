@@ -99,6 +99,44 @@ def test_a_large_group_of_copies_makes_few_pairs(spark):
     assert {r.component_id for r in bottomk.near_duplicates(df).collect() if r.doc_id % 3 == 0} == {0}
 
 
+def _generated(df):
+    """Rows made by each explode of the plan of ``df``, run once."""
+    df.collect()
+    found, todo = {}, [df._jdf.queryExecution().executedPlan()]
+    while todo:
+        node = todo.pop()
+        kind = node.getClass().getSimpleName()
+        if kind == "GenerateExec":
+            found[node.simpleString(100)] = node.metrics().apply("numOutputRows").value()
+        inner = "executedPlan" if kind == "AdaptiveSparkPlanExec" else "plan" if kind.endswith("QueryStageExec") else None
+        todo += [getattr(node, inner)()] if inner else [node.children().apply(i) for i in range(node.children().size())]
+    return found
+
+
+def test_each_class_meets_a_hub_once(spark):
+    """The lists of a group of near copies share their hubs: a class makes a row for each hub, not for each of its lists,
+    and twice the group makes twice the rows."""
+    made = {}
+    for n in (400, 800):
+        rng = random.Random(8)
+        base = [f"w{rng.randrange(10**6)}" for _ in range(120)]
+        texts = [base[:k] + [f"x{i}"] + base[k + 1:] for i, k in ((i, rng.randrange(120)) for i in range(n))]
+        df = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id bigint, text string")
+        listed = bottomk.listed_classes(bottomk.sketches(df).select(F.col("doc_id").alias("class"), "sketch")).localCheckpoint()
+        index = listed.select("class", "common", "weight", F.explode("keys").alias("value")).toPandas()
+        index["tie"] = index["class"].map({r["class"]: r.tie for r in listed.select("class", F.xxhash64("class").alias("tie")).collect()})
+        lists = [g for _, g in index.groupby("value") if len(g) > bottomk.SMALL_LIST]
+        hubs = {(c, hub) for g in lists for by in (["common", "weight", "tie"], ["weight", "tie"], ["tie"])
+                for hub in [g.sort_values(by)["class"].iloc[-1]] for c in g["class"]}
+        short = {(a, b) for _, g in index.groupby("value") if 1 < len(g) <= bottomk.SMALL_LIST for a in g["class"] for b in g["class"]}
+        want = {(min(p), max(p)) for p in hubs | short if p[0] != p[1]}
+        pairs = bottomk.list_pairs(listed)
+        assert sorted(want) == sorted((r.a, r.b) for r in pairs.collect())
+        made[n] = sum(v for k, v in _generated(pairs).items() if "hub" in k)
+        assert 0 < made[n] <= len(hubs) < sum(len(g) for g in lists)
+    assert made[800] < 2.5 * made[400]
+
+
 def _odd_texts():
     rng = random.Random(6)
     some = [bytes(rng.choices(b"aAbZ\x00\xc3\xa9\x1c\x85\xa0 \t\n\x0b\x0c\r", k=rng.randrange(200))) for _ in range(400)]
