@@ -27,8 +27,11 @@ class of one row yields copies of it, so the number of rows is always exact.
 from __future__ import annotations
 
 import math
+from collections.abc import Iterator
 from typing import Sequence
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -38,6 +41,9 @@ from ..session import cut_lineage
 from .prefix import collapse, ordered_cumsum, ordered_row_number
 from .sampling import class_ranks
 
+#: Neighbouring rank buckets that one group of the radius search holds.
+RUN_BUCKETS = 32
+
 
 def _dist(a: str, b: str) -> Column:
     sq = F.zip_with(F.col(a), F.col(b), lambda x, y: (x - y) * (x - y))
@@ -114,10 +120,11 @@ def with_radius(points: DataFrame, k: int, n_features: int, bucket_target: int =
     for col in ("a", "b"):
         ranked = ordered_row_number(pts.select("pk", "x", "m", col), [F.col(col).asc(), F.col("pk").asc()], out="__r")
         ranked = ranked.withColumn("rb", F.floor((F.col("__r") - 1) / F.lit(size)).cast("long"))
-        others = ranked.select(F.col("pk").alias("q"), F.col("x").alias("xq"), F.col("m").alias("mq"), F.col("rb").alias("b"))
-        probe = ranked.select("pk", "x", "m", F.explode(F.sequence(F.col("rb") - 1, F.col("rb") + 1)).alias("b"))
-        near = probe.join(others, "b").filter(F.col("q") != F.col("pk")).withColumn("d", _dist("x", "xq"))
-        found.append(_kth(near, pts, k))
+        # a point is in the run of its bucket and, at a run's ends, in the next one
+        runs = F.array_distinct(F.transform(F.sequence(F.col("rb") - 1, F.col("rb") + 1),
+                                            lambda b: F.floor(b / F.lit(RUN_BUCKETS)).cast("long")))
+        found.append(ranked.select("pk", "x", "m", "__r", "rb", F.explode(runs).alias("run")).filter("run >= 0")
+                     .groupBy("run").applyInArrow(_kth_of_run(k, n_features), "pk string, r double"))
     # a hair wider than the distance, so that rounding of the projections drops no neighbour
     radius = found[0].union(found[1]).groupBy("pk").agg((F.min("r") * (1 + 1e-9) + 1e-9).alias("r"))
     return cut_lineage(pts.join(radius, "pk", "left").withColumn("r", F.coalesce("r", F.lit(float("inf")))))
@@ -144,15 +151,31 @@ def _first_k(cand: DataFrame, k: int) -> DataFrame:
     return cand.withColumn("__rn", F.row_number().over(w)).filter(F.col("__rn") <= k).drop("__rn")
 
 
-def _kth(cand: DataFrame, todo: DataFrame, k: int) -> DataFrame:
-    """Points of ``todo`` whose neighbour count (own duplicates first, then
-    candidates by distance and multiplicity) reaches k: ``pk, r`` with ``r``
-    the distance where it does."""
-    own = todo.filter(F.col("m") - 1 >= k).select("pk", F.lit(0.0).alias("r"))
-    w = Window.partitionBy("pk").orderBy("d", "q").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    hit = (_first_k(cand, k).withColumn("cum", F.sum("mq").over(w) + F.col("m") - 1)
-               .filter(F.col("cum") >= k).groupBy("pk").agg(F.min("d").alias("r")))
-    return hit.join(own.select("pk"), "pk", "left_anti").unionByName(own)
+def _kth_of_run(k: int, n_features: int):
+    """For a run of rank buckets: ``pk, r`` of the points whose neighbour count (own duplicates first, then
+    the points of the own and the two next buckets by distance) reaches k, with ``r`` the distance where it does."""
+    def run(key: tuple, t: pa.Table) -> pa.Table:
+        t = t.sort_by("__r").combine_chunks()
+        x = t["x"].combine_chunks().flatten().to_numpy(zero_copy_only=False).reshape(t.num_rows, n_features)
+        m, rb = t["m"].to_numpy(), t["rb"].to_numpy()
+        r = np.full(t.num_rows, np.nan)
+        for b in np.unique(rb[rb // RUN_BUCKETS == key[0].as_py()]):
+            lo, hi = np.searchsorted(rb, (b, b + 1))
+            first, last = np.searchsorted(rb, (b - 1, b + 2))
+            square = np.zeros((hi - lo, last - first))
+            for f in range(n_features):
+                apart = x[lo:hi, f, None] - x[None, first:last, f]
+                square += apart * apart
+            mine = np.arange(hi - lo)
+            square[mine, mine + lo - first] = np.nan     # not a neighbour of itself, so the last one
+            order = np.argsort(square, 1, kind="stable")
+            count = m[lo:hi, None] - 1 + np.cumsum(m[first:last][order], 1)
+            at = (count >= k).argmax(1)
+            reached = (count[mine, at] >= k) & (at < last - first - 1)
+            r[lo:hi] = np.where(m[lo:hi] > k, 0.0, np.where(reached, np.sqrt(square[mine, order[mine, at]]), np.nan))
+        known = ~np.isnan(r)
+        return pa.table({"pk": t["pk"].filter(pa.array(known)), "r": r[known]})
+    return run
 
 
 def _slots(cand: DataFrame, pts: DataFrame, k: int) -> DataFrame:

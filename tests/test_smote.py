@@ -101,3 +101,24 @@ def test_candidate_pairs_hold_all_neighbours_and_stay_few(spark):
         pts = with_radius(collapse_points(spark.createDataFrame(rows, "f0 double, f1 double, f2 double"), ["f0", "f1", "f2"]), 5, 3)
         per_point[n] = candidate_pairs(pts).count() / n
     assert per_point[1200] < 1200 / 4 and per_point[1200] < 4 * per_point[300]
+
+
+def test_the_radius_is_the_kth_distance_within_the_next_buckets(spark, monkeypatch):
+    """At the ends of a run as inside it: the k-th neighbour among the own and the two next buckets, on either direction."""
+    from attrition.operators import smote as SM
+    monkeypatch.setattr(SM, "RUN_BUCKETS", 2)
+    rng = np.random.default_rng(7)
+    rows = [tuple(map(float, r)) for r in rng.integers(0, 40, (300, 3))]
+    got = SM.with_radius(collapse_points(spark.createDataFrame(rows, "f0 double, f1 double, f2 double"), ["f0", "f1", "f2"]),
+                         5, 3, bucket_target=8).toPandas()
+    best = {}
+    for col in ("a", "b"):
+        p = got.sort_values([col, "pk"], ignore_index=True)
+        x, bucket = np.array(p.x.tolist()), np.arange(len(p)) // 8
+        for i in range(len(p)):
+            near = [j for j in np.flatnonzero(abs(bucket - bucket[i]) <= 1) if j != i]
+            slots = [0.0] * (p.m[i] - 1) + sorted(d for j in near for d in [float(np.linalg.norm(x[i] - x[j]))] * p.m[j])
+            if len(slots) >= 5:
+                best[p.pk[i]] = min(best.get(p.pk[i], np.inf), slots[4])
+    assert len(best) == len(got)
+    assert np.allclose(got.r, got.pk.map(best))
