@@ -97,3 +97,25 @@ def test_states_of_appends_add_up_and_name_what_changed(spark):
     other[other.index(("b", 1, "v1"))] = ("b", 1, "v1 ")
     got = L.changed_partitions(merged, L.fingerprint_states(make(other), "p"), "p").collect()
     assert {(r.p, r.change) for r in got} == {("a", "removed"), ("b", "changed"), ("c", "added")}
+
+
+def test_wide_projections_are_not_one_huge_method(spark, sf):
+    from attrition.plans import inputs as I
+    from attrition.session import CODE_BYTES, CODE_LIMIT
+    old = spark.conf.get(CODE_LIMIT)
+    try:
+        spark.conf.set(CODE_LIMIT, "65535")
+        I.features(spark, sf)
+        assert spark.conf.get(CODE_LIMIT) == CODE_BYTES
+        spark.conf.set(CODE_LIMIT, "20000")   # the session's own choice stays
+        I.features(spark, sf)
+        assert spark.conf.get(CODE_LIMIT) == "20000"
+    finally:
+        spark.conf.set(CODE_LIMIT, old)
+
+
+def test_features_are_built_by_as_many_tasks_as_there_are_cores(spark, sf):
+    from attrition.plans import inputs as I
+    spread, plain = I.spread_features(spark, sf), I.features(spark, sf)
+    assert spread.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert spread.exceptAll(plain).count() == 0 and spread.count() == plain.count()
