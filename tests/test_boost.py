@@ -231,3 +231,81 @@ def test_boosting_ranks_as_well_as_first_order_trees(spark):
 
 def test_churn_features_fit_the_bins():
     assert len(S.MODEL_FEATURES) == 26 and B.MAX_BINS < 256
+
+
+def test_boosters_of_different_cuts_share_their_passes(spark, monkeypatch):
+    from attrition.operators.ml import boost_fits, fit_learners, with_training_weights, assembler
+    rows = [(f"c{i}", i % 400, float(i * 7 % 330), int(i * 31 % 100 < 30 + i % 40)) for i in range(900)]
+    df = spark.createDataFrame(rows, "id string, a int, b double, y int")
+    passes, run = [], B.Booster._pass
+    monkeypatch.setattr(B.Booster, "_pass", lambda self, growers: passes.append([f.name for f in self.fits]) or run(self, growers))
+    few, names = {"maxIter": 3}, ["xgboost", "lightgbm"]
+    both = fit_learners(df, ["a", "b"], "y", {n: few for n in names}, names=names, id_col="id")
+    assert len(passes) <= 18 and all(p == names for p in passes)
+    data = assembler(["a", "b"]).transform(with_training_weights(df, "y"))
+    for n in names:
+        own = boost_fits(data, [n], ["a", "b"], "y", overrides={n: few}, row_key=F.xxhash64("id", M.vector_to_array(M.VEC)))
+        assert own.models[n].nodes.equals(both[n].nodes)
+
+
+def _walked(model, x):
+    out = np.full(len(x), model.start)
+    for _, t in model.nodes.groupby("tree"):
+        rows = t.set_index("node").to_dict("index")
+        for i, v in enumerate(x):
+            r = rows[0]
+            while r["feature"] >= 0:
+                at = v[int(r["feature"])]
+                left = bool(r["missing_left"]) if np.isnan(at) else at <= r["threshold"]
+                r = rows[r["left"] if left else r["right"]]
+            out[i] += r["value"]
+    return out
+
+
+@pytest.mark.parametrize("params", [B.BoostParams(rounds=4, max_depth=5), B.BoostParams(rounds=3, max_depth=9, min_hessian=0.0, l2=0.1)])
+def test_margins_are_those_of_walked_trees(spark, params):
+    """Of small trees (by bits of their leaves) and of trees of more than 64 leaves, with missing and unseen values."""
+    df = _table(spark, 900, missing=True)
+    done = B.fit_together(df, "x", FEATURES, "y", [B.Fit("m", params, "w")], key="id")
+    model = done.models["m"]
+    assert (model.nodes[model.nodes.feature < 0].groupby("tree").size().max() > 64) == (params.max_depth > 6)
+    x = np.array(df.orderBy("id").toPandas().x.map(list).tolist(), float)
+    odd = np.vstack([x, [[-1.0, 0.5, 99.0], [np.nan] * 3, [4.5, np.nan, 14.5]]])
+    assert (model.margin(odd) == _walked(model, odd)).all()
+    assert (done.margins().toPandas().sort_values("key")["m"].to_numpy() == model.margin(x)).all()
+
+
+def test_blocks_hold_little_more_than_codes_and_margins(spark):
+    loop = B.Booster(_table(spark), "x", FEATURES, "y", [B.Fit("m", B.BoostParams(), "w")], fold="fold")
+    b = loop.blocks.first()
+    assert b.key is None and b.row is None and b.kind.itemsize == 1 and b.kinds.shape[1] == 8   # two labels by four folds
+    assert sum(c.itemsize for c in b.codes[0]) <= 3
+
+
+def test_class_weights_are_joined_without_a_shuffle_by_class(spark):
+    df = spark.createDataFrame([(i, int(i % 3 == 0)) for i in range(90)], "id int, y int").checkpoint()
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        plan = M.balanced_weights(df, "y")._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+    assert "BroadcastHashJoin" in plan and "SortMergeJoin" not in plan
+
+
+def test_the_forest_has_few_large_parts(spark, monkeypatch):
+    monkeypatch.setattr(M, "PART_ROWS", 10)
+    monkeypatch.setattr(M, "MORE_ROWS", 60)
+    parts = [M.dealt(spark.range(n)).rdd.getNumPartitions() for n in (100, 200, 900, 1200)]
+    assert parts == [10, 16, 16, 20]
+
+
+def test_splits_are_ranked_once(spark, sf, monkeypatch):
+    calls, run = [], q_ml.R.stratified_split
+    monkeypatch.setattr(q_ml, "_REGISTRY", {})
+    monkeypatch.setattr(q_ml.R, "stratified_split", lambda *a, **k: calls.append(1) or run(*a, **k))
+    one, two = q_ml.splits(spark, sf), q_ml.splits(spark, sf)
+    assert len(calls) == 1 and one["test"].exceptAll(two["test"]).count() == 0
+    want = run(q_ml.I.features(spark, sf), "Churn", "customerID", S.TEST_SIZE, S.VAL_SIZE, S.SEED)
+    got = one["train"].unionByName(one["val"]).unionByName(one["test"])
+    assert got.exceptAll(want.drop("split")).count() == 0 and got.count() == want.count()
